@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from occurrence_lake.functions.sqltext import dbl, ref
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -75,7 +77,7 @@ def polygon_edges(rings):
     return edges
 
 
-def inside_polygon(lon, lat, rings) -> Column:
+def inside_polygon(lon: str, lat: str, rings) -> Column:
     """FLT-2 for any polygon: even-odd rule by counting edge crossings of a
     ray to +x.  An edge counts when exactly one end is above the point
     (half-open), so a vertex is never counted twice.  Holes are rings too.
@@ -83,16 +85,16 @@ def inside_polygon(lon, lat, rings) -> Column:
     The bounding-box conjunct comes first: it is a pushed-down scan filter,
     the crossing count runs only on what survives it.
     """
-    x, y = _col(lon), _col(lat)
-    crossings = None
-    for xi, yi, xj, yj, dx, dy in polygon_edges(rings):
-        straddles = (y < F.lit(yi)) != (y < F.lit(yj))
-        left_of = x < F.lit(dx) * (y - F.lit(yi)) / F.lit(dy) + F.lit(xi)
-        term = F.when(straddles & left_of, 1).otherwise(0)
-        crossings = term if crossings is None else crossings + term
-    if crossings is None:
+    x, y = ref(lon), ref(lat)
+    terms = [f"CASE WHEN (({y} < {dbl(yi)}) <> ({y} < {dbl(yj)})) "
+             f"AND {x} < {dbl(dx)} * ({y} - {dbl(yi)}) / {dbl(dy)} + {dbl(xi)} THEN 1 ELSE 0 END"
+             for xi, yi, xj, yj, dx, dy in polygon_edges(rings)]
+    if not terms:
         return F.lit(False)
-    return inside_box(x, y, polygon_box(rings)) & ((crossings % 2) == 1)
+    b = polygon_box(rings)
+    return F.expr(f"({x} BETWEEN {dbl(b.min_lon)} AND {dbl(b.max_lon)} "
+                  f"AND {y} BETWEEN {dbl(b.min_lat)} AND {dbl(b.max_lat)} "
+                  f"AND ({' + '.join(terms)}) % 2 = 1)")
 
 
 def inside_geometry(lon, lat, wkt: str) -> Column:

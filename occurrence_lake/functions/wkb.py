@@ -1,4 +1,4 @@
-"""Well-known-binary (WKB) points and multipoints as Spark column expressions.
+"""Well-known-binary (WKB) points and multipoints as Spark SQL expressions.
 
 Spark 4.1 has no point constructor and cannot write a GEOMETRY column to
 Parquet, so geometries are stored as ``BinaryType`` holding ISO WKB, little
@@ -8,124 +8,174 @@ endian (byte order 1), exactly the bytes a PostGIS/DuckDB ``ST_AsWKB`` emits:
 * MultiPoint: 01 | 04000000 | n: uint32 LE  | n points as above      (9 + 21 n)
 
 The IEEE-754 bit pattern of a double is computed with plain arithmetic
-(``log2``/``pow``/shifts).  The expressions are deterministic and run inside
-whole-stage codegen: no Python worker, no reflection, and the optimizer may
-still push filters below them.
+(``log2``/``power``/shifts).  The expressions are deterministic and run
+inside whole-stage codegen: no Python worker, no reflection, and the
+optimizer may still push filters below them.
+
+Each expression is assembled as SQL text and handed to Spark once
+(``F.expr``): one parse on the JVM instead of hundreds of driver round
+trips to build the same tree.  Arguments are column names or SQL
+expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from occurrence_lake.functions.sqltext import dbl as _d
+from occurrence_lake.functions.sqltext import ref as _ref
+
 # Fixed values of the WKB format.
 POINT_HEADER_HEX = "0101000000"       # little endian, type 1 (Point)
 MULTIPOINT_HEADER_HEX = "0104000000"  # little endian, type 4 (MultiPoint)
 POINT_BYTES = 21
 MULTIPOINT_HEADER_BYTES = 9
 
-_TWO_52 = 2.0 ** 52
-_MIN_NORMAL = 2.0 ** -1022
-_SIGN_BIT = -(2 ** 63)
 _NAN_BITS = 0x7FF8000000000000
 _INF_BITS = 0x7FF0000000000000
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 # ---------------------------------------------------------------------------
 # double <-> IEEE-754 bits
 # ---------------------------------------------------------------------------
-def double_bits(x) -> Column:
-    """The raw IEEE-754 bits of a double as a signed long (NULL stays NULL).
-
-    NaN maps to the canonical quiet NaN, as Java's ``doubleToLongBits``.
-    """
-    x = _col(x)
-    a = F.abs(x)
-    # Normal numbers: 2^e0 is a guess that may be one off next to a power of
-    # two; a / 2^e0 is exact, so the correction below is exact as well.
-    e0 = F.least(F.greatest(F.floor(F.log2(a)), F.lit(-1022)), F.lit(1023))
-    m0 = a / F.pow(F.lit(2.0), e0)
-    e = e0 + F.when(m0 >= 2.0, 1).when(m0 < 1.0, -1).otherwise(0)
-    m = F.when(m0 >= 2.0, m0 * 0.5).when(m0 < 1.0, m0 * 2.0).otherwise(m0)
-    normal = F.shiftleft(e + 1023, 52).bitwiseOR(F.floor((m - 1.0) * _TWO_52))
-    magnitude = (F.when((a >= _MIN_NORMAL) & (a < float("inf")), normal)
-                 .when(F.isnan(x), F.lit(_NAN_BITS))
-                 .when(a == float("inf"), F.lit(_INF_BITS))
-                 # zero and subnormals: the mantissa alone, scaled exactly
-                 .otherwise(F.floor(a * F.lit(2.0 ** 1022) * F.lit(_TWO_52))))
+def _exponent_guess_sql(a: str) -> str:
+    # 2^e0 may be one off next to a power of two; clamped to the normal range
+    return f"least(greatest(floor(log2({a})), -1022L), 1023L)"
+
+
+def _bits_from_parts_sql(x: str, a: str, e0: str, m0: str) -> str:
+    """Bits of ``x`` given a = |x|, the exponent guess e0 and m0 = a / 2^e0
+    (exact: a power-of-two scaling), so the correction below is exact too."""
+    e = f"({e0} + CASE WHEN {m0} >= 2.0D THEN 1L WHEN {m0} < 1.0D THEN -1L ELSE 0L END)"
+    m = f"(CASE WHEN {m0} >= 2.0D THEN {m0} * 0.5D WHEN {m0} < 1.0D THEN {m0} * 2.0D ELSE {m0} END)"
+    normal = f"(shiftleft({e} + 1023L, 52) | floor(({m} - 1.0D) * {_d(2.0 ** 52)}))"
+    # zero and subnormals: the mantissa alone, scaled exactly
+    tiny = f"floor({a} * {_d(2.0 ** 1022)} * {_d(2.0 ** 52)})"
+    magnitude = (f"CASE WHEN {a} >= {_d(2.0 ** -1022)} AND {a} < {_d(float('inf'))} THEN {normal} "
+                 f"WHEN isnan({x}) THEN {_NAN_BITS}L WHEN {a} = {_d(float('inf'))} THEN {_INF_BITS}L "
+                 f"ELSE {tiny} END")
     # -0.0 equals 0.0 and Spark's atan2 folds the sign, so read the text.
-    negative = (x < 0.0) | ((x == 0.0) & F.startswith(x.cast("string"), F.lit("-")))
-    return magnitude.bitwiseOR(F.when(negative, F.lit(_SIGN_BIT)).otherwise(F.lit(0).cast("long")))
+    negative = f"({x} < 0.0D OR ({x} = 0.0D AND startswith(CAST({x} AS STRING), '-')))"
+    return f"(({magnitude}) | CASE WHEN {negative} THEN shiftleft(1L, 63) ELSE 0L END)"
 
 
-def bits_to_double(hi32, lo32) -> Column:
-    """A double from the high and low 32 bits of its IEEE-754 pattern (as longs)."""
-    hi32, lo32 = _col(hi32), _col(lo32)
-    sign = F.shiftright(hi32, 31).bitwiseAND(F.lit(1))
-    exp = F.shiftright(hi32, 20).bitwiseAND(F.lit(0x7FF))
-    mant = (hi32.bitwiseAND(F.lit(0xFFFFF)) * F.lit(4294967296) + lo32).cast("double")
-    magnitude = (F.when(exp == 0, mant * F.lit(2.0 ** -1074))
-                 .when(exp == 2047, F.when(mant == 0.0, F.lit(float("inf"))).otherwise(F.lit(float("nan"))))
-                 .otherwise((F.lit(1.0) + mant / _TWO_52) * F.pow(F.lit(2.0), (exp - 1023).cast("double"))))
-    return F.when(sign == 1, -magnitude).otherwise(magnitude)
+def double_bits_sql(x: str) -> str:
+    """SQL for the raw IEEE-754 bits of a double, as a signed BIGINT, in one
+    expression.  NaN maps to the canonical quiet NaN (``doubleToLongBits``)."""
+    x = _ref(x)
+    a = f"abs({x})"
+    e0 = _exponent_guess_sql(a)
+    return _bits_from_parts_sql(x, a, e0, f"({a} / power(2.0D, {e0}))")
+
+
+def double_bits(x: str) -> Column:
+    return F.expr(double_bits_sql(x))
+
+
+def _bits_to_double_sql(hi32: str, lo32: str) -> str:
+    sign = f"(shiftright({hi32}, 31) & 1L)"
+    exp = f"(shiftright({hi32}, 20) & 2047L)"
+    mant = f"CAST(({hi32} & 1048575L) * 4294967296L + {lo32} AS DOUBLE)"
+    magnitude = (f"CASE WHEN {exp} = 0L THEN {mant} * {_d(2.0 ** -1074)} "
+                 f"WHEN {exp} = 2047L THEN CASE WHEN {mant} = 0.0D THEN {_d(float('inf'))} "
+                 f"ELSE {_d(float('nan'))} END "
+                 f"ELSE (1.0D + {mant} / {_d(2.0 ** 52)}) * power(2.0D, CAST({exp} - 1023L AS DOUBLE)) END")
+    # (1 - 2 sign) * magnitude keeps -0.0, -inf and NaN right, with one copy
+    # of the magnitude expression in the generated code.
+    return f"(CAST(1L - 2L * {sign} AS DOUBLE) * ({magnitude}))"
 
 
 # ---------------------------------------------------------------------------
-# little-endian hex helpers
+# byte-order helpers
 # ---------------------------------------------------------------------------
-def _reverse_bytes(v: Column, nbytes: int) -> Column:
-    out = None
-    for i in range(nbytes):
-        byte = F.shiftright(v, 8 * i).bitwiseAND(F.lit(255))
-        part = F.shiftleft(byte, 8 * (nbytes - 1 - i))
-        out = part if out is None else out.bitwiseOR(part)
-    return out
+def _reverse_bytes_sql(v: str, nbytes: int) -> str:
+    parts = [f"shiftleft(shiftright({v}, {8 * i}) & 255L, {8 * (nbytes - 1 - i)})" for i in range(nbytes)]
+    return "(" + " | ".join(parts) + ")"
 
 
-def le_hex64(bits) -> Column:
-    """16 hex digits of a long in little-endian byte order."""
-    return F.lpad(F.hex(_reverse_bytes(_col(bits), 8)), 16, "0")
+def le_hex64_sql(bits: str) -> str:
+    """16 hex digits of a BIGINT in little-endian byte order."""
+    return f"lpad(hex({_reverse_bytes_sql(bits, 8)}), 16, '0')"
 
 
-def le_hex32(n) -> Column:
+def le_hex32_sql(n: str) -> str:
     """8 hex digits of a non-negative 32-bit count in little-endian byte order."""
-    return F.lpad(F.hex(_reverse_bytes(_col(n).cast("long"), 4)), 8, "0")
+    return f"lpad(hex({_reverse_bytes_sql(f'CAST({n} AS BIGINT)', 4)}), 8, '0')"
 
 
-def _swap_hex_bytes(h: Column, nbytes: int) -> Column:
+def _swap_hex_sql(h: str, nbytes: int) -> str:
     """Reverse the byte order of a hex string of ``nbytes`` bytes."""
-    return F.concat(*[F.substring(h, 2 * (nbytes - 1 - i) + 1, 2) for i in range(nbytes)])
+    return "concat(" + ", ".join(f"substring({h}, {2 * (nbytes - 1 - i) + 1}, 2)" for i in range(nbytes)) + ")"
+
 
+def _hex_long_sql(h: str) -> str:
+    return f"CAST(conv({h}, 16, 10) AS BIGINT)"
 
-def _hex_to_long(h: Column) -> Column:
-    return F.conv(h, 16, 10).cast("long")
 
+def _field_sql(h: str, pos: int, nbytes: int) -> str:
+    """A field of a hex-encoded WKB, honouring its byte-order flag."""
+    raw = f"substring({h}, {pos}, {2 * nbytes})"
+    return f"CASE WHEN substring({h}, 1, 2) = '01' THEN {_swap_hex_sql(raw, nbytes)} ELSE {raw} END"
 
-def _double_from_hex(h16: Column, little_endian: Column) -> Column:
-    be = F.when(little_endian, _swap_hex_bytes(h16, 8)).otherwise(h16)
-    return bits_to_double(_hex_to_long(F.substring(be, 1, 8)), _hex_to_long(F.substring(be, 9, 8)))
+
+def _double_at_sql(h: str, pos: int) -> str:
+    be = _field_sql(h, pos, 8)
+    return _bits_to_double_sql(_hex_long_sql(f"substring({be}, 1, 8)"), _hex_long_sql(f"substring({be}, 9, 8)"))
 
 
 # ---------------------------------------------------------------------------
-# EXP-4 / EXP-5: point from (lon, lat)
+# EXP-4 / EXP-5: encode
 # ---------------------------------------------------------------------------
-def point_wkb(lon, lat) -> Column:
+def point_wkb_sql(lon: str, lat: str) -> str:
+    return (f"unhex(concat('{POINT_HEADER_HEX}', {le_hex64_sql(double_bits_sql(lon))}, "
+            f"{le_hex64_sql(double_bits_sql(lat))}))")
+
+
+def point_wkb(lon: str, lat: str) -> Column:
     """WKB Point, x = longitude first.  NULL if either coordinate is NULL."""
-    return F.unhex(F.concat(F.lit(POINT_HEADER_HEX), le_hex64(double_bits(lon)), le_hex64(double_bits(lat))))
+    return F.expr(point_wkb_sql(lon, lat))
 
 
-def multipoint_wkb(n_points, body) -> Column:
+# ---------------------------------------------------------------------------
+# Staged forms.  One expression for a whole point grows past what the code
+# generator compiles into one method (Spark then falls back to the slow
+# interpreted path).  The staged forms compute each intermediate once, in
+# its own projection; since every intermediate is used several times,
+# Catalyst keeps the projections apart, and each stays small.
+# ---------------------------------------------------------------------------
+def with_double_bits(df: DataFrame, outputs: dict[str, str]) -> DataFrame:
+    """Add ``{out: bits of input}`` columns (BIGINT IEEE-754 patterns)."""
+    t = {o: (f"__{o}_a", f"__{o}_e0", f"__{o}_m0") for o in outputs}
+    s1 = df.selectExpr("*", *[f"abs({_ref(c)}) AS `{t[o][0]}`" for o, c in outputs.items()])
+    s2 = s1.selectExpr("*", *[f"{_exponent_guess_sql(f'`{t[o][0]}`')} AS `{t[o][1]}`" for o in outputs])
+    s3 = s2.selectExpr("*", *[f"(`{t[o][0]}` / power(2.0D, `{t[o][1]}`)) AS `{t[o][2]}`" for o in outputs])
+    s4 = s3.selectExpr("*", *[f"{_bits_from_parts_sql(_ref(c), *[f'`{n}`' for n in t[o]])} AS `{o}`"
+                              for o, c in outputs.items()])
+    return s4.drop(*[n for names in t.values() for n in names])
+
+
+def with_point_wkb(df: DataFrame, lon: str, lat: str, out: str = "coordinates") -> DataFrame:
+    """Add ``out``: WKB Point of (lon, lat); NULL if either is NULL.
+
+    Filter on ``lon``/``lat``, not on ``out``, in the same plan: a predicate
+    on ``out`` is pushed below these projections with the whole encoding
+    substituted into it."""
+    bx, by = f"__{out}_bx", f"__{out}_by"
+    staged = with_double_bits(df, {bx: lon, by: lat})
+    return staged.selectExpr(
+        *[f"`{c}`" for c in df.columns if c != out],
+        f"unhex(concat('{POINT_HEADER_HEX}', {le_hex64_sql(f'`{bx}`')}, {le_hex64_sql(f'`{by}`')})) AS `{out}`")
+
+
+def multipoint_wkb(n_points: str, body: str) -> Column:
     """MultiPoint from a point count and the concatenated point WKBs.
 
     ``body`` NULL (a group without a non-NULL point) gives the empty
     MultiPoint ``010400000000000000``.
     """
-    header = F.unhex(F.concat(F.lit(MULTIPOINT_HEADER_HEX), le_hex32(n_points)))
-    return F.concat(header, F.coalesce(_col(body), F.lit(bytearray())))
+    return F.expr(f"concat(unhex(concat('{MULTIPOINT_HEADER_HEX}', {le_hex32_sql(_ref(n_points))})), "
+                  f"coalesce({_ref(body)}, X''))")
 
 
 def collect_points_sql(wkb_col: str) -> Column:
@@ -133,65 +183,65 @@ def collect_points_sql(wkb_col: str) -> Column:
 
     ``listagg`` skips NULLs and runs as partial + final aggregate.
     """
-    return F.expr(f"listagg(`{wkb_col}`) WITHIN GROUP (ORDER BY `{wkb_col}`)")
+    return F.expr(f"listagg({_ref(wkb_col)}) WITHIN GROUP (ORDER BY {_ref(wkb_col)})")
 
 
 # ---------------------------------------------------------------------------
 # EXP-6: decode
 # ---------------------------------------------------------------------------
-def wkb_byte_order_le(wkb) -> Column:
-    return F.substring(F.hex(_col(wkb)), 1, 2) == "01"
+def _hex_of(wkb: str) -> str:
+    return f"hex({_ref(wkb)})"
 
 
-def wkb_geometry_type(wkb) -> Column:
+def wkb_geometry_type(wkb: str) -> Column:
     """The geometry type code (1 Point, 4 MultiPoint, ...) of a WKB value."""
-    h = F.hex(_col(wkb))
-    t = F.substring(h, 3, 8)
-    return _hex_to_long(F.when(F.substring(h, 1, 2) == "01", _swap_hex_bytes(t, 4)).otherwise(t))
+    return F.expr(_hex_long_sql(_field_sql(_hex_of(wkb), 3, 4)))
 
 
-def point_is_valid(wkb) -> Column:
-    wkb = _col(wkb)
-    order = F.substring(F.hex(wkb), 1, 2)
-    return ((F.length(wkb) == POINT_BYTES) & order.isin("00", "01") & (wkb_geometry_type(wkb) == 1))
+def point_is_valid(wkb: str) -> Column:
+    h = _hex_of(wkb)
+    return F.expr(f"(length({_ref(wkb)}) = {POINT_BYTES} AND substring({h}, 1, 2) IN ('00', '01') "
+                  f"AND {_hex_long_sql(_field_sql(h, 3, 4))} = 1L)")
 
 
-def point_x(wkb) -> Column:
-    wkb = _col(wkb)
-    h = F.hex(wkb)
-    return _double_from_hex(F.substring(h, 11, 16), F.substring(h, 1, 2) == "01")
+def point_x(wkb: str) -> Column:
+    return F.expr(_double_at_sql(_hex_of(wkb), 11))
 
 
-def point_y(wkb) -> Column:
-    wkb = _col(wkb)
-    h = F.hex(wkb)
-    return _double_from_hex(F.substring(h, 27, 16), F.substring(h, 1, 2) == "01")
+def point_y(wkb: str) -> Column:
+    return F.expr(_double_at_sql(_hex_of(wkb), 27))
 
 
-def multipoint_count(wkb) -> Column:
-    wkb = _col(wkb)
-    h = F.hex(wkb)
-    n = F.substring(h, 11, 8)
-    return _hex_to_long(F.when(F.substring(h, 1, 2) == "01", _swap_hex_bytes(n, 4)).otherwise(n))
+def _multipoint_count_sql(wkb: str) -> str:
+    return _hex_long_sql(_field_sql(_hex_of(wkb), 11, 4))
 
 
-def multipoint_is_valid(wkb) -> Column:
-    wkb = _col(wkb)
-    n = multipoint_count(wkb)
-    return (F.substring(F.hex(wkb), 1, 2).isin("00", "01") & (wkb_geometry_type(wkb) == 4)
-            & (F.length(wkb) == F.lit(MULTIPOINT_HEADER_BYTES) + n * POINT_BYTES))
+def with_point_xy(df: DataFrame, wkb: str, x_out: str = "lon", y_out: str = "lat") -> DataFrame:
+    """Add the x and y of a WKB Point column (staged, see above)."""
+    p = f"__{x_out}_{y_out}_"
+    s1 = df.selectExpr("*", f"hex({_ref(wkb)}) AS `{p}h`")
+    s2 = s1.selectExpr("*", f"{_field_sql(f'`{p}h`', 11, 8)} AS `{p}xb`", f"{_field_sql(f'`{p}h`', 27, 8)} AS `{p}yb`")
+    s3 = s2.selectExpr("*", *[f"{_hex_long_sql(f'substring(`{p}{c}b`, {pos}, 8)')} AS `{p}{c}{half}`"
+                              for c in "xy" for half, pos in (("hi", 1), ("lo", 9))])
+    s4 = s3.selectExpr("*", f"{_bits_to_double_sql(f'`{p}xhi`', f'`{p}xlo`')} AS `{x_out}`",
+                       f"{_bits_to_double_sql(f'`{p}yhi`', f'`{p}ylo`')} AS `{y_out}`")
+    return s4.drop(f"{p}h", f"{p}xb", f"{p}yb", f"{p}xhi", f"{p}xlo", f"{p}yhi", f"{p}ylo")
 
 
-def multipoint_points(wkb) -> Column:
-    """Array of the member points' WKB (explode it for one row per point)."""
-    wkb = _col(wkb)
-    n = multipoint_count(wkb)
-    idx = F.sequence(F.lit(0).cast("long"), n - 1)
-    return F.when(n > 0, F.transform(
-        idx, lambda i: F.substr(wkb, F.lit(MULTIPOINT_HEADER_BYTES + 1) + i * POINT_BYTES, F.lit(POINT_BYTES))
-    )).otherwise(F.array().cast("array<binary>"))
+def multipoint_count(wkb: str) -> Column:
+    return F.expr(_multipoint_count_sql(wkb))
+
 
+def multipoint_is_valid(wkb: str) -> Column:
+    h = _hex_of(wkb)
+    n = _multipoint_count_sql(wkb)
+    return F.expr(f"(substring({h}, 1, 2) IN ('00', '01') AND {_hex_long_sql(_field_sql(h, 3, 4))} = 4L "
+                  f"AND length({_ref(wkb)}) = {MULTIPOINT_HEADER_BYTES} + {n} * {POINT_BYTES})")
 
-def strict(valid: Column, value: Column, message: str) -> Column:
-    """``value`` when ``valid``; a NULL input stays NULL; anything else aborts."""
-    return F.when(valid.isNull(), F.lit(None)).when(valid, value).otherwise(F.raise_error(F.lit(message)))
+
+def multipoint_points(wkb: str) -> Column:
+    """Array of the member points' WKB (explode it for one row per point)."""
+    w, n = _ref(wkb), _multipoint_count_sql(wkb)
+    return F.expr(f"CASE WHEN {n} > 0 THEN transform(sequence(0L, {n} - 1L), "
+                  f"i -> substr({w}, {MULTIPOINT_HEADER_BYTES + 1} + i * {POINT_BYTES}, {POINT_BYTES})) "
+                  f"ELSE CAST(array() AS ARRAY<BINARY>) END")

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from occurrence_lake.functions.wkb import collect_points_sql, multipoint_wkb, point_x, point_y
+from occurrence_lake.functions.wkb import collect_points_sql, multipoint_wkb, with_point_xy
 
 # 4M points = 84 MB of WKB per value: far below Spark's 2 GB value limit and
 # small enough to sort inside one task.
@@ -49,11 +49,13 @@ def species_all_occurrence(points: DataFrame, key: str = "taxon_key", geom: str
     points are all NULL gets the empty MultiPoint and a NULL envelope.  The
     envelope comes from ``lon``/``lat`` when given, else from the WKB.
     """
-    x = F.col(lon) if lon else point_x(geom)
-    y = F.col(lat) if lat else point_y(geom)
-    pts = points.select(key, id_col, geom,
-                        F.when(F.col(geom).isNotNull(), x).alias("_x"),
-                        F.when(F.col(geom).isNotNull(), y).alias("_y"))
+    if lon and lat:
+        pts = points.select(key, id_col, geom, F.col(lon).alias("_x"), F.col(lat).alias("_y"))
+    else:
+        pts = with_point_xy(points.select(key, id_col, geom), geom, "_x", "_y")
+    present = F.col(geom).isNotNull()
+    pts = pts.select(key, id_col, geom, F.when(present, F.col("_x")).alias("_x"),
+                     F.when(present, F.col("_y")).alias("_y"))
     tagged = assign_parts(pts, key, id_col, geom, max_points_per_part)
     agg = tagged.groupBy(key, "part").agg(
         F.count(geom).alias("n_points"),

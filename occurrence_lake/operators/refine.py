@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from occurrence_lake.functions.geo import inside_geometry
 from occurrence_lake.functions.scalars import make_date_strict, narrow_to_int, zero_as_null
-from occurrence_lake.functions.wkb import point_wkb
+from occurrence_lake.functions.wkb import with_point_wkb
 from occurrence_lake.schema import MEASURES
 
 # ---------------------------------------------------------------------------
@@ -57,11 +57,8 @@ def filtered_occurrences(raw: DataFrame) -> DataFrame:
 
 def geospatial_occurrences(filtered: DataFrame) -> DataFrame:
     """EXP-4: latitude/longitude replaced by a WKB Point (x = longitude)."""
-    return filtered.select(
-        "gbif_id", "taxon_key",
-        point_wkb("decimal_longitude", "decimal_latitude").alias("coordinates"),
-        *MEASURES, "date",
-    )
+    points = with_point_wkb(filtered, "decimal_longitude", "decimal_latitude", "coordinates")
+    return points.select("gbif_id", "taxon_key", "coordinates", *MEASURES, "date")
 
 
 def unique_taxon_keys(filtered: DataFrame) -> DataFrame:

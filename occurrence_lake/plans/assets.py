@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from occurrence_lake.functions.scalars import narrow_to_int
-from occurrence_lake.functions.wkb import point_wkb
+from occurrence_lake.functions.wkb import with_point_wkb
 from occurrence_lake.operators import multipoint, names, refine
 from occurrence_lake.operators.metrics import preview
 from occurrence_lake.schema import RAW_SCHEMA
@@ -35,8 +35,8 @@ def build_assets(raw: DataFrame, name_records: DataFrame, name_order=("seq",),
     vernacular = names.vernacular_names(keys, name_records, name_order)
     scientific = names.scientific_names(keys, raw)
     species = multipoint.species_all_occurrence(
-        filtered.select("gbif_id", "taxon_key", "decimal_longitude", "decimal_latitude",
-                        point_wkb("decimal_longitude", "decimal_latitude").alias("coordinates")),
+        with_point_wkb(filtered.select("gbif_id", "taxon_key", "decimal_longitude", "decimal_latitude"),
+                       "decimal_longitude", "decimal_latitude", "coordinates"),
         lon="decimal_longitude", lat="decimal_latitude", max_points_per_part=max_points_per_part)
     return {
         "raw_occurrences": raw,
@@ -51,6 +51,59 @@ def build_assets(raw: DataFrame, name_records: DataFrame, name_order=("seq",),
     }
 
 
+class LazyAssets:
+    """The same tables as ``build_assets``, each built on first use only.
+
+    Building a DataFrame costs driver round trips for analysis, so a query
+    that needs two tables should not pay for nine.
+    """
+
+    def __init__(self, raw_fn, records_fn, name_order=("seq",),
+                 max_points_per_part: int = multipoint.MAX_POINTS_PER_PART):
+        self._fns = {"raw_occurrences": raw_fn, "_records": records_fn}
+        self._name_order = name_order
+        self._max_points = max_points_per_part
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._build(name)
+        return self._built[name]
+
+    def keys(self):
+        return ["raw_occurrences", "filtered_occurrences", "geospatial_occurrences", "unique_taxon_keys",
+                "vernacular_names", "scientific_names", "species_all_occurrence", "species_names",
+                "occurrences"]
+
+    def items(self):
+        return [(k, self[k]) for k in self.keys()]
+
+    def _build(self, name: str) -> DataFrame:
+        if name in self._fns:
+            return self._fns[name]()
+        if name == "filtered_occurrences":
+            return refine.filtered_occurrences(self["raw_occurrences"])
+        if name == "geospatial_occurrences":
+            return refine.geospatial_occurrences(self["filtered_occurrences"])
+        if name == "unique_taxon_keys":
+            return refine.unique_taxon_keys(self["filtered_occurrences"])
+        if name == "vernacular_names":
+            return names.vernacular_names(self["unique_taxon_keys"], self["_records"], self._name_order)
+        if name == "scientific_names":
+            return names.scientific_names(self["unique_taxon_keys"], self["raw_occurrences"])
+        if name == "species_all_occurrence":
+            f = self["filtered_occurrences"]
+            return multipoint.species_all_occurrence(
+                with_point_wkb(f.select("gbif_id", "taxon_key", "decimal_longitude", "decimal_latitude"),
+                               "decimal_longitude", "decimal_latitude", "coordinates"),
+                lon="decimal_longitude", lat="decimal_latitude", max_points_per_part=self._max_points)
+        if name == "species_names":
+            return names.species_names(self["scientific_names"], self["vernacular_names"])
+        if name == "occurrences":
+            return refine.serving_occurrences(self["geospatial_occurrences"])
+        raise KeyError(name)
+
+
 @dataclass
 class RunReport:
     row_counts: dict[str, int] = field(default_factory=dict)

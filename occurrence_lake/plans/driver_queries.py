@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from occurrence_lake.config import scratch_path
 from occurrence_lake.functions.geo import Box, parse_wkt_polygon, polygon_edges, tile_x, tile_y
-from occurrence_lake.functions.wkb import multipoint_points, point_x, point_y
+from occurrence_lake.functions.wkb import multipoint_points, with_point_xy
 from occurrence_lake.operators import constraints, layer, metrics, multipoint, names, refine
-from occurrence_lake.plans.assets import build_assets
+from occurrence_lake.plans.assets import LazyAssets
 from occurrence_lake.schema import MEASURES, RAW_SCHEMA
 from occurrence_lake.sinks.parquet import write_years
 from occurrence_lake.sinks.upsert import KeyedSnapshot
@@ -42,8 +42,9 @@ UPSERT_BATCH_FROM_YEAR = 2019   # batch: years >= this, depth set to 1
 UPSERT_RESEND_YEAR = 2022       # re-sent later in the same batch with NULL elevation
 
 
-def _assets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return build_assets(fixtures.raw_occurrences(spark, sf_dir), fixtures.vernacular_records(spark, sf_dir))
+def _assets(spark: SparkSession, sf_dir: str) -> LazyAssets:
+    return LazyAssets(lambda: fixtures.raw_occurrences(spark, sf_dir),
+                      lambda: fixtures.vernacular_records(spark, sf_dir))
 
 
 def _hex(df: DataFrame, *cols: str) -> DataFrame:
@@ -149,14 +150,18 @@ def q_layer_tiles(spark, sf_dir):
 # WKB decode
 # ---------------------------------------------------------------------------
 def q_wkb_roundtrip(spark, sf_dir):
-    geo = _assets(spark, sf_dir)["geospatial_occurrences"].filter(F.col("coordinates").isNotNull())
-    return geo.select("gbif_id", point_x("coordinates").alias("lon"), point_y("coordinates").alias("lat"))
+    # A point is NULL exactly when a coordinate is: filter on the inputs, so
+    # the predicate is not pushed through (and inlined into) the encoding.
+    f = _assets(spark, sf_dir)["filtered_occurrences"].filter(
+        F.col("decimal_longitude").isNotNull() & F.col("decimal_latitude").isNotNull())
+    geo = refine.geospatial_occurrences(f)
+    return with_point_xy(geo.select("gbif_id", "coordinates"), "coordinates", "lon", "lat").select("gbif_id", "lon", "lat")
 
 
 def q_multipoint_roundtrip(spark, sf_dir):
     sp = _assets(spark, sf_dir)["species_all_occurrence"]
     pts = sp.select("taxon_key", F.explode(multipoint_points("all_occurrence_coordinates")).alias("p"))
-    return pts.select("taxon_key", point_x("p").alias("lon"), point_y("p").alias("lat"))
+    return with_point_xy(pts, "p", "lon", "lat").select("taxon_key", "lon", "lat")
 
 
 # ---------------------------------------------------------------------------

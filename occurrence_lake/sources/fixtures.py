@@ -11,7 +11,7 @@ available here, so Spark derives equivalent frames from the given tables:
   replies, in pages of bounded size, some of them empty or malformed.
 
 Everything is a projection of a table scan, so work grows with the tables.
-The SQL twins used by the DuckDB oracle live in ``plans.oracle``.
+The SQL twins used by the DuckDB oracle live in ``plans.driver_queries``.
 """
 
 from __future__ import annotations
@@ -36,37 +36,37 @@ def _mod(c: Column, n: int) -> Column:
     return c % F.lit(n)
 
 
+# The stand-in columns as Spark SQL (doubles written 1e1 etc. so that they
+# are DOUBLE, not DECIMAL); columns not listed are NULL of their type.
+RAW_STAND_IN_SQL = {
+    "gbif_id": "CAST(event_id AS STRING)",
+    "taxon_key": "user_id",
+    "species": "CASE WHEN event_id % 7 = 0 THEN NULL ELSE concat('species ', CAST(user_id AS STRING)) END",
+    "class": ("CASE event_type WHEN 'view' THEN 'Aves' WHEN 'click' THEN 'Mammalia' "
+              "WHEN 'signup' THEN 'Insecta' WHEN 'error' THEN NULL ELSE 'Reptilia' END"),
+    "kingdom": "CASE WHEN event_id % 10 = 0 THEN 'Plantae' ELSE 'Animalia' END",
+    "country_code": "CASE WHEN event_id % 9 = 0 THEN 'IT' ELSE 'FR' END",
+    "scientific_name": "concat('Genus ', CAST(user_id AS STRING))",
+    "decimal_longitude": ("CASE WHEN event_id % 17 = 0 THEN NULL "
+                          "ELSE 4e0 + (user_id % 40) / 1e1 + (event_id % 101) / 1e3 END"),
+    "decimal_latitude": "44e0 + (user_id % 35) / 1e1 + (event_id % 103) / 1e3",
+    "elevation": "CASE WHEN event_id % 5 = 0 THEN 0e0 ELSE value END",
+    "coordinate_uncertainty_in_meters": "CASE WHEN event_id % 4 = 0 THEN 0e0 ELSE (event_id % 50) * 1e1 END",
+    "coordinate_precision": "CASE WHEN event_id % 6 = 0 THEN NULL ELSE 1e-3 END",
+    "elevation_accuracy": "CASE WHEN event_id % 8 = 0 THEN 0e0 ELSE value / 1e1 END",
+    "depth": "CASE WHEN event_id % 3 = 0 THEN 0e0 ELSE CAST(event_id % 20 AS DOUBLE) END",
+    "locality": "concat('Col \"', event_type, '\" ', CAST(user_id % 7 AS STRING))",
+    "year": "2015 + event_id % 11",
+    "month": "CAST(month(ts) AS BIGINT)",
+    "day": "CAST(CASE WHEN event_id % 13 = 0 THEN NULL ELSE day(ts) END AS BIGINT)",
+}
+
+
 def raw_occurrences_from_events(events: DataFrame) -> DataFrame:
     """F3 ``occ`` in the raw schema; columns F3 does not define are derived
     the same way (zeros and NULLs included) or left NULL."""
-    e, u = F.col("event_id"), F.col("user_id")
-    cols = {
-        "gbif_id": e.cast("string"),
-        "taxon_key": u,
-        "species": F.when(_mod(e, 7) == 0, F.lit(None)).otherwise(F.concat(F.lit("species "), u.cast("string"))),
-        "class": (F.when(F.col("event_type") == "view", "Aves")
-                  .when(F.col("event_type") == "click", "Mammalia")
-                  .when(F.col("event_type") == "signup", "Insecta")
-                  .when(F.col("event_type") == "error", F.lit(None))
-                  .otherwise("Reptilia")),
-        "kingdom": F.when(_mod(e, 10) == 0, "Plantae").otherwise("Animalia"),
-        "country_code": F.when(_mod(e, 9) == 0, "IT").otherwise("FR"),
-        "scientific_name": F.concat(F.lit("Genus "), u.cast("string")),
-        "decimal_longitude": F.when(_mod(e, 17) == 0, F.lit(None)).otherwise(
-            F.lit(4.0) + _mod(u, 40) / F.lit(10.0) + _mod(e, 101) / F.lit(1000.0)),
-        "decimal_latitude": F.lit(44.0) + _mod(u, 35) / F.lit(10.0) + _mod(e, 103) / F.lit(1000.0),
-        "elevation": F.when(_mod(e, 5) == 0, F.lit(0.0)).otherwise(F.col("value")),
-        "coordinate_uncertainty_in_meters": F.when(_mod(e, 4) == 0, F.lit(0.0)).otherwise(_mod(e, 50) * F.lit(10.0)),
-        "coordinate_precision": F.when(_mod(e, 6) == 0, F.lit(None)).otherwise(F.lit(0.001)),
-        "elevation_accuracy": F.when(_mod(e, 8) == 0, F.lit(0.0)).otherwise(F.col("value") / F.lit(10.0)),
-        "depth": F.when(_mod(e, 3) == 0, F.lit(0.0)).otherwise(_mod(e, 20).cast("double")),
-        "locality": F.concat(F.lit('Col "'), F.col("event_type"), F.lit('" '), _mod(u, 7).cast("string")),
-        "year": F.lit(2015) + _mod(e, 11),
-        "month": F.month("ts").cast("long"),
-        "day": F.when(_mod(e, 13) == 0, F.lit(None)).otherwise(F.dayofmonth("ts")).cast("long"),
-    }
-    return events.select(*[
-        (cols[f.name] if f.name in cols else F.lit(None)).cast(f.dataType).alias(f.name)
+    return events.selectExpr(*[
+        f"CAST({RAW_STAND_IN_SQL.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS `{f.name}`"
         for f in RAW_SCHEMA.fields
     ])
 
