@@ -27,4 +27,5 @@ def read_raw_years(spark: SparkSession, path: str) -> DataFrame:
     ``year`` is a partition column, so a filter on it prunes directories
     before any file is opened.
     """
-    return spark.read.schema(RAW_SCHEMA).option("basePath", path).parquet(path)
+    df = spark.read.schema(RAW_SCHEMA).option("basePath", path).parquet(path)
+    return df.select(*[f"`{c}`" for c in RAW_SCHEMA.names])  # declared order; year is not last
