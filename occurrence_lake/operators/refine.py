@@ -41,7 +41,7 @@ def acquire(raw: DataFrame, country: str = ACQUISITION_COUNTRY, polygon_wkt: str
     return raw.filter(cond)
 
 
-def filtered_occurrences(raw: DataFrame) -> DataFrame:
+def filtered_occurrences(raw: DataFrame, carry=()) -> DataFrame:
     """FLT-3 + EXP-1 + EXP-3: kept taxa, the measures, and a date from parts.
 
     The predicate (``IsNotNull(species)``, ``class IN (...)``) is pushed
@@ -51,14 +51,14 @@ def filtered_occurrences(raw: DataFrame) -> DataFrame:
     kept = raw.filter(F.col("species").isNotNull() & F.col("class").isin(KEPT_CLASSES))
     return kept.select(
         "gbif_id", "taxon_key", "decimal_latitude", "decimal_longitude", *MEASURES,
-        make_date_strict("year", "month", "day").alias("date"),
+        make_date_strict("year", "month", "day").alias("date"), *carry,
     )
 
 
-def geospatial_occurrences(filtered: DataFrame) -> DataFrame:
+def geospatial_occurrences(filtered: DataFrame, carry=()) -> DataFrame:
     """EXP-4: latitude/longitude replaced by a WKB Point (x = longitude)."""
     points = with_point_wkb(filtered, "decimal_longitude", "decimal_latitude", "coordinates")
-    return points.select("gbif_id", "taxon_key", "coordinates", *MEASURES, "date")
+    return points.select("gbif_id", "taxon_key", "coordinates", *MEASURES, "date", *carry)
 
 
 def unique_taxon_keys(filtered: DataFrame) -> DataFrame:
@@ -67,7 +67,7 @@ def unique_taxon_keys(filtered: DataFrame) -> DataFrame:
     return filtered.select("taxon_key").distinct()
 
 
-def serving_occurrences(geospatial: DataFrame) -> DataFrame:
+def serving_occurrences(geospatial: DataFrame, carry=()) -> DataFrame:
     """The serving ``occurrences`` rows (EXP-7, EXP-8): INTEGER key that must
     fit, and every zero measure turned into NULL as the reference's loader
     does (``float(v) if v else None``)."""
@@ -76,5 +76,5 @@ def serving_occurrences(geospatial: DataFrame) -> DataFrame:
         narrow_to_int("taxon_key", "taxon_key").alias("taxon_key"),
         "coordinates",
         *[zero_as_null(m).alias(m) for m in MEASURES],
-        "date",
+        "date", *carry,
     )

@@ -25,6 +25,7 @@ from occurrence_lake.sinks.upsert import KeyedSnapshot
 from occurrence_lake.sources import fixtures
 from occurrence_lake.sources.parquet import read_raw_years
 from occurrence_lake.sources.tsv import read_occurrence_tsv, write_occurrence_tsv
+from occurrence_lake.streaming.ingest import ServingIngest
 
 # ---------------------------------------------------------------------------
 # Query parameters (fixed values of the test queries)
@@ -40,6 +41,7 @@ DUPLICATED_YEAR = 2020
 UPSERT_FIRST_LAST_YEAR = 2020   # initial snapshot: years <= this
 UPSERT_BATCH_FROM_YEAR = 2019   # batch: years >= this, depth set to 1
 UPSERT_RESEND_YEAR = 2022       # re-sent later in the same batch with NULL elevation
+STREAM_FIRST_DROP_LAST_YEAR = 2020
 
 
 def _assets(spark: SparkSession, sf_dir: str) -> LazyAssets:
@@ -198,6 +200,21 @@ def q_tsv_roundtrip(spark, sf_dir):
     return read_occurrence_tsv(spark, path).select(*_TSV_COLS)
 
 
+def q_streaming_species(spark, sf_dir):
+    """Extracts land in two drops; the stream keeps the serving snapshots
+    current; the species table must equal the batch-built one."""
+    raw = fixtures.raw_occurrences(spark, sf_dir)
+    base = scratch_path(spark, "streaming_species")
+    landing = f"{base}/landing"
+    ingest = ServingIngest(spark, landing, f"{base}/serving", checkpoint=f"{base}/checkpoint")
+    for i, drop in enumerate((F.col("year") <= STREAM_FIRST_DROP_LAST_YEAR, F.col("year") > STREAM_FIRST_DROP_LAST_YEAR)):
+        write_occurrence_tsv(raw.filter(drop), f"{landing}/drop-{i}")
+        ingest.run_available()
+    sp = ingest.species.read()
+    return _hex(sp.select(F.col("taxon_key").cast("long").alias("taxon_key"), "all_occurrence_coordinates",
+                          "n_points", "min_lon", "min_lat", "max_lon", "max_lat"), "all_occurrence_coordinates")
+
+
 def q_duplicate_keys(spark, sf_dir):
     raw = fixtures.raw_occurrences(spark, sf_dir)
     batch = raw.unionByName(raw.filter(F.col("year") == DUPLICATED_YEAR))
@@ -232,6 +249,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_occurrences": q_upsert_occurrences,
     "year_overwrite": q_year_overwrite,
     "tsv_roundtrip": q_tsv_roundtrip,
+    "streaming_species": q_streaming_species,
     "duplicate_keys": q_duplicate_keys,
     "vernacular_from_json": q_vernacular_from_json,
 }
@@ -401,6 +419,7 @@ _NAME_COLS = "vernacular_name_deu, vernacular_name_eng, vernacular_name_fra"
 
 ORACLE_SQL: dict[str, str] = {
     "species_multipoint": _with(_OCC, _FILTERED, _GEO, _SPECIES) + "SELECT * FROM species",
+    "streaming_species": _with(_OCC, _FILTERED, _GEO, _SPECIES) + "SELECT * FROM species",
     "filtered_occurrences": _with(_OCC, _FILTERED) + "SELECT * FROM filtered",
     "geospatial_occurrences": _with(_OCC, _FILTERED, _GEO)
         + f'SELECT gbif_id, taxon_key, coordinates, {_MEAS}, "date" FROM geo',

@@ -68,19 +68,29 @@ class KeyedSnapshot:
                        .text(f"{self.root}/_commits"))
         except AnalysisException:
             return None
-        row = markers.agg(F.max(F.col("value").cast("long")).alias("v")).first()
+        row = markers.agg(F.max(F.split("value", ",")[0].cast("long")).alias("v")).first()
         return None if row is None or row["v"] is None else int(row["v"])
 
+    def has_batch(self, batch_id: str) -> bool:
+        """Whether a batch with this id was already committed (replay guard
+        for at-least-once callers such as ``foreachBatch``)."""
+        try:
+            markers = (self.spark.read.option("recursiveFileLookup", "true")
+                       .text(f"{self.root}/_commits"))
+        except AnalysisException:
+            return False
+        return markers.filter(F.split("value", ",")[1] == F.lit(str(batch_id))).limit(1).count() > 0
+
     def read(self) -> DataFrame:
         v = self.version()
         if v is None:
             raise FileNotFoundError(f"no committed snapshot under {self.root}")
         return self.spark.read.parquet(self._data(v))
 
-    def _commit(self, df: DataFrame, version: int, sort_key: bool = True) -> DataFrame:
-        out = df.sortWithinPartitions(*self.key) if sort_key else df
-        out.write.mode("errorifexists").parquet(self._data(version))
-        (self.spark.createDataFrame([(str(version),)], "value string")
+    def _commit(self, df: DataFrame, version: int, batch_id: str | None = None) -> DataFrame:
+        df.sortWithinPartitions(*self.key).write.mode("errorifexists").parquet(self._data(version))
+        marker = f"{version},{'' if batch_id is None else batch_id}"
+        (self.spark.createDataFrame([(marker,)], "value string")
          .coalesce(1).write.mode("errorifexists").text(self._marker(version)))
         return self.spark.read.parquet(self._data(version))
 
@@ -89,17 +99,35 @@ class KeyedSnapshot:
         v = self.version()
         return self._commit(df, 1 if v is None else v + 1)
 
-    def upsert(self, batch: DataFrame, order_by=None, pick: str = "last", drop=()) -> DataFrame:
+    def upsert(self, batch: DataFrame, order_by=None, pick: str = "last", drop=(),
+               batch_id: str | None = None) -> DataFrame:
         """Apply one batch; returns the new snapshot read back from storage.
 
         ``order_by`` picks among rows of one key; columns in ``drop`` (e.g.
-        a batch sequence number) are used for that and not stored."""
+        a batch sequence number) are used for that and not stored.  With a
+        ``batch_id`` that was already committed, nothing is written."""
+        if batch_id is not None and self.has_batch(batch_id):
+            return self.read()
         reduced = dedupe_by_key(batch, self.key, order_by, pick)
         if drop:
             reduced = reduced.drop(*drop)
+        return self._merge(reduced, self.key, batch_id)
+
+    def replace_groups(self, rows: DataFrame, group_key, groups: DataFrame | None = None,
+                       batch_id: str | None = None) -> DataFrame:
+        """Drop every stored row of ``groups`` (default: the groups present in
+        ``rows``) and add ``rows``: e.g. all parts of the species a batch
+        touched, including species that have no row left."""
+        if batch_id is not None and self.has_batch(batch_id):
+            return self.read()
+        return self._merge(rows, _keys(group_key), batch_id, groups)
+
+    def _merge(self, rows: DataFrame, on: list[str], batch_id: str | None,
+               clear: DataFrame | None = None) -> DataFrame:
         v = self.version()
         if v is None:
-            return self._commit(reduced, 1)
+            return self._commit(rows, 1, batch_id)
         existing = self.spark.read.parquet(self._data(v))
-        reduced = reduced.select(*existing.columns)
-        return self._commit(merge_into(existing, reduced, self.key), v + 1)
+        rows = rows.select(*existing.columns)
+        keep = existing.join((clear if clear is not None else rows).select(*on), on=on, how="left_anti")
+        return self._commit(keep.unionByName(rows), v + 1, batch_id)
