@@ -65,51 +65,58 @@ def _explode_cells(df: DataFrame, level_col: str) -> DataFrame:
 
 
 def layer_tiles(species: DataFrame, tiles: DataFrame, key_cols=("taxon_key", "part"),
-                max_level: int = MAX_LEVEL) -> DataFrame:
+                zooms=None, max_level: int = MAX_LEVEL) -> DataFrame:
     """JOIN-4: every (tile, species row) whose envelope overlaps the tile.
 
     ``tiles`` holds ``(z, x, y)`` in the geographic quad grid.  Each envelope
     is placed at its own level, the finest whose cell is at least as large
     as the envelope, where it touches at most 3 x 3 cells.
 
-    * envelope level <= tile zoom: the tile's ancestor cell at the envelope's
-      level must be one of the envelope's cells;
-    * envelope level  > tile zoom: the tile must be one of the cells the
-      envelope touches at the tile's zoom (again at most 3 x 3).
-
-    Both are equality matches on (kind, level, cx, cy); the exact overlap
-    test then removes the near misses.  Each pair is found once.  The zoom
-    levels present in ``tiles`` are read first (at most 31 values).
+    * kind A, envelope level <= tile zoom: the tile's ancestor cell at the
+      envelope's level must be one of the envelope's cells;
+    * kind B, envelope level  > tile zoom: the tile must be one of the cells
+      the envelope touches at the tile's zoom (again at most 3 x 3).
+
+    Both are equality matches on (kind, level, cx, cy), one hash join with no
+    nested loop; the exact overlap test then removes the near misses, and
+    each pair is found once.  Rows per envelope are bounded by 9 x (1 +
+    number of zoom levels), rows per tile by its zoom + 2.  ``zooms`` lists
+    the zoom levels present in ``tiles``; when omitted they are read from it
+    (at most 31 values).
     """
-    zooms = sorted(int(r[0]) for r in tiles.select("z").distinct().collect())
+    if zooms is None:
+        zooms = [int(r[0]) for r in tiles.select("z").distinct().collect()]
+    zooms = sorted({int(z) for z in zooms})
     if any(z < 0 or z > max_level for z in zooms):
         raise ValueError(f"tile zoom outside 0..{max_level}: {zooms}")
-    env = species.filter(F.col("min_lon").isNotNull()).select(
-        *key_cols, "min_lon", "min_lat", "max_lon", "max_lat")
     width = F.greatest(F.col("max_lon") - F.col("min_lon"), F.col("max_lat") - F.col("min_lat"))
-    level = F.when(width <= 0.0, F.lit(max_level)).otherwise(
-        F.least(F.greatest(F.floor(F.log2(F.lit(180.0) / width)), F.lit(0)), F.lit(max_level)))
-    env = env.withColumn("env_level", level.cast("int"))
-
-    # envelope side
-    own = env.withColumn("kind", F.lit("A")).withColumn("level", F.col("env_level"))
-    coarse = (env.withColumn("level", F.explode(F.array(*[F.lit(z) for z in zooms]) if zooms
-                                                 else F.array().cast("array<int>")))
-                 .filter(F.col("level") < F.col("env_level"))
-                 .withColumn("kind", F.lit("B")))
-    env_cells = _explode_cells(own.unionByName(coarse), "level")
-
-    # tile side: ancestors at every level up to the tile's zoom (kind A) and
-    # the tile itself (kind B)
+    own_level = F.when(width <= 0.0, F.lit(max_level)).otherwise(
+        F.least(F.greatest(F.floor(F.log2(F.lit(180.0) / width)), F.lit(0)), F.lit(max_level))).cast("int")
+
+    # envelope side: its own level (kind A) and every tile zoom coarser than
+    # that level (kind B), from one pass over the species rows
+    choices = [F.struct(F.lit("A").alias("kind"), F.lit(-1).alias("level"))] + [
+        F.struct(F.lit("B").alias("kind"), F.lit(z).alias("level")) for z in zooms]
+    env = (species.filter(F.col("min_lon").isNotNull())
+           .select(*key_cols, "min_lon", "min_lat", "max_lon", "max_lat", own_level.alias("env_level"))
+           .withColumn("c", F.explode(F.array(*choices)))
+           .filter((F.col("c.kind") == "A") | (F.col("c.level") < F.col("env_level")))
+           .withColumn("kind", F.col("c.kind"))
+           .withColumn("level", F.when(F.col("c.kind") == "A", F.col("env_level")).otherwise(F.col("c.level")))
+           .drop("c"))
+    env_cells = _explode_cells(env, "level")
+
+    # tile side: ancestors at levels 0..z (kind A) and the tile itself (kind
+    # B, as level z + 1 before relabelling), one pass over the tiles
     t = tiles.select(F.col("z").cast("int").alias("z"), F.col("x").cast("long").alias("x"),
                      F.col("y").cast("long").alias("y"))
-    anc = (t.withColumn("level", F.explode(F.sequence(F.lit(0), F.col("z"))))
-             .withColumn("kind", F.lit("A"))
-             .withColumn("cx", F.expr("shiftright(x, z - level)"))
-             .withColumn("cy", F.expr("shiftright(y, z - level)")))
-    own_tile = t.select("z", "x", "y", F.col("z").alias("level"), F.lit("B").alias("kind"),
-                        F.col("x").alias("cx"), F.col("y").alias("cy"))
-    tile_cells = anc.unionByName(own_tile)
+    t = t.withColumn("lv", F.explode(F.sequence(F.lit(0), F.col("z") + 1)))
+    is_self = F.col("lv") == F.col("z") + 1
+    tile_cells = (t.withColumn("kind", F.when(is_self, F.lit("B")).otherwise(F.lit("A")))
+                   .withColumn("level", F.when(is_self, F.col("z")).otherwise(F.col("lv")))
+                   .withColumn("cx", F.expr("shiftright(x, z - least(lv, z))"))
+                   .withColumn("cy", F.expr("shiftright(y, z - least(lv, z))"))
+                   .drop("lv"))
 
     joined = tile_cells.join(env_cells, on=["kind", "level", "cx", "cy"], how="inner")
     bounds = tile_bounds(F.col("z"), F.col("x"), F.col("y"))

@@ -145,7 +145,8 @@ def occupied_tiles(points: DataFrame, zooms=TILE_ZOOMS) -> DataFrame:
 def q_layer_tiles(spark, sf_dir):
     a = _assets(spark, sf_dir)
     tiles = occupied_tiles(a["filtered_occurrences"])
-    return layer.layer_tiles(a["species_all_occurrence"], tiles).select("z", "x", "y", "taxon_key")
+    return (layer.layer_tiles(a["species_all_occurrence"], tiles, zooms=TILE_ZOOMS)
+            .select("z", "x", "y", "taxon_key"))
 
 
 # ---------------------------------------------------------------------------

@@ -54,6 +54,22 @@ class KeyedSnapshot:
 
     def __init__(self, spark: SparkSession, root: str, key):
         self.spark, self.root, self.key = spark, root.rstrip("/"), _keys(key)
+        self._commits: dict[int, str] | None = None   # version -> batch id, read once
+
+    def _load_commits(self) -> dict[int, str]:
+        """Committed versions and their batch ids (one small read, then kept:
+        a snapshot has one writer, this object)."""
+        if self._commits is None:
+            try:
+                rows = (self.spark.read.option("recursiveFileLookup", "true")
+                        .text(f"{self.root}/_commits").collect())
+            except AnalysisException:
+                rows = []
+            self._commits = {}
+            for r in rows:
+                v, _, b = r["value"].partition(",")
+                self._commits[int(v)] = b
+        return self._commits
 
     def _data(self, version: int) -> str:
         return f"{self.root}/v{version:06d}"
@@ -62,24 +78,14 @@ class KeyedSnapshot:
         return f"{self.root}/_commits/v{version:06d}"
 
     def version(self) -> int | None:
-        """Highest committed version (one tiny read of the commit markers)."""
-        try:
-            markers = (self.spark.read.option("recursiveFileLookup", "true")
-                       .text(f"{self.root}/_commits"))
-        except AnalysisException:
-            return None
-        row = markers.agg(F.max(F.split("value", ",")[0].cast("long")).alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
+        """Highest committed version."""
+        commits = self._load_commits()
+        return max(commits) if commits else None
 
     def has_batch(self, batch_id: str) -> bool:
         """Whether a batch with this id was already committed (replay guard
         for at-least-once callers such as ``foreachBatch``)."""
-        try:
-            markers = (self.spark.read.option("recursiveFileLookup", "true")
-                       .text(f"{self.root}/_commits"))
-        except AnalysisException:
-            return False
-        return markers.filter(F.split("value", ",")[1] == F.lit(str(batch_id))).limit(1).count() > 0
+        return str(batch_id) in self._load_commits().values()
 
     def read(self) -> DataFrame:
         v = self.version()
@@ -92,6 +98,7 @@ class KeyedSnapshot:
         marker = f"{version},{'' if batch_id is None else batch_id}"
         (self.spark.createDataFrame([(marker,)], "value string")
          .coalesce(1).write.mode("errorifexists").text(self._marker(version)))
+        self._load_commits()[version] = "" if batch_id is None else str(batch_id)
         return self.spark.read.parquet(self._data(version))
 
     def replace(self, df: DataFrame) -> DataFrame:
