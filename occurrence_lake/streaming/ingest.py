@@ -35,7 +35,7 @@ def extract_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
               .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.csv(landing_dir).withColumn("_file", F.input_file_name())
+    return reader.csv(landing_dir).withColumn("_file", F.col("_metadata.file_path"))
 
 
 class ServingIngest:
