@@ -11,18 +11,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
+def _keys(key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def duplicate_keys(df: DataFrame, key) -> DataFrame:
     """Keys seen more than once, with their count (NULL keys are one group)."""
-    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return (df.groupBy(*_keys(key)).agg(F.count(F.lit(1)).alias("n"))
             .filter(F.col("n") > 1))
 
 
-def key_violations(df: DataFrame, key: str) -> DataFrame:
-    """One row: number of NULL keys and of duplicated non-NULL keys."""
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+def key_violations(df: DataFrame, key) -> DataFrame:
+    """One row: number of rows with a NULL key part and of duplicated keys."""
+    keys = _keys(key)
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
     return per_key.agg(
-        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
-        F.count_if(F.col(key).isNotNull() & (F.col("n") > 1)).alias("duplicated_keys"),
+        F.coalesce(F.sum(F.when(any_null, F.col("n"))), F.lit(0)).alias("null_keys"),
+        F.count_if(~any_null & (F.col("n") > 1)).alias("duplicated_keys"),
     )
 
 
@@ -30,7 +38,7 @@ class KeyViolation(ValueError):
     pass
 
 
-def assert_primary_key(df: DataFrame, key: str) -> None:
+def assert_primary_key(df: DataFrame, key) -> None:
     """Abort as a PRIMARY KEY would: raise if any key is NULL or repeated."""
     row = key_violations(df, key).first()
     if row["null_keys"] or row["duplicated_keys"]:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from occurrence_lake.functions.scalars import narrow_to_int
 from occurrence_lake.functions.wkb import with_point_wkb
 from occurrence_lake.operators import multipoint, names, refine
+from occurrence_lake.operators.constraints import assert_primary_key
 from occurrence_lake.operators.metrics import preview
 from occurrence_lake.schema import RAW_SCHEMA
 from occurrence_lake.sinks.parquet import write_table, write_years
@@ -110,9 +111,16 @@ class RunReport:
     previews: dict[str, list] = field(default_factory=dict)
 
 
-def ingest_extracts(spark: SparkSession, tsv_paths, raw_root: str) -> int:
-    """Yearly extracts (TSV) -> raw Parquet partitioned by year (SRC-1, SNK-2)."""
-    return write_years(read_occurrence_tsv(spark, tsv_paths), raw_root, "partitioned_raw_occurrences")
+def ingest_extracts(spark: SparkSession, tsv_paths, raw_root: str, check_keys: bool = True) -> int:
+    """Yearly extracts (TSV) -> raw Parquet partitioned by year (SRC-1, SNK-2).
+
+    With ``check_keys`` a NULL or repeated ``gbif_id`` within a year aborts
+    the load before anything is written (CON-1, the yearly table's primary
+    key); the check is one aggregation pass, combinable on the map side."""
+    raw = read_occurrence_tsv(spark, tsv_paths)
+    if check_keys:
+        assert_primary_key(raw, ["year", "gbif_id"])
+    return write_years(raw, raw_root, "partitioned_raw_occurrences")
 
 
 def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: str,

@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from occurrence_lake.config import scratch_path
 from occurrence_lake.functions.geo import Box, parse_wkt_polygon, polygon_edges, tile_x, tile_y
 from occurrence_lake.functions.wkb import multipoint_points, with_point_xy
-from occurrence_lake.operators import constraints, layer, metrics, multipoint, names, refine
+from occurrence_lake.operators import constraints, layer, metrics, names, refine
 from occurrence_lake.plans.assets import LazyAssets
-from occurrence_lake.schema import MEASURES, RAW_SCHEMA
+from occurrence_lake.schema import MEASURES
 from occurrence_lake.sinks.parquet import write_years
 from occurrence_lake.sinks.upsert import KeyedSnapshot
 from occurrence_lake.sources import fixtures

@@ -1,8 +1,6 @@
 """Every registered query against its DuckDB twin (small scale), and the
 driver entry point."""
 
-import pytest
-
 from __spark_entry__ import entry, oracle_sql, queries
 from oracle_compare import compare
 

@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from occurrence_lake.functions.scalars import make_date_strict, narrow_to_int, zero_as_null
 

@@ -105,3 +105,14 @@ def test_dedupe_pick_first(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k long, name string")
     got = {r.k: r.name for r in dedupe_by_key(df, "k", ["name"], pick="first").collect()}
     assert got == {1: "a", 2: "c"}
+
+
+def test_ingest_rejects_duplicate_ids_within_a_year(spark, workdir):
+    from occurrence_lake.plans.assets import ingest_extracts
+    p = f"{workdir}/dup/extract.csv"
+    _tsv(p, [_line(gbif_id="1", year="2020"), _line(gbif_id="1", year="2020"), _line(gbif_id="1", year="2021")])
+    with pytest.raises(KeyViolation):
+        ingest_extracts(spark, p, f"{workdir}/raw")
+    ok = f"{workdir}/ok/extract.csv"
+    _tsv(ok, [_line(gbif_id="1", year="2020"), _line(gbif_id="1", year="2021")])
+    assert ingest_extracts(spark, ok, f"{workdir}/raw2") == 2
