@@ -27,6 +27,11 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # HotSpot does not JIT-compile a method above 8000 bytecodes; a fused
+    # stage larger than that (the WKB encoding is one) would run interpreted.
+    # Above this size Spark keeps per-expression codegen instead (measured:
+    # 0.36 s instead of 0.93 s for the point encoding at sf0.1).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

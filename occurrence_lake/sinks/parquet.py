@@ -24,23 +24,18 @@ def write_table(df: DataFrame, path: str, name: str | None = None, sort_within:
     return int(obs.get.get("row_count", 0))
 
 
-# Writer tasks per year: a year (which may hold a third of all rows) is
-# spread over this many hash buckets of the occurrence id, so no single task
-# writes a whole year; raise it with the data size (~1 GB per file).
-FILES_PER_YEAR = 64
-
-
-def write_years(df: DataFrame, path: str, name: str | None = None,
-                files_per_year: int = FILES_PER_YEAR, id_col: str = "gbif_id") -> int:
+def write_years(df: DataFrame, path: str, name: str | None = None) -> int:
     """SNK-2: replace only the ``year`` partitions present in ``df``.
 
-    Dynamic partition overwrite is a write option, so the session's setting
-    is left alone.  A year written again replaces that year (the reference
-    adds a second file when the download key differs; see README).
+    Rows are clustered by year with a ``rebalance`` hint: AQE then splits a
+    year that holds a large share of the rows into advisory-size chunks
+    (many writer tasks, files of ~``advisoryPartitionSizeInBytes``) and
+    merges small years, so no single task writes a whole year.  Dynamic
+    partition overwrite is a write option, so the session's setting is left
+    alone.  A year written again replaces that year (the reference adds a
+    second file when the download key differs; see README).
     """
-    bucket = F.pmod(F.xxhash64(F.col(id_col)), F.lit(files_per_year))
-    spread = df.repartition(F.col("year"), bucket)
-    out, obs = observed(spread, name or "write_years")
+    out, obs = observed(df.hint("rebalance", "year"), name or "write_years")
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year")

@@ -116,3 +116,21 @@ def test_ingest_rejects_duplicate_ids_within_a_year(spark, workdir):
     ok = f"{workdir}/ok/extract.csv"
     _tsv(ok, [_line(gbif_id="1", year="2020"), _line(gbif_id="1", year="2021")])
     assert ingest_extracts(spark, ok, f"{workdir}/raw2") == 2
+
+
+def test_year_writes_split_a_dominant_year(spark, workdir):
+    """A year holding 90% of the rows is written by several tasks (AQE
+    rebalance splits it along map outputs); a small year stays one file."""
+    import glob
+    prev = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        df = spark.range(0, 200000, 1, 16).select(
+            F.col("id").cast("string").alias("gbif_id"),
+            F.when(F.col("id") % 10 != 0, F.lit(2020)).otherwise(F.lit(2015) + F.col("id") % 11).alias("year"),
+            F.rand(1).alias("v"))
+        assert write_years(df, f"{workdir}/skew") == 200000
+        assert len(glob.glob(f"{workdir}/skew/year=2020/*.parquet")) > 4
+        assert len(glob.glob(f"{workdir}/skew/year=2016/*.parquet")) == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
