@@ -22,6 +22,10 @@ SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The size check behind every broadcast: a derived table is broadcast
+    # only when its measured size (AQE) or estimate is below this.
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
@@ -39,7 +43,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "occurrence_lake", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings above.
 
-    The Spark UI stays off: this library never opens a port of its own.
+    ``shuffle_partitions`` is an upper bound that AQE coalesces down to
+    ~128 MB partitions; on a cluster set it near the largest shuffle's
+    size / 128 MB (e.g. 8000 for a 1 TB shuffle).  The Spark UI stays off:
+    this library never opens a port of its own.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
