@@ -147,16 +147,17 @@ def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: s
 
     if serving_root:
         root = serving_root.rstrip("/")
-        serving = {
-            "species_all_occurrence": (KeyedSnapshot(spark, f"{root}/species_all_occurrence", ["taxon_key", "part"]),
-                                       species.withColumn("taxon_key", narrow_to_int("taxon_key")), None, "last"),
-            "species_names": (KeyedSnapshot(spark, f"{root}/species_names", "taxon_key"),
-                              names.species_names(scientific, vernacular), ["scientific_name"], "first"),
-            "occurrences": (KeyedSnapshot(spark, f"{root}/occurrences", "gbif_id"),
-                            refine.serving_occurrences(geospatial), None, "last"),
-        }
-        for name, (snap, df, order, pick) in serving.items():
-            table = snap.upsert(df, order_by=order, pick=pick)
+        # A species' MultiPoint parts are replaced together (a species that
+        # now needs fewer parts leaves none behind); species absent from
+        # this run keep their rows, as an ON CONFLICT upsert keeps them.
+        species_snap = KeyedSnapshot(spark, f"{root}/species_all_occurrence", ["taxon_key", "part"])
+        tables = {"species_all_occurrence": species_snap.replace_groups(
+            species.withColumn("taxon_key", narrow_to_int("taxon_key")), "taxon_key")}
+        tables["species_names"] = KeyedSnapshot(spark, f"{root}/species_names", "taxon_key").upsert(
+            names.species_names(scientific, vernacular), order_by=["scientific_name"], pick="first")
+        tables["occurrences"] = KeyedSnapshot(spark, f"{root}/occurrences", "gbif_id").upsert(
+            refine.serving_occurrences(geospatial))
+        for name, table in tables.items():
             report.row_counts[name] = table.count()
             report.previews[name] = [r.asDict() for r in preview(table).collect()]
     return report
