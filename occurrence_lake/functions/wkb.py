@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from occurrence_lake.functions.sqltext import dbl as _d
 from occurrence_lake.functions.sqltext import ref as _ref
+from occurrence_lake.schema import SRID
 
 # Fixed values of the WKB format.
 POINT_HEADER_HEX = "0101000000"       # little endian, type 1 (Point)
@@ -245,3 +246,23 @@ def multipoint_points(wkb: str) -> Column:
     return F.expr(f"CASE WHEN {n} > 0 THEN transform(sequence(0L, {n} - 1L), "
                   f"i -> substr({w}, {MULTIPOINT_HEADER_BYTES + 1} + i * {POINT_BYTES}, {POINT_BYTES})) "
                   f"ELSE CAST(array() AS ARRAY<BINARY>) END")
+
+
+# ---------------------------------------------------------------------------
+# Typed geometry columns: the serving tables' geometry(Point|MultiPoint, SRID)
+# ---------------------------------------------------------------------------
+def typed_geometry(column: str, geometry_type: str, srid: int = SRID) -> Column:
+    """The WKB column with its geometry type and SRID as field metadata
+    (kept in the Parquet schema; WKB itself carries no SRID)."""
+    return F.col(column).alias(column, metadata={"encoding": "WKB", "geometry_type": geometry_type,
+                                                 "srid": srid})
+
+
+def require_valid(df: DataFrame, column: str, geometry_type: str) -> DataFrame:
+    """Abort on a non-NULL value that is not well-formed WKB of the given
+    type (byte order flag, type code, length), as loading it into a typed
+    geometry column would."""
+    check = {"Point": point_is_valid, "MultiPoint": multipoint_is_valid}[geometry_type](column)
+    ok = F.col(column).isNull() | check
+    return df.withColumn(column, F.when(ok, F.col(column)).otherwise(
+        F.raise_error(F.lit(f"{column}: not a valid WKB {geometry_type}"))))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from occurrence_lake.functions.wkb import collect_points_sql, multipoint_wkb, with_point_xy
+from occurrence_lake.schema import SRID
 
 # 4M points = 84 MB of WKB per value: far below Spark's 2 GB value limit and
 # small enough to sort inside one task.
@@ -63,5 +64,6 @@ def species_all_occurrence(points: DataFrame, key: str = "taxon_key", geom: str
         F.min("_x").alias("min_lon"), F.min("_y").alias("min_lat"),
         F.max("_x").alias("max_lon"), F.max("_y").alias("max_lat"),
     )
-    return agg.select(key, "part", "n_points", multipoint_wkb("n_points", "_body").alias(out),
+    meta = {"encoding": "WKB", "geometry_type": "MultiPoint", "srid": SRID}
+    return agg.select(key, "part", "n_points", multipoint_wkb("n_points", "_body").alias(out, metadata=meta),
                       "min_lon", "min_lat", "max_lon", "max_lat")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from occurrence_lake.functions.geo import inside_geometry
 from occurrence_lake.functions.scalars import make_date_strict, narrow_to_int, zero_as_null
-from occurrence_lake.functions.wkb import with_point_wkb
+from occurrence_lake.functions.wkb import typed_geometry, with_point_wkb
 from occurrence_lake.schema import MEASURES
 
 # ---------------------------------------------------------------------------
@@ -74,7 +74,7 @@ def serving_occurrences(geospatial: DataFrame, carry=()) -> DataFrame:
     return geospatial.select(
         "gbif_id",
         narrow_to_int("taxon_key", "taxon_key").alias("taxon_key"),
-        "coordinates",
+        typed_geometry("coordinates", "Point"),
         *[zero_as_null(m).alias(m) for m in MEASURES],
         "date", *carry,
     )

@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from occurrence_lake.functions.scalars import narrow_to_int
-from occurrence_lake.functions.wkb import with_point_wkb
+from occurrence_lake.functions.wkb import require_valid, with_point_wkb
 from occurrence_lake.operators import multipoint, names, refine
 from occurrence_lake.operators.constraints import assert_primary_key
 from occurrence_lake.operators.metrics import preview
@@ -30,26 +30,8 @@ def build_assets(raw: DataFrame, name_records: DataFrame, name_order=("seq",),
                  max_points_per_part: int = multipoint.MAX_POINTS_PER_PART) -> dict[str, DataFrame]:
     """Every table of the pipeline, derived lazily from the raw occurrences
     and the vernacular-name records."""
-    filtered = refine.filtered_occurrences(raw)
-    geospatial = refine.geospatial_occurrences(filtered)
-    keys = refine.unique_taxon_keys(filtered)
-    vernacular = names.vernacular_names(keys, name_records, name_order)
-    scientific = names.scientific_names(keys, raw)
-    species = multipoint.species_all_occurrence(
-        with_point_wkb(filtered.select("gbif_id", "taxon_key", "decimal_longitude", "decimal_latitude"),
-                       "decimal_longitude", "decimal_latitude", "coordinates"),
-        lon="decimal_longitude", lat="decimal_latitude", max_points_per_part=max_points_per_part)
-    return {
-        "raw_occurrences": raw,
-        "filtered_occurrences": filtered,
-        "geospatial_occurrences": geospatial,
-        "unique_taxon_keys": keys,
-        "vernacular_names": vernacular,
-        "scientific_names": scientific,
-        "species_all_occurrence": species,
-        "species_names": names.species_names(scientific, vernacular),
-        "occurrences": refine.serving_occurrences(geospatial),
-    }
+    assets = LazyAssets(lambda: raw, lambda: name_records, name_order, max_points_per_part)
+    return dict(assets.items())
 
 
 class LazyAssets:
@@ -151,12 +133,14 @@ def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: s
         # now needs fewer parts leaves none behind); species absent from
         # this run keep their rows, as an ON CONFLICT upsert keeps them.
         species_snap = KeyedSnapshot(spark, f"{root}/species_all_occurrence", ["taxon_key", "part"])
-        tables = {"species_all_occurrence": species_snap.replace_groups(
-            species.withColumn("taxon_key", narrow_to_int("taxon_key")), "taxon_key")}
+        # WKB read back from storage is checked as a typed geometry column would
+        species_rows = require_valid(species.withColumn("taxon_key", narrow_to_int("taxon_key")),
+                                     "all_occurrence_coordinates", "MultiPoint")
+        tables = {"species_all_occurrence": species_snap.replace_groups(species_rows, "taxon_key")}
         tables["species_names"] = KeyedSnapshot(spark, f"{root}/species_names", "taxon_key").upsert(
             names.species_names(scientific, vernacular), order_by=["scientific_name"], pick="first")
         tables["occurrences"] = KeyedSnapshot(spark, f"{root}/occurrences", "gbif_id").upsert(
-            refine.serving_occurrences(geospatial))
+            require_valid(refine.serving_occurrences(geospatial), "coordinates", "Point"))
         for name, table in tables.items():
             report.row_counts[name] = table.count()
             report.previews[name] = [r.asDict() for r in preview(table).collect()]

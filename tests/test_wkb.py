@@ -88,3 +88,16 @@ def test_point_validity(spark):
                                 (bytes.fromhex("0101"),),
                                 (bytes.fromhex("010400000000000000"),)], "w binary")
     assert [r.ok for r in df.select(W.point_is_valid("w").alias("ok")).collect()] == [True, False, False]
+
+
+def test_require_valid_and_typed_metadata(spark):
+    import pytest
+    good = spark.createDataFrame([(bytes.fromhex("01010000000000000000001A400000000000A04640"),), (None,)], "w binary")
+    assert W.require_valid(good, "w", "Point").count() == 2
+    bad = spark.createDataFrame([(bytes.fromhex("0101000000"),)], "w binary")
+    with pytest.raises(Exception):
+        W.require_valid(bad, "w", "Point").collect()
+    mp = spark.createDataFrame([(bytes.fromhex("010400000000000000"),)], "w binary")
+    assert W.require_valid(mp, "w", "MultiPoint").count() == 1
+    typed = good.select(W.typed_geometry("w", "Point"))
+    assert typed.schema["w"].metadata == {"encoding": "WKB", "geometry_type": "Point", "srid": 4326}
