@@ -77,13 +77,11 @@ def raw_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vernacular_records_from_documents(documents: DataFrame) -> DataFrame:
     """F3 ``vn``: (taxon_key, seq, language, name)."""
-    d = F.col("doc_id")
-    return documents.select(
-        _mod(d, 160).alias("taxon_key"),
-        d.alias("seq"),
-        (F.when(F.col("lang") == "de", "deu").when(F.col("lang") == "en", "eng")
-         .when(F.col("lang") == "fr", "fra").otherwise("spa")).alias("language"),
-        F.when(_mod(d, 6) == 0, F.lit(None)).otherwise(F.col("source")).alias("name"),
+    return documents.selectExpr(
+        "doc_id % 160 AS taxon_key",
+        "doc_id AS seq",
+        "CASE lang WHEN 'de' THEN 'deu' WHEN 'en' THEN 'eng' WHEN 'fr' THEN 'fra' ELSE 'spa' END AS language",
+        "CASE WHEN doc_id % 6 = 0 THEN NULL ELSE source END AS name",
     )
 
 
