@@ -32,3 +32,18 @@ def test_narrow_to_int(spark):
             df.select(narrow_to_int("k", "taxon_key")).collect()
         if bad[0][0] is not None:
             assert "CAST_OVERFLOW" in str(e.value)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strictness_does_not_depend_on_ansi(spark, ansi):
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        bad_date = spark.createDataFrame([(2020, 2, 30)], "y long, m long, d long")
+        with pytest.raises(Exception):
+            bad_date.select(make_date_strict("y", "m", "d")).collect()
+        big = spark.createDataFrame([(3000000000,)], "k long")
+        with pytest.raises(Exception):
+            big.select(narrow_to_int("k")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)
