@@ -21,7 +21,7 @@ from occurrence_lake.operators.constraints import assert_primary_key
 from occurrence_lake.operators.metrics import preview
 from occurrence_lake.schema import RAW_SCHEMA
 from occurrence_lake.sinks.parquet import write_table, write_years
-from occurrence_lake.sinks.upsert import KeyedSnapshot
+from occurrence_lake.sinks.upsert import SERVING_BUCKETS, KeyedSnapshot
 from occurrence_lake.sources.parquet import read_raw_years
 from occurrence_lake.sources.tsv import read_occurrence_tsv
 
@@ -139,7 +139,8 @@ def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: s
         tables = {"species_all_occurrence": species_snap.replace_groups(species_rows, "taxon_key")}
         tables["species_names"] = KeyedSnapshot(spark, f"{root}/species_names", "taxon_key").upsert(
             names.species_names(scientific, vernacular), order_by=["scientific_name"], pick="first")
-        tables["occurrences"] = KeyedSnapshot(spark, f"{root}/occurrences", "gbif_id").upsert(
+        tables["occurrences"] = KeyedSnapshot(spark, f"{root}/occurrences", "gbif_id",
+                                              buckets=SERVING_BUCKETS).upsert(
             require_valid(refine.serving_occurrences(geospatial), "coordinates", "Point"))
         for name, table in tables.items():
             report.row_counts[name] = table.count()

@@ -21,7 +21,7 @@ from occurrence_lake.operators import constraints, layer, metrics, names, refine
 from occurrence_lake.plans.assets import LazyAssets
 from occurrence_lake.schema import MEASURES
 from occurrence_lake.sinks.parquet import write_years
-from occurrence_lake.sinks.upsert import KeyedSnapshot
+from occurrence_lake.sinks.upsert import SERVING_BUCKETS, KeyedSnapshot
 from occurrence_lake.sources import fixtures
 from occurrence_lake.sources.parquet import read_raw_years
 from occurrence_lake.sources.tsv import read_occurrence_tsv, write_occurrence_tsv
@@ -173,7 +173,7 @@ def q_multipoint_roundtrip(spark, sf_dir):
 def q_upsert_occurrences(spark, sf_dir):
     serving = _assets(spark, sf_dir)["occurrences"]
     year = F.year("date")
-    snap = KeyedSnapshot(spark, scratch_path(spark, "upsert_occurrences"), "gbif_id")
+    snap = KeyedSnapshot(spark, scratch_path(spark, "upsert_occurrences"), "gbif_id", buckets=SERVING_BUCKETS)
     snap.replace(serving.filter(year <= UPSERT_FIRST_LAST_YEAR))
     changed = (serving.filter(year >= UPSERT_BATCH_FROM_YEAR)
                .withColumn("depth", F.lit(1.0)).withColumn("seq", F.lit(1)))

@@ -13,15 +13,30 @@ Spark cannot overwrite a path it is reading, so every upsert writes a new
 version directory and then commits it by writing a small marker dataset;
 readers take the highest committed version.  A job that dies mid-write
 leaves an uncommitted directory that nobody reads.
+
+With ``buckets`` every version is written bucketed and sorted by the key
+(an external table over the version directory).  An upsert is then a full
+outer join of the bucketed snapshot with the batch, which Spark plans with
+an exchange on the batch side only: the snapshot is read bucket by bucket
+and never shuffled, and each writer task writes its own bucket again.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
+# Buckets of the large keyed serving table (occurrences by gbif_id).  With
+# "auto" the count is fixed when the first version is written, to the
+# session's spark.sql.shuffle.partitions (sized to the data on a cluster),
+# and every later version of that snapshot keeps it.
+SERVING_BUCKETS = "auto"
+
+
 def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
@@ -49,16 +64,34 @@ def merge_into(existing: DataFrame, batch: DataFrame, key) -> DataFrame:
     return keep.unionByName(batch.select(*existing.columns))
 
 
+def merge_by_presence(existing: DataFrame, batch: DataFrame, key) -> DataFrame:
+    """The same rows as ``merge_into``, as one full outer join: a key found
+    in ``batch`` takes the batch row whole (NULLs included), any other key
+    keeps the stored row.  The join keeps the partitioning of a bucketed
+    ``existing``, so only ``batch`` is shuffled."""
+    keys = _keys(key)
+    e = existing.alias("_e")
+    b = batch.select(*existing.columns, F.lit(True).alias("_in_batch")).alias("_b")
+    cond = [F.col(f"_e.`{k}`") == F.col(f"_b.`{k}`") for k in keys]
+    present = F.col("_b._in_batch").isNotNull()
+    return e.join(b, on=cond, how="full_outer").select(*[
+        F.when(present, F.col(f"_b.`{c}`")).otherwise(F.col(f"_e.`{c}`")).alias(c) for c in existing.columns])
+
+
 class KeyedSnapshot:
-    """A keyed table stored as versioned Parquet directories under ``root``."""
+    """A keyed table stored as versioned Parquet directories under ``root``,
+    optionally bucketed by the key into ``buckets`` files per version."""
 
-    def __init__(self, spark: SparkSession, root: str, key):
+    def __init__(self, spark: SparkSession, root: str, key, buckets: int | str | None = None):
         self.spark, self.root, self.key = spark, root.rstrip("/"), _keys(key)
-        self._commits: dict[int, str] | None = None   # version -> batch id, read once
-
-    def _load_commits(self) -> dict[int, str]:
-        """Committed versions and their batch ids (one small read, then kept:
-        a snapshot has one writer, this object)."""
+        self._requested_buckets = buckets
+        # version -> (bucket count or 0, batch id); read once
+        self._commits: dict[int, tuple[int, str]] | None = None
+
+    def _load_commits(self) -> dict[int, tuple[int, str]]:
+        """Committed versions with their bucket count and batch id (one small
+        read, then kept: a snapshot has one writer, this object).  A marker
+        is ``version,buckets,batch_id``."""
         if self._commits is None:
             try:
                 rows = (self.spark.read.option("recursiveFileLookup", "true")
@@ -67,10 +100,22 @@ class KeyedSnapshot:
                 rows = []
             self._commits = {}
             for r in rows:
-                v, _, b = r["value"].partition(",")
-                self._commits[int(v)] = b
+                v, n, b = r["value"].split(",", 2)
+                self._commits[int(v)] = (int(n), b)
         return self._commits
 
+    @property
+    def buckets(self) -> int:
+        """Bucket count of this snapshot (0: not bucketed).  Taken from the
+        committed versions when there are any, else chosen now."""
+        commits = self._load_commits()
+        if commits:
+            return commits[max(commits)][0]
+        want = self._requested_buckets
+        if want == "auto":
+            return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return int(want or 0)
+
     def _data(self, version: int) -> str:
         return f"{self.root}/v{version:06d}"
 
@@ -85,21 +130,45 @@ class KeyedSnapshot:
     def has_batch(self, batch_id: str) -> bool:
         """Whether a batch with this id was already committed (replay guard
         for at-least-once callers such as ``foreachBatch``)."""
-        return str(batch_id) in self._load_commits().values()
+        return any(b == str(batch_id) for _, b in self._load_commits().values())
 
     def read(self) -> DataFrame:
         v = self.version()
         if v is None:
             raise FileNotFoundError(f"no committed snapshot under {self.root}")
-        return self.spark.read.parquet(self._data(v))
+        return self._read_version(v)
+
+    def _table(self, version: int) -> str:
+        """Session-catalog name of a bucketed version (external table)."""
+        return f"occlake_{hashlib.sha1(self.root.encode()).hexdigest()[:12]}_v{version:06d}"
+
+    def _read_version(self, version: int) -> DataFrame:
+        path = self._data(version)
+        buckets = self._load_commits()[version][0]
+        if not buckets:
+            return self.spark.read.parquet(path)
+        name = self._table(version)
+        if not self.spark.catalog.tableExists(name):
+            # a new session: declare the bucketed files again from their path
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                             for f in self.spark.read.parquet(path).schema.fields)
+            keys = ", ".join(f"`{k}`" for k in self.key)
+            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({keys}) "
+                           f"SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{path}'")
+        return self.spark.table(name)
 
     def _commit(self, df: DataFrame, version: int, batch_id: str | None = None) -> DataFrame:
-        df.sortWithinPartitions(*self.key).write.mode("errorifexists").parquet(self._data(version))
-        marker = f"{version},{'' if batch_id is None else batch_id}"
-        (self.spark.createDataFrame([(marker,)], "value string")
+        buckets = self.buckets
+        if buckets:
+            (df.write.bucketBy(buckets, *self.key).sortBy(*self.key)
+             .option("path", self._data(version)).mode("errorifexists").saveAsTable(self._table(version)))
+        else:
+            df.sortWithinPartitions(*self.key).write.mode("errorifexists").parquet(self._data(version))
+        tag = "" if batch_id is None else str(batch_id)
+        (self.spark.createDataFrame([(f"{version},{buckets},{tag}",)], "value string")
          .coalesce(1).write.mode("errorifexists").text(self._marker(version)))
-        self._load_commits()[version] = "" if batch_id is None else str(batch_id)
-        return self.spark.read.parquet(self._data(version))
+        self._load_commits()[version] = (buckets, tag)
+        return self._read_version(version)
 
     def replace(self, df: DataFrame) -> DataFrame:
         """Write ``df`` as the next version (initial load / full refresh)."""
@@ -118,6 +187,10 @@ class KeyedSnapshot:
         reduced = dedupe_by_key(batch, self.key, order_by, pick)
         if drop:
             reduced = reduced.drop(*drop)
+        v = self.version()
+        if self.buckets and v is not None:
+            existing = self._read_version(v)
+            return self._commit(merge_by_presence(existing, reduced, self.key), v + 1, batch_id)
         return self._merge(reduced, self.key, batch_id)
 
     def replace_groups(self, rows: DataFrame, group_key, groups: DataFrame | None = None,
@@ -134,7 +207,7 @@ class KeyedSnapshot:
         v = self.version()
         if v is None:
             return self._commit(rows, 1, batch_id)
-        existing = self.spark.read.parquet(self._data(v))
+        existing = self._read_version(v)
         rows = rows.select(*existing.columns)
         keep = existing.join((clear if clear is not None else rows).select(*on), on=on, how="left_anti")
         return self._commit(keep.unionByName(rows), v + 1, batch_id)
