@@ -68,10 +68,11 @@ def _checkpoint_dir(spark: SparkSession) -> str | None:
     value = spark.conf.get("spark.checkpoint.dir", None)
     if value:
         return value
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if jdir.isDefined():
-        return jdir.get()
-    return None
+    try:
+        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    except Exception:  # no SparkContext on this client (e.g. Spark Connect)
+        return None
+    return jdir.get() if jdir.isDefined() else None
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
@@ -83,7 +84,10 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     base = _checkpoint_dir(spark)
     if not base:
         base = tempfile.mkdtemp(prefix="occlake-")
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:  # Spark Connect: the setting lives in the session conf
+            spark.conf.set("spark.checkpoint.dir", base)
         base = _checkpoint_dir(spark) or base
     if not parts:
         return base
