@@ -69,11 +69,14 @@ class ServingIngest:
                 before = self.occurrences.read()
                 touched = touched.unionByName(
                     before.join(serving.select("gbif_id"), "gbif_id", "left_semi").select("taxon_key"))
-            touched = touched.distinct()
+            # computed once (it scans the old snapshot), used twice below;
+            # one row per species, so small
+            touched = touched.distinct().persist()
             occ = self.occurrences.upsert(serving, order_by=list(carry), drop=list(carry), batch_id=tag)
             points = occ.join(touched, "taxon_key", "left_semi").select("gbif_id", "taxon_key", "coordinates")
             species = multipoint.species_all_occurrence(points, max_points_per_part=self.max_points)
             self.species.replace_groups(species, "taxon_key", groups=touched, batch_id=tag)
+            touched.unpersist()
         finally:
             serving.unpersist()
 
