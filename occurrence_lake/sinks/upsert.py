@@ -132,10 +132,17 @@ class KeyedSnapshot:
         for at-least-once callers such as ``foreachBatch``)."""
         return any(b == str(batch_id) for _, b in self._load_commits().values())
 
-    def read(self) -> DataFrame:
-        v = self.version()
-        if v is None:
-            raise FileNotFoundError(f"no committed snapshot under {self.root}")
+    def versions(self) -> list[int]:
+        """Committed versions, oldest first (all are kept: readers of an old
+        version are never disturbed; expiring them is left to the storage's
+        lifecycle rules)."""
+        return sorted(self._load_commits())
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The latest committed version, or a given earlier one."""
+        v = self.version() if version is None else int(version)
+        if v is None or v not in self._load_commits():
+            raise FileNotFoundError(f"no committed version {version!r} under {self.root}")
         return self._read_version(v)
 
     def _table(self, version: int) -> str:

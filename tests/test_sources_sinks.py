@@ -99,6 +99,9 @@ def test_upsert(spark, workdir):
     assert out["b"].v is None and out["b"].w == "y2"
     assert out["c"].v == 4.0 and out["c"].w == "z2"
     assert snap.version() == 2 and snap.read().columns == ["k", "v", "w"]
+    assert snap.versions() == [1, 2] and snap.read(version=1).count() == 2   # earlier version intact
+    with pytest.raises(FileNotFoundError):
+        snap.read(version=7)
 
 
 def test_dedupe_pick_first(spark):
