@@ -145,15 +145,15 @@ def point_wkb(lon: str, lat: str) -> Column:
 # its own projection; since every intermediate is used several times,
 # Catalyst keeps the projections apart, and each stays small.
 # ---------------------------------------------------------------------------
-def with_double_bits(df: DataFrame, outputs: dict[str, str]) -> DataFrame:
+def with_double_bits(df: DataFrame, outputs: dict[str, str], keep_temps: bool = False) -> DataFrame:
     """Add ``{out: bits of input}`` columns (BIGINT IEEE-754 patterns)."""
     t = {o: (f"__{o}_a", f"__{o}_e0", f"__{o}_m0") for o in outputs}
-    s1 = df.selectExpr("*", *[f"abs({_ref(c)}) AS `{t[o][0]}`" for o, c in outputs.items()])
-    s2 = s1.selectExpr("*", *[f"{_exponent_guess_sql(f'`{t[o][0]}`')} AS `{t[o][1]}`" for o in outputs])
-    s3 = s2.selectExpr("*", *[f"(`{t[o][0]}` / power(2.0D, `{t[o][1]}`)) AS `{t[o][2]}`" for o in outputs])
-    s4 = s3.selectExpr("*", *[f"{_bits_from_parts_sql(_ref(c), *[f'`{n}`' for n in t[o]])} AS `{o}`"
+    s1 = df.selectExpr("*", *[e for o, c in outputs.items() for e in (
+        f"abs({_ref(c)}) AS `{t[o][0]}`", f"{_exponent_guess_sql(f'abs({_ref(c)})')} AS `{t[o][1]}`")])
+    s2 = s1.selectExpr("*", *[f"(`{t[o][0]}` / power(2.0D, `{t[o][1]}`)) AS `{t[o][2]}`" for o in outputs])
+    s3 = s2.selectExpr("*", *[f"{_bits_from_parts_sql(_ref(c), *[f'`{n}`' for n in t[o]])} AS `{o}`"
                               for o, c in outputs.items()])
-    return s4.drop(*[n for names in t.values() for n in names])
+    return s3 if keep_temps else s3.drop(*[n for names in t.values() for n in names])
 
 
 def with_point_wkb(df: DataFrame, lon: str, lat: str, out: str = "coordinates") -> DataFrame:
@@ -163,7 +163,7 @@ def with_point_wkb(df: DataFrame, lon: str, lat: str, out: str = "coordinates")
     on ``out`` is pushed below these projections with the whole encoding
     substituted into it."""
     bx, by = f"__{out}_bx", f"__{out}_by"
-    staged = with_double_bits(df, {bx: lon, by: lat})
+    staged = with_double_bits(df, {bx: lon, by: lat}, keep_temps=True)   # the select below drops them
     return staged.selectExpr(
         *[f"`{c}`" for c in df.columns if c != out],
         f"unhex(concat('{POINT_HEADER_HEX}', {le_hex64_sql(f'`{bx}`')}, {le_hex64_sql(f'`{by}`')})) AS `{out}`")
