@@ -120,9 +120,22 @@ def _field_sql(h: str, pos: int, nbytes: int) -> str:
     return f"CASE WHEN substring({h}, 1, 2) = '01' THEN {_swap_hex_sql(raw, nbytes)} ELSE {raw} END"
 
 
+def _half_sql(h: str, pos: int) -> str:
+    """4 bytes of a hex-encoded WKB as a BIGINT, in file byte order."""
+    return f"CAST(conv(substring({h}, {pos}, 8), 16, 10) AS BIGINT)"
+
+
+def _hi_lo_sql(le: str, a: str, b: str) -> tuple[str, str]:
+    """High and low 32 bits of a double stored as halves ``a`` then ``b``:
+    swapped and byte-reversed (arithmetic, no string work) when the value
+    is little endian."""
+    return (f"CASE WHEN {le} THEN {_reverse_bytes_sql(b, 4)} ELSE {a} END",
+            f"CASE WHEN {le} THEN {_reverse_bytes_sql(a, 4)} ELSE {b} END")
+
+
 def _double_at_sql(h: str, pos: int) -> str:
-    be = _field_sql(h, pos, 8)
-    return _bits_to_double_sql(_hex_long_sql(f"substring({be}, 1, 8)"), _hex_long_sql(f"substring({be}, 9, 8)"))
+    hi, lo = _hi_lo_sql(f"substring({h}, 1, 2) = '01'", _half_sql(h, pos), _half_sql(h, pos + 8))
+    return _bits_to_double_sql(hi, lo)
 
 
 # ---------------------------------------------------------------------------
@@ -218,15 +231,18 @@ def _multipoint_count_sql(wkb: str) -> str:
 
 
 def with_point_xy(df: DataFrame, wkb: str, x_out: str = "lon", y_out: str = "lat") -> DataFrame:
-    """Add the x and y of a WKB Point column (staged, see above)."""
+    """Add the x and y of a WKB Point column (staged, see above): hex once,
+    four 4-byte halves, byte order fixed by arithmetic, then the doubles."""
     p = f"__{x_out}_{y_out}_"
     s1 = df.selectExpr("*", f"hex({_ref(wkb)}) AS `{p}h`")
-    s2 = s1.selectExpr("*", f"{_field_sql(f'`{p}h`', 11, 8)} AS `{p}xb`", f"{_field_sql(f'`{p}h`', 27, 8)} AS `{p}yb`")
-    s3 = s2.selectExpr("*", *[f"{_hex_long_sql(f'substring(`{p}{c}b`, {pos}, 8)')} AS `{p}{c}{half}`"
-                              for c in "xy" for half, pos in (("hi", 1), ("lo", 9))])
-    s4 = s3.selectExpr("*", f"{_bits_to_double_sql(f'`{p}xhi`', f'`{p}xlo`')} AS `{x_out}`",
-                       f"{_bits_to_double_sql(f'`{p}yhi`', f'`{p}ylo`')} AS `{y_out}`")
-    return s4.drop(f"{p}h", f"{p}xb", f"{p}yb", f"{p}xhi", f"{p}xlo", f"{p}yhi", f"{p}ylo")
+    halves = [(c, k, pos) for c, base in (("x", 11), ("y", 27)) for k, pos in (("a", base), ("b", base + 8))]
+    s2 = s1.selectExpr("*", f"substring(`{p}h`, 1, 2) = '01' AS `{p}le`",
+                       *[f"{_half_sql(f'`{p}h`', pos)} AS `{p}{c}{k}`" for c, k, pos in halves])
+    parts = {c: _hi_lo_sql(f"`{p}le`", f"`{p}{c}a`", f"`{p}{c}b`") for c in "xy"}
+    s3 = s2.selectExpr("*", *[f"{parts[c][i]} AS `{p}{c}{n}`" for c in "xy" for i, n in ((0, "hi"), (1, "lo"))])
+    return s3.selectExpr(*[f"`{c}`" for c in df.columns if c not in (x_out, y_out)],
+                         f"{_bits_to_double_sql(f'`{p}xhi`', f'`{p}xlo`')} AS `{x_out}`",
+                         f"{_bits_to_double_sql(f'`{p}yhi`', f'`{p}ylo`')} AS `{y_out}`")
 
 
 def multipoint_count(wkb: str) -> Column:

@@ -101,3 +101,12 @@ def test_require_valid_and_typed_metadata(spark):
     assert W.require_valid(mp, "w", "MultiPoint").count() == 1
     typed = good.select(W.typed_geometry("w", "Point"))
     assert typed.schema["w"].metadata == {"encoding": "WKB", "geometry_type": "Point", "srid": 4326}
+
+
+def test_decode_big_endian_input(spark):
+    be = struct.pack(">BIdd", 0, 1, 6.5, -45.25)
+    df = spark.createDataFrame([(be,)], "w binary")
+    r = W.with_point_xy(df, "w", "x", "y").first()
+    assert (r.x, r.y) == (6.5, -45.25)
+    assert df.select(W.point_x("w").alias("x"), W.point_y("w").alias("y")).first() == (6.5, -45.25)
+    assert df.select(W.point_is_valid("w").alias("ok")).first().ok
