@@ -105,21 +105,6 @@ def le_hex32_sql(n: str) -> str:
     return f"lpad(hex({_reverse_bytes_sql(f'CAST({n} AS BIGINT)', 4)}), 8, '0')"
 
 
-def _swap_hex_sql(h: str, nbytes: int) -> str:
-    """Reverse the byte order of a hex string of ``nbytes`` bytes."""
-    return "concat(" + ", ".join(f"substring({h}, {2 * (nbytes - 1 - i) + 1}, 2)" for i in range(nbytes)) + ")"
-
-
-def _hex_long_sql(h: str) -> str:
-    return f"CAST(conv({h}, 16, 10) AS BIGINT)"
-
-
-def _field_sql(h: str, pos: int, nbytes: int) -> str:
-    """A field of a hex-encoded WKB, honouring its byte-order flag."""
-    raw = f"substring({h}, {pos}, {2 * nbytes})"
-    return f"CASE WHEN substring({h}, 1, 2) = '01' THEN {_swap_hex_sql(raw, nbytes)} ELSE {raw} END"
-
-
 def _half_sql(h: str, pos: int) -> str:
     """4 bytes of a hex-encoded WKB as a BIGINT, in file byte order."""
     return f"CAST(conv(substring({h}, {pos}, 8), 16, 10) AS BIGINT)"
@@ -133,6 +118,12 @@ def _hi_lo_sql(le: str, a: str, b: str) -> tuple[str, str]:
             f"CASE WHEN {le} THEN {_reverse_bytes_sql(a, 4)} ELSE {b} END")
 
 
+def _u32_sql(h: str, pos: int) -> str:
+    """A 4-byte unsigned field of a hex-encoded WKB, honouring its byte-order flag."""
+    return (f"CASE WHEN substring({h}, 1, 2) = '01' THEN {_reverse_bytes_sql(_half_sql(h, pos), 4)} "
+            f"ELSE {_half_sql(h, pos)} END")
+
+
 def _double_at_sql(h: str, pos: int) -> str:
     hi, lo = _hi_lo_sql(f"substring({h}, 1, 2) = '01'", _half_sql(h, pos), _half_sql(h, pos + 8))
     return _bits_to_double_sql(hi, lo)
@@ -209,13 +200,13 @@ def _hex_of(wkb: str) -> str:
 
 def wkb_geometry_type(wkb: str) -> Column:
     """The geometry type code (1 Point, 4 MultiPoint, ...) of a WKB value."""
-    return F.expr(_hex_long_sql(_field_sql(_hex_of(wkb), 3, 4)))
+    return F.expr(_u32_sql(_hex_of(wkb), 3))
 
 
 def point_is_valid(wkb: str) -> Column:
     h = _hex_of(wkb)
     return F.expr(f"(length({_ref(wkb)}) = {POINT_BYTES} AND substring({h}, 1, 2) IN ('00', '01') "
-                  f"AND {_hex_long_sql(_field_sql(h, 3, 4))} = 1L)")
+                  f"AND {_u32_sql(h, 3)} = 1L)")
 
 
 def point_x(wkb: str) -> Column:
@@ -227,7 +218,7 @@ def point_y(wkb: str) -> Column:
 
 
 def _multipoint_count_sql(wkb: str) -> str:
-    return _hex_long_sql(_field_sql(_hex_of(wkb), 11, 4))
+    return _u32_sql(_hex_of(wkb), 11)
 
 
 def with_point_xy(df: DataFrame, wkb: str, x_out: str = "lon", y_out: str = "lat") -> DataFrame:
@@ -252,7 +243,7 @@ def multipoint_count(wkb: str) -> Column:
 def multipoint_is_valid(wkb: str) -> Column:
     h = _hex_of(wkb)
     n = _multipoint_count_sql(wkb)
-    return F.expr(f"(substring({h}, 1, 2) IN ('00', '01') AND {_hex_long_sql(_field_sql(h, 3, 4))} = 4L "
+    return F.expr(f"(substring({h}, 1, 2) IN ('00', '01') AND {_u32_sql(h, 3)} = 4L "
                   f"AND length({_ref(wkb)}) = {MULTIPOINT_HEADER_BYTES} + {n} * {POINT_BYTES})")
 
 
