@@ -24,22 +24,27 @@ def write_table(df: DataFrame, path: str, name: str | None = None, sort_within:
     return int(obs.get.get("row_count", 0))
 
 
-def write_years(df: DataFrame, path: str, name: str | None = None) -> int:
-    """SNK-2: replace only the ``year`` partitions present in ``df``.
+def write_years(df: DataFrame, path: str, name: str | None = None, replace: bool = True) -> int:
+    """SNK-2: write rows into ``year`` partitions.
 
-    Rows are clustered by year with a ``rebalance`` hint: AQE then splits a
-    year that holds a large share of the rows into advisory-size chunks
-    (many writer tasks, files of ~``advisoryPartitionSizeInBytes``) and
-    merges small years, so no single task writes a whole year.  Dynamic
-    partition overwrite is a write option, so the session's setting is left
-    alone.  A year written again replaces that year (the reference adds a
-    second file when the download key differs; see README).
+    ``replace=True`` replaces only the years present in ``df`` (dynamic
+    partition overwrite, as a write option, so the session's setting is
+    left alone).  ``replace=False`` adds files next to the existing ones, as
+    the reference does when a year is downloaded again under another
+    download key (the raw union then holds both, no dedup).
+
+    Rows are clustered by year with a ``rebalance`` hint: AQE splits a year
+    that holds a large share of the rows into advisory-size chunks (many
+    writer tasks, files of ~``advisoryPartitionSizeInBytes``) and merges
+    small years, so no single task writes a whole year.
     """
     out, obs = observed(df.hint("rebalance", "year"), name or "write_years")
-    (out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year")
-        .parquet(path))
+    writer = out.write.partitionBy("year")
+    if replace:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode("append")
+    writer.parquet(path)
     return int(obs.get.get("row_count", 0))
 
 

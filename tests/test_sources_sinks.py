@@ -172,3 +172,11 @@ def test_bucketed_upsert(spark, workdir):
     finally:
         for k, v in zip(keys, prev):
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_year_append_keeps_both_downloads(spark, workdir):
+    raw = fixtures.raw_occurrences(spark, SF_SMALL).filter(F.col("year") == 2018)
+    root = f"{workdir}/appended"
+    n = write_years(raw, root)
+    write_years(raw, root, replace=False)              # same year, another download
+    assert read_raw_years(spark, root).count() == 2 * n
