@@ -93,16 +93,21 @@ class RunReport:
     previews: dict[str, list] = field(default_factory=dict)
 
 
-def ingest_extracts(spark: SparkSession, tsv_paths, raw_root: str, check_keys: bool = True) -> int:
+def ingest_extracts(spark: SparkSession, tsv_paths, raw_root: str, check_keys: bool = True,
+                    acquire: bool = False, replace: bool = True) -> int:
     """Yearly extracts (TSV) -> raw Parquet partitioned by year (SRC-1, SNK-2).
 
     With ``check_keys`` a NULL or repeated ``gbif_id`` within a year aborts
     the load before anything is written (CON-1, the yearly table's primary
-    key); the check is one aggregation pass, combinable on the map side."""
+    key); the check is one aggregation pass, combinable on the map side.
+    With ``acquire`` the acquisition predicate (FLT-1) is applied here, for
+    extracts that were not filtered at download."""
     raw = read_occurrence_tsv(spark, tsv_paths)
+    if acquire:
+        raw = refine.acquire(raw)
     if check_keys:
         assert_primary_key(raw, ["year", "gbif_id"])
-    return write_years(raw, raw_root, "partitioned_raw_occurrences")
+    return write_years(raw, raw_root, "partitioned_raw_occurrences", replace=replace)
 
 
 def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: str,

@@ -31,3 +31,13 @@ def test_cli_end_to_end(spark, workdir, capsys):
     streamed = KeyedSnapshot(spark, f"{workdir}/streamed/occurrences", "gbif_id").read()
     batch = KeyedSnapshot(spark, f"{workdir}/serving/occurrences", "gbif_id").read()
     assert streamed.count() == batch.count()
+
+
+def test_cli_ingest_with_acquisition(spark, workdir):
+    from occurrence_lake.operators.refine import acquire
+    from occurrence_lake.sources.parquet import read_raw_years
+    raw = fixtures.raw_occurrences(spark, SF_SMALL)
+    write_occurrence_tsv(raw, f"{workdir}/landing")
+    assert main(["--shuffle-partitions", "8", "ingest", "--extracts", f"{workdir}/landing",
+                 "--raw", f"{workdir}/raw", "--acquire"]) == 0
+    assert read_raw_years(spark, f"{workdir}/raw").count() == acquire(raw).count() < raw.count()
