@@ -28,6 +28,30 @@ def species_envelopes(points: DataFrame, key: str = "taxon_key", lon: str = "dec
         F.max(lon).alias("max_lon"), F.max(lat).alias("max_lat"))
 
 
+# Grid level of the write-time clustering key: cells of 180 / 2^12 degrees
+# (about 5 km), fine enough that one row group spans a compact area.
+CLUSTER_LEVEL = 12
+
+
+def envelope_zorder_sql(level: int = CLUSTER_LEVEL) -> str:
+    """SQL for a Z-order (Morton) key of the envelope centre's grid cell.
+
+    Rows written sorted by it keep nearby species together, so the min/max
+    statistics Parquet keeps per row group on the envelope columns are
+    tight, and a box query skips the row groups it cannot overlap (the
+    "sort by grid cell on write" index of the serving table).  Empty
+    geometries (NULL envelope) get NULL and sort first.
+    """
+    size = f"(180.0D / power(2.0D, {int(level)}))"
+    cx = f"CAST(floor(((min_lon + max_lon) / 2.0D + 180.0D) / {size}) AS BIGINT)"
+    cy = f"CAST(floor((90.0D - (min_lat + max_lat) / 2.0D) / {size}) AS BIGINT)"
+    bits = []
+    for i in range(int(level) + 1):
+        bits.append(f"shiftleft(shiftright({cx}, {i}) & 1L, {2 * i})")
+        bits.append(f"shiftleft(shiftright({cy}, {i}) & 1L, {2 * i + 1})")
+    return "(" + " | ".join(bits) + ")"
+
+
 def layer_bbox(species: DataFrame, box: Box, taxon_key: int | None = None,
                geom: str = "all_occurrence_coordinates") -> DataFrame:
     """FLT-5 + FLT-6: the layer rows for one box, optionally one taxon.

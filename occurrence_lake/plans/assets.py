@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from occurrence_lake.functions.scalars import narrow_to_int
 from occurrence_lake.functions.wkb import require_valid, with_point_wkb
 from occurrence_lake.operators import multipoint, names, refine
+from occurrence_lake.operators.layer import envelope_zorder_sql
 from occurrence_lake.operators.constraints import assert_primary_key
 from occurrence_lake.operators.metrics import preview
 from occurrence_lake.schema import RAW_SCHEMA
@@ -137,7 +138,8 @@ def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: s
         # A species' MultiPoint parts are replaced together (a species that
         # now needs fewer parts leaves none behind); species absent from
         # this run keep their rows, as an ON CONFLICT upsert keeps them.
-        species_snap = KeyedSnapshot(spark, f"{root}/species_all_occurrence", ["taxon_key", "part"])
+        species_snap = KeyedSnapshot(spark, f"{root}/species_all_occurrence", ["taxon_key", "part"],
+                                     cluster_by_sql=envelope_zorder_sql())
         # WKB read back from storage is checked as a typed geometry column would
         species_rows = require_valid(species.withColumn("taxon_key", narrow_to_int("taxon_key")),
                                      "all_occurrence_coordinates", "MultiPoint")

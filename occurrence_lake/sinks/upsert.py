@@ -82,9 +82,13 @@ class KeyedSnapshot:
     """A keyed table stored as versioned Parquet directories under ``root``,
     optionally bucketed by the key into ``buckets`` files per version."""
 
-    def __init__(self, spark: SparkSession, root: str, key, buckets: int | str | None = None):
+    def __init__(self, spark: SparkSession, root: str, key, buckets: int | str | None = None,
+                 cluster_by_sql: str | None = None):
         self.spark, self.root, self.key = spark, root.rstrip("/"), _keys(key)
         self._requested_buckets = buckets
+        # unbucketed versions are sorted within files by this SQL expression
+        # (default: the key), so Parquet statistics skip row groups
+        self._cluster_by = cluster_by_sql
         # version -> (bucket count or 0, batch id); read once
         self._commits: dict[int, tuple[int, str]] | None = None
 
@@ -170,7 +174,8 @@ class KeyedSnapshot:
             (df.write.bucketBy(buckets, *self.key).sortBy(*self.key)
              .option("path", self._data(version)).mode("errorifexists").saveAsTable(self._table(version)))
         else:
-            df.sortWithinPartitions(*self.key).write.mode("errorifexists").parquet(self._data(version))
+            order = [F.expr(self._cluster_by)] + [F.col(k) for k in self.key] if self._cluster_by else self.key
+            df.sortWithinPartitions(*order).write.mode("errorifexists").parquet(self._data(version))
         tag = "" if batch_id is None else str(batch_id)
         (self.spark.createDataFrame([(f"{version},{buckets},{tag}",)], "value string")
          .coalesce(1).write.mode("errorifexists").text(self._marker(version)))

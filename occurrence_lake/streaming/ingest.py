@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from occurrence_lake.config import shared_dir
 from occurrence_lake.operators import multipoint, refine
+from occurrence_lake.operators.layer import envelope_zorder_sql
 from occurrence_lake.schema import RAW_SCHEMA
 from occurrence_lake.sinks.upsert import SERVING_BUCKETS, KeyedSnapshot
 from occurrence_lake.sources.tsv import TSV_READ_OPTIONS
@@ -49,7 +50,8 @@ class ServingIngest:
         self.landing_dir = landing_dir
         root = serving_root.rstrip("/")
         self.occurrences = KeyedSnapshot(spark, f"{root}/occurrences", "gbif_id", buckets=SERVING_BUCKETS)
-        self.species = KeyedSnapshot(spark, f"{root}/species_all_occurrence", ["taxon_key", "part"])
+        self.species = KeyedSnapshot(spark, f"{root}/species_all_occurrence", ["taxon_key", "part"],
+                                     cluster_by_sql=envelope_zorder_sql())
         self.checkpoint = checkpoint or shared_dir(spark, "streams", "serving_ingest")
         self.max_points = max_points_per_part
 

@@ -94,3 +94,36 @@ def test_constraints_and_metrics(spark):
     observed, obs = metrics.observed(spark.range(42), "n")
     observed.write.format("noop").mode("overwrite").save()
     assert obs.get["row_count"] == 42
+
+
+def test_zorder_clustering_lets_box_queries_skip_row_groups(spark, workdir):
+    """Species rows sorted by the envelope Z-order key: a small box can
+    overlap few row groups (Parquet min/max statistics), key order cannot."""
+    import glob
+    import pyarrow.parquet as pq
+    from occurrence_lake.operators.layer import envelope_zorder_sql
+    sp = spark.range(0, 100_000, 1, 4).select(
+        F.col("id").alias("taxon_key"), (F.rand(1) * 40 - 10).alias("cx"), (F.rand(2) * 30 + 35).alias("cy"),
+        F.expr("repeat('x', 200)").cast("binary").alias("geom"))
+    sp = sp.select("taxon_key", "geom", (F.col("cx") - 0.1).alias("min_lon"), (F.col("cy") - 0.1).alias("min_lat"),
+                   (F.col("cx") + 0.1).alias("max_lon"), (F.col("cy") + 0.1).alias("max_lat"))
+    box = Box(5.0, 45.0, 6.0, 46.0)
+
+    def must_read(path):
+        total = kept = 0
+        for f in glob.glob(path + "/*.parquet"):
+            md = pq.ParquetFile(f).metadata
+            names = [md.schema.column(j).name for j in range(md.num_columns)]
+            for i in range(md.num_row_groups):
+                st = {names[j]: md.row_group(i).column(j).statistics for j in range(len(names))}
+                total += 1
+                kept += (st["min_lon"].min <= box.max_lon and st["max_lon"].max >= box.min_lon
+                         and st["min_lat"].min <= box.max_lat and st["max_lat"].max >= box.min_lat)
+        return kept / total
+
+    fractions = {}
+    for name, order in (("key", [F.col("taxon_key")]), ("z", [F.expr(envelope_zorder_sql()), F.col("taxon_key")])):
+        path = f"{workdir}/{name}"
+        sp.sortWithinPartitions(*order).write.option("parquet.block.size", str(256 * 1024)).parquet(path)
+        fractions[name] = must_read(path)
+    assert fractions["key"] > 0.9 and fractions["z"] < 0.4
