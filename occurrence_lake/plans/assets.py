@@ -131,7 +131,12 @@ def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: s
     keys = save("unique_taxon_keys", refine.unique_taxon_keys(filtered))
     vernacular = save("vernacular_names", names.vernacular_names(keys, name_records, name_order))
     scientific = save("scientific_names", names.scientific_names(keys, raw))
-    species = multipoint.species_all_occurrence(geospatial)
+    # same rows as from ``geospatial``, but the envelope comes straight from
+    # lon/lat instead of decoding every stored point
+    species = multipoint.species_all_occurrence(
+        with_point_wkb(filtered.select("gbif_id", "taxon_key", "decimal_longitude", "decimal_latitude"),
+                       "decimal_longitude", "decimal_latitude", "coordinates"),
+        lon="decimal_longitude", lat="decimal_latitude")
 
     if serving_root:
         root = serving_root.rstrip("/")
