@@ -3,6 +3,7 @@
     python -m occurrence_lake ingest  --extracts 'landing/*.csv' --raw lake/raw
     python -m occurrence_lake run     --raw lake/raw --replies lake/replies --out lake/tables --serving lake/serving
     python -m occurrence_lake layer   --serving lake/serving --bbox 5 45 6 46 [--taxon-key 2440940]
+    python -m occurrence_lake tiles   --serving lake/serving --tiles requests/ --output lake/tile_species
     python -m occurrence_lake stream  --landing landing/ --serving lake/serving
 
 ``--replies`` is a Parquet or JSON-lines dataset of species-API replies
@@ -54,6 +55,11 @@ def main(argv=None) -> int:
     p.add_argument("--taxon-key", type=int, default=None)
     p.add_argument("--output", default=None, help="write the rows as Parquet here")
 
+    p = sub.add_parser("tiles", help="species rows overlapping each requested tile (z, x, y)")
+    p.add_argument("--serving", required=True)
+    p.add_argument("--tiles", required=True, help="Parquet dataset with integer columns z, x, y")
+    p.add_argument("--output", required=True)
+
     p = sub.add_parser("stream", help="process every extract in a landing folder, then stop")
     p.add_argument("--landing", required=True)
     p.add_argument("--serving", required=True)
@@ -82,6 +88,13 @@ def main(argv=None) -> int:
             rows.write.mode("overwrite").parquet(args.output)
         else:
             rows.selectExpr("taxon_key", "hex(geom) AS geom").show(20, truncate=80)
+    elif args.cmd == "tiles":
+        from occurrence_lake.operators.layer import layer_tiles
+        from occurrence_lake.sinks.upsert import KeyedSnapshot
+        species = KeyedSnapshot(spark, f"{args.serving.rstrip('/')}/species_all_occurrence",
+                                ["taxon_key", "part"]).read()
+        pairs = layer_tiles(species, spark.read.parquet(args.tiles))
+        pairs.write.mode("overwrite").parquet(args.output)
     elif args.cmd == "stream":
         from occurrence_lake.streaming.ingest import ServingIngest
         ServingIngest(spark, args.landing, args.serving, args.checkpoint).run_available()

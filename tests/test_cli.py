@@ -25,6 +25,12 @@ def test_cli_end_to_end(spark, workdir, capsys):
     assert main(common + ["layer", "--serving", f"{workdir}/serving", "--bbox", "5", "45", "6", "46",
                           "--output", f"{workdir}/layer"]) == 0
     assert spark.read.parquet(f"{workdir}/layer").count() > 0
+    spark.createDataFrame([(9, 269, 123), (9, 270, 124), (3, 8, 1)], "z int, x long, y long") \
+        .write.parquet(f"{workdir}/tiles")
+    assert main(common + ["tiles", "--serving", f"{workdir}/serving", "--tiles", f"{workdir}/tiles",
+                          "--output", f"{workdir}/tile_species"]) == 0
+    pairs = spark.read.parquet(f"{workdir}/tile_species")
+    assert pairs.columns[:3] == ["z", "x", "y"] and pairs.filter("z = 3").count() > 0
 
     assert main(common + ["stream", "--landing", f"{workdir}/landing", "--serving", f"{workdir}/streamed",
                           "--checkpoint", f"{workdir}/ckpt"]) == 0
