@@ -44,3 +44,30 @@ def test_wkb_stays_in_codegen(spark):
     plan = _plan(QUERIES["geospatial_occurrences"](spark, SF_SMALL))
     # "* " marks an operator compiled by whole-stage codegen
     assert "* Project" in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_hot_key_operators_aggregate_before_shuffling(spark):
+    """Operators whose key may hold a third of the rows reduce it map side:
+    a partial aggregate sits below every exchange on that key."""
+    from occurrence_lake.operators import constraints, layer, names
+    from occurrence_lake.sinks.upsert import dedupe_by_key
+    rows = spark.range(0, 1000).selectExpr("id % 3 AS taxon_key", "id AS seq", "'eng' AS language",
+                                           "CAST(id AS STRING) AS name", "CAST(id AS DOUBLE) AS decimal_longitude",
+                                           "CAST(id AS DOUBLE) AS decimal_latitude", "CAST(id % 5 AS STRING) AS scientific_name")
+    cases = {
+        "upsert dedupe": dedupe_by_key(rows.select("taxon_key", "seq", "name"), "taxon_key", ["seq"]),
+        "names per language": names.first_name_per_language(rows),
+        "scientific names": names.scientific_names(rows.select("taxon_key").distinct(), rows),
+        "key check": constraints.key_violations(rows, "taxon_key"),
+        "envelopes": layer.species_envelopes(rows),
+    }
+    for label, df in cases.items():
+        plan = _plan(df)
+        assert "partial_" in plan or "HashAggregate" in plan.split("Exchange")[-1], label
+        # every shuffle on the key is fed by a partial aggregate
+        physical = plan.split("\n\n")[0]
+        lines = physical.splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange" in line and "SinglePartition" not in line:
+                below = "\n".join(lines[i + 1:i + 4])
+                assert "Aggregate" in below, (label, physical)
