@@ -88,11 +88,6 @@ RAW_HEADER = [header for _, _, header in RAW_COLUMNS]
 RAW_SCHEMA = T.StructType([T.StructField(n, _TYPES[t], True) for n, t, _ in RAW_COLUMNS])
 
 
-def raw_ddl() -> str:
-    """The raw schema as a DDL string (backticks protect ``class``/``order``)."""
-    return ", ".join(f"`{n}` {t}" for n, t, _ in RAW_COLUMNS)
-
-
 FILTERED_SCHEMA = T.StructType(
     [T.StructField("gbif_id", T.StringType()), T.StructField("taxon_key", T.LongType()),
      T.StructField("decimal_latitude", T.DoubleType()), T.StructField("decimal_longitude", T.DoubleType())]
@@ -100,6 +95,15 @@ FILTERED_SCHEMA = T.StructType(
     + [T.StructField("date", T.DateType())]
 )
 
+# The serving ``occurrences`` table: INTEGER key, WKB Point, the measures
+# (zero already NULL), the date.
+SERVING_OCCURRENCES_SCHEMA = T.StructType(
+    [T.StructField("gbif_id", T.StringType()), T.StructField("taxon_key", T.IntegerType()),
+     T.StructField("coordinates", T.BinaryType())]
+    + [T.StructField(m, T.DoubleType()) for m in MEASURES]
+    + [T.StructField("date", T.DateType())]
+)
+
 VERNACULAR_SCHEMA = T.StructType(
     [T.StructField("taxon_key", T.IntegerType(), False)]
     + [T.StructField(f"vernacular_name_{lang}", T.StringType()) for lang in LANGUAGES]

@@ -77,3 +77,16 @@ def test_serving_rows(spark):
     serving = refine.serving_occurrences(refine.geospatial_occurrences(refine.filtered_occurrences(raw)))
     assert dict(serving.dtypes)["taxon_key"] == "int"
     assert serving.filter(F.col("elevation") == 0.0).count() == 0
+
+
+def test_declared_schemas(spark):
+    from occurrence_lake.schema import FILTERED_SCHEMA, SERVING_OCCURRENCES_SCHEMA
+    raw = fixtures.raw_occurrences(spark, SF_SMALL)
+    filtered = refine.filtered_occurrences(raw)
+    serving = refine.serving_occurrences(refine.geospatial_occurrences(filtered))
+
+    def shape(schema):
+        return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    assert shape(filtered.schema) == shape(FILTERED_SCHEMA)
+    assert shape(serving.schema) == shape(SERVING_OCCURRENCES_SCHEMA)
+    assert raw.schema.names == RAW_SCHEMA.names
