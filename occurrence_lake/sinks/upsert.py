@@ -10,9 +10,10 @@ batch:
    ∪ the reduced batch.  Every non-key column is replaced, a NULL included.
 
 Spark cannot overwrite a path it is reading, so every upsert writes a new
-version directory and then commits it by writing a small marker dataset;
-readers take the highest committed version.  A job that dies mid-write
-leaves an uncommitted directory that nobody reads.
+version directory (a fresh name per attempt) and then commits it by writing
+a small marker that names it; readers take the highest committed version.
+A job that dies mid-write leaves an uncommitted directory that nobody reads,
+and the retry writes to a new one.
 
 With ``buckets`` every version is written bucketed and sorted by the key
 (an external table over the version directory).  An upsert is then a full
@@ -24,6 +25,7 @@ and never shuffled, and each writer task writes its own bucket again.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,13 +91,13 @@ class KeyedSnapshot:
         # unbucketed versions are sorted within files by this SQL expression
         # (default: the key), so Parquet statistics skip row groups
         self._cluster_by = cluster_by_sql
-        # version -> (bucket count or 0, batch id); read once
-        self._commits: dict[int, tuple[int, str]] | None = None
+        # version -> (bucket count or 0, data directory, batch id); read once
+        self._commits: dict[int, tuple[int, str, str]] | None = None
 
-    def _load_commits(self) -> dict[int, tuple[int, str]]:
-        """Committed versions with their bucket count and batch id (one small
-        read, then kept: a snapshot has one writer, this object).  A marker
-        is ``version,buckets,batch_id``."""
+    def _load_commits(self) -> dict[int, tuple[int, str, str]]:
+        """Committed versions with their bucket count, data directory and
+        batch id (one small read, then kept: a snapshot has one writer, this
+        object).  A marker is ``version,buckets,directory,batch_id``."""
         if self._commits is None:
             try:
                 rows = (self.spark.read.option("recursiveFileLookup", "true")
@@ -104,8 +106,8 @@ class KeyedSnapshot:
                 rows = []
             self._commits = {}
             for r in rows:
-                v, n, b = r["value"].split(",", 2)
-                self._commits[int(v)] = (int(n), b)
+                v, n, d, b = r["value"].split(",", 3)
+                self._commits[int(v)] = (int(n), d, b)
         return self._commits
 
     @property
@@ -121,10 +123,8 @@ class KeyedSnapshot:
         return int(want or 0)
 
     def _data(self, version: int) -> str:
-        return f"{self.root}/v{version:06d}"
-
-    def _marker(self, version: int) -> str:
-        return f"{self.root}/_commits/v{version:06d}"
+        """Data directory of a committed version."""
+        return f"{self.root}/{self._load_commits()[version][1]}"
 
     def version(self) -> int | None:
         """Highest committed version."""
@@ -134,7 +134,7 @@ class KeyedSnapshot:
     def has_batch(self, batch_id: str) -> bool:
         """Whether a batch with this id was already committed (replay guard
         for at-least-once callers such as ``foreachBatch``)."""
-        return any(b == str(batch_id) for _, b in self._load_commits().values())
+        return any(b == str(batch_id) for _, _, b in self._load_commits().values())
 
     def versions(self) -> list[int]:
         """Committed versions, oldest first (all are kept: readers of an old
@@ -149,9 +149,12 @@ class KeyedSnapshot:
             raise FileNotFoundError(f"no committed version {version!r} under {self.root}")
         return self._read_version(v)
 
+    def _table_for(self, directory: str) -> str:
+        """Session-catalog name of a bucketed version directory (external table)."""
+        return f"occlake_{hashlib.sha1(self.root.encode()).hexdigest()[:12]}_{directory.replace('-', '_')}"
+
     def _table(self, version: int) -> str:
-        """Session-catalog name of a bucketed version (external table)."""
-        return f"occlake_{hashlib.sha1(self.root.encode()).hexdigest()[:12]}_v{version:06d}"
+        return self._table_for(self._load_commits()[version][1])
 
     def _read_version(self, version: int) -> DataFrame:
         path = self._data(version)
@@ -170,16 +173,18 @@ class KeyedSnapshot:
 
     def _commit(self, df: DataFrame, version: int, batch_id: str | None = None) -> DataFrame:
         buckets = self.buckets
+        directory = f"v{version:06d}-{uuid.uuid4().hex[:8]}"   # fresh per attempt
+        path = f"{self.root}/{directory}"
         if buckets:
             (df.write.bucketBy(buckets, *self.key).sortBy(*self.key)
-             .option("path", self._data(version)).mode("errorifexists").saveAsTable(self._table(version)))
+             .option("path", path).mode("errorifexists").saveAsTable(self._table_for(directory)))
         else:
             order = [F.expr(self._cluster_by)] + [F.col(k) for k in self.key] if self._cluster_by else self.key
-            df.sortWithinPartitions(*order).write.mode("errorifexists").parquet(self._data(version))
+            df.sortWithinPartitions(*order).write.mode("errorifexists").parquet(path)
         tag = "" if batch_id is None else str(batch_id)
-        (self.spark.createDataFrame([(f"{version},{buckets},{tag}",)], "value string")
-         .coalesce(1).write.mode("errorifexists").text(self._marker(version)))
-        self._load_commits()[version] = (buckets, tag)
+        (self.spark.createDataFrame([(f"{version},{buckets},{directory},{tag}",)], "value string")
+         .coalesce(1).write.mode("errorifexists").text(f"{self.root}/_commits/{directory}"))
+        self._load_commits()[version] = (buckets, directory, tag)
         return self._read_version(version)
 
     def replace(self, df: DataFrame) -> DataFrame:

@@ -100,6 +100,13 @@ def test_upsert(spark, workdir):
     assert out["c"].v == 4.0 and out["c"].w == "z2"
     assert snap.version() == 2 and snap.read().columns == ["k", "v", "w"]
     assert snap.versions() == [1, 2] and snap.read(version=1).count() == 2   # earlier version intact
+    # a crashed attempt at the next version leaves a directory nobody reads,
+    # and the retry is not blocked by it
+    spark.range(3).write.parquet(f"{workdir}/snap/v000003-crashed")
+    again = KeyedSnapshot(spark, f"{workdir}/snap", "k")
+    assert again.version() == 2 and again.read().count() == 3
+    again.upsert(spark.createDataFrame([("d", 5.0, "q")], "k string, v double, w string"))
+    assert again.version() == 3 and again.read().count() == 4
     with pytest.raises(FileNotFoundError):
         snap.read(version=7)
 
@@ -165,7 +172,7 @@ def test_bucketed_upsert(spark, workdir):
         out = {r.k: r for r in snap.upsert(batch, order_by=["seq"], drop=["seq"]).collect()}
         assert len(out) == 1001 and out["7"].v == 7.0
         assert out["5"].v is None and out["5"].w == "y2" and out["c"].v == 4.0
-        assert len(glob.glob(f"{root}/v000002/*.parquet")) == 4
+        assert len(glob.glob(f"{snap._data(2)}/*.parquet")) == 4
         again = KeyedSnapshot(spark, root, "k", buckets=4)      # as after a restart
         spark.sql(f"DROP TABLE {again._table(2)}")          # external: files stay
         assert again.read().count() == 1001
