@@ -187,3 +187,13 @@ def test_year_append_keeps_both_downloads(spark, workdir):
     n = write_years(raw, root)
     write_years(raw, root, replace=False)              # same year, another download
     assert read_raw_years(spark, root).count() == 2 * n
+
+
+def test_read_dataset_and_named_plan(spark, workdir):
+    from occurrence_lake.sources.parquet import read_dataset
+    spark.range(10).write.parquet(f"{workdir}/ds")
+    assert read_dataset(spark, f"{workdir}/ds").count() == 10
+    typed = read_dataset(spark, f"{workdir}/ds", schema="id long")
+    assert typed.dtypes == [("id", "bigint")]
+    view = materialize(spark.range(5), "occlake_named_plan")          # SNK-4 without storage
+    assert spark.table("occlake_named_plan").count() == 5 and view.count() == 5
