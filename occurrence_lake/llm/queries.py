@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occurrence_lake.llm import bpe_stream, token_count, url_filter, warc
+from occurrence_lake.llm import bpe_stream, html_extract, quality, simhash, token_count, url_filter, warc
 from occurrence_lake.llm.common import table
 
 
@@ -60,10 +60,18 @@ FROM best b LEFT JOIN spam s USING (page_id) WHERE n = 1
 """
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, radius=3)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.new_archive_path(spark)
     warc.write_archive(table(spark, sf_dir, "pages"), path, min_bytes=0)
@@ -75,11 +83,18 @@ def op8_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_token_counts": op4_token_counts,
+    "op6_html_extraction": op6_html_extraction,
     "op7_warc_archive": op7_warc_archive,
     "op8_bpe_stream": op8_bpe_stream,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE_SQL = {"op1_url_filter": OP1_SQL}
