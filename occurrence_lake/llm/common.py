@@ -58,3 +58,9 @@ def contract_words(text: Column) -> Column:
     """Words of the contracts as an array (null text: no words)."""
     parts = F.split(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD)
     return F.filter(parts, lambda w: w != "")
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once a row: inside lambdas an
+    optimizer could else evaluate its expression for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occurrence_lake.llm import bpe_stream, html_extract, quality, simhash, token_count, url_filter, warc
+from occurrence_lake.llm import bpe_stream, decontaminate, html_extract, license_scan, quality, simhash, syncmer, token_count, url_filter, warc
 from occurrence_lake.llm.common import table
 
 
@@ -64,10 +64,44 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, radius=3)
 
 
+def op3_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmer.neighbour_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _sql_words(column: str) -> str:
+    """Words of the contract in DuckDB."""
+    lower = f"translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"list_filter(string_split_regex({lower}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+
+
+OP5_SQL = f"""
+WITH d AS (SELECT doc_id, {_sql_words("text")} AS w FROM documents),
+i AS (SELECT item_id, {_sql_words("text")} AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, least(13, len(w)) AS n,
+         unnest(list_transform(range(0, len(w) - least(13, len(w)) + 1), lambda s: array_to_string(w[s + 1:s + least(13, len(w))], ' '))) AS win
+  FROM i WHERE len(w) > 0 AND item_id IS NOT NULL),
+lengths AS (SELECT DISTINCT n FROM iw),
+starts AS (SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS s FROM d, lengths WHERE len(w) >= n),
+dw AS (SELECT doc_id, n, s, array_to_string(w[s + 1:s + n], ' ') AS win FROM starts),
+occ AS (SELECT DISTINCT doc_id, item, s, n FROM dw JOIN iw USING (n, win)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM (SELECT DISTINCT doc_id, s, n FROM occ)) GROUP BY doc_id),
+items AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS items FROM occ GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -83,6 +117,40 @@ def op8_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+#: Fixed phrases and labels of the contract.
+BASE_PHRASES = [("cc-by", "cc by"), ("gpl", "general public license"), ("reserved", "all rights reserved")]
+LEAST_SHARE = 0.6
+
+
+def license_templates() -> list[license_scan.Template]:
+    return [license_scan.phrase(label, words) for label, words in BASE_PHRASES] + license_scan.TEMPLATES
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"), license_templates(), least_share=LEAST_SHARE)
+
+
+OP9_SQL = f"""
+WITH d AS (SELECT doc_id, {_sql_words("text")} AS w FROM documents),
+t(base, label, words, key, off) AS (VALUES {", ".join(
+    f"({t.base}, '{t.label}', {t.words.split()}, {t.key.split()}, {t.key_offset})" for t in license_templates())}),
+starts AS (SELECT doc_id, w, unnest(range(0, len(w))) AS p FROM d),
+near AS (SELECT starts.*, t.* FROM starts JOIN t ON starts.w[p + 1] = t.key[1]),
+found AS (
+  SELECT doc_id, base, label, p,
+         len(list_filter(range(0, len(words)), lambda j: p - off + j >= 0 AND w[p - off + j + 1] = words[j + 1])) / len(words) AS share
+  FROM near WHERE w[p + 1:p + len(key)] = key),
+kept AS (SELECT * FROM found WHERE share >= {LEAST_SHARE}),
+made AS (
+  SELECT doc_id, count(*) FILTER (base) AS n_base, min(p) FILTER (base) AS first_word, max(p) FILTER (base) AS last_word,
+         array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels,
+         array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(share) AS score FROM kept GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM d LEFT JOIN made USING (doc_id)
+"""
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"))
 
@@ -90,11 +158,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_syncmer_fingerprints": op3_syncmer_fingerprints,
     "op4_token_counts": op4_token_counts,
+    "op5_decontamination": op5_decontamination,
     "op6_html_extraction": op6_html_extraction,
     "op7_warc_archive": op7_warc_archive,
     "op8_bpe_stream": op8_bpe_stream,
+    "op9_license_scan": op9_license_scan,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLE_SQL = {"op1_url_filter": OP1_SQL}
+ORACLE_SQL = {"op1_url_filter": OP1_SQL, "op5_decontamination": OP5_SQL, "op9_license_scan": OP9_SQL}
