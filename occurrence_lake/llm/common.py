@@ -64,3 +64,21 @@ def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once a row: inside lambdas an
     optimizer could else evaluate its expression for every element."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def identity(id_value: Column, text_hash: Column, names: tuple[str, str]) -> list[Column]:
+    """A document's identity (id and text) as plain, never null columns, for
+    joins that find its rows again."""
+    return [F.coalesce(id_value.cast("string"), F.lit("null")).alias(names[0]), text_hash.alias(names[1])]
+
+
+def rows_of(df: DataFrame, keys: DataFrame, how: str, id_col: str, text_col: str, once: bool = False) -> DataFrame:
+    """Rows of ``df`` whose document is (``left_semi``) or is not
+    (``left_anti``) among ``keys`` (``id``, ``th``); ``once``: one row a
+    document.  All columns of ``df`` come back, of whatever name."""
+    names = tuple(f"_{n}" + "_" * max(map(len, df.columns)) for n in ("kid", "th"))
+    found = keys.select(*identity(F.col("id"), F.col("th"), names))
+    th = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    out = df.select("*", *identity(F.col(id_col), th, names)).join(found, list(names), how)
+    out = out.dropDuplicates(list(names)) if once else out
+    return out.drop(*names)

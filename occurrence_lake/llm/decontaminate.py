@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from occurrence_lake.llm.common import contract_words, let, written
+from occurrence_lake.llm.common import contract_words, let, rows_of, written
 
 WINDOW, GRAM = 13, 6
 SPAN = WINDOW - GRAM + 1
@@ -116,11 +116,8 @@ def hit_words(docs: DataFrame, index: DataFrame, prints_table: DataFrame) -> Dat
                                      F.when(wide, F.col("pos") + GRAM - 1 + F.col("right")).otherwise(F.col("pos") + F.col("len") - 1).alias("hi")))
 
 
-def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  least_share: tuple[int, int] = (1, 20)) -> DataFrame:
-    """One row per document: id, ``n_words``, ``n_hit``, ``n_items``,
-    ``items_sha256``, ``contaminated`` (a hit, and hit words at least
-    ``least_share`` of all)."""
+def judged(df: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, least_share: tuple[int, int]) -> DataFrame:
+    """``id``, ``th`` and the result columns of every row of ``df``."""
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))
     index = written(benchmark_index(benchmark), "decontaminate-index")
@@ -137,6 +134,22 @@ def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     found = F.coalesce("items", F.array().cast("array<string>"))
     part, of = least_share
-    return out.select(F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"), F.size(found).cast("long").alias("n_items"),
+    return out.select("id", "th", "n_words", n_hit.alias("n_hit"), F.size(found).cast("long").alias("n_items"),
                       F.sha2(F.array_join(found, ","), 256).alias("items_sha256"),
                       ((n_hit > 0) & (of * n_hit >= part * F.col("n_words"))).alias("contaminated"))
+
+
+def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  least_share: tuple[int, int] = (1, 20)) -> DataFrame:
+    """One row per document: id, ``n_words``, ``n_hit``, ``n_items``,
+    ``items_sha256``, ``contaminated`` (a hit, and hit words at least
+    ``least_share`` of all)."""
+    return judged(df, benchmark, id_col, text_col, least_share).drop("th").withColumnRenamed("id", id_col)
+
+
+def decontaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   least_share: tuple[int, int] = (1, 20)) -> DataFrame:
+    """The rows of ``df`` that are not contaminated."""
+    bad = judged(df, benchmark, id_col, text_col, least_share).where("contaminated")
+    keys = written(bad.select("id", "th").distinct(), "contaminated")
+    return rows_of(df, keys, "left_anti", id_col, text_col)

@@ -28,6 +28,7 @@ from operator import eq
 from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -268,24 +269,34 @@ def fit(df: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -
     return train([(np.array(r["at"], np.int64), np.array(r["value"], float), posterior.get(r["pattern"], 0.5)) for r in rows])
 
 
-def quality_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5,
-                   weights: np.ndarray | None = None) -> DataFrame:
-    """One row per input row: id, ``quality`` (0 to 1), ``keep``."""
-    weights = fit(df, text_col) if weights is None else weights
+def scorer(weights: np.ndarray):
+    """A column function: text -> quality."""
     used = np.flatnonzero(weights)
-    sparse = (used.astype(np.int32), weights[used].astype(np.float32))
-    id_type = df.schema[id_col].dataType.simpleString()
+    at, value = used.astype(np.int32), weights[used].astype(np.float32)
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("double")
+    def quality(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         dense = np.zeros(BUCKETS + 1, np.float32)
-        dense[sparse[0]] = sparse[1]
+        dense[at] = value
         by_word = WordWeights(dense)
-        for batch in batches:
-            s = pa.array([score(t.as_py(), by_word) for t in batch.column(1)], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), s], names=["id", "quality"])
+        for texts in parts:
+            yield pd.Series([score(t, by_word) for t in texts], dtype="float64")
+
+    return quality
+
 
-    out = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(scored, f"id {id_type}, quality double")
+def quality_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5,
+                   weights: np.ndarray | None = None) -> DataFrame:
+    """One row per input row: id, ``quality`` (0 to 1), ``keep``."""
+    quality = scorer(fit(df, text_col) if weights is None else weights)
+    out = df.select(F.col(id_col).alias("id"), quality(F.col(text_col).cast("string")).alias("quality"))
     return out.select(F.col("id").alias(id_col), "quality", (F.col("quality") >= threshold).alias("keep"))
 
 
+def keep_good(df: DataFrame, text_col: str = "text", threshold: float = 0.5, weights: np.ndarray | None = None) -> DataFrame:
+    """The rows of ``df`` whose quality reaches the threshold."""
+    quality = scorer(fit(df, text_col) if weights is None else weights)
+    return df.where(quality(F.col(text_col).cast("string")) >= threshold)
+
+
 ship(__name__)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from occurrence_lake.llm.common import ship, written
+from occurrence_lake.llm.common import rows_of, ship, written
 
 TREE_SIZE = 4096
 _LOWER = bytes(range(256)).lower()
@@ -73,13 +73,16 @@ def signed(value: int) -> int:
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
-    """``id`` and ``fp`` (the 64 bits as a long) of every row.  Map only."""
+    """``id``, ``th`` (hash of the text) and ``fp`` (the 64 bits as a long)
+    of every row.  Map only."""
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = [signed(fingerprint(t.as_py(), shingle_words)) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fp, pa.int64())], names=["id", "th", "fp"])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(made, "id bigint, fp bigint")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = df.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("th"))
+    return rows.mapInArrow(made, "id bigint, th bigint, fp bigint")
 
 
 def block_edges(blocks: int) -> list[int]:
@@ -205,17 +208,34 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     raise RuntimeError(f"no fixed point after {most_rounds} rounds")
 
 
+def grouped(fps: DataFrame, radius: int) -> DataFrame:
+    """``fp``, ``first``: the least (null id last, id, ``th``) of the
+    component of every distinct fingerprint of ``fps`` (id, th, fp)."""
+    least = F.min(F.struct(F.col("id").isNull().alias("missing"), "id", "th"))
+    distinct = written(fps.groupBy("fp").agg(least.alias("first")), "simhash-distinct")
+    found = components(links(distinct.select("fp"), radius))
+    rooted = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    heads = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    return rooted.select("fp", "root").join(heads, "root").select("fp", "first")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
                     radius: int = 3) -> DataFrame:
     """One row per input row: id, ``fingerprint`` (16 hex digits) and
     ``component_id``, the smallest id reachable by links."""
     fps = written(fingerprints(df, id_col, text_col, shingle_words), "simhash")
-    distinct = written(fps.groupBy("fp").agg(F.min("id").alias("first_id")), "simhash-distinct")
-    found = components(links(distinct.select("fp"), radius))
-    rooted = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    heads = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of = written(rooted.join(heads, "root").select("fp", "component_id"), "simhash-components")
-    return (fps.join(of, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+    of = written(grouped(fps, radius).select("fp", F.col("first.id").alias("component_id")), "simhash-components")
+    return fps.join(of, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
+                radius: int = 3) -> DataFrame:
+    """The rows of ``df`` without near-duplicates: of each component the
+    document of the smallest id (null last; of equal ids the smallest hash
+    of its text; of equal rows one)."""
+    fps = written(fingerprints(df, id_col, text_col, shingle_words), "simhash")
+    heads = written(grouped(fps, radius).select("first.id", "first.th").distinct(), "simhash-heads")
+    return rows_of(df, heads, "left_semi", id_col, text_col, once=True)
 
 
 ship(__name__)

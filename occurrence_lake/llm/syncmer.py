@@ -112,7 +112,7 @@ def with_next(df: DataFrame, id_col: str, carried: list[str], tie: str) -> DataF
     number of ids that depends on the partitions, not on the rows."""
     spark = df.sparkSession
     n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = df.select(F.col(id_col).alias("id"))
+    ids = df.select(F.col(id_col).cast("bigint").alias("id"))
     cuts = ids.agg(F.percentile_approx("id", [i / n for i in range(1, n)], 10_000).alias("c")).first()["c"]
     bounds = F.array(*[F.lit(c) for c in sorted(set(cuts or []))]) if cuts else F.array().cast("array<bigint>")
     bucket = F.coalesce(F.size(F.filter(bounds, lambda b: b < F.col("id"))), F.lit(0))
@@ -125,7 +125,7 @@ def with_next(df: DataFrame, id_col: str, carried: list[str], tie: str) -> DataF
     top = F.array(*[F.lit(tops.get(b)).cast("bigint") for b in range(order[-1] + 1)])
     up = F.array(*[F.lit(above.get(b, 0)) for b in range(order[-1] + 1)])
 
-    dealt = df.withColumn("id", F.col(id_col)).withColumn("bucket", bucket)
+    dealt = df.select("*", F.col(id_col).cast("bigint").alias("id")).select("*", bucket.alias("bucket"))
     copies = F.concat(F.array(F.struct(F.col("bucket").alias("range"), F.lit(False).alias("sentinel"))),
                       F.when(F.col("id").eqNullSafe(F.get(top, F.col("bucket"))), F.array(F.struct(F.get(up, F.col("bucket")).alias("range"), F.lit(True).alias("sentinel"))))
                       .otherwise(F.array().cast("array<struct<range:int,sentinel:boolean>>")))
