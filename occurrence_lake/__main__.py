@@ -2,9 +2,10 @@
 
     python -m occurrence_lake ingest  --extracts 'landing/*.csv' --raw lake/raw
     python -m occurrence_lake run     --raw lake/raw --replies lake/replies --out lake/tables --serving lake/serving
-    python -m occurrence_lake layer   --serving lake/serving --bbox 5 45 6 46 [--taxon-key 2440940]
+    python -m occurrence_lake layer   --serving lake/serving --bbox 5 45 6 46 [--taxon-key 2440940] --output lake/box
     python -m occurrence_lake tiles   --serving lake/serving --tiles requests/ --output lake/tile_species
     python -m occurrence_lake stream  --landing landing/ --serving lake/serving
+    python -m occurrence_lake compact --serving lake/serving [--buckets 256]
 
 ``--replies`` is a Parquet or JSON-lines dataset of species-API replies
 ``(taxon_key, page, body)``; every path may be on any Hadoop file system.
@@ -19,13 +20,19 @@ import sys
 
 from occurrence_lake.config import build_session
 from occurrence_lake.functions.geo import Box
+from occurrence_lake.sinks.upsert import SERVING_BUCKETS
 
 
 def _replies(spark, path: str):
-    from occurrence_lake.sources.fixtures import parse_species_replies
+    """Name records of a reply dataset; malformed replies are reported."""
+    from occurrence_lake.sources.replies import malformed_replies, parse_species_replies
     reader = spark.read.schema("taxon_key bigint, page bigint, body string")
     df = reader.json(path) if path.endswith((".json", ".jsonl")) else spark.read.parquet(path)
-    return parse_species_replies(df.select("taxon_key", "page", "body"))
+    df = df.select("taxon_key", "page", "body")
+    seen = malformed_replies(df).first()
+    if seen["malformed"]:
+        print(json.dumps({"replies": seen["replies"], "malformed_replies": seen["malformed"]}), file=sys.stderr)
+    return parse_species_replies(df)
 
 
 def main(argv=None) -> int:
@@ -47,23 +54,34 @@ def main(argv=None) -> int:
     p.add_argument("--replies", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--serving", required=True)
+    p.add_argument("--parts", type=int, default=1, help="rows that each species' MultiPoint is split into")
+    p.add_argument("--buckets", type=int, default=SERVING_BUCKETS, help="buckets of the occurrences table when it is first made")
+    p.add_argument("--no-key-check", action="store_true")
 
     p = sub.add_parser("layer", help="species rows overlapping a box")
     p.add_argument("--serving", required=True)
     p.add_argument("--bbox", type=float, nargs=4, metavar=("MIN_LON", "MIN_LAT", "MAX_LON", "MAX_LAT"),
                    required=True)
     p.add_argument("--taxon-key", type=int, default=None)
-    p.add_argument("--output", default=None, help="write the rows as Parquet here")
+    p.add_argument("--output", required=True, help="write the rows as Parquet here")
 
     p = sub.add_parser("tiles", help="species rows overlapping each requested tile (z, x, y)")
     p.add_argument("--serving", required=True)
     p.add_argument("--tiles", required=True, help="Parquet dataset with integer columns z, x, y")
     p.add_argument("--output", required=True)
+    p.add_argument("--grid", choices=("mercator", "geographic"), default="mercator",
+                   help="tiling scheme of the requests (XYZ map requests are mercator)")
 
     p = sub.add_parser("stream", help="process every extract in a landing folder, then stop")
     p.add_argument("--landing", required=True)
     p.add_argument("--serving", required=True)
     p.add_argument("--checkpoint", default=None)
+    p.add_argument("--parts", type=int, default=1)
+    p.add_argument("--buckets", type=int, default=SERVING_BUCKETS)
+
+    p = sub.add_parser("compact", help="fold the deltas of the occurrences table into a new base")
+    p.add_argument("--serving", required=True)
+    p.add_argument("--buckets", type=int, default=None, help="new bucket count")
 
     args = ap.parse_args(argv)
     spark = build_session(args.master, shuffle_partitions=args.shuffle_partitions)
@@ -76,28 +94,27 @@ def main(argv=None) -> int:
     elif args.cmd == "run":
         from occurrence_lake.plans.assets import run
         report = run(spark, args.raw, _replies(spark, args.replies), args.out, args.serving,
-                     name_order=("page", "pos"))
-        print(json.dumps(report.row_counts))
+                     name_order=("page", "pos"), check_keys=not args.no_key_check, parts=args.parts, buckets=args.buckets)
+        print(json.dumps(report.row_counts | {"null_taxon_keys": report.null_keys}))
     elif args.cmd == "layer":
         from occurrence_lake.operators.layer import layer_bbox
         from occurrence_lake.sinks.upsert import KeyedSnapshot
         species = KeyedSnapshot(spark, f"{args.serving.rstrip('/')}/species_all_occurrence",
                                 ["taxon_key", "part"]).read()
-        rows = layer_bbox(species, Box(*args.bbox), args.taxon_key)
-        if args.output:
-            rows.write.mode("overwrite").parquet(args.output)
-        else:
-            rows.selectExpr("taxon_key", "hex(geom) AS geom").show(20, truncate=80)
+        layer_bbox(species, Box(*args.bbox), args.taxon_key).write.mode("overwrite").parquet(args.output)
     elif args.cmd == "tiles":
         from occurrence_lake.operators.layer import layer_tiles
         from occurrence_lake.sinks.upsert import KeyedSnapshot
         species = KeyedSnapshot(spark, f"{args.serving.rstrip('/')}/species_all_occurrence",
                                 ["taxon_key", "part"]).read()
-        pairs = layer_tiles(species, spark.read.parquet(args.tiles))
+        pairs = layer_tiles(species, spark.read.parquet(args.tiles), grid=args.grid)
         pairs.write.mode("overwrite").parquet(args.output)
     elif args.cmd == "stream":
         from occurrence_lake.streaming.ingest import ServingIngest
-        ServingIngest(spark, args.landing, args.serving, args.checkpoint).run_available()
+        ServingIngest(spark, args.landing, args.serving, args.checkpoint, parts=args.parts, buckets=args.buckets).run_available()
+    elif args.cmd == "compact":
+        from occurrence_lake.sinks.upsert import KeyedSnapshot
+        KeyedSnapshot(spark, f"{args.serving.rstrip('/')}/occurrences", "gbif_id").compact(args.buckets)
     return 0
 
 

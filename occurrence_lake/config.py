@@ -10,6 +10,7 @@ setting is absent (unit tests, a laptop) do we create one of our own.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -60,7 +61,6 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    shared_dir(spark)
     return spark
 
 
@@ -75,14 +75,23 @@ def _checkpoint_dir(spark: SparkSession) -> str | None:
     return jdir.get() if jdir.isDefined() else None
 
 
+def _single_machine(spark: SparkSession) -> bool:
+    master = spark.conf.get("spark.master", None) or ""
+    return re.fullmatch(r"local(\[[^\]]*\])?", master) is not None
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """The shared durable folder (``spark.checkpoint.dir``), or a path below it.
 
-    If the session names none, this is a test or single-machine run: create
-    a fresh folder once and register it as the checkpoint directory.
+    If the session names none and runs on one machine (a local master: tests,
+    a laptop), a fresh folder is created once and registered as the
+    checkpoint directory.  On a cluster that folder would be another one on
+    every machine, so a missing setting raises.
     """
     base = _checkpoint_dir(spark)
     if not base:
+        if not _single_machine(spark):
+            raise ValueError("spark.checkpoint.dir names no shared folder; set it to one that the driver and all executors reach")
         base = tempfile.mkdtemp(prefix="occlake-")
         try:
             spark.sparkContext.setCheckpointDir(base)

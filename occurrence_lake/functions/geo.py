@@ -6,7 +6,10 @@ columns are pushed to the Parquet scan, the rest runs in codegen.
 
 from __future__ import annotations
 
+import json
+import math
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -27,6 +30,10 @@ class Box:
     max_lat: float
 
 
+# Most horizontal bands that a polygon's edges are cut into.
+MAX_BANDS = 512
+
+
 # ---------------------------------------------------------------------------
 # polygons
 # ---------------------------------------------------------------------------
@@ -83,18 +90,33 @@ def inside_polygon(lon: str, lat: str, rings) -> Column:
     (half-open), so a vertex is never counted twice.  Holes are rings too.
 
     The bounding-box conjunct comes first: it is a pushed-down scan filter,
-    the crossing count runs only on what survives it.
+    the crossing count runs only on what survives it.  The edges are one
+    constant array, cut into horizontal bands of equal height; a point folds
+    over the edges of its own band only, so neither planning nor the test
+    itself grows with the whole number of edges.
     """
-    x, y = ref(lon), ref(lat)
-    terms = [f"CASE WHEN (({y} < {dbl(yi)}) <> ({y} < {dbl(yj)})) "
-             f"AND {x} < {dbl(dx)} * ({y} - {dbl(yi)}) / {dbl(dy)} + {dbl(xi)} THEN 1 ELSE 0 END"
-             for xi, yi, xj, yj, dx, dy in polygon_edges(rings)]
-    if not terms:
+    edges = polygon_edges(rings)
+    if not edges:
         return F.lit(False)
     b = polygon_box(rings)
-    return F.expr(f"({x} BETWEEN {dbl(b.min_lon)} AND {dbl(b.max_lon)} "
-                  f"AND {y} BETWEEN {dbl(b.min_lat)} AND {dbl(b.max_lat)} "
-                  f"AND ({' + '.join(terms)}) % 2 = 1)")
+    n = max(1, min(MAX_BANDS, len(edges) // 8))
+    height = (b.max_lat - b.min_lat) / n
+    bands: list[list[tuple]] = [[] for _ in range(n)]
+    for e in edges:
+        low, high = min(e[1], e[3]), max(e[1], e[3])
+        # a band more on each side: rounding never loses an edge
+        for i in range(max(0, int((low - b.min_lat) / height) - 1), min(n - 1, int((high - b.min_lat) / height) + 1) + 1):
+            bands[i].append(e)
+    flat = [[v for xi, yi, _, yj, dx, dy in band for v in (xi, yi, yj, dx, dy)] for band in bands]
+    # one string literal, folded to a constant array when the plan is made
+    table = f"from_json('{json.dumps(flat)}', 'array<array<double>>')"
+    x, y = ref(lon), ref(lat)
+    mine = f"get({table}, CAST(least(greatest(floor(({y} - {dbl(b.min_lat)}) / {dbl(height)}), 0), {n - 1}) AS INT))"
+    crossed = ("((p.y < p.e[i + 1]) <> (p.y < p.e[i + 2])) "
+               "AND p.x < p.e[i + 3] * (p.y - p.e[i + 1]) / p.e[i + 4] + p.e[i]")
+    count = F.expr(f"get(transform(array(named_struct('x', {x}, 'y', {y}, 'e', {mine})), p -> CASE WHEN size(p.e) = 0 THEN 0 "
+                   f"ELSE size(filter(sequence(0, size(p.e) - 5, 5), i -> {crossed})) END), 0)")
+    return inside_box(lon, lat, b) & (count % 2 == 1)
 
 
 def inside_geometry(lon, lat, wkt: str) -> Column:
@@ -145,3 +167,37 @@ def tile_x(lon, z) -> Column:
 
 def tile_y(lat, z) -> Column:
     return F.floor((F.lit(90.0) - _col(lat)) / tile_size(z))
+
+
+# ---------------------------------------------------------------------------
+# Tile grids of the many-tiles join.  Both are quad trees over a unit
+# square (the geographic one: two squares side by side).
+# ---------------------------------------------------------------------------
+MERCATOR_MAX_LAT = 85.05112877980659  # the latitude at which the square ends
+
+
+def mercator_bounds(z, x, y) -> dict:
+    """Longitude/latitude box of a Web Mercator tile."""
+    n = F.pow(F.lit(2.0), _col(z).cast("double"))
+    lat = lambda row: F.degrees(F.atan(F.sinh(F.lit(math.pi) * (F.lit(1.0) - F.lit(2.0) * row / n))))
+    x, y = _col(x), _col(y)
+    return {"min_lon": x / n * 360.0 - 180.0, "max_lon": (x + 1) / n * 360.0 - 180.0, "max_lat": lat(y), "min_lat": lat(y + 1)}
+
+
+def _geographic_unit(lon: Column, lat: Column) -> tuple[Column, Column]:
+    return (lon + 180.0) / 180.0, (F.lit(90.0) - lat) / 180.0
+
+
+def _mercator_unit(lon: Column, lat: Column) -> tuple[Column, Column]:
+    clipped = F.least(F.greatest(lat, F.lit(-MERCATOR_MAX_LAT)), F.lit(MERCATOR_MAX_LAT))
+    return (lon + 180.0) / 360.0, (F.lit(1.0) - F.asinh(F.tan(F.radians(clipped))) / math.pi) / 2.0
+
+
+@dataclass(frozen=True)
+class TileGrid:
+    width: int            # squares side by side at level 0
+    to_unit: Callable     # (lon, lat) -> (u east, v south)
+    bounds: Callable      # (z, x, y) -> box columns
+
+
+GRIDS = {"geographic": TileGrid(2, _geographic_unit, tile_bounds), "mercator": TileGrid(1, _mercator_unit, mercator_bounds)}

@@ -61,19 +61,6 @@ def _bits_from_parts_sql(x: str, a: str, e0: str, m0: str) -> str:
     return f"(({magnitude}) | CASE WHEN {negative} THEN shiftleft(1L, 63) ELSE 0L END)"
 
 
-def double_bits_sql(x: str) -> str:
-    """SQL for the raw IEEE-754 bits of a double, as a signed BIGINT, in one
-    expression.  NaN maps to the canonical quiet NaN (``doubleToLongBits``)."""
-    x = _ref(x)
-    a = f"abs({x})"
-    e0 = _exponent_guess_sql(a)
-    return _bits_from_parts_sql(x, a, e0, f"({a} / power(2.0D, {e0}))")
-
-
-def double_bits(x: str) -> Column:
-    return F.expr(double_bits_sql(x))
-
-
 def _bits_to_double_sql(hi32: str, lo32: str) -> str:
     sign = f"(shiftright({hi32}, 31) & 1L)"
     exp = f"(shiftright({hi32}, 20) & 2047L)"
@@ -124,26 +111,8 @@ def _u32_sql(h: str, pos: int) -> str:
             f"ELSE {_half_sql(h, pos)} END")
 
 
-def _double_at_sql(h: str, pos: int) -> str:
-    hi, lo = _hi_lo_sql(f"substring({h}, 1, 2) = '01'", _half_sql(h, pos), _half_sql(h, pos + 8))
-    return _bits_to_double_sql(hi, lo)
-
-
-# ---------------------------------------------------------------------------
-# EXP-4 / EXP-5: encode
-# ---------------------------------------------------------------------------
-def point_wkb_sql(lon: str, lat: str) -> str:
-    return (f"unhex(concat('{POINT_HEADER_HEX}', {le_hex64_sql(double_bits_sql(lon))}, "
-            f"{le_hex64_sql(double_bits_sql(lat))}))")
-
-
-def point_wkb(lon: str, lat: str) -> Column:
-    """WKB Point, x = longitude first.  NULL if either coordinate is NULL."""
-    return F.expr(point_wkb_sql(lon, lat))
-
-
 # ---------------------------------------------------------------------------
-# Staged forms.  One expression for a whole point grows past what the code
+# EXP-4 / EXP-5: encode.  Staged forms.  One expression for a whole point grows past what the code
 # generator compiles into one method (Spark then falls back to the slow
 # interpreted path).  The staged forms compute each intermediate once, in
 # its own projection; since every intermediate is used several times,
@@ -198,25 +167,12 @@ def _hex_of(wkb: str) -> str:
     return f"hex({_ref(wkb)})"
 
 
-def wkb_geometry_type(wkb: str) -> Column:
-    """The geometry type code (1 Point, 4 MultiPoint, ...) of a WKB value."""
-    return F.expr(_u32_sql(_hex_of(wkb), 3))
-
-
 def point_is_valid(wkb: str) -> Column:
     h = _hex_of(wkb)
     return F.expr(f"(length({_ref(wkb)}) = {POINT_BYTES} AND substring({h}, 1, 2) IN ('00', '01') "
                   f"AND {_u32_sql(h, 3)} = 1L)")
 
 
-def point_x(wkb: str) -> Column:
-    return F.expr(_double_at_sql(_hex_of(wkb), 11))
-
-
-def point_y(wkb: str) -> Column:
-    return F.expr(_double_at_sql(_hex_of(wkb), 27))
-
-
 def _multipoint_count_sql(wkb: str) -> str:
     return _u32_sql(_hex_of(wkb), 11)
 

@@ -13,9 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from occurrence_lake.functions.geo import Box, envelope_overlaps, envelopes_overlap, tile_bounds, tile_size
+from occurrence_lake.functions.geo import GRIDS, Box, TileGrid, envelope_overlaps, envelopes_overlap
+from occurrence_lake.operators.multipoint import species_extents
 
 MAX_LEVEL = 30
+# Levels with so few cells that one may meet a large share of all rows.
+SALTED_LEVEL, SALTS = 3, 16
 _EDGE = 1e-9  # cell units; widens a cell range so touching cells are candidates
 
 
@@ -53,96 +56,97 @@ def envelope_zorder_sql(level: int = CLUSTER_LEVEL) -> str:
 
 
 def layer_bbox(species: DataFrame, box: Box, taxon_key: int | None = None,
-               geom: str = "all_occurrence_coordinates") -> DataFrame:
+               geom: str = "all_occurrence_coordinates", extents: DataFrame | None = None) -> DataFrame:
     """FLT-5 + FLT-6: the layer rows for one box, optionally one taxon.
 
-    An absent parameter adds no predicate at all (not ``taxon_key = NULL``).
+    A species is chosen by its own envelope (``extents``, one row per
+    species; derived from the parts when not given) and comes back with all
+    its parts.  An absent parameter adds no predicate at all (not
+    ``taxon_key = NULL``).
     """
     cond = envelope_overlaps("min_lon", "min_lat", "max_lon", "max_lat", box)
     if taxon_key is not None:
-        cond = cond & (F.col("taxon_key") == F.lit(int(taxon_key)))
-    return species.filter(cond).select("taxon_key", F.col(geom).alias("geom"))
+        wanted = F.col("taxon_key") == F.lit(int(taxon_key))
+        species = species.filter(wanted)
+        extents = extents.filter(wanted) if extents is not None else None
+    chosen = (species_extents(species) if extents is None else extents).filter(cond).select("taxon_key")
+    return species.join(chosen, "taxon_key", "left_semi").select("taxon_key", F.col(geom).alias("geom"))
 
 
 # ---------------------------------------------------------------------------
 # JOIN-4: many tiles at once
 # ---------------------------------------------------------------------------
-def _cells(level, env) -> dict:
-    """Index range of the grid cells at ``level`` touched by an envelope."""
-    size = tile_size(level)
+def _explode_cells(df: DataFrame, level, grid: TileGrid) -> DataFrame:
+    """A row per grid cell at ``level`` that an envelope (u0..v1) touches."""
+    size = F.pow(F.lit(2.0), -level.cast("double"))
     top = F.pow(F.lit(2.0), level.cast("double")).cast("long")
-    def clamp(v, hi):
-        return F.least(F.greatest(v, F.lit(0).cast("long")), hi - 1)
-    return {
-        "x0": clamp(F.floor((env["min_lon"] + 180.0) / size - _EDGE), top * 2),
-        "x1": clamp(F.floor((env["max_lon"] + 180.0) / size + _EDGE), top * 2),
-        "y0": clamp(F.floor((F.lit(90.0) - env["max_lat"]) / size - _EDGE), top),
-        "y1": clamp(F.floor((F.lit(90.0) - env["min_lat"]) / size + _EDGE), top),
-    }
 
+    def cells(low, high, n):
+        clamp = lambda v: F.least(F.greatest(v, F.lit(0).cast("long")), n - 1)
+        return F.sequence(clamp(F.floor(low / size - _EDGE)), clamp(F.floor(high / size + _EDGE)))
 
-def _explode_cells(df: DataFrame, level_col: str) -> DataFrame:
-    env = {c: F.col(c) for c in ("min_lon", "min_lat", "max_lon", "max_lat")}
-    r = _cells(F.col(level_col), env)
-    return (df.withColumn("cx", F.explode(F.sequence(r["x0"], r["x1"])))
-              .withColumn("cy", F.explode(F.sequence(r["y0"], r["y1"]))))
+    return (df.withColumn("cx", F.explode(cells(F.col("u0"), F.col("u1"), top * grid.width)))
+              .withColumn("cy", F.explode(cells(F.col("v0"), F.col("v1"), top))))
 
 
-def layer_tiles(species: DataFrame, tiles: DataFrame, key_cols=("taxon_key", "part"),
-                zooms=None, max_level: int = MAX_LEVEL) -> DataFrame:
-    """JOIN-4: every (tile, species row) whose envelope overlaps the tile.
+def _levels(df: DataFrame, column: str) -> DataFrame:
+    """The levels that occur.  At most ``MAX_LEVEL + 1`` rows (levels are
+    checked when they are made), so they are broadcast."""
+    return F.broadcast(df.select(F.col(column).alias("level")).distinct())
 
-    ``tiles`` holds ``(z, x, y)`` in the geographic quad grid.  Each envelope
-    is placed at its own level, the finest whose cell is at least as large
-    as the envelope, where it touches at most 3 x 3 cells.
+
+def layer_tiles(species: DataFrame, tiles: DataFrame, key: str = "taxon_key", grid: str = "geographic",
+                extents: DataFrame | None = None) -> DataFrame:
+    """JOIN-4: every (tile, species) whose envelopes overlap, once.
+
+    ``tiles`` holds ``(z, x, y)`` of the geographic quad grid or, with
+    ``grid="mercator"``, of Web Mercator (the usual XYZ requests of a map).
+    Each envelope is placed at its own level, the finest whose cell is at
+    least as large as the envelope, where it touches at most 3 x 3 cells.
 
     * kind A, envelope level <= tile zoom: the tile's ancestor cell at the
       envelope's level must be one of the envelope's cells;
     * kind B, envelope level  > tile zoom: the tile must be one of the cells
       the envelope touches at the tile's zoom (again at most 3 x 3).
 
-    Both are equality matches on (kind, level, cx, cy), one hash join with no
-    nested loop; the exact overlap test then removes the near misses, and
-    each pair is found once.  Rows per envelope are bounded by 9 x (1 +
-    number of zoom levels), rows per tile by its zoom + 2.  ``zooms`` lists
-    the zoom levels present in ``tiles``; when omitted they are read from it
-    (at most 31 values).
+    Both are equality matches on (kind, level, cx, cy, salt): one hash join
+    with no nested loop; the exact overlap test then removes the near misses.
+    Ancestors are made only for envelope levels that occur, envelope cells
+    only for zooms that occur.  Levels up to ``SALTED_LEVEL`` have few cells,
+    so the many-rows side of each kind is dealt over ``SALTS`` salts there and
+    the other side repeated.  A zoom outside 0..``MAX_LEVEL`` raises.
     """
-    if zooms is None:
-        zooms = [int(r[0]) for r in tiles.select("z").distinct().collect()]
-    zooms = sorted({int(z) for z in zooms})
-    if any(z < 0 or z > max_level for z in zooms):
-        raise ValueError(f"tile zoom outside 0..{max_level}: {zooms}")
-    width = F.greatest(F.col("max_lon") - F.col("min_lon"), F.col("max_lat") - F.col("min_lat"))
-    own_level = F.when(width <= 0.0, F.lit(max_level)).otherwise(
-        F.least(F.greatest(F.floor(F.log2(F.lit(180.0) / width)), F.lit(0)), F.lit(max_level))).cast("int")
-
-    # envelope side: its own level (kind A) and every tile zoom coarser than
-    # that level (kind B), from one pass over the species rows
-    choices = [F.struct(F.lit("A").alias("kind"), F.lit(-1).alias("level"))] + [
-        F.struct(F.lit("B").alias("kind"), F.lit(z).alias("level")) for z in zooms]
-    env = (species.filter(F.col("min_lon").isNotNull())
-           .select(*key_cols, "min_lon", "min_lat", "max_lon", "max_lat", own_level.alias("env_level"))
-           .withColumn("c", F.explode(F.array(*choices)))
-           .filter((F.col("c.kind") == "A") | (F.col("c.level") < F.col("env_level")))
-           .withColumn("kind", F.col("c.kind"))
-           .withColumn("level", F.when(F.col("c.kind") == "A", F.col("env_level")).otherwise(F.col("c.level")))
-           .drop("c"))
-    env_cells = _explode_cells(env, "level")
-
-    # tile side: ancestors at levels 0..z (kind A) and the tile itself (kind
-    # B, as level z + 1 before relabelling), one pass over the tiles
-    t = tiles.select(F.col("z").cast("int").alias("z"), F.col("x").cast("long").alias("x"),
-                     F.col("y").cast("long").alias("y"))
-    t = t.withColumn("lv", F.explode(F.sequence(F.lit(0), F.col("z") + 1)))
-    is_self = F.col("lv") == F.col("z") + 1
-    tile_cells = (t.withColumn("kind", F.when(is_self, F.lit("B")).otherwise(F.lit("A")))
-                   .withColumn("level", F.when(is_self, F.col("z")).otherwise(F.col("lv")))
-                   .withColumn("cx", F.expr("shiftright(x, z - least(lv, z))"))
-                   .withColumn("cy", F.expr("shiftright(y, z - least(lv, z))"))
-                   .drop("lv"))
-
-    joined = tile_cells.join(env_cells, on=["kind", "level", "cx", "cy"], how="inner")
-    bounds = tile_bounds(F.col("z"), F.col("x"), F.col("y"))
+    g = GRIDS[grid]
+    zoom = F.col("z").cast("int")
+    checked = F.when(zoom.between(0, MAX_LEVEL), zoom).otherwise(
+        F.raise_error(F.concat(F.lit(f"tile zoom outside 0..{MAX_LEVEL}: "), F.coalesce(zoom.cast("string"), F.lit("null")))))
+    t = tiles.select(checked.alias("z"), F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"))
+
+    u0, v0 = g.to_unit(F.col("min_lon"), F.col("max_lat"))
+    u1, v1 = g.to_unit(F.col("max_lon"), F.col("min_lat"))
+    env = (species_extents(species, key) if extents is None else extents).filter(F.col("min_lon").isNotNull())
+    env = env.select(key, "min_lon", "min_lat", "max_lon", "max_lat", u0.alias("u0"), u1.alias("u1"), v0.alias("v0"), v1.alias("v1"))
+    width = F.greatest(F.col("u1") - F.col("u0"), F.col("v1") - F.col("v0"))
+    own = F.when(width <= 0.0, F.lit(MAX_LEVEL)).otherwise(
+        F.least(F.greatest(F.floor(-F.log2(width)), F.lit(0)), F.lit(MAX_LEVEL))).cast("int")
+    env = env.withColumn("env_level", own)
+
+    deal = lambda hashed: F.when(F.col("level") <= SALTED_LEVEL, F.pmod(hashed, F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    repeat = F.explode(F.when(F.col("level") <= SALTED_LEVEL, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+
+    at_own = env.withColumn("kind", F.lit("A")).withColumn("level", F.col("env_level")).withColumn("salt", repeat)
+    coarser = (env.filter("env_level > 0").withColumn("level", F.explode(F.sequence(F.lit(0), F.col("env_level") - 1)))
+               .join(_levels(t, "z"), "level").withColumn("kind", F.lit("B")).withColumn("salt", deal(F.xxhash64(key))))
+    env_cells = _explode_cells(at_own.unionByName(coarser), F.col("level"), g)
+
+    up = F.col("z") - F.col("level")
+    ancestors = (t.withColumn("level", F.explode(F.sequence(F.lit(0), F.col("z")))).join(_levels(env, "env_level"), "level")
+                 .withColumn("kind", F.lit("A")).withColumn("cx", F.call_function("shiftright", F.col("x"), up))
+                 .withColumn("cy", F.call_function("shiftright", F.col("y"), up)).withColumn("salt", deal(F.xxhash64("z", "x", "y"))))
+    selves = (t.withColumn("kind", F.lit("B")).withColumn("level", F.col("z")).withColumn("cx", F.col("x"))
+              .withColumn("cy", F.col("y")).withColumn("salt", repeat))
+    tile_cells = ancestors.unionByName(selves)
+
+    joined = tile_cells.join(env_cells, on=["kind", "level", "cx", "cy", "salt"], how="inner")
     envd = {c: F.col(c) for c in ("min_lon", "min_lat", "max_lon", "max_lat")}
-    return joined.filter(envelopes_overlap(envd, bounds)).select("z", "x", "y", *key_cols)
+    return joined.filter(envelopes_overlap(envd, g.bounds(F.col("z"), F.col("x"), F.col("y")))).select("z", "x", "y", key)

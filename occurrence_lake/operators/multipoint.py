@@ -1,17 +1,15 @@
 """AGG-3/4/5: every sighting of a species as one WKB MultiPoint.
 
-A species is a group, and one group could hold a third of all rows.  To
-keep every aggregate value and every task bounded, a species with more than
-``max_points_per_part`` sightings is split into ``ceil(n / max)`` parts by a
-hash of the occurrence id; every other species (at the test scales: all of
-them) comes out as exactly one part, byte-identical to ``ST_Collect``.  The
-union of a species' parts is always the whole set of its points; nothing is
-dropped or sampled.
-
-Plan: a one-column count per species (partial aggregate, tiny output) picks
-the oversized species; AQE broadcasts that list when it is small (it has at
-most total_rows / max_points_per_part rows) and otherwise sort-merge joins
-it.  Then a single shuffle on (taxon_key, part) with a partial ``listagg``.
+A species is a group, and one group could hold a third of all rows.
+``parts`` (chosen by the caller, the same for every species and every size
+of the data) splits each species by a hash of the occurrence id into at most
+that many rows ``(key, part)``; the union of a species' parts is always the
+whole set of its points.  ``parts=1`` gives one row per species,
+byte-identical to ``ST_Collect``; a MultiPoint past Spark's 2 GB value limit
+then fails with Spark's error instead of changing its key.
+
+Plan: a single shuffle on (key, part) with a partial ``listagg``.  The
+envelope of a species is an aggregate of its parts' (``species_extents``).
 """
 
 from __future__ import annotations
@@ -22,31 +20,23 @@ from pyspark.sql import functions as F
 from occurrence_lake.functions.wkb import collect_points_sql, multipoint_wkb, with_point_xy
 from occurrence_lake.schema import SRID
 
-# 4M points = 84 MB of WKB per value: far below Spark's 2 GB value limit and
-# small enough to sort inside one task.
-MAX_POINTS_PER_PART = 4_000_000
+EXTENT = ["min_lon", "min_lat", "max_lon", "max_lat"]
 
 
-def assign_parts(points: DataFrame, key: str = "taxon_key", id_col: str = "gbif_id",
-                 geom: str = "coordinates", max_points_per_part: int = MAX_POINTS_PER_PART) -> DataFrame:
-    """Add ``part``: 0 for species within the bound, a hash bucket otherwise."""
-    oversized = (points.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-                 .filter(F.col("_n") > F.lit(max_points_per_part))
-                 .select(key, F.ceil(F.col("_n") / F.lit(float(max_points_per_part))).alias("_parts")))
-    tagged = points.join(oversized, on=key, how="left")
-    part = (F.when(F.col("_parts").isNull() | F.col(geom).isNull(), F.lit(0).cast("long"))
-            .otherwise(F.pmod(F.xxhash64(F.col(id_col)), F.col("_parts"))))
-    return tagged.withColumn("part", part).drop("_parts")
+def part_of(id_col: str, geom: str, parts: int):
+    """The part of a sighting; sightings without a point are in part 0."""
+    if parts < 1:
+        raise ValueError(f"parts must be at least 1, not {parts}")
+    return F.when(F.col(geom).isNull(), F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64(F.col(id_col)), F.lit(int(parts)).cast("long")))
 
 
 def species_all_occurrence(points: DataFrame, key: str = "taxon_key", geom: str = "coordinates",
                            id_col: str = "gbif_id", lon: str | None = None, lat: str | None = None,
-                           max_points_per_part: int = MAX_POINTS_PER_PART,
-                           out: str = "all_occurrence_coordinates") -> DataFrame:
+                           parts: int = 1, out: str = "all_occurrence_coordinates") -> DataFrame:
     """``(key, part, n_points, <out> MultiPoint WKB, min/max lon/lat)``.
 
     Points are ordered by their WKB bytes inside a MultiPoint (the reference
-    leaves the order unspecified).  NULL points are skipped; a species whose
+    leaves the order unspecified).  NULL points are skipped; a part whose
     points are all NULL gets the empty MultiPoint and a NULL envelope.  The
     envelope comes from ``lon``/``lat`` when given, else from the WKB.
     """
@@ -55,15 +45,19 @@ def species_all_occurrence(points: DataFrame, key: str = "taxon_key", geom: str
     else:
         pts = with_point_xy(points.select(key, id_col, geom), geom, "_x", "_y")
     present = F.col(geom).isNotNull()
-    pts = pts.select(key, id_col, geom, F.when(present, F.col("_x")).alias("_x"),
+    pts = pts.select(key, geom, part_of(id_col, geom, parts).alias("part"), F.when(present, F.col("_x")).alias("_x"),
                      F.when(present, F.col("_y")).alias("_y"))
-    tagged = assign_parts(pts, key, id_col, geom, max_points_per_part)
-    agg = tagged.groupBy(key, "part").agg(
+    agg = pts.groupBy(key, "part").agg(
         F.count(geom).alias("n_points"),
         collect_points_sql(geom).alias("_body"),
         F.min("_x").alias("min_lon"), F.min("_y").alias("min_lat"),
         F.max("_x").alias("max_lon"), F.max("_y").alias("max_lat"),
     )
     meta = {"encoding": "WKB", "geometry_type": "MultiPoint", "srid": SRID}
-    return agg.select(key, "part", "n_points", multipoint_wkb("n_points", "_body").alias(out, metadata=meta),
-                      "min_lon", "min_lat", "max_lon", "max_lat")
+    return agg.select(key, "part", "n_points", multipoint_wkb("n_points", "_body").alias(out, metadata=meta), *EXTENT)
+
+
+def species_extents(species: DataFrame, key: str = "taxon_key") -> DataFrame:
+    """One envelope per species, from the envelopes of its parts."""
+    return species.groupBy(key).agg(F.min("min_lon").alias("min_lon"), F.min("min_lat").alias("min_lat"),
+                                    F.max("max_lon").alias("max_lon"), F.max("max_lat").alias("max_lat"))

@@ -32,7 +32,10 @@ def first_name_per_language(records: DataFrame, order_by=("seq",), key: str = "t
 
 def vernacular_names(keys: DataFrame, records: DataFrame, order_by=("seq",)) -> DataFrame:
     """JOIN-3 + SNK-5: every key, with its three names or NULLs; INTEGER key."""
-    names = first_name_per_language(records, order_by)
+    # names nobody asked for go before the aggregation; the join brings the
+    # keys without any back
+    useful = records.filter(F.col("language").isin(LANGUAGES) & F.col("name").isNotNull())
+    names = first_name_per_language(useful, order_by)
     return (keys.join(names, on="taxon_key", how="left")
             .select(narrow_to_int("taxon_key", "taxon_key").alias("taxon_key"), *NAME_COLUMNS))
 

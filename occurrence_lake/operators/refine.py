@@ -16,8 +16,7 @@ from occurrence_lake.schema import MEASURES
 # kingdom "Animalia"; the extract carries the name, not the key.
 # ---------------------------------------------------------------------------
 ACQUISITION_COUNTRY = "FR"
-ACQUISITION_POLYGON = ("POLYGON((4.63127 44.84424,7.5505 44.84424,7.5505 46.81983,"
-                       "4.63127 46.81983,4.63127 44.84424))")
+ACQUISITION_POLYGON = "POLYGON((4.63127 44.84424,7.5505 44.84424,7.5505 46.81983,4.63127 46.81983,4.63127 44.84424))"
 ACQUISITION_KINGDOM = "Animalia"
 YEARS = [2015, 2016, 2017, 2018, 2019, 2020, 2021, 2022, 2023, 2024, 2025]
 

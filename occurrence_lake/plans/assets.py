@@ -1,7 +1,7 @@
 """The pipeline's tables as one lazy DataFrame graph, and a runner that
 materialises it.
 
-``build_assets`` only declares plans; Catalyst sees the whole chain, so a
+``LazyAssets`` only declares plans; Catalyst sees the whole chain, so a
 filter or column list chosen downstream reaches the raw scan.  ``run``
 writes each table once (Parquet, counted while writing) and reads the next
 stage from what was written: this cuts lineage, and a lost executor only
@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from occurrence_lake.functions.scalars import narrow_to_int
 from occurrence_lake.functions.wkb import require_valid, with_point_wkb
@@ -20,33 +21,25 @@ from occurrence_lake.operators import multipoint, names, refine
 from occurrence_lake.operators.layer import envelope_zorder_sql
 from occurrence_lake.operators.constraints import assert_primary_key
 from occurrence_lake.operators.metrics import preview
-from occurrence_lake.schema import RAW_SCHEMA
-from occurrence_lake.sinks.parquet import write_table, write_years
+from occurrence_lake.schema import VERNACULAR_SCHEMA
+from occurrence_lake.sinks.parquet import fill_declared, materialize, write_table, write_years
 from occurrence_lake.sinks.upsert import SERVING_BUCKETS, KeyedSnapshot
 from occurrence_lake.sources.parquet import read_raw_years
 from occurrence_lake.sources.tsv import read_occurrence_tsv
 
 
-def build_assets(raw: DataFrame, name_records: DataFrame, name_order=("seq",),
-                 max_points_per_part: int = multipoint.MAX_POINTS_PER_PART) -> dict[str, DataFrame]:
-    """Every table of the pipeline, derived lazily from the raw occurrences
-    and the vernacular-name records."""
-    assets = LazyAssets(lambda: raw, lambda: name_records, name_order, max_points_per_part)
-    return dict(assets.items())
-
-
 class LazyAssets:
-    """The same tables as ``build_assets``, each built on first use only.
+    """Every table of the pipeline, derived lazily from the raw occurrences
+    and the vernacular-name records, each built on first use only.
 
     Building a DataFrame costs driver round trips for analysis, so a query
     that needs two tables should not pay for nine.
     """
 
-    def __init__(self, raw_fn, records_fn, name_order=("seq",),
-                 max_points_per_part: int = multipoint.MAX_POINTS_PER_PART):
+    def __init__(self, raw_fn, records_fn, name_order=("seq",), parts: int = 1):
         self._fns = {"raw_occurrences": raw_fn, "_records": records_fn}
         self._name_order = name_order
-        self._max_points = max_points_per_part
+        self._parts = parts
         self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -80,7 +73,7 @@ class LazyAssets:
             return multipoint.species_all_occurrence(
                 with_point_wkb(f.select("gbif_id", "taxon_key", "decimal_longitude", "decimal_latitude"),
                                "decimal_longitude", "decimal_latitude", "coordinates"),
-                lon="decimal_longitude", lat="decimal_latitude", max_points_per_part=self._max_points)
+                lon="decimal_longitude", lat="decimal_latitude", parts=self._parts)
         if name == "species_names":
             return names.species_names(self["scientific_names"], self["vernacular_names"])
         if name == "occurrences":
@@ -92,12 +85,14 @@ class LazyAssets:
 class RunReport:
     row_counts: dict[str, int] = field(default_factory=dict)
     previews: dict[str, list] = field(default_factory=dict)
+    null_keys: int = 0
 
 
 def ingest_extracts(spark: SparkSession, tsv_paths, raw_root: str, check_keys: bool = True,
                     acquire: bool = False, replace: bool = True) -> int:
     """Yearly extracts (TSV) -> raw Parquet partitioned by year (SRC-1, SNK-2).
 
+    The text is parsed once, into staged Parquet; a malformed row aborts.
     With ``check_keys`` a NULL or repeated ``gbif_id`` within a year aborts
     the load before anything is written (CON-1, the yearly table's primary
     key); the check is one aggregation pass, combinable on the map side.
@@ -112,49 +107,62 @@ def ingest_extracts(spark: SparkSession, tsv_paths, raw_root: str, check_keys: b
 
 
 def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: str,
-        serving_root: str | None = None, name_order=("seq",)) -> RunReport:
+        serving_root: str | None = None, name_order=("seq",), check_keys: bool = True, parts: int = 1,
+        buckets: int = SERVING_BUCKETS) -> RunReport:
     """Materialise every table under ``out_root`` and upsert the three
-    serving tables under ``serving_root``.  Returns counts and previews."""
+    serving tables under ``serving_root``.  Returns counts and previews.
+
+    ``raw_occurrences`` stays the yearly dataset itself (SRC-3), so a year
+    filter on it prunes directories.  With ``check_keys`` a ``gbif_id`` that
+    is NULL or stored twice in the union of the years aborts (CON-1).  Rows
+    without a taxon key are set aside under ``<out_root>/null_taxon_keys``
+    and counted, instead of ending the run at the serving table's key."""
     out = out_root.rstrip("/")
     report = RunReport()
 
-    def save(name: str, df: DataFrame, sort_by=None) -> DataFrame:
+    def save(name: str, df: DataFrame, sort_by=None, key: str = "taxon_key") -> DataFrame:
         path = f"{out}/{name}"
         report.row_counts[name] = write_table(df, path, name, sort_by)
         saved = spark.read.parquet(path)
-        report.previews[name] = [r.asDict() for r in preview(saved).collect()]
+        report.previews[name] = [r.asDict() for r in preview(saved, order_by=key).collect()]
         return saved
 
-    raw = save("raw_occurrences", read_raw_years(spark, raw_root).select(*RAW_SCHEMA.names))
-    filtered = save("filtered_occurrences", refine.filtered_occurrences(raw), ["taxon_key"])
-    geospatial = save("geospatial_occurrences", refine.geospatial_occurrences(filtered), ["taxon_key"])
+    raw = materialize(read_raw_years(spark, raw_root), "raw_occurrences")
+    if check_keys:
+        assert_primary_key(raw, "gbif_id")
+    report.row_counts["raw_occurrences"] = raw.count()   # answered from file footers
+    report.previews["raw_occurrences"] = [r.asDict() for r in preview(raw, order_by="gbif_id").collect()]
+    everything = refine.filtered_occurrences(raw)
+    report.null_keys = write_table(everything.filter(F.col("taxon_key").isNull()), f"{out}/null_taxon_keys", "null_taxon_keys")
+    filtered = save("filtered_occurrences", everything.filter(F.col("taxon_key").isNotNull()), ["taxon_key"], "gbif_id")
+    geospatial = save("geospatial_occurrences", refine.geospatial_occurrences(filtered), ["taxon_key"], "gbif_id")
     keys = save("unique_taxon_keys", refine.unique_taxon_keys(filtered))
-    vernacular = save("vernacular_names", names.vernacular_names(keys, name_records, name_order))
+    vernacular = save("vernacular_names", fill_declared(
+        spark, names.vernacular_names(keys, name_records, name_order), VERNACULAR_SCHEMA, "taxon_key"))
     scientific = save("scientific_names", names.scientific_names(keys, raw))
     # same rows as from ``geospatial``, but the envelope comes straight from
     # lon/lat instead of decoding every stored point
     species = multipoint.species_all_occurrence(
         with_point_wkb(filtered.select("gbif_id", "taxon_key", "decimal_longitude", "decimal_latitude"),
                        "decimal_longitude", "decimal_latitude", "coordinates"),
-        lon="decimal_longitude", lat="decimal_latitude")
+        lon="decimal_longitude", lat="decimal_latitude", parts=parts)
 
     if serving_root:
         root = serving_root.rstrip("/")
-        # A species' MultiPoint parts are replaced together (a species that
-        # now needs fewer parts leaves none behind); species absent from
-        # this run keep their rows, as an ON CONFLICT upsert keeps them.
+        # The parts of a species are replaced together (a run with fewer
+        # parts leaves none behind); species absent from this run keep their
+        # rows, as an ON CONFLICT upsert keeps them.
         species_snap = KeyedSnapshot(spark, f"{root}/species_all_occurrence", ["taxon_key", "part"],
-                                     cluster_by_sql=envelope_zorder_sql())
+                                     cluster_by_sql=envelope_zorder_sql(), group="taxon_key")
         # WKB read back from storage is checked as a typed geometry column would
         species_rows = require_valid(species.withColumn("taxon_key", narrow_to_int("taxon_key")),
                                      "all_occurrence_coordinates", "MultiPoint")
-        tables = {"species_all_occurrence": species_snap.replace_groups(species_rows, "taxon_key")}
+        tables = {"species_all_occurrence": species_snap.replace_groups(species_rows)}
         tables["species_names"] = KeyedSnapshot(spark, f"{root}/species_names", "taxon_key").upsert(
             names.species_names(scientific, vernacular), order_by=["scientific_name"], pick="first")
-        tables["occurrences"] = KeyedSnapshot(spark, f"{root}/occurrences", "gbif_id",
-                                              buckets=SERVING_BUCKETS).upsert(
+        tables["occurrences"] = KeyedSnapshot(spark, f"{root}/occurrences", "gbif_id", buckets=buckets).upsert(
             require_valid(refine.serving_occurrences(geospatial), "coordinates", "Point"))
         for name, table in tables.items():
             report.row_counts[name] = table.count()
-            report.previews[name] = [r.asDict() for r in preview(table).collect()]
+            report.previews[name] = [r.asDict() for r in preview(table, order_by="gbif_id" if name == "occurrences" else "taxon_key").collect()]
     return report

@@ -9,21 +9,23 @@ the base tables are registered for DuckDB.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occurrence_lake.config import scratch_path
-from occurrence_lake.functions.geo import Box, parse_wkt_polygon, polygon_edges, tile_x, tile_y
+from occurrence_lake.functions.geo import GRIDS, Box, parse_wkt_polygon, polygon_edges, tile_x, tile_y
 from occurrence_lake.functions.wkb import multipoint_points, with_point_xy
 from occurrence_lake.operators import constraints, layer, metrics, names, refine
 from occurrence_lake.plans.assets import LazyAssets
-from occurrence_lake.schema import MEASURES
-from occurrence_lake.sinks.parquet import write_years
+from occurrence_lake.schema import MEASURES, RAW_NAMES, VERNACULAR_SCHEMA
+from occurrence_lake.sinks.parquet import fill_declared, materialize, write_table, write_years
 from occurrence_lake.sinks.upsert import SERVING_BUCKETS, KeyedSnapshot
 from occurrence_lake.sources import fixtures
 from occurrence_lake.sources.parquet import read_raw_years
+from occurrence_lake.sources.replies import malformed_replies, parse_species_replies
 from occurrence_lake.sources.tsv import read_occurrence_tsv, write_occurrence_tsv
 from occurrence_lake.streaming.ingest import ServingIngest
 
@@ -42,11 +44,28 @@ UPSERT_FIRST_LAST_YEAR = 2020   # initial snapshot: years <= this
 UPSERT_BATCH_FROM_YEAR = 2019   # batch: years >= this, depth set to 1
 UPSERT_RESEND_YEAR = 2022       # re-sent later in the same batch with NULL elevation
 STREAM_FIRST_DROP_LAST_YEAR = 2020
+MANY_PARTS = 8
+MERCATOR_ZOOMS = [2, 6, 9, 12]
 
 
-def _assets(spark: SparkSession, sf_dir: str) -> LazyAssets:
+def _star_wkt(n: int) -> str:
+    """A star-shaped ring of ``n`` vertices around the stand-in's area."""
+    ring = [(6.0 + (1.0 + (i % 2)) * math.cos(2 * math.pi * i / n), 45.8 + (0.9 + 0.8 * (i % 2)) * math.sin(2 * math.pi * i / n)) for i in range(n)]
+    return "POLYGON((" + ", ".join(f"{x!r} {y!r}" for x, y in [*ring, ring[0]]) + "))"
+
+
+POLYGON_OF_MANY_EDGES = _star_wkt(2000)
+
+
+def _assets(spark: SparkSession, sf_dir: str, parts: int = 1) -> LazyAssets:
     return LazyAssets(lambda: fixtures.raw_occurrences(spark, sf_dir),
-                      lambda: fixtures.vernacular_records(spark, sf_dir))
+                      lambda: fixtures.vernacular_records(spark, sf_dir), parts=parts)
+
+
+def _points(species: DataFrame, geom: str) -> DataFrame:
+    """The points of species' parts: taxon_key, lon, lat."""
+    pts = species.select("taxon_key", F.explode(multipoint_points(geom)).alias("p"))
+    return with_point_xy(pts, "p", "lon", "lat").select("taxon_key", "lon", "lat")
 
 
 def _hex(df: DataFrame, *cols: str) -> DataFrame:
@@ -99,8 +118,49 @@ def q_filtered_preview(spark, sf_dir):
 
 
 def q_table_metrics(spark, sf_dir):
+    """MET-1 as the runner takes it: every table is written once and counted
+    while it is written; the counts come back as rows."""
     a = _assets(spark, sf_dir)
-    return metrics.table_counts(a)
+    base = scratch_path(spark, "table_metrics")
+    counts = [(name, write_table(df, f"{base}/{name}", name)) for name, df in a.items()]
+    return spark.createDataFrame(counts, "table_name string, row_count bigint")
+
+
+def q_table_previews(spark, sf_dir):
+    """LIM-1 + MET-1: the key-ordered preview of the written filtered table,
+    with its row count taken while writing."""
+    path = scratch_path(spark, "table_previews")
+    n = write_table(_assets(spark, sf_dir)["filtered_occurrences"], path, "filtered_occurrences")
+    shown = metrics.preview(spark.read.parquet(path), order_by="gbif_id")
+    return shown.select("gbif_id", "taxon_key", F.lit(n).cast("long").alias("row_count"))
+
+
+def q_write_table(spark, sf_dir):
+    """SNK-1: a whole table overwritten and read back."""
+    path = scratch_path(spark, "write_table")
+    f = _assets(spark, sf_dir)["filtered_occurrences"]
+    write_table(f.limit(1), path, "first")
+    write_table(f, path, "second", ["taxon_key"])
+    return spark.read.parquet(path)
+
+
+def q_materialize(spark, sf_dir):
+    """SNK-4: a result as a named table, read by its name."""
+    path = scratch_path(spark, "materialize")
+    materialize(_assets(spark, sf_dir)["species_names"], "occlake_species_names", path)
+    return spark.table("occlake_species_names")
+
+
+def q_fill_declared(spark, sf_dir):
+    """SNK-5: the vernacular names cast to their declared table, key checked."""
+    return fill_declared(spark, _assets(spark, sf_dir)["vernacular_names"], VERNACULAR_SCHEMA, "taxon_key")
+
+
+def q_malformed_replies(spark, sf_dir):
+    """EXP-9: replies that do not parse are counted (every 7th key's are cut)."""
+    replies = fixtures.species_replies_from_records(fixtures.vernacular_records(spark, sf_dir))
+    cut = F.when(F.col("taxon_key") % 7 == 0, F.substring("body", 1, 20)).otherwise(F.col("body"))
+    return malformed_replies(replies.withColumn("body", cut))
 
 
 # ---------------------------------------------------------------------------
@@ -118,9 +178,29 @@ def q_acquire_polygon(spark, sf_dir):
     return refine.acquire(raw, polygon_wkt=POLYGON_WITH_HOLE).select(*_ACQ_COLS)
 
 
+def q_acquire_years(spark, sf_dir):
+    return refine.acquire(fixtures.raw_occurrences(spark, sf_dir), years=[2016, 2021]).select(*_ACQ_COLS)
+
+
+def q_acquire_polygon_many(spark, sf_dir):
+    raw = fixtures.raw_occurrences(spark, sf_dir)
+    return refine.acquire(raw, polygon_wkt=POLYGON_OF_MANY_EDGES).select(*_ACQ_COLS)
+
+
 # ---------------------------------------------------------------------------
 # map layer
 # ---------------------------------------------------------------------------
+def q_species_parts(spark, sf_dir):
+    """Species split into parts hold the same points as unsplit ones."""
+    return _points(_assets(spark, sf_dir, MANY_PARTS)["species_all_occurrence"], "all_occurrence_coordinates")
+
+
+def q_layer_bbox_parts(spark, sf_dir):
+    """The layer over split species returns whole species."""
+    sp = _assets(spark, sf_dir, MANY_PARTS)["species_all_occurrence"]
+    return _points(layer.layer_bbox(sp, LAYER_BOX), "geom")
+
+
 def q_layer_bbox(spark, sf_dir):
     sp = _assets(spark, sf_dir)["species_all_occurrence"]
     return _hex(layer.layer_bbox(sp, LAYER_BOX), "geom")
@@ -144,9 +224,27 @@ def occupied_tiles(points: DataFrame, zooms=TILE_ZOOMS) -> DataFrame:
 
 def q_layer_tiles(spark, sf_dir):
     a = _assets(spark, sf_dir)
-    tiles = occupied_tiles(a["filtered_occurrences"])
-    return (layer.layer_tiles(a["species_all_occurrence"], tiles, zooms=TILE_ZOOMS)
-            .select("z", "x", "y", "taxon_key"))
+    return layer.layer_tiles(a["species_all_occurrence"], occupied_tiles(a["filtered_occurrences"]))
+
+
+def q_layer_tiles_parts(spark, sf_dir):
+    """Each (tile, species) pair once, however many parts a species has."""
+    a = _assets(spark, sf_dir, MANY_PARTS)
+    return layer.layer_tiles(a["species_all_occurrence"], occupied_tiles(a["filtered_occurrences"]))
+
+
+def occupied_mercator_tiles(points: DataFrame, zooms=MERCATOR_ZOOMS) -> DataFrame:
+    """Web Mercator tiles holding at least one sighting, at each zoom."""
+    n = F.pow(F.lit(2.0), F.col("z").cast("double"))
+    u, v = GRIDS["mercator"].to_unit(F.col("decimal_longitude"), F.col("decimal_latitude"))
+    return (points.filter(F.col("decimal_longitude").isNotNull())
+            .select(F.explode(F.array(*[F.lit(int(z)) for z in zooms])).alias("z"), "decimal_longitude", "decimal_latitude")
+            .select("z", F.floor(u * n).alias("x"), F.floor(v * n).alias("y")).distinct())
+
+
+def q_layer_tiles_mercator(spark, sf_dir):
+    a = _assets(spark, sf_dir)
+    return layer.layer_tiles(a["species_all_occurrence"], occupied_mercator_tiles(a["filtered_occurrences"]), grid="mercator")
 
 
 # ---------------------------------------------------------------------------
@@ -162,22 +260,23 @@ def q_wkb_roundtrip(spark, sf_dir):
 
 
 def q_multipoint_roundtrip(spark, sf_dir):
-    sp = _assets(spark, sf_dir)["species_all_occurrence"]
-    pts = sp.select("taxon_key", F.explode(multipoint_points("all_occurrence_coordinates")).alias("p"))
-    return with_point_xy(pts, "p", "lon", "lat").select("taxon_key", "lon", "lat")
+    return _points(_assets(spark, sf_dir)["species_all_occurrence"], "all_occurrence_coordinates")
 
 
 # ---------------------------------------------------------------------------
 # sinks and sources with a round trip through storage
 # ---------------------------------------------------------------------------
 def q_upsert_occurrences(spark, sf_dir):
-    serving = _assets(spark, sf_dir)["occurrences"]
-    year = F.year("date")
+    """The raw year is carried along to split the rows (a date may be NULL)."""
+    a = _assets(spark, sf_dir)
+    year = a["raw_occurrences"].select("gbif_id", F.col("year").alias("_year"))
+    serving = a["occurrences"].join(year, "gbif_id")
+    keep = a["occurrences"].columns
     snap = KeyedSnapshot(spark, scratch_path(spark, "upsert_occurrences"), "gbif_id", buckets=SERVING_BUCKETS)
-    snap.replace(serving.filter(year <= UPSERT_FIRST_LAST_YEAR))
-    changed = (serving.filter(year >= UPSERT_BATCH_FROM_YEAR)
+    snap.replace(serving.filter(F.col("_year") <= UPSERT_FIRST_LAST_YEAR).select(*keep))
+    changed = (serving.filter(F.col("_year") >= UPSERT_BATCH_FROM_YEAR).select(*keep)
                .withColumn("depth", F.lit(1.0)).withColumn("seq", F.lit(1)))
-    resent = (serving.filter(year == UPSERT_RESEND_YEAR)
+    resent = (serving.filter(F.col("_year") == UPSERT_RESEND_YEAR).select(*keep)
               .withColumn("elevation", F.lit(None).cast("double")).withColumn("seq", F.lit(2)))
     result = snap.upsert(changed.unionByName(resent), order_by=["seq"], pick="last", drop=["seq"])
     return _hex(result, "coordinates")
@@ -191,14 +290,10 @@ def q_year_overwrite(spark, sf_dir):
     return read_raw_years(spark, root).select("gbif_id", "taxon_key", "kingdom", "year")
 
 
-_TSV_COLS = ["gbif_id", "taxon_key", "species", "class", "locality", "decimal_longitude",
-             "decimal_latitude", "elevation", "year", "month", "day"]
-
-
 def q_tsv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "tsv_roundtrip")
     write_occurrence_tsv(fixtures.raw_occurrences(spark, sf_dir), path)
-    return read_occurrence_tsv(spark, path).select(*_TSV_COLS)
+    return read_occurrence_tsv(spark, path)
 
 
 def q_streaming_species(spark, sf_dir):
@@ -224,7 +319,7 @@ def q_duplicate_keys(spark, sf_dir):
 
 def q_vernacular_from_json(spark, sf_dir):
     replies = fixtures.species_replies_from_records(fixtures.vernacular_records(spark, sf_dir))
-    parsed = fixtures.parse_species_replies(replies)
+    parsed = parse_species_replies(replies)
     return names.first_name_per_language(parsed, order_by=("page", "pos"))
 
 
@@ -253,6 +348,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "streaming_species": q_streaming_species,
     "duplicate_keys": q_duplicate_keys,
     "vernacular_from_json": q_vernacular_from_json,
+    "malformed_replies": q_malformed_replies,
+    "acquire_years": q_acquire_years,
+    "acquire_polygon_many": q_acquire_polygon_many,
+    "species_parts": q_species_parts,
+    "layer_bbox_parts": q_layer_bbox_parts,
+    "layer_tiles_parts": q_layer_tiles_parts,
+    "layer_tiles_mercator": q_layer_tiles_mercator,
+    "table_previews": q_table_previews,
+    "write_table": q_write_table,
+    "materialize": q_materialize,
+    "fill_declared": q_fill_declared,
 }
 
 
@@ -267,7 +373,8 @@ _OCC = """occ AS (
       WHEN 'error' THEN NULL ELSE 'Reptilia' END AS "class",
     CASE WHEN event_id % 10 = 0 THEN 'Plantae' ELSE 'Animalia' END AS kingdom,
     CASE WHEN event_id % 9 = 0 THEN 'IT' ELSE 'FR' END AS country_code,
-    'Genus ' || CAST(user_id AS VARCHAR) AS scientific_name,
+    'Genus ' || CAST(user_id AS VARCHAR) || CASE WHEN event_type = 'signup' THEN ' var. rara'
+      WHEN event_id % 2 = 0 THEN ' minor' ELSE '' END AS scientific_name,
     CASE WHEN event_id % 17 = 0 THEN NULL ELSE 4e0 + (user_id % 40) / 1e1 + (event_id % 101) / 1e3 END AS decimal_longitude,
     44e0 + (user_id % 35) / 1e1 + (event_id % 103) / 1e3 AS decimal_latitude,
     CASE WHEN event_id % 5 = 0 THEN 0e0 ELSE value END AS elevation,
@@ -277,13 +384,13 @@ _OCC = """occ AS (
     CASE WHEN event_id % 3 = 0 THEN 0e0 ELSE CAST(event_id % 20 AS DOUBLE) END AS depth,
     CAST(NULL AS DOUBLE) AS depth_accuracy,
     'Col "' || event_type || '" ' || CAST(user_id % 7 AS VARCHAR) AS locality,
-    2015 + event_id % 11 AS "year",
+    2014 + event_id % 13 AS "year",
     CAST(month(ts) AS BIGINT) AS "month",
     CAST(CASE WHEN event_id % 13 = 0 THEN NULL ELSE day(ts) END AS BIGINT) AS "day"
   FROM events)"""
 
 _VN = """vn AS (
-  SELECT doc_id % 160 AS taxon_key, doc_id AS seq,
+  SELECT 3 * (doc_id % 160) AS taxon_key, doc_id AS seq,
     CASE lang WHEN 'de' THEN 'deu' WHEN 'en' THEN 'eng' WHEN 'fr' THEN 'fra' ELSE 'spa' END AS language,
     CASE WHEN doc_id % 6 = 0 THEN NULL ELSE source END AS name
   FROM documents)"""
@@ -339,14 +446,14 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def _acq_sql(extra_where: str = "") -> str:
-    years = ", ".join(str(y) for y in refine.YEARS)
+def _acq_sql(extra_where: str = "", years=refine.YEARS) -> str:
+    years = ", ".join(str(y) for y in years)
     return (f"SELECT gbif_id, taxon_key, decimal_longitude, decimal_latitude, \"year\" FROM occ "
             f"WHERE country_code = 'FR' AND kingdom = 'Animalia' AND \"year\" IN ({years}) {extra_where}")
 
 
-def _polygon_sql() -> str:
-    rings = parse_wkt_polygon(POLYGON_WITH_HOLE)
+def _polygon_sql(wkt: str) -> str:
+    rings = parse_wkt_polygon(wkt)
     rows = ", ".join(f"({xi!r}, {yi!r}, {yj!r}, {dx!r}, {dy!r})" for xi, yi, xj, yj, dx, dy in polygon_edges(rings))
     years = ", ".join(str(y) for y in refine.YEARS)
     return _with(_OCC, f"edges(xi, yi, yj, dx, dy) AS (VALUES {rows})") + f"""
@@ -359,6 +466,11 @@ GROUP BY c.gbif_id, c.taxon_key, c.decimal_longitude, c.decimal_latitude, c."yea
 HAVING count(*) % 2 = 1"""
 
 
+def _box_sql(box: Box) -> str:
+    return (f"'POLYGON(({box.min_lon} {box.min_lat}, {box.max_lon} {box.min_lat}, {box.max_lon} {box.max_lat}, "
+            f"{box.min_lon} {box.max_lat}, {box.min_lon} {box.min_lat}))'::GEOMETRY")
+
+
 def _layer_bbox_sql(box: Box, taxon: int | None) -> str:
     extra = f" AND s.taxon_key = {int(taxon)}" if taxon is not None else ""
     # The overlap test is DuckDB's own extent intersection (&&) on the
@@ -366,7 +478,7 @@ def _layer_bbox_sql(box: Box, taxon: int | None) -> str:
     return _with(_OCC, _FILTERED, _GEO, _SPECIES) + f"""
 SELECT s.taxon_key, s.all_occurrence_coordinates AS geom FROM species s
 WHERE st_intersects_extent(st_geomfromwkb(unhex(s.all_occurrence_coordinates)),
-  'POLYGON(({box.min_lon} {box.min_lat}, {box.max_lon} {box.min_lat}, {box.max_lon} {box.max_lat}, {box.min_lon} {box.max_lat}, {box.min_lon} {box.min_lat}))'::GEOMETRY){extra}"""
+  {_box_sql(box)}){extra}"""
 
 
 def _tiles_sql() -> str:
@@ -382,25 +494,33 @@ SELECT t.z, t.x, t.y, s.taxon_key FROM tiles t JOIN species s
  AND s.max_lat >= 90e0 - (t.y + 1) * (180e0 / pow(2e0, t.z))"""
 
 
+def _mercator_sql() -> str:
+    zooms = ", ".join(f"({z})" for z in MERCATOR_ZOOMS)
+    lat = lambda row: f"degrees(atan(sinh(pi() * (1e0 - 2e0 * ({row}) / pow(2e0, t.z)))))"
+    lon = lambda col: f"({col}) / pow(2e0, t.z) * 360e0 - 180e0"
+    return _with(_OCC, _FILTERED, _GEO, _SPECIES, f"zz(z) AS (VALUES {zooms})", """tiles AS (
+  SELECT DISTINCT zz.z, CAST(floor((f.decimal_longitude + 180e0) / 360e0 * pow(2e0, zz.z)) AS BIGINT) AS x,
+    CAST(floor((1e0 - asinh(tan(radians(f.decimal_latitude))) / pi()) / 2e0 * pow(2e0, zz.z)) AS BIGINT) AS y
+  FROM filtered f, zz WHERE f.decimal_longitude IS NOT NULL)""") + f"""
+SELECT t.z, t.x, t.y, s.taxon_key FROM tiles t JOIN species s
+  ON s.min_lon <= {lon("t.x + 1")} AND s.max_lon >= {lon("t.x")}
+ AND s.min_lat <= {lat("t.y")} AND s.max_lat >= {lat("t.y + 1")}"""
+
+
 def _upsert_sql() -> str:
     return _with(_OCC, _FILTERED, _GEO, _SERVING) + f"""
-SELECT gbif_id, taxon_key, coordinates, coordinate_uncertainty_in_meters, coordinate_precision,
-  CASE WHEN year("date") = {UPSERT_RESEND_YEAR} THEN NULL ELSE elevation END AS elevation,
-  elevation_accuracy,
-  CASE WHEN year("date") >= {UPSERT_BATCH_FROM_YEAR} AND year("date") <> {UPSERT_RESEND_YEAR} THEN 1e0
-       ELSE depth END AS depth,
-  depth_accuracy, "date"
-FROM serving
-WHERE year("date") <= {UPSERT_FIRST_LAST_YEAR} OR year("date") >= {UPSERT_BATCH_FROM_YEAR}"""
+SELECT s.gbif_id, s.taxon_key, s.coordinates, s.coordinate_uncertainty_in_meters, s.coordinate_precision,
+  CASE WHEN o."year" = {UPSERT_RESEND_YEAR} THEN NULL ELSE s.elevation END AS elevation,
+  s.elevation_accuracy,
+  CASE WHEN o."year" >= {UPSERT_BATCH_FROM_YEAR} AND o."year" <> {UPSERT_RESEND_YEAR} THEN 1e0
+       ELSE s.depth END AS depth,
+  s.depth_accuracy, s."date"
+FROM serving s JOIN occ o USING (gbif_id)"""
 
 
 def _vernacular_json_sql() -> str:
-    page = f"floor(seq / {fixtures.REPLY_PAGE_SIZE})"
-    bad = (f"((taxon_key + {page}) % {fixtures.EMPTY_REPLY_EVERY} = 0 "
-           f"OR (taxon_key + {page}) % {fixtures.MALFORMED_REPLY_EVERY} = 0)")
-    cols = ",\n  ".join(
-        f"arg_min(name, seq) FILTER (WHERE language = '{lang}' AND name IS NOT NULL AND NOT {bad}) "
-        f"AS vernacular_name_{lang}" for lang in ("deu", "eng", "fra"))
+    cols = ",\n  ".join(f"arg_min(name, seq) FILTER (WHERE language = '{lang}' AND name IS NOT NULL) AS vernacular_name_{lang}"
+                        for lang in ("deu", "eng", "fra"))
     return _with(_VN) + f"SELECT taxon_key,\n  {cols}\nFROM vn GROUP BY taxon_key"
 
 
@@ -440,10 +560,28 @@ ORACLE_SQL: dict[str, str] = {
                                for name, src in _ALL_TABLES.items()),
     "acquire_rectangle": _with(_OCC) + _acq_sql(
         "AND decimal_longitude BETWEEN 4.63127 AND 7.5505 AND decimal_latitude BETWEEN 44.84424 AND 46.81983"),
-    "acquire_polygon": _polygon_sql(),
+    "acquire_polygon": _polygon_sql(POLYGON_WITH_HOLE),
+    "acquire_polygon_many": _polygon_sql(POLYGON_OF_MANY_EDGES),
+    "acquire_years": _with(_OCC) + _acq_sql(
+        "AND decimal_longitude BETWEEN 4.63127 AND 7.5505 AND decimal_latitude BETWEEN 44.84424 AND 46.81983", [2016, 2021]),
     "layer_bbox": _layer_bbox_sql(LAYER_BOX, None),
     "layer_bbox_species": _layer_bbox_sql(LAYER_BOX, LAYER_TAXON),
     "layer_tiles": _tiles_sql(),
+    "layer_tiles_parts": _tiles_sql(),
+    "layer_tiles_mercator": _mercator_sql(),
+    "layer_bbox_parts": _with(_OCC, _FILTERED, _GEO, _SPECIES) + f"""
+SELECT g.taxon_key, g.lon, g.lat FROM geo g SEMI JOIN (SELECT s.taxon_key FROM species s
+WHERE st_intersects_extent(st_geomfromwkb(unhex(s.all_occurrence_coordinates)), {_box_sql(LAYER_BOX)})) k USING (taxon_key)
+WHERE g.coordinates IS NOT NULL""",
+    "species_parts": _with(_OCC, _FILTERED)
+        + "SELECT taxon_key, decimal_longitude AS lon, decimal_latitude AS lat FROM filtered "
+          "WHERE decimal_longitude IS NOT NULL",
+    "write_table": _with(_OCC, _FILTERED) + "SELECT * FROM filtered",
+    "table_previews": _with(_OCC, _FILTERED) + "SELECT gbif_id, taxon_key, (SELECT count(*) FROM filtered) AS row_count "
+        "FROM filtered ORDER BY gbif_id LIMIT 10",
+    "fill_declared": _with(_OCC, _FILTERED, _KEYS, _VN, _VERN) + "SELECT * FROM vern",
+    "malformed_replies": _with(_VN) + f"SELECT count(*) AS replies, count(*) FILTER (taxon_key % 7 = 0) AS malformed FROM "
+        f"(SELECT DISTINCT taxon_key, floor(seq / {fixtures.REPLY_PAGE_SIZE}) AS page FROM vn)",
     "wkb_roundtrip": _with(_OCC, _FILTERED)
         + "SELECT gbif_id, decimal_longitude AS lon, decimal_latitude AS lat FROM filtered "
           "WHERE decimal_longitude IS NOT NULL",
@@ -453,8 +591,10 @@ ORACLE_SQL: dict[str, str] = {
     "upsert_occurrences": _upsert_sql(),
     "year_overwrite": _with(_OCC) + "SELECT gbif_id, taxon_key, kingdom, \"year\" FROM occ WHERE "
         f"\"year\" NOT IN ({', '.join(str(y) for y in OVERWRITTEN_YEARS)}) OR kingdom = 'Animalia'",
-    "tsv_roundtrip": _with(_OCC) + "SELECT " + ", ".join(f'"{c}"' for c in _TSV_COLS) + " FROM occ",
+    "tsv_roundtrip": _with(_OCC) + "SELECT " + ", ".join(
+        f'"{c}"' if c in fixtures.RAW_STAND_IN_SQL else f'NULL AS "{c}"' for c in RAW_NAMES) + " FROM occ",
     "duplicate_keys": _with(_OCC) + "SELECT gbif_id, count(*) AS n FROM (SELECT gbif_id FROM occ UNION ALL "
         f"SELECT gbif_id FROM occ WHERE \"year\" = {DUPLICATED_YEAR}) GROUP BY gbif_id HAVING count(*) > 1",
     "vernacular_from_json": _vernacular_json_sql(),
 }
+ORACLE_SQL["materialize"] = ORACLE_SQL["species_names"]

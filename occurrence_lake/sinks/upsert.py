@@ -6,37 +6,43 @@ batch:
 1. reduce the batch to one row per key, chosen by a caller-given order
    (``max_by``/``min_by`` over a struct: a combinable aggregate, so a key
    repeated a billion times is reduced on the map side, never gathered);
-2. new snapshot = old rows whose key is not in the batch (anti join)
-   ∪ the reduced batch.  Every non-key column is replaced, a NULL included.
-
-Spark cannot overwrite a path it is reading, so every upsert writes a new
-version directory (a fresh name per attempt) and then commits it by writing
-a small marker that names it; readers take the highest committed version.
-A job that dies mid-write leaves an uncommitted directory that nobody reads,
-and the retry writes to a new one.
-
-With ``buckets`` every version is written bucketed and sorted by the key
-(an external table over the version directory).  An upsert is then a full
-outer join of the bucketed snapshot with the batch, which Spark plans with
-an exchange on the batch side only: the snapshot is read bucket by bucket
-and never shuffled, and each writer task writes its own bucket again.
+2. write those rows as a *delta* next to the stored table: a batch of ten
+   rows writes ten rows.
+
+A table is a base and the deltas since.  A delta replaces whole *groups*
+(by default a group is a key): reading drops the base rows of every group
+that a delta names, keeps each group's rows of its latest delta, and every
+non-key column is the delta's, a NULL included.  ``compact`` writes the
+current rows as a new base; it runs by itself after ``compact_after``
+deltas, so reading never folds more than that many.
+
+A version is one marker file that names its base and deltas.  Markers are
+created with fail-if-exists, so of two writers one wins the version number
+and the other commits its delta on top of it.  A job that dies mid-write
+leaves a directory that no marker names.
+
+With ``buckets`` the base is written bucketed and sorted by the key, one
+file per bucket, and the delta side of a read is partitioned to the same
+bucket count, so the base is read bucket by bucket and not shuffled,
+whatever ``spark.sql.shuffle.partitions`` is.  ``compact(buckets=n)``
+changes the count.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
+import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-
-# Buckets of the large keyed serving table (occurrences by gbif_id).  With
-# "auto" the count is fixed when the first version is written, to the
-# session's spark.sql.shuffle.partitions (sized to the data on a cluster),
-# and every later version of that snapshot keeps it.
-SERVING_BUCKETS = "auto"
+# Buckets of the large keyed serving table (occurrences by gbif_id) unless
+# the caller names a count: about one per 128 MB of the table.
+SERVING_BUCKETS = 16
+COMPACT_AFTER = 16
 
 
 def _keys(key) -> list[str]:
@@ -58,139 +64,210 @@ def dedupe_by_key(df: DataFrame, key, order_by=None, pick: str = "last") -> Data
             .select(*keys, *[F.col(f"_row.`{c}`").alias(c) for c in others]))
 
 
-def merge_into(existing: DataFrame, batch: DataFrame, key) -> DataFrame:
-    """Old rows without a match in ``batch`` plus every row of ``batch``
-    (``batch`` must already hold one row per key)."""
-    keys = _keys(key)
-    keep = existing.join(batch.select(*keys), on=keys, how="left_anti")
-    return keep.unionByName(batch.select(*existing.columns))
+class _Log:
+    """Marker files ``_commits/v<number>``, created atomically by the
+    storage's own fail-if-exists."""
 
+    def __init__(self, spark: SparkSession, root: str):
+        jvm = spark.sparkContext._jvm
+        self._path = lambda name: jvm.org.apache.hadoop.fs.Path(f"{root}/_commits/{name}" if name else f"{root}/_commits")
+        self._fs = self._path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-def merge_by_presence(existing: DataFrame, batch: DataFrame, key) -> DataFrame:
-    """The same rows as ``merge_into``, as one full outer join: a key found
-    in ``batch`` takes the batch row whole (NULLs included), any other key
-    keeps the stored row.  The join keeps the partitioning of a bucketed
-    ``existing``, so only ``batch`` is shuffled."""
-    keys = _keys(key)
-    e = existing.alias("_e")
-    b = batch.select(*existing.columns, F.lit(True).alias("_in_batch")).alias("_b")
-    cond = [F.col(f"_e.`{k}`") == F.col(f"_b.`{k}`") for k in keys]
-    present = F.col("_b._in_batch").isNotNull()
-    return e.join(b, on=cond, how="full_outer").select(*[
-        F.when(present, F.col(f"_b.`{c}`")).otherwise(F.col(f"_e.`{c}`")).alias(c) for c in existing.columns])
+    def versions(self) -> list[int]:
+        if not self._fs.exists(self._path("")):
+            return []
+        names = [f.getPath().getName() for f in self._fs.listStatus(self._path(""))]
+        return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit())
+
+    def read(self, version: int) -> dict:
+        for wait in (0.05, 0.2, 1, 5, 0):
+            stream = self._fs.open(self._path(f"v{version:08d}"))
+            try:
+                text = bytes(stream.readAllBytes()).decode()
+            finally:
+                stream.close()
+            if text.endswith("}"):
+                return json.loads(text)
+            time.sleep(wait)   # its writer has created it and is about to fill it
+        raise ValueError(f"marker v{version:08d} was never filled; its writer died. Delete it to go on")
+
+    def create(self, version: int, marker: dict) -> bool:
+        """False if another writer holds the version."""
+        try:
+            stream = self._fs.create(self._path(f"v{version:08d}"), False)
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" in str(e.java_exception) or "already exists" in str(e.java_exception):
+                return False
+            raise
+        try:
+            stream.write(bytearray(json.dumps(marker).encode()))
+        finally:
+            stream.close()
+        return True
 
 
 class KeyedSnapshot:
-    """A keyed table stored as versioned Parquet directories under ``root``,
-    optionally bucketed by the key into ``buckets`` files per version."""
+    """A keyed table under ``root``; ``group`` (default: the key) is what a
+    delta replaces as a whole."""
 
-    def __init__(self, spark: SparkSession, root: str, key, buckets: int | str | None = None,
-                 cluster_by_sql: str | None = None):
+    def __init__(self, spark: SparkSession, root: str, key, buckets: int | None = None,
+                 cluster_by_sql: str | None = None, group=None, compact_after: int = COMPACT_AFTER):
         self.spark, self.root, self.key = spark, root.rstrip("/"), _keys(key)
-        self._requested_buckets = buckets
-        # unbucketed versions are sorted within files by this SQL expression
-        # (default: the key), so Parquet statistics skip row groups
+        self.group = _keys(group or key)
+        self._buckets = int(buckets or 0)
+        # unbucketed bases are range-partitioned and sorted by this SQL
+        # expression (default: the key), so that file and row group
+        # statistics both prune
         self._cluster_by = cluster_by_sql
-        # version -> (bucket count or 0, data directory, batch id); read once
-        self._commits: dict[int, tuple[int, str, str]] | None = None
-
-    def _load_commits(self) -> dict[int, tuple[int, str, str]]:
-        """Committed versions with their bucket count, data directory and
-        batch id (one small read, then kept: a snapshot has one writer, this
-        object).  A marker is ``version,buckets,directory,batch_id``."""
-        if self._commits is None:
-            try:
-                rows = (self.spark.read.option("recursiveFileLookup", "true")
-                        .text(f"{self.root}/_commits").collect())
-            except AnalysisException:
-                rows = []
-            self._commits = {}
-            for r in rows:
-                v, n, d, b = r["value"].split(",", 3)
-                self._commits[int(v)] = (int(n), d, b)
-        return self._commits
+        self._compact_after = compact_after
+        self._log = _Log(spark, self.root)
 
-    @property
-    def buckets(self) -> int:
-        """Bucket count of this snapshot (0: not bucketed).  Taken from the
-        committed versions when there are any, else chosen now."""
-        commits = self._load_commits()
-        if commits:
-            return commits[max(commits)][0]
-        want = self._requested_buckets
-        if want == "auto":
-            return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        return int(want or 0)
-
-    def _data(self, version: int) -> str:
-        """Data directory of a committed version."""
-        return f"{self.root}/{self._load_commits()[version][1]}"
+    # -- versions -----------------------------------------------------------
+    def versions(self) -> list[int]:
+        return self._log.versions()
 
     def version(self) -> int | None:
         """Highest committed version."""
-        commits = self._load_commits()
-        return max(commits) if commits else None
+        found = self.versions()
+        return found[-1] if found else None
+
+    def batch_version(self, batch_id: str) -> int | None:
+        """The version that committed a batch, if it is among the latest
+        base's and its deltas' (a replay repeats the last batch only)."""
+        v = self.version()
+        return self._log.read(v)["batches"].get(str(batch_id)) if v else None
 
     def has_batch(self, batch_id: str) -> bool:
-        """Whether a batch with this id was already committed (replay guard
-        for at-least-once callers such as ``foreachBatch``)."""
-        return any(b == str(batch_id) for _, _, b in self._load_commits().values())
+        return self.batch_version(batch_id) is not None
 
-    def versions(self) -> list[int]:
-        """Committed versions, oldest first (all are kept: readers of an old
-        version are never disturbed; expiring them is left to the storage's
-        lifecycle rules)."""
-        return sorted(self._load_commits())
+    @property
+    def buckets(self) -> int:
+        """Bucket count of the stored base, else the one asked for (0: none)."""
+        v = self.version()
+        return self._log.read(v)["buckets"] if v else self._buckets
 
+    # -- reading ------------------------------------------------------------
     def read(self, version: int | None = None) -> DataFrame:
         """The latest committed version, or a given earlier one."""
-        v = self.version() if version is None else int(version)
-        if v is None or v not in self._load_commits():
+        found = self.versions()
+        v = (found[-1] if found else None) if version is None else int(version)
+        if v is None or v not in found:
             raise FileNotFoundError(f"no committed version {version!r} under {self.root}")
-        return self._read_version(v)
+        return self._rows(self._log.read(v))
 
-    def _table_for(self, directory: str) -> str:
-        """Session-catalog name of a bucketed version directory (external table)."""
+    def _table(self, directory: str) -> str:
+        """Session-catalog name of a bucketed base directory (external table)."""
         return f"occlake_{hashlib.sha1(self.root.encode()).hexdigest()[:12]}_{directory.replace('-', '_')}"
 
-    def _table(self, version: int) -> str:
-        return self._table_for(self._load_commits()[version][1])
-
-    def _read_version(self, version: int) -> DataFrame:
-        path = self._data(version)
-        buckets = self._load_commits()[version][0]
+    def _base(self, marker: dict) -> DataFrame:
+        path, buckets = f"{self.root}/{marker['base']}", marker["buckets"]
+        files = self.spark.read.parquet(path)
         if not buckets:
-            return self.spark.read.parquet(path)
-        name = self._table(version)
+            return files
+        name = self._table(marker["base"])
         if not self.spark.catalog.tableExists(name):
             # a new session: declare the bucketed files again from their path
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                             for f in self.spark.read.parquet(path).schema.fields)
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
             keys = ", ".join(f"`{k}`" for k in self.key)
             self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({keys}) "
                            f"SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{path}'")
-        return self.spark.table(name)
-
-    def _commit(self, df: DataFrame, version: int, batch_id: str | None = None) -> DataFrame:
-        buckets = self.buckets
-        directory = f"v{version:06d}-{uuid.uuid4().hex[:8]}"   # fresh per attempt
+        # a declared table has no field metadata (geometry type, SRID): take it from the files
+        return self.spark.table(name).select(*[F.col(f"`{f.name}`").alias(f.name, metadata=f.metadata) if f.metadata else f"`{f.name}`"
+                                               for f in files.schema.fields])
+
+    def _rows(self, marker: dict) -> DataFrame:
+        base = self._base(marker)
+        if not marker["deltas"]:
+            return base
+        named = [(i, f"{self.root}/{d}") for i, d in enumerate(marker["deltas"])]
+        cleared = [self.spark.read.parquet(f"{p}/groups").withColumn("_at", F.lit(i)) for i, p in named]
+        rows = [self.spark.read.parquet(f"{p}/rows").withColumn("_at", F.lit(i)) for i, p in named]
+        latest = cleared[0]
+        for c in cleared[1:]:
+            latest = latest.unionByName(c)
+        group = marker["group"]
+        latest = latest.groupBy(*group).agg(F.max("_at").alias("_at"))
+        if marker["buckets"] and group == self.key:
+            latest = latest.repartition(marker["buckets"], *self.key)
+        new = rows[0]
+        for r in rows[1:]:
+            new = new.unionByName(r)
+        new = new.join(latest, [*group, "_at"], "left_semi").select(*[f"`{c}`" for c in base.columns])
+        same = [base[g] == latest[g] for g in group]
+        return base.join(latest, same, "left_anti").unionByName(new)
+
+    # -- writing ------------------------------------------------------------
+    def _write_base(self, df: DataFrame, buckets: int) -> str:
+        directory = f"base-{uuid.uuid4().hex[:12]}"   # fresh per attempt
         path = f"{self.root}/{directory}"
         if buckets:
-            (df.write.bucketBy(buckets, *self.key).sortBy(*self.key)
-             .option("path", path).mode("errorifexists").saveAsTable(self._table_for(directory)))
+            (df.repartition(buckets, *self.key).write.bucketBy(buckets, *self.key).sortBy(*self.key)
+             .option("path", path).mode("errorifexists").saveAsTable(self._table(directory)))
+        elif self._cluster_by:
+            order = [F.expr(self._cluster_by).alias("_z"), *[F.col(k) for k in self.key]]
+            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            df.repartitionByRange(n, *order).sortWithinPartitions(*order).write.mode("errorifexists").parquet(path)
         else:
-            order = [F.expr(self._cluster_by)] + [F.col(k) for k in self.key] if self._cluster_by else self.key
-            df.sortWithinPartitions(*order).write.mode("errorifexists").parquet(path)
-        tag = "" if batch_id is None else str(batch_id)
-        (self.spark.createDataFrame([(f"{version},{buckets},{directory},{tag}",)], "value string")
-         .coalesce(1).write.mode("errorifexists").text(f"{self.root}/_commits/{directory}"))
-        self._load_commits()[version] = (buckets, directory, tag)
-        return self._read_version(version)
+            df.sortWithinPartitions(*self.key).write.mode("errorifexists").parquet(path)
+        return directory
+
+    def _new_base(self, df: DataFrame, buckets: int, batches: dict) -> DataFrame:
+        """Commit ``df`` as base of the next version; a writer that came
+        between raises (its rows are not in ``df``)."""
+        v = self.version()
+        directory = self._write_base(df, buckets)
+        marker = {"base": directory, "deltas": [], "group": self.group, "buckets": buckets, "batches": batches}
+        if not self._log.create((v or 0) + 1, marker):
+            raise RuntimeError(f"another writer committed to {self.root} meanwhile; nothing was changed")
+        return self.read()
 
     def replace(self, df: DataFrame) -> DataFrame:
         """Write ``df`` as the next version (initial load / full refresh)."""
+        return self._new_base(df, self._buckets or self.buckets, {})
+
+    def compact(self, buckets: int | None = None) -> DataFrame:
+        """Fold the deltas into a new base, with another bucket count if one
+        is given.  The table that declared the old base is dropped from the
+        session catalog (its files stay for readers of older versions)."""
+        v = self.version()
+        if v is None:
+            raise FileNotFoundError(f"no committed version under {self.root}")
+        marker = self._log.read(v)
+        kept = dict(sorted(marker["batches"].items(), key=lambda x: x[1])[-1:])
+        n = marker["buckets"] if buckets is None else int(buckets)
+        directory = self._write_base(self._rows(marker), n)
+        if not self._log.create(v + 1, {"base": directory, "deltas": [], "group": self.group, "buckets": n, "batches": kept}):
+            return self.read()   # a delta came between: the next compaction folds it
+        if marker["buckets"]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(marker['base'])}")
+        return self.read()
+
+    def _add(self, rows: DataFrame, groups: DataFrame | None, batch_id: str | None) -> DataFrame:
         v = self.version()
-        return self._commit(df, 1 if v is None else v + 1)
+        if v is None:
+            try:
+                return self._new_base(rows, self._buckets, {} if batch_id is None else {str(batch_id): 1})
+            except RuntimeError:
+                v = self.version()   # another writer made the first version: go on top of it
+        stored = self._log.read(v)
+        if stored["deltas"] and stored["group"] != self.group:
+            self.compact()   # deltas of one base replace groups of one kind
+        schema = self._base(stored).columns
+        directory = f"delta-{uuid.uuid4().hex[:12]}"
+        path = f"{self.root}/{directory}"
+        rows.select(*[f"`{c}`" for c in schema]).write.mode("errorifexists").parquet(f"{path}/rows")
+        named = self.spark.read.parquet(f"{path}/rows").select(*self.group)
+        named = named if groups is None else named.unionByName(groups.select(*self.group))
+        named.distinct().write.mode("errorifexists").parquet(f"{path}/groups")
+        while True:   # the delta holds no stored rows, so it fits on top of any version
+            v = self.version()
+            old = self._log.read(v)
+            batches = old["batches"] if batch_id is None else old["batches"] | {str(batch_id): v + 1}
+            if self._log.create(v + 1, old | {"deltas": [*old["deltas"], directory], "group": self.group, "batches": batches}):
+                break
+        if len(old["deltas"]) + 1 >= self._compact_after:
+            return self.compact()
+        return self.read()
 
     def upsert(self, batch: DataFrame, order_by=None, pick: str = "last", drop=(),
                batch_id: str | None = None) -> DataFrame:
@@ -202,29 +279,13 @@ class KeyedSnapshot:
         if batch_id is not None and self.has_batch(batch_id):
             return self.read()
         reduced = dedupe_by_key(batch, self.key, order_by, pick)
-        if drop:
-            reduced = reduced.drop(*drop)
-        v = self.version()
-        if self.buckets and v is not None:
-            existing = self._read_version(v)
-            return self._commit(merge_by_presence(existing, reduced, self.key), v + 1, batch_id)
-        return self._merge(reduced, self.key, batch_id)
+        return self._add(reduced.drop(*drop) if drop else reduced, None, batch_id)
 
-    def replace_groups(self, rows: DataFrame, group_key, groups: DataFrame | None = None,
+    def replace_groups(self, rows: DataFrame, groups: DataFrame | None = None,
                        batch_id: str | None = None) -> DataFrame:
-        """Drop every stored row of ``groups`` (default: the groups present in
-        ``rows``) and add ``rows``: e.g. all parts of the species a batch
-        touched, including species that have no row left."""
+        """Drop every stored row of ``groups`` (and of the groups in
+        ``rows``) and add ``rows``: e.g. the parts of species that a batch
+        touched, including those that have no row left."""
         if batch_id is not None and self.has_batch(batch_id):
             return self.read()
-        return self._merge(rows, _keys(group_key), batch_id, groups)
-
-    def _merge(self, rows: DataFrame, on: list[str], batch_id: str | None,
-               clear: DataFrame | None = None) -> DataFrame:
-        v = self.version()
-        if v is None:
-            return self._commit(rows, 1, batch_id)
-        existing = self._read_version(v)
-        rows = rows.select(*existing.columns)
-        keep = existing.join((clear if clear is not None else rows).select(*on), on=on, how="left_anti")
-        return self._commit(keep.unionByName(rows), v + 1, batch_id)
+        return self._add(rows, groups, batch_id)

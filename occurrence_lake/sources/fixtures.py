@@ -8,7 +8,7 @@ available here, so Spark derives equivalent frames from the given tables:
 * ``vernacular_records_from_documents``: vernacular-name records, one per
   ``documents`` row, ``seq`` = API order.
 * ``species_replies_from_records``: the same records as species-API JSON
-  replies, in pages of bounded size, some of them empty or malformed.
+  replies, in pages of bounded size.
 
 Everything is a projection of a table scan, so work grows with the tables.
 The SQL twins used by the DuckDB oracle live in ``plans.driver_queries``.
@@ -16,26 +16,19 @@ The SQL twins used by the DuckDB oracle live in ``plans.driver_queries``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occurrence_lake.schema import RAW_SCHEMA, SPECIES_REPLY_SCHEMA
+from occurrence_lake.schema import RAW_SCHEMA
 
-# Vernacular-record page size and the pages replaced by an
-# empty object / a malformed body in the species-reply stand-in.
+# Fixed value: page size of the species-reply stand-in.
 REPLY_PAGE_SIZE = 50
-EMPTY_REPLY_EVERY = 23
-MALFORMED_REPLY_EVERY = 31
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _mod(c: Column, n: int) -> Column:
-    return c % F.lit(n)
-
-
 # The stand-in columns as Spark SQL (doubles written 1e1 etc. so that they
 # are DOUBLE, not DECIMAL); columns not listed are NULL of their type.
 RAW_STAND_IN_SQL = {
@@ -46,7 +39,8 @@ RAW_STAND_IN_SQL = {
               "WHEN 'signup' THEN 'Insecta' WHEN 'error' THEN NULL ELSE 'Reptilia' END"),
     "kingdom": "CASE WHEN event_id % 10 = 0 THEN 'Plantae' ELSE 'Animalia' END",
     "country_code": "CASE WHEN event_id % 9 = 0 THEN 'IT' ELSE 'FR' END",
-    "scientific_name": "concat('Genus ', CAST(user_id AS STRING))",
+    "scientific_name": ("concat('Genus ', CAST(user_id AS STRING), CASE WHEN event_type = 'signup' THEN ' var. rara' "
+                        "WHEN event_id % 2 = 0 THEN ' minor' ELSE '' END)"),
     "decimal_longitude": ("CASE WHEN event_id % 17 = 0 THEN NULL "
                           "ELSE 4e0 + (user_id % 40) / 1e1 + (event_id % 101) / 1e3 END"),
     "decimal_latitude": "44e0 + (user_id % 35) / 1e1 + (event_id % 103) / 1e3",
@@ -56,7 +50,7 @@ RAW_STAND_IN_SQL = {
     "elevation_accuracy": "CASE WHEN event_id % 8 = 0 THEN 0e0 ELSE value / 1e1 END",
     "depth": "CASE WHEN event_id % 3 = 0 THEN 0e0 ELSE CAST(event_id % 20 AS DOUBLE) END",
     "locality": "concat('Col \"', event_type, '\" ', CAST(user_id % 7 AS STRING))",
-    "year": "2015 + event_id % 11",
+    "year": "2014 + event_id % 13",
     "month": "CAST(month(ts) AS BIGINT)",
     "day": "CAST(CASE WHEN event_id % 13 = 0 THEN NULL ELSE day(ts) END AS BIGINT)",
 }
@@ -78,7 +72,7 @@ def raw_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vernacular_records_from_documents(documents: DataFrame) -> DataFrame:
     """F3 ``vn``: (taxon_key, seq, language, name)."""
     return documents.selectExpr(
-        "doc_id % 160 AS taxon_key",
+        "3 * (doc_id % 160) AS taxon_key",
         "doc_id AS seq",
         "CASE lang WHEN 'de' THEN 'deu' WHEN 'en' THEN 'eng' WHEN 'fr' THEN 'fra' ELSE 'spa' END AS language",
         "CASE WHEN doc_id % 6 = 0 THEN NULL ELSE source END AS name",
@@ -94,7 +88,7 @@ def species_replies_from_records(records: DataFrame) -> DataFrame:
 
     A page gathers the records of one taxon whose ``seq`` falls in one
     window of ``REPLY_PAGE_SIZE``: a group is never larger than that, however
-    many names a taxon has.  Some pages are ``{}`` or cut short.
+    many names a taxon has.
     """
     page = F.floor(F.col("seq") / REPLY_PAGE_SIZE)
     pages = (records
@@ -103,26 +97,4 @@ def species_replies_from_records(records: DataFrame) -> DataFrame:
     results = F.transform("items", lambda it: F.struct(it["language"].alias("language"),
                                                        it["name"].alias("vernacularName")))
     body = F.to_json(F.struct(results.alias("results")))
-    key = F.col("taxon_key") + F.col("page")
-    return pages.select(
-        "taxon_key", "page",
-        F.when(_mod(key, EMPTY_REPLY_EVERY) == 0, F.lit("{}"))
-         .when(_mod(key, MALFORMED_REPLY_EVERY) == 0, F.substring(body, 1, 20))
-         .otherwise(body).alias("body"),
-    )
-
-
-def parse_species_replies(replies: DataFrame) -> DataFrame:
-    """EXP-9: reply JSON -> one row per result, ``(taxon_key, page, pos, language, name)``.
-
-    A missing ``results`` member, ``{}`` or a malformed body yields no
-    result row; the taxon is still kept (with NULL language) so that a key
-    looked up without a hit survives with three NULL names.
-    """
-    parsed = replies.select("taxon_key", "page",
-                            F.from_json("body", SPECIES_REPLY_SCHEMA, {"mode": "PERMISSIVE"}).alias("r"))
-    return (parsed
-            .select("taxon_key", "page", F.posexplode_outer("r.results").alias("pos", "item"))
-            .select("taxon_key", "page", "pos",
-                    F.col("item.language").alias("language"),
-                    F.col("item.vernacularName").alias("name")))
+    return pages.select("taxon_key", "page", body.alias("body"))

@@ -3,8 +3,11 @@
 The file has a header line that is skipped, and columns are bound **by
 position** to the declared schema (EXP-2 renames camelCase to snake_case
 for free).  An empty field is NULL, a malformed value or a row with the
-wrong number of fields aborts the load (``FAILFAST``).  Files are read in
-parallel splits; no line break may sit inside quotes (that would need
+wrong number of fields aborts the load.  Spark's text reader only sees such
+rows when it converts every column, which a pruned read does not; so the
+text is parsed exactly once, all columns of it, into *staged* Parquet, and
+everything else (key check, year write, stream) reads that.  Files are read
+in parallel splits; no line break may sit inside quotes (that would need
 ``multiLine`` and make a file unsplittable).
 """
 
@@ -12,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from occurrence_lake.config import scratch_path
 from occurrence_lake.schema import RAW_HEADER, RAW_SCHEMA
 
 TSV_READ_OPTIONS = {
@@ -24,13 +28,22 @@ TSV_READ_OPTIONS = {
     "nullValue": "",
     "emptyValue": "",
     "multiLine": "false",
+    "columnPruning": "false",  # rows of a wrong length fail whatever is read
 }
 
 
-def read_occurrence_tsv(spark: SparkSession, path, schema=RAW_SCHEMA) -> DataFrame:
-    """Read one file, a directory or a list of paths of raw extracts."""
-    reader = spark.read.schema(schema).options(**TSV_READ_OPTIONS)
-    return reader.csv(path)
+def stage(raw: DataFrame, path: str | None = None) -> DataFrame:
+    """Write raw text rows, every column converted, and read them back."""
+    spark = raw.sparkSession
+    path = path or scratch_path(spark, "staged-extracts")
+    raw.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(raw.schema).parquet(path)
+
+
+def read_occurrence_tsv(spark: SparkSession, path, schema=RAW_SCHEMA, staged: str | None = None) -> DataFrame:
+    """Read one file, a directory or a list of paths of raw extracts, through
+    a staged copy (at ``staged``, else in the shared folder)."""
+    return stage(spark.read.schema(schema).options(**TSV_READ_OPTIONS).csv(path), staged)
 
 
 def write_occurrence_tsv(df: DataFrame, path: str) -> None:

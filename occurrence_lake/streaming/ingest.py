@@ -4,17 +4,21 @@ The reference loads occurrence extracts as they arrive (one per year and
 download) and upserts the serving tables.  Here a landing folder of
 tab-separated extracts is a streaming file source; every micro-batch:
 
-1. is refined exactly like the batch pipeline (filter, date, WKB point,
-   serving measures);
+1. is staged, every column converted (a malformed row aborts it), and
+   refined exactly like the batch pipeline (filter, date, WKB point, serving
+   measures);
 2. is upserted into the ``occurrences`` snapshot (last row per ``gbif_id``
-   wins, by file order then line order inside the batch);
-3. rebuilds the MultiPoints of the species it touched, from the updated
-   ``occurrences`` snapshot (semi join on the touched keys), and replaces
-   all parts of those species in ``species_all_occurrence``.
+   wins, by file order then line order inside the batch): a delta of the
+   batch's size;
+3. rebuilds the MultiPoint parts that it touched, from the updated
+   ``occurrences`` snapshot (semi join on the touched ``(taxon_key, part)``
+   pairs), and replaces just those in ``species_all_occurrence``.
 
-``foreachBatch`` is at-least-once; each commit carries the batch id, and a
-replayed batch is skipped, so a restart after a lost executor or driver
-applies each batch once.  The checkpoint lives in the shared folder.
+``foreachBatch`` is at-least-once.  Each commit carries the batch id; a
+batch that was committed to one table but not to the other is finished on
+replay, with the touched pairs taken from the version *before* that batch.
+Steps 2 and 3 scan two columns of the stored occurrences; they write what
+the batch touched.  The checkpoint lives in the shared folder.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from occurrence_lake.operators import multipoint, refine
 from occurrence_lake.operators.layer import envelope_zorder_sql
 from occurrence_lake.schema import RAW_SCHEMA
 from occurrence_lake.sinks.upsert import SERVING_BUCKETS, KeyedSnapshot
-from occurrence_lake.sources.tsv import TSV_READ_OPTIONS
+from occurrence_lake.sources.tsv import TSV_READ_OPTIONS, stage
 
 
 def extract_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -44,43 +48,44 @@ class ServingIngest:
     under ``serving_root`` up to date from a landing folder."""
 
     def __init__(self, spark: SparkSession, landing_dir: str, serving_root: str,
-                 checkpoint: str | None = None,
-                 max_points_per_part: int = multipoint.MAX_POINTS_PER_PART):
+                 checkpoint: str | None = None, parts: int = 1, buckets: int = SERVING_BUCKETS):
         self.spark = spark
         self.landing_dir = landing_dir
         root = serving_root.rstrip("/")
-        self.occurrences = KeyedSnapshot(spark, f"{root}/occurrences", "gbif_id", buckets=SERVING_BUCKETS)
+        self.parts = parts
+        self.occurrences = KeyedSnapshot(spark, f"{root}/occurrences", "gbif_id", buckets=buckets)
         self.species = KeyedSnapshot(spark, f"{root}/species_all_occurrence", ["taxon_key", "part"],
                                      cluster_by_sql=envelope_zorder_sql())
         self.checkpoint = checkpoint or shared_dir(spark, "streams", "serving_ingest")
-        self.max_points = max_points_per_part
+
+    def _pairs(self, rows: DataFrame) -> DataFrame:
+        return rows.select("taxon_key", multipoint.part_of("gbif_id", "coordinates", self.parts).alias("part"))
 
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
         tag = f"stream-{batch_id}"
+        if self.occurrences.has_batch(tag) and self.species.has_batch(tag):
+            return
         # file name, then position in the file, orders rows of one key
         carry = ("_file", "_line")
-        raw = batch.withColumn("_line", F.monotonically_increasing_id())
+        raw = stage(batch.withColumn("_line", F.monotonically_increasing_id()))
+        if raw.isEmpty():
+            return
         serving = refine.serving_occurrences(
             refine.geospatial_occurrences(refine.filtered_occurrences(raw, carry), carry), carry)
-        serving.persist()
-        try:
-            # species touched: the new keys, and the old keys of re-sent ids
-            # (an id may move to another species)
-            touched = serving.select("taxon_key")
-            if self.occurrences.version() is not None:
-                before = self.occurrences.read()
-                touched = touched.unionByName(
-                    before.join(serving.select("gbif_id"), "gbif_id", "left_semi").select("taxon_key"))
-            # computed once (it scans the old snapshot), used twice below;
-            # one row per species, so small
-            touched = touched.distinct().persist()
-            occ = self.occurrences.upsert(serving, order_by=list(carry), drop=list(carry), batch_id=tag)
-            points = occ.join(touched, "taxon_key", "left_semi").select("gbif_id", "taxon_key", "coordinates")
-            species = multipoint.species_all_occurrence(points, max_points_per_part=self.max_points)
-            self.species.replace_groups(species, "taxon_key", groups=touched, batch_id=tag)
-            touched.unpersist()
-        finally:
-            serving.unpersist()
+        self.occurrences.upsert(serving, order_by=list(carry), drop=list(carry), batch_id=tag)
+        done = self.occurrences.batch_version(tag)
+        # touched: where the sent ids are now, and where they were before
+        # this batch (an id may move to another species)
+        touched = self._pairs(serving)
+        if done > 1:
+            before = self.occurrences.read(done - 1)
+            touched = touched.unionByName(self._pairs(before.join(serving.select("gbif_id"), "gbif_id", "left_semi")))
+        # written once, used twice below
+        touched = stage(touched.distinct())
+        occ = self.occurrences.read(done)
+        points = occ.select("gbif_id", "taxon_key", "coordinates", multipoint.part_of("gbif_id", "coordinates", self.parts).alias("part"))
+        points = points.join(touched, ["taxon_key", "part"], "left_semi").drop("part")
+        self.species.replace_groups(multipoint.species_all_occurrence(points, parts=self.parts), touched, batch_id=tag)
 
     def start(self, available_now: bool = True, max_files_per_trigger: int | None = None):
         stream = extract_stream(self.spark, self.landing_dir, max_files_per_trigger)

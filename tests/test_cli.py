@@ -28,7 +28,7 @@ def test_cli_end_to_end(spark, workdir, capsys):
     spark.createDataFrame([(9, 269, 123), (9, 270, 124), (3, 8, 1)], "z int, x long, y long") \
         .write.parquet(f"{workdir}/tiles")
     assert main(common + ["tiles", "--serving", f"{workdir}/serving", "--tiles", f"{workdir}/tiles",
-                          "--output", f"{workdir}/tile_species"]) == 0
+                          "--output", f"{workdir}/tile_species", "--grid", "geographic"]) == 0
     pairs = spark.read.parquet(f"{workdir}/tile_species")
     assert pairs.columns[:3] == ["z", "x", "y"] and pairs.filter("z = 3").count() > 0
 
@@ -37,6 +37,9 @@ def test_cli_end_to_end(spark, workdir, capsys):
     streamed = KeyedSnapshot(spark, f"{workdir}/streamed/occurrences", "gbif_id").read()
     batch = KeyedSnapshot(spark, f"{workdir}/serving/occurrences", "gbif_id").read()
     assert streamed.count() == batch.count()
+    assert main(common + ["compact", "--serving", f"{workdir}/streamed", "--buckets", "3"]) == 0
+    compacted = KeyedSnapshot(spark, f"{workdir}/streamed/occurrences", "gbif_id")
+    assert compacted.buckets == 3 and compacted.read().count() == batch.count()
 
 
 def test_cli_ingest_with_acquisition(spark, workdir):

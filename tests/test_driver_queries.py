@@ -2,6 +2,7 @@
 driver entry point."""
 
 from __spark_entry__ import entry, oracle_sql, queries
+from occurrence_lake.plans.driver_queries import QUERIES
 from oracle_compare import compare
 
 from conftest import SF_SMALL
@@ -19,6 +20,6 @@ def test_entry(spark):
 
 
 def test_all_queries_match_oracle(spark):
-    res = compare(spark, SF_SMALL, verbose=False)
+    res = compare(spark, SF_SMALL, list(QUERIES), verbose=False)
     bad = {k: v for k, v in res.items() if v.get("ok") is not True}
     assert not bad, bad

@@ -1,37 +1,57 @@
+import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from occurrence_lake.functions import wkb as W
 from occurrence_lake.functions.geo import Box
 from occurrence_lake.operators import constraints, layer, metrics
-from occurrence_lake.operators.multipoint import species_all_occurrence
+from occurrence_lake.operators.multipoint import species_all_occurrence, species_extents
 
 
-def test_hot_species_is_split_but_whole(spark):
+def test_species_in_parts_is_whole(spark):
     rnd = random.Random(3)
     rows = [(1, f"h{i}", rnd.uniform(4, 8), rnd.uniform(44, 47)) for i in range(500)]   # hot species
     rows += [(2, f"c{i}", rnd.uniform(4, 8), rnd.uniform(44, 47)) for i in range(7)]
     rows += [(3, "n0", None, 45.0)]
     df = spark.createDataFrame(rows, "taxon_key long, gbif_id string, lon double, lat double")
     pts = W.with_point_wkb(df, "lon", "lat", "coordinates")
-    sp = species_all_occurrence(pts, lon="lon", lat="lat", max_points_per_part=100)
+    one = species_all_occurrence(pts, lon="lon", lat="lat")
+    assert sorted((r.taxon_key, r.part) for r in one.collect()) == [(1, 0), (2, 0), (3, 0)]
+    sp = species_all_occurrence(pts, lon="lon", lat="lat", parts=5)
     parts = sp.collect()
     hot = [r for r in parts if r.taxon_key == 1]
     assert len(hot) == 5 and sum(r.n_points for r in hot) == 500
-    assert max(r.n_points for r in hot) < 200          # hash parts stay near the bound
-    assert [r.part for r in parts if r.taxon_key == 2] == [0]
+    assert max(r.n_points for r in hot) < 200
     # every point is in exactly one part
     exploded = sp.select("taxon_key", F.explode(W.multipoint_points("all_occurrence_coordinates")).alias("p"))
     back = sorted((r.taxon_key, r.x, r.y) for r in W.with_point_xy(exploded, "p", "x", "y").collect())
     assert back == sorted((k, x, y) for k, _, x, y in rows if x is not None)
-    # envelope of the hot species' parts covers all its points
-    assert min(r.min_lon for r in hot) == min(x for k, _, x, _ in rows if k == 1)
+    # one envelope per species, the same however it is split
+    extents = [sorted(map(tuple, species_extents(s).collect())) for s in (one, sp)]
+    assert extents[0] == extents[1] and len(extents[0]) == 3
     # a species with only NULL points: empty MultiPoint, NULL envelope
     none = [r for r in parts if r.taxon_key == 3][0]
     assert bytes(none.all_occurrence_coordinates).hex() == "010400000000000000" and none.min_lon is None
 
 
+def test_layer_returns_whole_species(spark):
+    """A box at one corner of a species returns all its parts; a tile pairs
+    with it once."""
+    rnd = random.Random(4)
+    rows = [(1, f"h{i}", 5.0 + rnd.random(), 45.0 + rnd.random()) for i in range(40)] + [(1, "corner", 5.0, 45.0), (2, "far", 9.0, 49.0)]
+    pts = W.with_point_wkb(spark.createDataFrame(rows, "taxon_key long, gbif_id string, lon double, lat double"), "lon", "lat", "coordinates")
+    sp = species_all_occurrence(pts, lon="lon", lat="lat", parts=8)
+    geoms = layer.layer_bbox(sp, Box(4.9, 44.9, 5.001, 45.001)).select(F.explode(W.multipoint_points("geom")))
+    assert geoms.count() == 41
+    tiles = spark.createDataFrame([(6, 65, 16), (3, 8, 1), (0, 1, 0)], "z int, x long, y long")
+    pairs = [tuple(r) for r in layer.layer_tiles(sp, tiles).collect()]
+    assert len(pairs) == len(set(pairs)) and (0, 1, 0, 1) in pairs
+    with pytest.raises(Exception, match="tile zoom"):
+        layer.layer_tiles(sp, spark.createDataFrame([(31, 0, 0)], "z int, x long, y long")).collect()
+
+
 def _overlaps(e, t):
     return e[0] <= t[2] and e[2] >= t[0] and e[1] <= t[3] and e[3] >= t[1]
 
@@ -65,6 +85,22 @@ def test_tiles_join_against_brute_force(spark):
     assert got == want and len(want) > 100
 
 
+def test_mercator_tiles_against_brute_force(spark):
+    rnd = random.Random(12)
+    envs = []
+    for k in range(200):
+        w = rnd.choice([0.0, 1e-3, 0.3, 2.0, 90.0])
+        x0, y0 = rnd.uniform(-170, 80), rnd.uniform(-89, 60)
+        envs.append((k, 0, x0, y0, x0 + w * rnd.random(), min(90.0, y0 + w * rnd.random())))
+    species = spark.createDataFrame(envs, "taxon_key long, part long, min_lon double, min_lat double, max_lon double, max_lat double")
+    tiles = sorted({(z, rnd.randrange(2 ** z), rnd.randrange(2 ** z)) for z in (0, 1, 3, 5) for _ in range(80)})
+    lat = lambda v, z: math.degrees(math.atan(math.sinh(math.pi * (1 - 2 * v / 2 ** z))))
+    box = lambda z, x, y: (x / 2 ** z * 360 - 180, lat(y + 1, z), (x + 1) / 2 ** z * 360 - 180, lat(y, z))
+    got = [(r.z, r.x, r.y, r.taxon_key) for r in layer.layer_tiles(species, spark.createDataFrame(tiles, "z int, x long, y long"), grid="mercator").collect()]
+    want = {(z, x, y, e[0]) for (z, x, y) in tiles for e in envs if _overlaps(e[2:], box(z, x, y))}
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 300
+
+
 def test_layer_bbox_optional_taxon(spark):
     species = spark.createDataFrame(
         [(1, 0, b"\x01", 5.5, 45.5, 5.6, 45.6), (2, 0, b"\x02", 9.0, 49.0, 9.5, 49.5),

@@ -1,5 +1,5 @@
 from occurrence_lake.operators import names
-from occurrence_lake.sources import fixtures
+from occurrence_lake.sources.replies import malformed_replies, parse_species_replies
 
 
 def test_first_name_per_language(spark):
@@ -33,7 +33,9 @@ def test_json_replies(spark):
         (3, 0, '{"results": [{"langu'),
         (4, 0, '{"results": []}'),
     ], "taxon_key long, page long, body string")
-    parsed = fixtures.parse_species_replies(replies)
+    seen = malformed_replies(replies).first()
+    assert (seen.replies, seen.malformed) == (5, 1)
+    parsed = parse_species_replies(replies)
     got = {r.taxon_key: r for r in names.first_name_per_language(parsed, order_by=("page", "pos")).collect()}
     assert got[1].vernacular_name_fra == "Chamois" and got[1].vernacular_name_deu == "Gämse"
     for k in (2, 3, 4):

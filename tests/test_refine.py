@@ -66,7 +66,7 @@ def test_acquire_filters_everything(spark):
     got = refine.acquire(raw).collect()
     assert got and all(r.country_code == "FR" and r.kingdom == "Animalia" and 2015 <= r.year <= 2025
                        and 4.63127 <= r.decimal_longitude <= 7.5505 for r in got)
-    want = raw.filter((F.col("country_code") == "FR") & (F.col("kingdom") == "Animalia")
+    want = raw.filter((F.col("country_code") == "FR") & (F.col("kingdom") == "Animalia") & F.col("year").between(2015, 2025)
                       & F.col("decimal_longitude").between(4.63127, 7.5505)
                       & F.col("decimal_latitude").between(44.84424, 46.81983)).count()
     assert len(got) == want

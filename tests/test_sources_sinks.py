@@ -54,7 +54,13 @@ def test_tsv_malformed_rows_abort(spark, workdir, bad):
         line = _line(gbif_id="1", taxon_key="not-a-number")
     _tsv(p, [line])
     with pytest.raises(Exception):
-        read_occurrence_tsv(spark, p).collect()
+        read_occurrence_tsv(spark, p).select("gbif_id", "year")      # staged whole, whatever is read of it
+    from occurrence_lake.plans.assets import ingest_extracts
+    with pytest.raises(Exception):
+        ingest_extracts(spark, p, f"{workdir}/raw", check_keys=False)
+    from occurrence_lake.streaming.ingest import ServingIngest
+    with pytest.raises(Exception):
+        ServingIngest(spark, f"{workdir}/{bad}", f"{workdir}/serving", checkpoint=f"{workdir}/ckpt").run_available()
 
 
 def test_year_partitions_replace_only_their_years(spark, workdir):
@@ -100,9 +106,8 @@ def test_upsert(spark, workdir):
     assert out["c"].v == 4.0 and out["c"].w == "z2"
     assert snap.version() == 2 and snap.read().columns == ["k", "v", "w"]
     assert snap.versions() == [1, 2] and snap.read(version=1).count() == 2   # earlier version intact
-    # a crashed attempt at the next version leaves a directory nobody reads,
-    # and the retry is not blocked by it
-    spark.range(3).write.parquet(f"{workdir}/snap/v000003-crashed")
+    # a crashed attempt leaves a directory that no marker names
+    spark.range(3).write.parquet(f"{workdir}/snap/delta-crashed/rows")
     again = KeyedSnapshot(spark, f"{workdir}/snap", "k")
     assert again.version() == 2 and again.read().count() == 3
     again.upsert(spark.createDataFrame([("d", 5.0, "q")], "k string, v double, w string"))
@@ -111,6 +116,65 @@ def test_upsert(spark, workdir):
         snap.read(version=7)
 
 
+def test_a_small_batch_writes_its_own_rows_only(spark, workdir):
+    import glob
+    snap = KeyedSnapshot(spark, f"{workdir}/s", "k", compact_after=3)
+    snap.replace(spark.range(1000).selectExpr("CAST(id AS STRING) AS k", "id AS v"))
+    out = snap.upsert(spark.range(10).selectExpr("CAST(id AS STRING) AS k", "id + 5000 AS v"), batch_id="b1")
+    delta = glob.glob(f"{workdir}/s/delta-*/rows")
+    assert len(delta) == 1 and spark.read.parquet(delta[0]).count() == 10
+    assert out.count() == 1000 and out.filter("v >= 5000").count() == 10
+    assert snap.has_batch("b1") and snap.upsert(out, batch_id="b1").count() == 1000 and snap.version() == 2
+    for i in range(2):                                   # the third delta is folded into a new base
+        snap.upsert(spark.createDataFrame([("1", i)], "k string, v long"))
+    assert snap.read().filter("k = '1'").first().v == 1 and snap.read().count() == 1000
+    assert len(glob.glob(f"{workdir}/s/base-*")) == 2
+
+
+def test_two_writers_keep_both_rows(spark, workdir):
+    one, two = (KeyedSnapshot(spark, f"{workdir}/w", "k") for _ in range(2))
+    one.replace(spark.createDataFrame([("a", 1)], "k string, v long"))
+    assert two.version() == 1
+    lost = two._log.create
+    calls = []
+
+    def late(version, marker):                           # the other writer commits just before
+        if not calls:
+            calls.append(version)
+            one.upsert(spark.createDataFrame([("b", 2)], "k string, v long"))
+        return lost(version, marker)
+
+    two._log.create = late
+    two.upsert(spark.createDataFrame([("c", 3)], "k string, v long"))
+    assert sorted(r.k for r in KeyedSnapshot(spark, f"{workdir}/w", "k").read().collect()) == ["a", "b", "c"]
+    assert not one._log.create(3, {})                    # a version has one writer
+
+
+def test_groups_are_replaced_whole(spark, workdir):
+    snap = KeyedSnapshot(spark, f"{workdir}/g", ["g", "p"], group="g")
+    rows = lambda *r: spark.createDataFrame(list(r), "g long, p long, v string")
+    snap.replace_groups(rows((1, 0, "a"), (1, 1, "b"), (2, 0, "c")))
+    snap.replace_groups(rows((1, 0, "d")), spark.createDataFrame([(2,)], "g long"))
+    assert sorted(tuple(r) for r in snap.read().collect()) == [(1, 0, "d")]
+    parts = KeyedSnapshot(spark, f"{workdir}/g", ["g", "p"])          # another unit: folds the deltas first
+    parts.replace_groups(rows((1, 1, "e")))
+    assert sorted(tuple(r) for r in parts.read().collect()) == [(1, 0, "d"), (1, 1, "e")]
+
+
+def test_shared_folder_is_not_made_up_on_a_cluster():
+    from occurrence_lake.config import shared_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return "spark://host:7077" if key == "spark.master" else default
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
 def test_dedupe_pick_first(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k long, name string")
     got = {r.k: r.name for r in dedupe_by_key(df, "k", ["name"], pick="first").collect()}
@@ -147,35 +211,40 @@ def test_year_writes_split_a_dominant_year(spark, workdir):
 
 
 def test_bucketed_upsert(spark, workdir):
-    """Bucketed snapshots: same upsert semantics, the snapshot side of the
-    merge is not shuffled, one file per bucket, readable after a restart."""
+    """Bucketed snapshots: same upsert semantics, the stored side of a read
+    is not shuffled though there are more shuffle partitions than buckets,
+    one file per bucket, readable (with its metadata) after a restart."""
+    import contextlib
     import glob
     import io
-    import contextlib
-    from occurrence_lake.sinks.upsert import merge_by_presence
-    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+    from occurrence_lake.functions.wkb import typed_geometry
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")
     prev = [spark.conf.get(k, None) for k in keys]
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    for k, v in zip(keys, ("-1", "-1", "64")):
+        spark.conf.set(k, v)
     try:
         root = f"{workdir}/bsnap"
         snap = KeyedSnapshot(spark, root, "k", buckets=4)
-        snap.upsert(spark.range(0, 1000).selectExpr("CAST(id AS STRING) AS k", "CAST(id AS DOUBLE) AS v",
-                                                    "'x' AS w"))
-        batch = spark.createDataFrame([("5", None, "y2", 1), ("c", 3.0, "z", 1), ("c", 4.0, "z2", 2)],
-                                      "k string, v double, w string, seq int")
+        rows = spark.range(0, 1000).selectExpr("CAST(id AS STRING) AS k", "CAST(id AS DOUBLE) AS v", "X'00' AS w")
+        snap.upsert(rows.select("k", "v", typed_geometry("w", "Point")))
+        assert len(glob.glob(f"{root}/base-*/*.parquet")) == 4
+        batch = spark.createDataFrame([("5", None, b"y", 1), ("c", 3.0, b"z", 1), ("c", 4.0, b"z", 2)], "k string, v double, w binary, seq int")
+        out = snap.upsert(batch, order_by=["seq"], drop=["seq"])
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
-            merge_by_presence(snap.read(), batch.drop("seq"), "k").explain()
-        plan = buf.getvalue()
-        assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
-        out = {r.k: r for r in snap.upsert(batch, order_by=["seq"], drop=["seq"]).collect()}
-        assert len(out) == 1001 and out["7"].v == 7.0
-        assert out["5"].v is None and out["5"].w == "y2" and out["c"].v == 4.0
-        assert len(glob.glob(f"{snap._data(2)}/*.parquet")) == 4
+            out.explain()
+        stored = buf.getvalue().split("LeftAnti")[1].split("Exchange")[0]
+        assert "Bucketed: true" in stored                       # no exchange between the join and the stored side
+        got = {r.k: r for r in out.collect()}
+        assert len(got) == 1001 and got["7"].v == 7.0 and got["5"].v is None and got["c"].v == 4.0
+        marker = snap._log.read(2)
+        spark.sql(f"DROP TABLE {snap._table(marker['base'])}")   # external: files stay
         again = KeyedSnapshot(spark, root, "k", buckets=4)      # as after a restart
-        spark.sql(f"DROP TABLE {again._table(2)}")          # external: files stay
         assert again.read().count() == 1001
+        assert again.read(1).schema["w"].metadata["srid"] == 4326
+        again.compact(buckets=7)
+        assert again.buckets == 7 and again.read().count() == 1001 and not spark.catalog.tableExists(again._table(marker["base"]))
     finally:
         for k, v in zip(keys, prev):
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

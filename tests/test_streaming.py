@@ -1,6 +1,10 @@
 import os
 
-from occurrence_lake.schema import RAW_HEADER, RAW_NAMES
+import pytest
+from pyspark.sql import functions as F
+
+from occurrence_lake.schema import RAW_HEADER, RAW_NAMES, RAW_SCHEMA
+from occurrence_lake.sources.tsv import TSV_READ_OPTIONS
 from occurrence_lake.streaming.ingest import ServingIngest
 
 
@@ -42,3 +46,33 @@ def test_stream_keeps_serving_tables_current(spark, workdir):
     assert ingest.occurrences.has_batch("stream-1")
     ingest.occurrences.upsert(ingest.occurrences.read(), batch_id="stream-1")
     assert ingest.occurrences.version() == v
+
+
+def test_replay_after_a_crash_between_the_two_commits(spark, workdir):
+    ingest = ServingIngest(spark, f"{workdir}/landing", f"{workdir}/serving", checkpoint=f"{workdir}/ckpt", parts=2)
+
+    def batch(name, rows):
+        _drop(f"{workdir}/{name}", rows)
+        return (spark.read.schema(RAW_SCHEMA).options(**TSV_READ_OPTIONS).csv(f"{workdir}/{name}")
+                .withColumn("_file", F.lit(name)))
+
+    ingest.apply_batch(batch("a", [{"gbif_id": "1", "taxon_key": "10", "decimal_longitude": "6.0"},
+                                   {"gbif_id": "3", "taxon_key": "20", "decimal_longitude": "7.0"}]), 0)
+    second = batch("b", [{"gbif_id": "3", "taxon_key": "10", "decimal_longitude": "7.0"}])
+    whole, ingest.species.replace_groups = ingest.species.replace_groups, _crash
+    with pytest.raises(RuntimeError):
+        ingest.apply_batch(second, 1)
+    ingest.species.replace_groups = whole
+    ingest.apply_batch(second, 1)
+    species = {}
+    for r in ingest.species.read().collect():
+        species[r.taxon_key] = species.get(r.taxon_key, 0) + r.n_points
+    assert species == {10: 2}                                  # species 20 lost its only point
+    v = (ingest.occurrences.version(), ingest.species.version())
+    ingest.apply_batch(second, 1)                              # done: nothing is written
+    ingest.apply_batch(second.limit(0), 2)                     # empty: nothing is written
+    assert v == (ingest.occurrences.version(), ingest.species.version())
+
+
+def _crash(*_, **__):
+    raise RuntimeError("lost between the two commits")
