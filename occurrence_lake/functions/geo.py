@@ -30,8 +30,9 @@ class Box:
     max_lat: float
 
 
-# Most horizontal bands that a polygon's edges are cut into.
-MAX_BANDS = 512
+# Most horizontal bands that a polygon's edges are cut into, and most times
+# that an edge is listed on average.
+MAX_BANDS, MAX_COPIES = 512, 8
 
 
 # ---------------------------------------------------------------------------
@@ -99,14 +100,22 @@ def inside_polygon(lon: str, lat: str, rings) -> Column:
     if not edges:
         return F.lit(False)
     b = polygon_box(rings)
-    n = max(1, min(MAX_BANDS, len(edges) // 8))
-    height = (b.max_lat - b.min_lat) / n
-    bands: list[list[tuple]] = [[] for _ in range(n)]
-    for e in edges:
-        low, high = min(e[1], e[3]), max(e[1], e[3])
-        # a band more on each side: rounding never loses an edge
-        for i in range(max(0, int((low - b.min_lat) / height) - 1), min(n - 1, int((high - b.min_lat) / height) + 1) + 1):
-            bands[i].append(e)
+    n, bands = max(1, min(MAX_BANDS, len(edges) // 8)), []
+    while not bands:
+        height = (b.max_lat - b.min_lat) / n
+
+        def spanned(e):
+            # a band more on each side: rounding never loses an edge
+            low, high = ((y - b.min_lat) / height for y in sorted((e[1], e[3])))
+            return range(max(0, int(low) - 1), min(n - 1, int(high) + 1) + 1)
+
+        if n > 1 and sum(len(spanned(e)) for e in edges) > MAX_COPIES * len(edges):
+            n //= 2     # long edges lie in many bands: make fewer
+            continue
+        bands = [[] for _ in range(n)]
+        for e in edges:
+            for i in spanned(e):
+                bands[i].append(e)
     flat = [[v for xi, yi, _, yj, dx, dy in band for v in (xi, yi, yj, dx, dy)] for band in bands]
     # one string literal, folded to a constant array when the plan is made
     table = f"from_json('{json.dumps(flat)}', 'array<array<double>>')"

@@ -16,10 +16,15 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def make_date_strict(year, month, day) -> Column:
+def make_date_strict(year, month, day, strict: bool = True) -> Column:
     """EXP-3: a date from parts.  Any NULL part -> NULL; an impossible date
-    (30 February) aborts the job, as the reference's ``MAKE_DATE`` does."""
+    (30 February) aborts the job, as the reference's ``MAKE_DATE`` does, or
+    is NULL with ``strict=False``."""
     y, m, d = _col(year), _col(month), _col(day)
+    if not strict:   # through text, which gives NULL whatever the session's ANSI setting
+        text = F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), F.lpad(m.cast("string"), 2, "0"), F.lpad(d.cast("string"), 2, "0"))
+        whole = y.isNotNull() & m.isNotNull() & d.isNotNull()
+        return F.when(whole, F.call_function("try_to_date", text, F.lit("yyyy-MM-dd")))
     made = F.make_date(y.cast("int"), m.cast("int"), d.cast("int"))
     return (F.when(y.isNull() | m.isNull() | d.isNull(), F.lit(None).cast("date"))
             .when(made.isNull(), F.raise_error(F.concat(

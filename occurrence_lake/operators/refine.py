@@ -40,17 +40,18 @@ def acquire(raw: DataFrame, country: str = ACQUISITION_COUNTRY, polygon_wkt: str
     return raw.filter(cond)
 
 
-def filtered_occurrences(raw: DataFrame, carry=()) -> DataFrame:
+def filtered_occurrences(raw: DataFrame, carry=(), strict_dates: bool = True) -> DataFrame:
     """FLT-3 + EXP-1 + EXP-3: kept taxa, the measures, and a date from parts.
 
     The predicate (``IsNotNull(species)``, ``class IN (...)``) is pushed
     into the scan and only the 12 columns below are read.  A NULL class is
-    dropped (a NULL comparison is not true).
+    dropped (a NULL comparison is not true).  An impossible date aborts
+    unless ``strict_dates`` is off; then it is NULL.
     """
     kept = raw.filter(F.col("species").isNotNull() & F.col("class").isin(KEPT_CLASSES))
     return kept.select(
         "gbif_id", "taxon_key", "decimal_latitude", "decimal_longitude", *MEASURES,
-        make_date_strict("year", "month", "day").alias("date"), *carry,
+        make_date_strict("year", "month", "day", strict_dates).alias("date"), *carry,
     )
 
 
@@ -66,14 +67,14 @@ def unique_taxon_keys(filtered: DataFrame) -> DataFrame:
     return filtered.select("taxon_key").distinct()
 
 
-def serving_occurrences(geospatial: DataFrame, carry=()) -> DataFrame:
+def serving_occurrences(geospatial: DataFrame, carry=(), zeros_as_null: bool = True) -> DataFrame:
     """The serving ``occurrences`` rows (EXP-7, EXP-8): INTEGER key that must
     fit, and every zero measure turned into NULL as the reference's loader
-    does (``float(v) if v else None``)."""
+    does (``float(v) if v else None``), unless ``zeros_as_null`` is off."""
     return geospatial.select(
         "gbif_id",
         narrow_to_int("taxon_key", "taxon_key").alias("taxon_key"),
         typed_geometry("coordinates", "Point"),
-        *[zero_as_null(m).alias(m) for m in MEASURES],
+        *[zero_as_null(m).alias(m) if zeros_as_null else F.col(m) for m in MEASURES],
         "date", *carry,
     )

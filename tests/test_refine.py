@@ -90,3 +90,32 @@ def test_declared_schemas(spark):
     assert shape(filtered.schema) == shape(FILTERED_SCHEMA)
     assert shape(serving.schema) == shape(SERVING_OCCURRENCES_SCHEMA)
     assert raw.schema.names == RAW_SCHEMA.names
+
+
+def test_polygon_of_many_edges(spark):
+    """5,000 edges against a plain crossing count; planning and testing stay
+    within a small multiple of 100 edges."""
+    import math
+    import random
+    import time
+    from occurrence_lake.functions.geo import inside_geometry
+
+    def star(n):
+        ring = [(6 + (1 + i % 2) * math.cos(2 * math.pi * i / n), 45 + (1 + i % 2) * math.sin(2 * math.pi * i / n)) for i in range(n)]
+        return [*ring, ring[0]]
+
+    def inside(x, y, ring):
+        return sum((yi > y) != (yj > y) and x < (xj - xi) * (y - yi) / (yj - yi) + xi for (xi, yi), (xj, yj) in zip(ring, ring[1:])) % 2 == 1
+
+    rnd = random.Random(6)
+    points = [(i, rnd.uniform(3.5, 8.5), rnd.uniform(42.5, 47.5)) for i in range(1000)]
+    df = spark.createDataFrame(points, "id long, x double, y double")
+    seconds = {}
+    for n in (100, 5000):
+        ring = star(n)
+        wkt = "POLYGON((" + ", ".join(f"{x!r} {y!r}" for x, y in ring) + "))"
+        t = time.time()
+        got = {r.id for r in df.filter(inside_geometry("x", "y", wkt)).collect()}
+        seconds[n] = time.time() - t
+        assert got == {i for i, x, y in points if inside(x, y, ring)} and 100 < len(got) < 900
+    assert seconds[5000] < 10 * max(1.0, seconds[100])

@@ -47,3 +47,15 @@ def test_strictness_does_not_depend_on_ansi(spark, ansi):
             big.select(narrow_to_int("k")).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", prev)
+
+
+def test_lenient_dates_and_kept_zeros(spark):
+    from occurrence_lake.functions.scalars import make_date_strict
+    from occurrence_lake.operators.refine import serving_occurrences
+    rows = spark.createDataFrame([(2020, 2, 29), (2021, 2, 29), (2021, 13, 1), (None, 1, 1), (2021, 1, 9)], "y long, m long, d long")
+    got = [str(r[0]) for r in rows.select(make_date_strict("y", "m", "d", strict=False)).collect()]
+    assert got == ["2020-02-29", "None", "None", "None", "2021-01-09"]
+    geo = spark.sql("SELECT '1' AS gbif_id, 5L AS taxon_key, X'00' AS coordinates, 0e0 AS coordinate_uncertainty_in_meters, 0e0 AS coordinate_precision, "
+                    "0e0 AS elevation, 1e0 AS elevation_accuracy, 0e0 AS depth, 0e0 AS depth_accuracy, DATE'2020-01-01' AS date")
+    assert serving_occurrences(geo).first().depth is None
+    assert serving_occurrences(geo, zeros_as_null=False).first().depth == 0.0
