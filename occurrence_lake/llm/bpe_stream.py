@@ -24,6 +24,7 @@ import codecs
 import hashlib
 import heapq
 import json
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -33,8 +34,11 @@ from occurrence_lake.llm.common import process_cache, ship
 
 BLOCK_CHARS = 1 << 16
 BLOCK_SYMBOLS = 2048
-CACHE_CHUNKS = 150_000
-CACHE_CHUNK_CHARS = 256
+KNOWN_WORDS = 250_000
+KNOWN_WORD_CHARS = 128
+_BEYOND_LATIN = re.compile("[^\x00-\u024f]")
+_MAPPED = "\ud800"  # marks a pre-token in the byte alphabet; no text holds a lone surrogate
+_NO_RULE = 1 << 60
 
 
 def byte_alphabet() -> list[str]:
@@ -71,13 +75,17 @@ class Transducer:
         ranks = self.ranks
         if len(symbols) < 2:
             return symbols
-        if len(symbols) <= 24:
-            sym = list(symbols)
-            while len(sym) > 1:
-                low, at = min((ranks.get(p, 1 << 60), i) for i, p in enumerate(zip(sym, sym[1:])))
-                if low == 1 << 60:
-                    break
-                sym[at:at + 2] = [sym[at] + sym[at + 1]]
+        if len(symbols) <= 64:
+            sym, get = list(symbols), ranks.get
+            order = [get(p, _NO_RULE) for p in zip(sym, sym[1:])]
+            while order and (low := min(order)) != _NO_RULE:
+                i = order.index(low)
+                sym[i:i + 2] = (sym[i] + sym[i + 1],)
+                del order[i]
+                if i:
+                    order[i - 1] = get((sym[i - 1], sym[i]), _NO_RULE)
+                if i < len(order):
+                    order[i] = get((sym[i], sym[i + 1]), _NO_RULE)
             return sym
         sym = list(symbols)
         after = list(range(1, len(sym) + 1))
@@ -115,6 +123,24 @@ class Transducer:
         return tokens[:n]
 
 
+class KnownWords(dict):
+    """Pre-token -> (number of tokens, ids, tokens), filled as words come;
+    forgets when it is full and keeps no long words."""
+
+    def __init__(self, bpe: "WordBpe"):
+        super().__init__()
+        self.bpe = bpe
+
+    def __missing__(self, word: str) -> tuple[int, str, str]:
+        tokens = list(self.bpe.encode_word(word))
+        out = (len(tokens), " ".join(map(self.bpe.id_text.__getitem__, tokens)), " ".join(tokens))
+        if len(word) <= KNOWN_WORD_CHARS:
+            if len(self) >= KNOWN_WORDS:
+                self.clear()
+            self[word] = out
+        return out
+
+
 class WordBpe:
     """A lower-casing byte-level BPE vocabulary with word ends, read from a
     tokenizer description file."""
@@ -130,6 +156,7 @@ class WordBpe:
         self.ids: dict[str, int] = dict(model["vocab"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in (self.ids | self.special).items()}
+        self.id_text = {t: str(i) for t, i in (self.ids | self.special).items()}
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.ranks = {m: i for i, m in reversed(list(enumerate(merges)))}
         size = lambda t: len(t.removesuffix(self.end))  # noqa: E731  symbols, the word end counts with its character
@@ -138,42 +165,37 @@ class WordBpe:
         self.bytes_of = {c: b for b, c in enumerate(self.alphabet)}
         self.split_special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
         pieces = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
-        self.ascii_words = regex.compile(pieces[0]["pattern"]["Regex"])
+        self.words = regex.compile(pieces[0]["pattern"]["Regex"])
         library = Tokenizer.from_file(path)  # its Unicode tables define letters, digits and case beyond ASCII
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
-        self.known: dict[str, tuple[int, str, str]] = {}
+        self.one_block = Transducer(self.ranks, self.lookahead)
+        self.known = KnownWords(self)
 
     def pre_tokens(self, text: str) -> list[str]:
-        """Normalised pre-tokens in the byte alphabet.  White space needs no
-        collapsing, it only separates them."""
-        if text.isascii():
-            return ["".join([self.alphabet[b] for b in w.encode()]) for w in self.ascii_words.findall(text.lower())]
-        return [w for w, _ in self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(text))]
+        """Normalised pre-tokens.  White space needs no collapsing, it only
+        separates them.  Below U+0250 there is nothing to compose and the
+        library's classes and lower case are Python's; beyond, the library
+        normalises and splits (and gives the byte alphabet already)."""
+        if not _BEYOND_LATIN.search(text):
+            return self.words.findall(text.lower())
+        return [_MAPPED + w for w, _ in self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(text))]
+
+    def symbols(self, word: str) -> list[str]:
+        symbols = list(word[1:]) if word[0] == _MAPPED else list(word) if word.isascii() and word.isprintable() else [self.alphabet[b] for b in word.encode()]
+        symbols[-1] += self.end
+        return symbols
 
     def encode_word(self, word: str) -> Iterator[str]:
         """Tokens of one pre-token, through the transducer in blocks."""
-        symbols = list(word)
-        symbols[-1] += self.end
+        symbols = self.symbols(word)
+        if len(symbols) <= BLOCK_SYMBOLS:  # one last block
+            yield from self.one_block.merge(symbols)
+            return
         t = Transducer(self.ranks, self.lookahead)
         step = max(BLOCK_SYMBOLS, 2 * self.lookahead)
         for i in range(0, len(symbols), step):
             yield from t.feed(symbols[i:i + step], i + step >= len(symbols))
 
-    def encode_plain(self, chunk: str) -> Iterator[str]:
-        for word in self.pre_tokens(chunk):
-            yield from self.encode_word(word)
-
-    def encode_chunk(self, chunk: str) -> Iterator[str]:
-        """Tokens of a text without spaces that cut a pre-token."""
-        if "<|" not in chunk and not any(s in chunk for s in self.special):
-            yield from self.encode_plain(chunk)
-            return
-        for part in self.split_special.split(chunk):
-            if part in self.special:
-                yield part
-            elif part:
-                yield from self.encode_plain(part)
-
     def blocks(self, text: str) -> Iterator[str]:
         at = 0
         while at < len(text):
@@ -183,26 +205,19 @@ class WordBpe:
             yield text[at:end]
             at = end
 
-    def stream(self, text: str) -> Iterator[tuple[int, str, str]]:
-        """(number of tokens, ids joined by a space, tokens joined by a
-        space) of one space-separated chunk after the other."""
-        known = self.known
-        id_of = lambda t: self.ids[t] if t in self.ids else self.special[t]
+    def stream(self, text: str) -> Iterator[list[tuple[int, str, str]]]:
+        """Block after block: (number of tokens, ids joined by a space,
+        tokens joined by a space) of every pre-token."""
         for block in self.blocks(text):
-            for chunk in block.replace("\n", " ").split(" "):
-                found = known.get(chunk)
-                if found is None:
-                    tokens = list(self.encode_chunk(chunk))
-                    found = (len(tokens), " ".join(str(id_of(t)) for t in tokens), " ".join(tokens))
-                    if len(chunk) <= CACHE_CHUNK_CHARS:
-                        if len(known) >= CACHE_CHUNKS:
-                            known.clear()
-                        known[chunk] = found
-                if found[0]:
-                    yield found
+            parts = self.split_special.split(block) if "<|" in block else [block]
+            for part in parts:
+                if part in self.special:
+                    yield [(1, self.id_text[part], part)]
+                elif words := self.pre_tokens(part):
+                    yield list(map(self.known.__getitem__, words))
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for _, ids, _ in self.stream(text) for i in ids.split(" ")]
+        return [int(i) for found in self.stream(text) for _, ids, _ in found for i in ids.split(" ")]
 
     def decode_tokens(self, ids: Iterable[int]) -> Iterator[str]:
         """Pieces of the decoded text as the vocabulary's own decoder makes
@@ -230,24 +245,13 @@ class WordBpe:
     def digests(self, text: str | None) -> tuple[int, str, str]:
         """Number of tokens, SHA-256 of the ids joined by a space, SHA-256
         of the decoded text, block by block."""
-        n, ids, decoded = 0, hashlib.sha256(), hashlib.sha256()
-        parts: list[tuple[int, str, str]] = []
-        sep = ""
-
-        def flush() -> None:
-            nonlocal sep
-            if parts:
-                ids.update((sep + " ".join([p[1] for p in parts])).encode())
-                decoded.update((sep + " ".join([p[2] for p in parts])).encode())
-                sep = " "
-                parts.clear()
-
+        n, ids, decoded, sep = 0, hashlib.sha256(), hashlib.sha256(), ""
         for found in self.stream(text or ""):
-            n += found[0]
-            parts.append(found)
-            if len(parts) >= 8192:
-                flush()
-        flush()
+            count, id_parts, token_parts = zip(*found)
+            n += sum(count)
+            ids.update((sep + " ".join(id_parts)).encode())
+            decoded.update((sep + " ".join(token_parts)).encode())
+            sep = " "
         return n, ids.hexdigest(), decoded.hexdigest()
 
 
