@@ -4,8 +4,10 @@ A *window* is ``WINDOW`` consecutive words of a benchmark item (a shorter
 item is one window).  Both sides are winnowed: of every ``SPAN`` consecutive
 ``GRAM``-word hashes the smallest is kept, so two texts that share a window
 (``GRAM + SPAN - 1`` words) share a kept hash inside it.  Kept hashes of the
-documents join those of the benchmark; only hits go on.  A hit is extended
-word by word to both sides, as far as windows around it can reach; runs of
+documents that a bitmap of the benchmark's does not rule out (its size is
+fixed; it only spares rows, the join decides) join those of the benchmark,
+with the words around them, so texts are read once and never shuffled.  A
+hit is extended word by word to both sides, as far as windows around it can reach; runs of
 at least a window are hit words.  So every shared window is found, and hash
 collisions are not.
 
@@ -23,6 +25,7 @@ name, are ignored.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +35,7 @@ from occurrence_lake.llm.common import contract_words, let, rows_of, written
 
 WINDOW, GRAM = 13, 6
 SPAN = WINDOW - GRAM + 1
+FILTER_BITS = 20
 REACH = WINDOW - GRAM  # words beyond a kept gram that a window around it can hold
 
 
@@ -44,13 +48,14 @@ def gram_hashes(h: Column, n: int) -> Column:
 def sliding(values: Column, span: int, ahead: bool, pick) -> Column:
     """Sliding least or greatest over ``span`` (a power of two) elements, by
     doubling; windows are cut off at the ends."""
+    def step(width: int):
+        if ahead:
+            return lambda v: F.transform(v, lambda x, i: pick(x, F.get(v, i + width)))
+        return lambda v: F.transform(v, lambda x, i: F.when(i < width, x).otherwise(pick(x, F.get(v, F.greatest(i - width, F.lit(0))))))
+
     out, width = values, 1
     while width < span:
-        def step(v: Column, width: int = width) -> Column:
-            if ahead:
-                return F.transform(v, lambda x, i: pick(x, F.get(v, i + width)))
-            return F.transform(v, lambda x, i: F.when(i < width, x).otherwise(pick(x, F.get(v, F.greatest(i - width, F.lit(0))))))
-        out, width = let(out, step), 2 * width
+        out, width = let(out, step(width)), 2 * width
     return out
 
 
@@ -93,18 +98,39 @@ def benchmark_index(benchmark: DataFrame, id_col: str = "item_id", text_col: str
             .select("item", "k.len", "k.hash", context(F.col("words"), F.col("k.len"), F.col("k.pos")).alias("ctx")).distinct())
 
 
-def hit_words(docs: DataFrame, index: DataFrame, prints_table: DataFrame) -> DataFrame:
-    """``id``, ``th``, ``item``, ``lo``, ``hi``: runs of hit words."""
-    found = (prints_table.select("id", "th", F.explode("prints").alias("p"))
-             .join(index.select("len", "hash").distinct().withColumnRenamed("len", "l").withColumnRenamed("hash", "h"),
-                   (F.col("p.hash") == F.col("h")) & (F.col("p.len") == F.col("l")), "left_semi")
-             .groupBy("id", "th").agg(F.collect_set("p").alias("hits")))  # at most one document's own runs
-    found = written(found, "decontaminate-hits").withColumnsRenamed({"id": "hit_id", "th": "hit_th"})
-    texts = docs.join(found, docs["id"].eqNullSafe(found["hit_id"]) & (docs["th"] == found["hit_th"]))
-    texts = texts.select("id", "th", contract_words(F.col("text")).alias("words"), "hits")
-    around = texts.select("id", "th", F.explode(F.transform("hits", lambda p: F.struct(
-        p["len"].alias("len"), p["pos"].alias("pos"), p["hash"].alias("hash"), context(F.col("words"), p["len"], p["pos"]).alias("ctx")))).alias("p"))
-    around = around.select("id", "th", "p.*").withColumnRenamed("ctx", "own")
+def hash_bits(index: DataFrame) -> Column:
+    """The benchmark's hashes as a constant bitmap of ``2 ** FILTER_BITS``
+    bits, whatever their number: at most ``2 ** (FILTER_BITS - 6)`` longs
+    come to the driver."""
+    n = 1 << (FILTER_BITS - 6)
+    set_bits = index.groupBy(_long_of(F.col("hash")).alias("i")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), _bit_of(F.col("hash")))).alias("v"))
+    found = {r["i"]: r["v"] for r in set_bits.collect()}
+    return F.from_json(F.lit(json.dumps([found.get(i, 0) for i in range(n)])), "array<bigint>")
+
+
+def _long_of(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 6).bitwiseAND(F.lit((1 << (FILTER_BITS - 6)) - 1).cast("long")).cast("int")
+
+
+def _bit_of(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(63).cast("long")).cast("int")
+
+
+def candidates(words: Column, lengths: list[int], bits: Column) -> Column:
+    """(len, pos, hash, own) of the prints that the benchmark's bitmap does
+    not rule out, with the words around them."""
+    def of(p: Column) -> Column:
+        maybe = F.filter(p, lambda x: F.getbit(F.get(bits, _long_of(x["hash"])), _bit_of(x["hash"])) == 1)
+        return F.transform(maybe, lambda x: F.struct(x["len"].alias("len"), x["pos"].alias("pos"), x["hash"].alias("hash"),
+                                                     context(words, x["len"], x["pos"]).alias("own")))
+
+    return let(prints(words, lengths), of)
+
+
+def hit_words(table: DataFrame, index: DataFrame) -> DataFrame:
+    """``id``, ``th``, ``item``, ``lo``, ``hi``: runs of hit words, from the
+    candidates of ``table`` joined with the benchmark's hashes."""
+    around = table.select("id", "th", F.explode("candidates").alias("p")).select("id", "th", "p.*")
     same = F.zip_with("own", "ctx", lambda a, b: F.coalesce(a == b, F.lit(False)))
     run = lambda part: F.when(F.array_contains(part, False), F.array_position(part, F.lit(False)) - 1).otherwise(F.size(part)).cast("int")
     pairs = around.join(index, ["len", "hash"]).withColumn("same", same)
@@ -122,9 +148,10 @@ def judged(df: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, leas
     docs = docs.withColumn("th", F.xxhash64("text"))
     index = written(benchmark_index(benchmark), "decontaminate-index")
     lengths = sorted(r["len"] for r in index.where(F.col("len") < WINDOW).select("len").distinct().collect())  # at most WINDOW - 1
+    bits = hash_bits(index)
     table = written(docs.select("id", "th", let(contract_words(F.col("text")), lambda w: F.struct(
-        F.size(w).cast("long").alias("n_words"), prints(w, lengths).alias("prints"))).alias("r")).select("id", "th", "r.*"), "decontaminate-prints")
-    runs = written(hit_words(docs, index, table).distinct(), "decontaminate-runs")
+        F.size(w).cast("long").alias("n_words"), candidates(w, lengths, bits).alias("candidates"))).alias("r")).select("id", "th", "r.*"), "decontaminate-candidates")
+    runs = written(hit_words(table, index).distinct(), "decontaminate-runs")
     words = (runs.select("id", "th", "lo", "hi").distinct().select("id", "th", F.explode(F.sequence("lo", "hi")).alias("at")).distinct()
              .groupBy("id", "th").agg(F.count("*").alias("n_hit")))
     items = runs.groupBy("id", "th").agg(F.array_sort(F.collect_set("item")).alias("items"))
