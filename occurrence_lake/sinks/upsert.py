@@ -179,13 +179,15 @@ class KeyedSnapshot:
         base = self._base(marker)
         if not marker["deltas"]:
             return base
-        named = [(i, f"{self.root}/{d}") for i, d in enumerate(marker["deltas"])]
-        cleared = [self.spark.read.parquet(f"{p}/groups").withColumn("_at", F.lit(i)) for i, p in named]
-        rows = [self.spark.read.parquet(f"{p}/rows").withColumn("_at", F.lit(i)) for i, p in named]
+        group = marker["group"]
+        rows, cleared = [], []
+        for i, (directory, own_groups) in enumerate(marker["deltas"]):
+            rows.append(self.spark.read.schema(base.schema).parquet(f"{self.root}/{directory}/rows").withColumn("_at", F.lit(i)))
+            named = self.spark.read.parquet(f"{self.root}/{directory}/groups").withColumn("_at", F.lit(i)) if own_groups else rows[i]
+            cleared.append(named.select(*group, "_at"))
         latest = cleared[0]
         for c in cleared[1:]:
             latest = latest.unionByName(c)
-        group = marker["group"]
         latest = latest.groupBy(*group).agg(F.max("_at").alias("_at"))
         if marker["buckets"] and group == self.key:
             latest = latest.repartition(marker["buckets"], *self.key)
@@ -256,14 +258,14 @@ class KeyedSnapshot:
         directory = f"delta-{uuid.uuid4().hex[:12]}"
         path = f"{self.root}/{directory}"
         rows.select(*[f"`{c}`" for c in schema]).write.mode("errorifexists").parquet(f"{path}/rows")
-        named = self.spark.read.parquet(f"{path}/rows").select(*self.group)
-        named = named if groups is None else named.unionByName(groups.select(*self.group))
-        named.distinct().write.mode("errorifexists").parquet(f"{path}/groups")
+        if groups is not None:   # else the rows themselves name the groups
+            named = self.spark.read.parquet(f"{path}/rows").select(*self.group).unionByName(groups.select(*self.group))
+            named.distinct().write.mode("errorifexists").parquet(f"{path}/groups")
         while True:   # the delta holds no stored rows, so it fits on top of any version
             v = self.version()
             old = self._log.read(v)
             batches = old["batches"] if batch_id is None else old["batches"] | {str(batch_id): v + 1}
-            if self._log.create(v + 1, old | {"deltas": [*old["deltas"], directory], "group": self.group, "batches": batches}):
+            if self._log.create(v + 1, old | {"deltas": [*old["deltas"], [directory, groups is not None]], "group": self.group, "batches": batches}):
                 break
         if len(old["deltas"]) + 1 >= self._compact_after:
             return self.compact()
