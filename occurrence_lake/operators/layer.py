@@ -95,6 +95,58 @@ def _levels(df: DataFrame, column: str) -> DataFrame:
     return F.broadcast(df.select(F.col(column).alias("level")).distinct())
 
 
+def _deal(hashed):
+    """A salt for the many-rows side of a crowded level."""
+    return F.when(F.col("level") <= SALTED_LEVEL, F.pmod(hashed, F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+
+
+def _repeat():
+    """All salts of a crowded level, for the other side."""
+    return F.explode(F.when(F.col("level") <= SALTED_LEVEL, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+
+
+def placed_tiles(tiles: DataFrame) -> DataFrame:
+    """``(z, x, y)`` as numbers; a zoom outside 0..``MAX_LEVEL`` raises."""
+    zoom = F.col("z").cast("int")
+    checked = F.when(zoom.between(0, MAX_LEVEL), zoom).otherwise(
+        F.raise_error(F.concat(F.lit(f"tile zoom outside 0..{MAX_LEVEL}: "), F.coalesce(zoom.cast("string"), F.lit("null")))))
+    return tiles.select(checked.alias("z"), F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"))
+
+
+def placed_envelopes(extents: DataFrame, key: str, grid: TileGrid) -> DataFrame:
+    """Envelopes with their unit coordinates and ``env_level``, the finest
+    level whose cells are at least as large."""
+    u0, v0 = grid.to_unit(F.col("min_lon"), F.col("max_lat"))
+    u1, v1 = grid.to_unit(F.col("max_lon"), F.col("min_lat"))
+    env = extents.filter(F.col("min_lon").isNotNull()).select(
+        key, "min_lon", "min_lat", "max_lon", "max_lat", u0.alias("u0"), u1.alias("u1"), v0.alias("v0"), v1.alias("v1"))
+    width = F.greatest(F.col("u1") - F.col("u0"), F.col("v1") - F.col("v0"))
+    own = F.when(width <= 0.0, F.lit(MAX_LEVEL)).otherwise(
+        F.least(F.greatest(F.floor(-F.log2(width)), F.lit(0)), F.lit(MAX_LEVEL))).cast("int")
+    return env.withColumn("env_level", own)
+
+
+def tile_cells(t: DataFrame, env_levels: DataFrame) -> DataFrame:
+    """Kind A: a tile's ancestors at the envelope levels that occur; kind B:
+    the tile itself."""
+    up = F.col("z") - F.col("level")
+    ancestors = (t.withColumn("level", F.explode(F.sequence(F.lit(0), F.col("z")))).join(env_levels, "level")
+                 .withColumn("kind", F.lit("A")).withColumn("cx", F.call_function("shiftright", F.col("x"), up))
+                 .withColumn("cy", F.call_function("shiftright", F.col("y"), up)).withColumn("salt", _deal(F.xxhash64("z", "x", "y"))))
+    selves = (t.withColumn("kind", F.lit("B")).withColumn("level", F.col("z")).withColumn("cx", F.col("x"))
+              .withColumn("cy", F.col("y")).withColumn("salt", _repeat()))
+    return ancestors.unionByName(selves)
+
+
+def envelope_cells(env: DataFrame, zooms: DataFrame, key: str, grid: TileGrid) -> DataFrame:
+    """Kind A: the cells an envelope touches at its own level; kind B: those
+    at the coarser zooms that occur."""
+    at_own = env.withColumn("kind", F.lit("A")).withColumn("level", F.col("env_level")).withColumn("salt", _repeat())
+    coarser = (env.filter("env_level > 0").withColumn("level", F.explode(F.sequence(F.lit(0), F.col("env_level") - 1)))
+               .join(zooms, "level").withColumn("kind", F.lit("B")).withColumn("salt", _deal(F.xxhash64(key))))
+    return _explode_cells(at_own.unionByName(coarser), F.col("level"), grid)
+
+
 def layer_tiles(species: DataFrame, tiles: DataFrame, key: str = "taxon_key", grid: str = "geographic",
                 extents: DataFrame | None = None) -> DataFrame:
     """JOIN-4: every (tile, species) whose envelopes overlap, once.
@@ -117,36 +169,9 @@ def layer_tiles(species: DataFrame, tiles: DataFrame, key: str = "taxon_key", gr
     the other side repeated.  A zoom outside 0..``MAX_LEVEL`` raises.
     """
     g = GRIDS[grid]
-    zoom = F.col("z").cast("int")
-    checked = F.when(zoom.between(0, MAX_LEVEL), zoom).otherwise(
-        F.raise_error(F.concat(F.lit(f"tile zoom outside 0..{MAX_LEVEL}: "), F.coalesce(zoom.cast("string"), F.lit("null")))))
-    t = tiles.select(checked.alias("z"), F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"))
-
-    u0, v0 = g.to_unit(F.col("min_lon"), F.col("max_lat"))
-    u1, v1 = g.to_unit(F.col("max_lon"), F.col("min_lat"))
-    env = (species_extents(species, key) if extents is None else extents).filter(F.col("min_lon").isNotNull())
-    env = env.select(key, "min_lon", "min_lat", "max_lon", "max_lat", u0.alias("u0"), u1.alias("u1"), v0.alias("v0"), v1.alias("v1"))
-    width = F.greatest(F.col("u1") - F.col("u0"), F.col("v1") - F.col("v0"))
-    own = F.when(width <= 0.0, F.lit(MAX_LEVEL)).otherwise(
-        F.least(F.greatest(F.floor(-F.log2(width)), F.lit(0)), F.lit(MAX_LEVEL))).cast("int")
-    env = env.withColumn("env_level", own)
-
-    deal = lambda hashed: F.when(F.col("level") <= SALTED_LEVEL, F.pmod(hashed, F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
-    repeat = F.explode(F.when(F.col("level") <= SALTED_LEVEL, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
-
-    at_own = env.withColumn("kind", F.lit("A")).withColumn("level", F.col("env_level")).withColumn("salt", repeat)
-    coarser = (env.filter("env_level > 0").withColumn("level", F.explode(F.sequence(F.lit(0), F.col("env_level") - 1)))
-               .join(_levels(t, "z"), "level").withColumn("kind", F.lit("B")).withColumn("salt", deal(F.xxhash64(key))))
-    env_cells = _explode_cells(at_own.unionByName(coarser), F.col("level"), g)
-
-    up = F.col("z") - F.col("level")
-    ancestors = (t.withColumn("level", F.explode(F.sequence(F.lit(0), F.col("z")))).join(_levels(env, "env_level"), "level")
-                 .withColumn("kind", F.lit("A")).withColumn("cx", F.call_function("shiftright", F.col("x"), up))
-                 .withColumn("cy", F.call_function("shiftright", F.col("y"), up)).withColumn("salt", deal(F.xxhash64("z", "x", "y"))))
-    selves = (t.withColumn("kind", F.lit("B")).withColumn("level", F.col("z")).withColumn("cx", F.col("x"))
-              .withColumn("cy", F.col("y")).withColumn("salt", repeat))
-    tile_cells = ancestors.unionByName(selves)
-
-    joined = tile_cells.join(env_cells, on=["kind", "level", "cx", "cy", "salt"], how="inner")
+    t = placed_tiles(tiles)
+    env = placed_envelopes(species_extents(species, key) if extents is None else extents, key, g)
+    joined = tile_cells(t, _levels(env, "env_level")).join(
+        envelope_cells(env, _levels(t, "z"), key, g), on=["kind", "level", "cx", "cy", "salt"], how="inner")
     envd = {c: F.col(c) for c in ("min_lon", "min_lat", "max_lon", "max_lat")}
     return joined.filter(envelopes_overlap(envd, g.bounds(F.col("z"), F.col("x"), F.col("y")))).select("z", "x", "y", key)

@@ -101,6 +101,27 @@ def test_mercator_tiles_against_brute_force(spark):
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 300
 
 
+def test_crowded_levels_are_salted(spark):
+    """Tiles of one hemisphere under a few huge envelopes, and many small
+    envelopes under one tile: no join key holds more than a few times its
+    share, and levels without an envelope make no ancestors."""
+    from occurrence_lake.functions.geo import GRIDS
+    tiles = spark.range(20_000).selectExpr("12 AS z", "4096 + id % 2048 AS x", "id % 1000 AS y").unionByName(spark.sql("SELECT 0 AS z, 1L AS x, 0L AS y"))
+    huge = [(k, 1.0, -80.0, 170.0, 80.0) for k in range(3)]
+    small = [(10 + k, 5.0 + k / 1e4, 45.0, 5.001 + k / 1e4, 45.001) for k in range(2000)]
+    ext = spark.createDataFrame(huge + small, "taxon_key long, min_lon double, min_lat double, max_lon double, max_lat double")
+    t, env = layer.placed_tiles(tiles), layer.placed_envelopes(ext, "taxon_key", GRIDS["geographic"])
+    keys = ["kind", "level", "cx", "cy", "salt"]
+    of_tiles = layer.tile_cells(t, layer._levels(env, "env_level"))
+    of_envelopes = layer.envelope_cells(env, layer._levels(t, "z"), "taxon_key", GRIDS["geographic"])
+    levels = {r.env_level for r in env.select("env_level").distinct().collect()}
+    assert {r.level for r in of_tiles.filter("kind = 'A'").select("level").distinct().collect()} <= levels
+    assert of_tiles.groupBy(*keys).count().agg(F.max("count")).first()[0] < 2 * 20_000 / layer.SALTS
+    assert of_envelopes.filter(f"level <= {layer.SALTED_LEVEL}").groupBy(*keys).count().agg(F.max("count")).first()[0] < 2 * 2_000 / layer.SALTS
+    pairs = layer.layer_tiles(None, tiles, extents=ext)
+    assert pairs.count() == pairs.distinct().count() and pairs.filter("z = 0").count() == 2003
+
+
 def test_layer_bbox_optional_taxon(spark):
     species = spark.createDataFrame(
         [(1, 0, b"\x01", 5.5, 45.5, 5.6, 45.6), (2, 0, b"\x02", 9.0, 49.0, 9.5, 49.5),
