@@ -47,6 +47,10 @@ class LazyAssets:
             self._built[name] = self._build(name)
         return self._built[name]
 
+    def stored(self, name: str, df: DataFrame) -> None:
+        """From now on ``name`` is this table, e.g. its rows read back."""
+        self._built[name] = df
+
     def keys(self):
         return ["raw_occurrences", "filtered_occurrences", "geospatial_occurrences", "unique_taxon_keys",
                 "vernacular_names", "scientific_names", "species_all_occurrence", "species_names",

@@ -49,13 +49,17 @@ QUERY_BUCKETS = 8   # of the snapshots that the queries make
 MERCATOR_ZOOMS = [2, 6, 9, 12]
 
 
-def _star_wkt(n: int) -> str:
-    """A star-shaped ring of ``n`` vertices around the stand-in's area."""
-    ring = [(6.0 + (1.0 + (i % 2)) * math.cos(2 * math.pi * i / n), 45.8 + (0.9 + 0.8 * (i % 2)) * math.sin(2 * math.pi * i / n)) for i in range(n)]
+def _outline_wkt(n: int) -> str:
+    """A ragged outline of ``n`` vertices inside the stand-in's area."""
+    ring = []
+    for i in range(n):
+        t = 2 * math.pi * i / n
+        r = 1.0 + 0.3 * math.cos(5 * t) + 0.02 * (i * 7919 % 13) / 13
+        ring.append((6.0 + 1.3 * r * math.cos(t), 45.8 + r * math.sin(t)))
     return "POLYGON((" + ", ".join(f"{x!r} {y!r}" for x, y in [*ring, ring[0]]) + "))"
 
 
-POLYGON_OF_MANY_EDGES = _star_wkt(2000)
+POLYGON_OF_MANY_EDGES = _outline_wkt(2000)
 
 
 def _assets(spark: SparkSession, sf_dir: str, parts: int = 1) -> LazyAssets:
@@ -119,11 +123,15 @@ def q_filtered_preview(spark, sf_dir):
 
 
 def q_table_metrics(spark, sf_dir):
-    """MET-1 as the runner takes it: every table is written once and counted
-    while it is written; the counts come back as rows."""
+    """MET-1 as the runner takes it: every table is written once, counted
+    while it is written, and the next ones are made from it; the counts come
+    back as rows."""
     a = _assets(spark, sf_dir)
     base = scratch_path(spark, "table_metrics")
-    counts = [(name, write_table(df, f"{base}/{name}", name)) for name, df in a.items()]
+    counts = []
+    for name in a.keys():
+        counts.append((name, write_table(a[name], f"{base}/{name}", name)))
+        a.stored(name, spark.read.parquet(f"{base}/{name}"))
     return spark.createDataFrame(counts, "table_name string, row_count bigint")
 
 
