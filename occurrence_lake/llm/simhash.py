@@ -185,13 +185,19 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     """``node``, ``root``: the smallest node of its component, for every node
     of ``edges`` (``a``, ``b``) but the roots themselves.  Large-star and
     small-star rounds; each is two grouped minima and two joins."""
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        if large:
-            both = e.select("a", "b").unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-            return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    def minima(e: DataFrame) -> DataFrame:
+        # a table of its own: the edges then join it directly, and Spark can
+        # split the edges of a node that has very many
+        return written(e.groupBy("a").agg(F.min("b").alias("m")), "components-minima")
+
+    def large_star(e: DataFrame) -> DataFrame:
+        both = e.select("a", "b").unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = minima(both).select("a", F.least("a", "m").alias("m"))
+        return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+
+    def small_star(e: DataFrame) -> DataFrame:
         down = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
+        least = minima(down)
         kept = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         return kept.unionAll(least.select("a", F.col("m").alias("b")))
 
@@ -200,7 +206,7 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
 
     now, was = written(clean(edges), "components"), None
     for _ in range(most_rounds):
-        now = written(clean(star(star(now, True), False)), "components")
+        now = written(clean(small_star(clean(large_star(now)))), "components")
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first()
         if state == was:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
