@@ -3,11 +3,16 @@
 A page is cut into text blocks, each under the path of its containers; a
 step of a path is the tag and its classes without digits (*generalised*).
 Blocks inside menus, forms, scripts, notices, adverts, comments and the like
-are left out.  Each page scores its containers (characters outside links, in
-full for the block's own container, by half for each one above) and votes
-for the best; a path is cut at its ``article`` or ``main`` step.  Spark adds
-the votes of every host, pages are then read again with their host's winning
-path, and a page without that path uses its own best one.
+(by tag, by a whole class, id or role, or hidden by attribute) are left out.
+Each page votes for the lowest container that holds nearly all characters
+outside links: it steps down while what stands beside is negligible
+(``LABEL_CHARS``, ``LABEL_SHARE``, no heading).  Where ``article`` or
+``main`` hold half of them at least, only their text counts, and a path is
+cut at that step.  Spark adds the votes of every host, pages are then read
+again with the path that more than half of their host's pages voted for.
+Text beside that path is dropped where the host's pages leave it out too;
+other text below the page's own vote stays (``BESIDE_SHARE``).  A page
+without the path, or of a host without one, uses its own vote.
 
 Text: character references decoded, white space inside a block (``br``
 too) is one space, blocks in page order joined by a line feed.
@@ -38,7 +43,7 @@ _MARKUP = re.compile(
     r"|<(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|<[a-zA-Z][^>]*(?:>|\Z)", re.S | re.I)
-_ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _HOST = r"^[^:]*://([^/?#]*)"
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,17 +55,38 @@ SKIPPED_NAMES = frozenset("ad ads advert adverts advertisement advertising adsen
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 CLOSES_SELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = frozenset("ul ol dl table article section div main body".split())
-
-
-def names(attrs: str) -> tuple[list[str], set[str]]:
-    """(generalised classes, name parts of class, id and role)."""
-    classes, parts = [], set()
+NO_CONTAINERS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li ul ol td th tr tbody table dl dt dd figure figcaption".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+#: What may stand beside a container and be no text: so many characters
+#: outside links in all, and at most this share of the page.
+LABEL_CHARS = 40
+LABEL_SHARE = 1 / 8
+#: A container is left out by a host if this share of the pages that voted
+#: for its path have it beside the path (so a host keeps few of them).
+BESIDE_SHARE = 1 / 5
+
+
+def names(attrs: str) -> tuple[list[str], set[str], bool]:
+    """(generalised classes, generalised classes, ids and roles, hidden).  A
+    name all of whose parts are boilerplate (cookie-notice) counts as one."""
+    classes, found, hidden = [], set(), False
     for kind, a, b, c in _ATTR.findall(attrs):
-        value = (a or b or c).lower()
-        if kind.lower() == "class":
-            classes += [x for x in (re.sub(r"\d+", "", w).strip("-_") for w in value.split()) if x]
-        parts.update(re.split(r"[^a-z]+", value))
-    return sorted(set(classes)), parts
+        kind, value = kind.lower(), (a or b or c).lower()
+        if kind in ("class", "id", "role"):
+            own = [x for x in (re.sub(r"\d+", "", w).strip("-_") for w in value.split()) if x]
+            found.update(own)
+            for x in own:
+                parts = re.split(r"[-_]+", x)
+                if len(parts) > 1 and SKIPPED_NAMES.issuperset(parts):
+                    found.update(parts)
+            if kind == "class":
+                classes += own
+        elif kind == "hidden":
+            hidden = hidden or value != "until-found"
+        elif kind == "aria-hidden":
+            hidden = hidden or value.strip() == "true"
+    return sorted(set(classes)), found, hidden
 
 
 def blocks(page: str) -> list[tuple[str, str, int]]:
@@ -110,9 +136,9 @@ def blocks(page: str) -> list[tuple[str, str, int]]:
                 if tag == "hr":
                     flush()
                 continue
-            classes, parts_of_name = names(attrs) if "=" in attrs else ([], set())
+            classes, own_names, hidden = names(attrs) if attrs and not attrs.isspace() else ([], set(), False)
             in_article = "article" in stack[-1][1] or "main" in stack[-1][1]
-            skip = tag in SKIPPED_TAGS or tag == "header" and not in_article or tag not in ("html", "body", "article", "main") and not SKIPPED_NAMES.isdisjoint(parts_of_name) or re.search(r"\bhidden\b", attrs) is not None or tag == "article" and not {"comment", "comments", "ad", "sponsored"}.isdisjoint(parts_of_name)
+            skip = tag in SKIPPED_TAGS or tag == "header" and not in_article or tag not in ("html", "body", "article", "main") and not SKIPPED_NAMES.isdisjoint(own_names) or hidden or tag == "article" and not {"comment", "comments", "ad", "sponsored"}.isdisjoint(own_names)
             if tag in INLINE and not skip:
                 continue
             if tag in CLOSES_P:
@@ -152,61 +178,103 @@ def blocks(page: str) -> list[tuple[str, str, int]]:
     return out
 
 
-def container(path: str) -> list[str]:
-    """Containers of a block from its own upwards.  A paragraph, heading or
-    cell is no container itself."""
-    steps = path.split(">")[1:]
-    while steps and steps[-1].split(".")[0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote", "li", "ul", "ol", "td", "th", "tr", "tbody", "table", "dl", "dt", "dd", "figure", "figcaption"):
+def inside(path: str, top: str) -> bool:
+    return not top or path == top or path.startswith(top + ">")
+
+
+def container(path: str) -> tuple[str, bool]:
+    """(a block's own container, whether the block is a heading).  A
+    paragraph, heading or cell is no container itself."""
+    steps, heading = path.split(">")[1:], False
+    while steps and (tag := steps[-1].split(".")[0]) in NO_CONTAINERS:
+        heading = heading or tag in HEADINGS
         steps.pop()
-    return [">" + ">".join(steps[:n]) if n else "" for n in range(len(steps), -1, -1)]
+    return "".join(">" + s for s in steps), heading
 
 
-def best_container(found: list[tuple[str, str, int]]) -> tuple[str, float]:
-    """The page's vote: its best container's path and score."""
-    scores: dict[str, float] = defaultdict(float)
-    for path, text, linked in found:
-        weight = float(len(text) - linked)
-        for c in container(path):
-            scores[c] += weight
-            weight /= 2
-    if not scores:
-        return "", 0.0
-    path = max(scores, key=lambda p: (scores[p], p.count(">"), p))
-    score = scores[path]
+def marked_top(path: str) -> str | None:
+    """The path up to its ``article`` or ``main`` step."""
     steps = path.split(">")[1:]
     for i, s in enumerate(steps):
         if s.split(".")[0] in ("article", "main"):
-            return ">" + ">".join(steps[:i + 1]), score
-    return path, score
+            return ">" + ">".join(steps[:i + 1])
+    return None
 
 
-def main_text(page: str | None, consensus: str | None) -> str:
-    """Text below the consensus path, or below the page's own best path
-    where the page has none such."""
+def best_container(found: list[tuple[str, str, int]]) -> tuple[str, float]:
+    """The page's vote: the path of the lowest container that holds nearly
+    all its text outside links, and the characters there."""
+    own: dict[tuple[str, bool], int] = defaultdict(int)
+    for path, text, linked in found:
+        if len(text) > linked:
+            own[container(path)] += len(text) - linked
+    marked: dict[tuple[str, bool], int] = defaultdict(int)
+    for (path, heading), n in own.items():
+        if (at := marked_top(path)) is not None:
+            marked[at, heading] += n
+    if 2 * sum(marked.values()) >= sum(own.values()):
+        own = marked
+    total = held = sum(own.values())
+    top = ""
+    while True:
+        below: dict[str, int] = defaultdict(int)
+        for (path, _), n in own.items():
+            if path != top and inside(path, top):
+                below[top + ">" + path[len(top) + 1:].split(">")[0]] += n
+        if not below:
+            break
+        child = max(below, key=lambda c: (below[c], c))
+        if total - below[child] > min(LABEL_CHARS, LABEL_SHARE * total) or any(heading and not inside(path, child) for path, heading in own):
+            break
+        top, held = child, below[child]
+    return top, float(held)
+
+
+def page_vote(page: str) -> tuple[str, float, list[str]]:
+    """(path, characters, containers of text beside it)."""
+    found = blocks(page)
+    path, score = best_container(found)
+    beside = {container(p)[0] for p, text, linked in found if len(text) > linked and not inside(p, path)}
+    return path, score, sorted(c for c in beside if not inside(path, c))
+
+
+def main_text(page: str | None, consensus: str | None, beside: list[str] | None = None) -> str:
+    """Text below the consensus path and, where ``beside`` tells what the
+    host leaves out, the page's other main text; text below the page's own
+    best path where the page has none at the consensus path."""
     found = blocks(page or "")
     if not found:
         return ""
-    inside = lambda path, top: not top or path == top or path.startswith(top + ">")
     kept = [t for p, t, _ in found if consensus is not None and inside(p, consensus)]
+    if kept and consensus and beside is None:
+        return "\n".join(kept)
+    own, _ = best_container(found)
     if not kept or not consensus:
-        own, _ = best_container(found)
         kept = [t for p, t, _ in found if inside(p, own)]
+    elif not inside(own, consensus):
+        kept = [t for p, t, _ in found if inside(p, consensus) or inside(p, own) and not any(inside(p, b) for b in beside)]
     return "\n".join(kept)
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """``host`` and its winning ``consensus`` path, from the votes of all its
-    pages (columns ``host``, ``html``).  Votes are counted before the
-    shuffle, so a host of any size is a few rows a task."""
+    """``host``, its ``consensus`` path and the paths its pages have
+    ``beside`` it, from the votes of all its pages (columns ``host``,
+    ``html``).  Votes are counted before the shuffle, so a host of any size
+    is a few rows a task."""
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            best = [best_container(blocks(h.as_py() or "")) for h in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([b[0] for b in best], pa.string()), pa.array([b[1] for b in best], pa.float64())],
-                                             names=["host", "path", "score"])
+            got = [page_vote(h.as_py() or "") for h in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()),
+                                              pa.array([[None, *g[2]] for g in got], pa.list_(pa.string()))], names=["host", "path", "score", "beside"])
 
-    voted = pages.select("host", "html").mapInArrow(votes, "host string, path string, score double").where("score > 0")
-    counted = voted.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("score").alias("score"))
-    return counted.groupBy("host").agg(F.max_by("path", F.struct("n", "score", "path")).alias("consensus"))
+    voted = pages.select("host", "html").mapInArrow(votes, "host string, path string, score double, beside array<string>").where("score > 0")
+    counted = voted.select("host", "path", F.explode("beside").alias("beside")).groupBy("host", "path", "beside").agg(F.count("*").alias("n"))
+    counted = written(counted, "host-votes")  # read twice, voted once
+    best = (counted.where("beside is null").groupBy("host").agg(F.max_by(F.struct("path", "n"), F.struct("n", "path")).alias("best"), F.sum("n").alias("all"))
+            .where(2 * F.col("best.n") > F.col("all")).select("host", F.col("best.path").alias("path"), F.col("best.n").alias("most")))
+    often = (counted.where("beside is not null").join(best, ["host", "path"]).where(F.col("n") >= BESIDE_SHARE * F.col("most"))
+             .groupBy("host").agg(F.collect_list("beside").alias("beside")))
+    return best.join(often, "host", "left").select("host", F.col("path").alias("consensus"), F.coalesce("beside", F.array().cast("array<string>")).alias("beside"))
 
 
 def extract_pages(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -221,11 +289,11 @@ def extract_pages(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
-                texts = [main_text(h.as_py(), c.as_py()) for h, c in zip(part.column(2), part.column(3))]
+                texts = [main_text(h.as_py(), c.as_py(), b.as_py()) for h, c, b in zip(part.column(2), part.column(3), part.column(4))]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                                                  names=["id", "url", "text", "n_chars"])
 
-    joined = pages.join(paths, "host", "left").select("id", "url", "html", "consensus")
+    joined = pages.join(paths, "host", "left").select("id", "url", "html", "consensus", "beside")
     out = joined.mapInArrow(extracted, f"id {id_type}, url {url_type}, text string, n_chars bigint")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_chars")
 

@@ -130,6 +130,45 @@ def test_host_votes_outweigh_a_page_of_its_own(spark):
     assert html_extract.extract_pages(pages).where("page_id = 9").first()["text"] == "tiny text"
 
 
+def words(n, start="word"):
+    """``n`` characters of text."""
+    return (f"{start} " + "text " * n)[:n - 1] + "."
+
+
+@pytest.mark.parametrize("page, kept", [
+    ('<div class="content"><div class="left"><p>{}</p></div><div class="right"><p>{}</p></div></div>', (500, 500)),
+    ('<div class="content"><p>{}</p><div class="body"><p>{}</p></div></div>', (400, 1000)),
+    ('<div class="a"><p>{}</p></div><div class="b"><p>{}</p></div>', (600, 400)),
+    ('<div class="content"><h1>{}</h1><div class="body"><p>{}</p></div></div>', (20, 1000)),
+    ('<section class="overflow-hidden"><p>{}</p></section><article aria-hidden="false"><p>{}</p></article>', (300, 200)),
+    ('<div class="no-sidebar"><p>{}</p></div><div data-role="footer" class="related-party-note"><p>{}</p></div>', (300, 200)),
+    ('<article class="post"><p>{}</p></article><article class="featured"><p>{}</p></article>', (300, 200)),
+])
+def test_html_without_article_is_whole(spark, page, kept):
+    """Two parts of a page that are both main text stay, alone and by the
+    votes of a host of such pages."""
+    parts = [words(n, f"part{i}") for i, n in enumerate(kept)]
+    text = "\n".join(parts)
+    assert html_extract.main_text(page.format(*parts), None) == text
+    pages = spark.createDataFrame([(i, "http://h.com/a", page.format(*parts)) for i in range(3)], "page_id bigint, url string, html string")
+    assert [r["text"] for r in html_extract.extract_pages(pages).collect()] == [text] * 3
+
+
+def test_html_hidden_and_boilerplate_by_whole_names():
+    page = ('<div class="box"><p>{0}</p></div><div hidden><p>a {0}</p></div><div aria-hidden="true"><p>b {0}</p></div>'
+            '<div class="wide sidebar"><p>c {0}</p></div><div id="cookie-notice"><p>d {0}</p></div><div role="navigation"><p>e {0}</p></div>')
+    assert html_extract.main_text(page.format(words(200)), None) == words(200)
+
+
+def test_html_text_that_only_one_page_of_a_host_has(spark):
+    """The host's other pages have no lead; what they all leave out goes."""
+    usual = '<div class="content"><div class="body"><p>{}</p></div></div><div class="note"><p>Printed on paper</p></div>'
+    other = '<div class="content"><div class="lead"><p>{}</p></div><div class="body"><p>{}</p></div></div><div class="note"><p>Printed on paper</p></div>'
+    rows = [(i, "http://h.com/a", usual.format(words(900))) for i in range(4)] + [(9, "http://h.com/b", other.format(words(400, "lead"), words(1000)))]
+    out = {r["page_id"]: r["text"] for r in html_extract.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert out == {**{i: words(900) for i in range(4)}, 9: words(400, "lead") + "\n" + words(1000)}
+
+
 def test_warc(spark):
     rows = [(1, "u", "same"), (3, "u\r\nx: y", "same"), (3, "w", "same"), (2, None, "same"), (4, "v", None), (5, "v", ""), (6, "é", "ünï" * 200_000), (None, "n", "same"), (None, "m", "own")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").select("*", *[F.lit(1).alias(c) for c in (*CLASHES, "sha1", "deflated", "revisit")])
