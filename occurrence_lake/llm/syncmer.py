@@ -9,8 +9,16 @@ wherever they stand, and their positions line up (``anchors``,
 word sequence.
 
 The *fingerprint* is the ``SKETCH`` smallest distinct anchor hashes of the
-whole text; the likeness of two is their estimated Jaccard similarity, exact
-where both texts have no more anchors than that.
+whole text, for look-ups, and an exact digest of all anchors with their
+positions.
+
+The *likeness* of two texts comes from all anchors of both: those that are
+equal at one shift of the positions, of all anchors of either.  Shifts that
+are tried, each counted exactly: equal starts, equal ends, and the commonest
+distance between the first places of the anchors that both have.  Passages
+in another order line up one by one, not together; in texts that repeat
+their own anchors another shift may line up more, so the likeness is then a
+lower bound.
 
 DataFrame functions only.
 
@@ -67,25 +75,51 @@ def anchor_structs(text: Column) -> Column:
     return let(F.transform(words_of(F.coalesce(text, F.lit(""))), lambda w: F.xxhash64(w)), of)
 
 
-def sketch(text: Column) -> Column:
+def sketch(anchors: Column) -> Column:
     """The smallest distinct anchor hashes, ascending."""
-    def of(h: Column) -> Column:
-        hashes = F.transform(positions(h), lambda i: run_hash(h, i, K))
-        hashes = let(hashes, lambda a: F.when((F.size(a) > 0) | (F.size(h) == 0), a).otherwise(F.array(F.xxhash64(h))))
-        return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
+    return F.slice(F.sort_array(F.array_distinct(anchors["hash"])), 1, SKETCH)
 
-    return let(F.transform(words_of(F.coalesce(text, F.lit(""))), lambda w: F.xxhash64(w)), of)
 
+def fingerprint(anchors: Column) -> Column:
+    """Sketch and, after a colon, the digest of all (position, hash)."""
+    def of(a: Column) -> Column:
+        every = F.array_join(F.transform(a, lambda x: F.concat_ws(" ", x["pos"].cast("string"), x["hash"].cast("string"))), ",")
+        least = F.lower(F.array_join(F.transform(sketch(a), F.hex), "."))
+        return F.when(F.size(a) == 0, F.lit("")).otherwise(F.concat(least, F.lit(":"), F.sha2(every, 256)))
+
+    return let(anchors, of)
+
+
+def first_shift(a: Column, b: Column) -> Column:
+    """The commonest distance from the first place of an anchor in ``a`` to
+    its first place in ``b`` (null without a common anchor)."""
+    def tagged(x: Column, side: int) -> Column:
+        # A hash's places in a descend, those in b ascend: the two first ones meet.
+        return F.transform(x, lambda p: F.struct(p["hash"].alias("hash"), F.lit(side).alias("side"), (p["pos"] if side else -p["pos"]).alias("at")))
+
+    def shifts(s: Column) -> Column:
+        meets = F.filter(F.sequence(F.lit(0), F.size(s) - 2), lambda i: (F.get(s, i)["hash"] == F.get(s, i + 1)["hash"]) & (F.get(s, i)["side"] < F.get(s, i + 1)["side"]))
+        return F.sort_array(F.transform(meets, lambda i: F.get(s, i)["at"] + F.get(s, i + 1)["at"]))
+
+    def commonest(d: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(d) - 1), lambda i: (i == 0) | (F.get(d, i) != F.get(d, i - 1)))
+        runs = lambda st: F.transform(st, lambda i, k: F.struct((F.coalesce(F.get(st, k + 1), F.size(d)) - i).alias("n"), F.get(d, i).alias("shift")))
+        return F.when(F.size(d) > 0, F.array_max(let(starts, runs))["shift"])
+
+    return let(let(F.sort_array(F.concat(tagged(a, 0), tagged(b, 1))), shifts), commonest)
 
-def fingerprint(sk: Column) -> Column:
-    return F.lower(F.array_join(F.transform(sk, F.hex), "."))
 
+def likeness(a: Column, b: Column, shift_of_ends: Column) -> Column:
+    """Anchors equal at one shift, of all anchors of two texts."""
+    def of(a: Column, b: Column) -> Column:
+        there = F.transform(b, lambda x: F.xxhash64(x["pos"], x["hash"]))
+        counted = lambda t: F.array_max(F.transform(
+            F.array_distinct(F.array(F.lit(0), shift_of_ends, F.coalesce(first_shift(a, b), F.lit(0)))),
+            lambda d: F.size(F.array_intersect(F.transform(a, lambda x: F.xxhash64(x["pos"] + d, x["hash"])), t))))
+        return F.when(F.arrays_overlap(a["hash"], b["hash"]), let(there, counted)).otherwise(F.lit(0))
 
-def likeness(a: Column, b: Column) -> Column:
-    """Estimated Jaccard similarity of two sketches."""
-    least = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    both = F.size(F.array_intersect(least, F.array_intersect(a, b)))
-    return F.when(F.size(least) == 0, F.lit(1.0)).otherwise(both / F.size(least))
+    n = F.size(a) + F.size(b)
+    return F.when(n == 0, F.lit(1.0)).otherwise(let(of(a, b), lambda m: m / (n - m)))
 
 
 def anchors(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -138,17 +172,19 @@ def with_next(df: DataFrame, id_col: str, carried: list[str], tie: str) -> DataF
 def neighbour_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edited text (its last third of
     code points replaced by the first as many of the next document), and the
-    likeness of its fingerprint to the edited text's and to the next
-    document's."""
+    likeness of the text to the edited text and to the next document."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = df.select(F.col(id_col).alias("doc"), text.alias("text"))
-    rows = rows.select("doc", "text", F.xxhash64("text").alias("tie"), sketch(F.col("text")).alias("sk"))
-    near = with_next(rows, "doc", ["text", "sk"], "tie")
+    rows = rows.select("doc", "text", F.xxhash64("text").alias("tie"))
+    near = with_next(rows, "doc", ["text"], "tie")
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut))
-    near = near.select("doc", n.cast("long").alias("n_chars"), "sk", "next_sk", edited.alias("edited"))
-    near = near.select("doc", "n_chars", "sk", "next_sk", F.sha2("edited", 256).alias("edited_sha256"), sketch(F.col("edited")).alias("edited_sk"))
-    return near.select(F.col("doc").alias(id_col), "n_chars", "edited_sha256", fingerprint(F.col("sk")).alias("fingerprint"),
-                       fingerprint(F.col("edited_sk")).alias("edited_fingerprint"), likeness(F.col("sk"), F.col("edited_sk")).alias("near_edited"),
-                       likeness(F.col("sk"), F.col("next_sk")).alias("near_next"))
+    near = near.select("doc", n.cast("long").alias("n_chars"), "text", "next_text", edited.alias("edited"))
+    # Anchors are made after the shuffle, which so carries each text once.
+    near = near.select("doc", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                       *[F.struct(F.size(words_of(F.coalesce(c, F.lit("")))).alias("words"), anchor_structs(c).alias("anchors")).alias(name)
+                         for name, c in (("own", F.col("text")), ("next", F.col("next_text")), ("new", F.col("edited")))])
+    alike = lambda c: likeness(F.col("own.anchors"), F.col(f"{c}.anchors"), F.col(f"{c}.words") - F.col("own.words"))
+    return near.select(F.col("doc").alias(id_col), "n_chars", "edited_sha256", fingerprint(F.col("own.anchors")).alias("fingerprint"),
+                       fingerprint(F.col("new.anchors")).alias("edited_fingerprint"), alike("new").alias("near_edited"), alike("next").alias("near_next"))

@@ -132,6 +132,38 @@ def test_anchors_do_not_depend_on_their_surroundings(spark):
     assert shift["shift"] == 18 - 100 and shift["n"] > 60
 
 
+def plain_likeness(a, b):
+    """Best single shift over all pairs of equal anchors, by counting."""
+    places = defaultdict(list)
+    for pos, h in b:
+        places[h].append(pos)
+    shifts = defaultdict(int)
+    for pos, h in a:
+        for at in places[h]:
+            shifts[at - pos] += 1
+    m = max(shifts.values(), default=0)
+    return m / (len(a) + len(b) - m) if a or b else 1.0
+
+
+def test_likeness_is_that_of_all_aligned_anchors(spark):
+    """A short shared passage of long texts, a small edit, another order and
+    a text that repeats itself."""
+    rnd = random.Random(8)
+    new = lambda n: [f"w{rnd.randrange(10**7)}" for _ in range(n)]
+    long, shared, parts = new(6000), new(300), [new(400) for _ in range(3)]
+    texts = [new(3000) + shared + new(500), new(900) + shared + new(5000), long, long[:3000] + ["other"] + long[3001:],
+             sum(parts, []), sum(parts[::-1], []), "again and again it says so ".split() * 900, "again and again it says so ".split() * 900, []]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = by_id(syncmer.neighbour_fingerprints(df), "doc_id")
+    anchors = defaultdict(list)
+    for r in syncmer.anchors(df).collect():
+        anchors[r["doc_id"]].append((r["pos"], r["hash"]))
+    for i in range(len(texts)):
+        assert got[i]["near_next"] == plain_likeness(anchors[i], anchors[i - 1 if i else len(texts) - 1])
+    assert 0 < got[1]["near_next"] < 0.1 and 0.99 < got[3]["near_next"] < 1 and got[5]["near_next"] < 0.5 and got[7]["near_next"] == 1
+    assert len({got[i]["fingerprint"] for i in range(len(texts))}) == len(texts) - 1
+
+
 # -- tokens ----------------------------------------------------------------
 def test_token_query(spark):
     import sentencepiece
