@@ -8,8 +8,9 @@
    posterior of every pattern.
 3. *Scorer*: a logistic regression on hashed word, word-shape and repetition
    features, trained on the posterior labels of a bounded sample
-   (``SAMPLE_ROWS`` documents, those of the smallest hash), scores every
-   document.
+   (``SAMPLE_ROWS`` documents, those of the smallest hash, fewer if they
+   have more than ``SAMPLE_FEATURES`` features together; every one with all
+   its features, as it is scored), scores every document.
 
 No gold label is read.
 
@@ -32,12 +33,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from occurrence_lake.llm.common import ship
 
-#: Bounds of the fit: documents, distinct features of one, hashed features.
+#: Bounds of the fit: documents, features of all of them, hashed features.
 SAMPLE_ROWS = 4000
-SAMPLE_FEATURES = 500
+SAMPLE_FEATURES = 4_000_000
 BUCKETS = 1 << 18
 FEW_WORDS = 3
 
@@ -176,14 +178,14 @@ def text_features(text: str | None, words: list[str] | None = None) -> list[int]
     return [crc32(f"{name}{min(9, int(20 * s[name]))}".encode()) % BUCKETS for name in ("again", "distinct", "noise", "bare", "upper", "other")]
 
 
-def features(text: str | None, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, values): words and shapes by their share, repetition by 1."""
     words = (text or "").split()
     total: Counter[int] = Counter()
     for w, c in Counter(words).items():
         for f in word_features(w):
             total[f] += c
-    values = {f: c / len(words) for f, c in (total.most_common(most) if most else total.items())}
+    values = {f: c / len(words) for f, c in total.items()}
     for f in text_features(text, words):
         values[f] = values.get(f, 0.0) + 1.0
     return np.fromiter(values, np.int64, len(values)), np.fromiter(values.values(), np.float64, len(values))
@@ -236,8 +238,9 @@ def score(text: str | None, by_word: WordWeights) -> float:
     return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
 
-def fit(df: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
-    """The scorer's weights: vote counts over all rows, then a sample."""
+def fit(df: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS, sample_features: int = SAMPLE_FEATURES) -> np.ndarray:
+    """The scorer's weights: vote counts over all rows, then a sample of
+    whole texts."""
     texts = df.select(F.col(text_col).cast("string").alias("text"))
 
     def patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,18 +258,23 @@ def fit(df: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -
     # in or all out.
     spread = F.xxhash64("text", F.monotonically_increasing_id())
     chosen = (texts.withColumn("h", spread).where(F.abs(F.col("h") / 2.0**63) <= min(1.0, 1.2 * sample_rows / total))
-              .orderBy("h").limit(sample_rows).select("text"))
+              .orderBy("h").limit(sample_rows).select("h", "text"))
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.as_py() for t in batch.column(0)]
-            got = [features(t, SAMPLE_FEATURES) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([vote_pattern(t) for t in texts], pa.int32()), pa.array([g[0] for g in got], pa.list_(pa.int64())), pa.array([g[1] for g in got], pa.list_(pa.float64()))],
-                names=["pattern", "at", "value"])
-
-    rows = chosen.mapInArrow(sampled, "pattern int, at array<bigint>, value array<double>").collect()
-    return train([(np.array(r["at"], np.int64), np.array(r["value"], float), posterior.get(r["pattern"], 0.5)) for r in rows])
+            for i in range(batch.num_rows):
+                text = batch.column(1)[i].as_py()
+                at, value = features(text)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, 1), pa.array([len(at)], pa.int64()), pa.array([vote_pattern(text)], pa.int32()),
+                     pa.array([at.astype(np.int32).tobytes()], pa.binary()), pa.array([value.tobytes()], pa.binary())],
+                    names=["h", "n", "pattern", "at", "value"])
+
+    # Whole rows up to the bound (the first always): it holds before the driver sees them.
+    so_far = F.sum("n").over(Window.orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = (chosen.mapInArrow(sampled, "h bigint, n bigint, pattern int, at binary, value binary").withColumn("so_far", so_far)
+            .where((F.col("so_far") <= sample_features) | (F.col("so_far") == F.col("n"))).select("pattern", "at", "value").collect())
+    return train([(np.frombuffer(r["at"], np.int32), np.frombuffer(r["value"]), posterior.get(r["pattern"], 0.5)) for r in rows])
 
 
 def scorer(weights: np.ndarray):

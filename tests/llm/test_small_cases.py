@@ -227,3 +227,18 @@ def test_quality(spark, rows, none):
     kept = quality.keep_good(rows, threshold=0.0)
     assert kept.columns == rows.columns and kept.count() == len(ROWS)
     assert quality.keep_good(none).count() == 0
+
+
+def test_quality_trains_on_whole_texts(spark, monkeypatch):
+    """All features of a sampled text reach the fit, with the values that
+    scoring uses; a bound leaves out whole texts."""
+    texts = ["A plain sentence stands here. " * 3, " ".join(f"word{i}" for i in range(3000)) + " at the end.", "one two three"]
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda rows: seen.append(rows))
+    frame = docs(spark, list(enumerate(texts)))
+    whole = sorted(sorted(zip(*(x.tolist() for x in quality.features(t)))) for t in texts)
+    fitted = lambda: sorted(sorted(zip(at.tolist(), value.tolist())) for at, value, _ in seen[-1])
+    quality.fit(frame)
+    assert fitted() == whole and max(map(len, whole)) > 2500
+    quality.fit(frame, sample_features=60)
+    assert 0 < len(seen[-1]) < 3 and all(t in whole for t in fitted())
