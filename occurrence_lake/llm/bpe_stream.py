@@ -11,7 +11,10 @@ list.  Tokens that end at least so many symbols before the end of the
 buffer are stable: the transducer emits them, keeps the rest, and needs
 constant memory for words of any length.
 
-Texts are read in blocks cut at spaces, which no pre-token crosses.
+Texts are read in blocks cut at white space, which no pre-token crosses; in
+longer runs without any, between a letter or digit and punctuation, or inside
+a run of letters, whose pre-token then goes on through the transducer with
+the next block.  The ids of each block go through an incremental decoder.
 
 Defined results: null or empty text gives 0 tokens and the digests of the
 empty string; repeated rows give repeated results; an empty table gives an
@@ -26,6 +29,7 @@ import heapq
 import json
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,6 +41,13 @@ BLOCK_SYMBOLS = 2048
 KNOWN_WORDS = 250_000
 KNOWN_WORD_CHARS = 128
 _BEYOND_LATIN = re.compile("[^\x00-\u024f]")
+#: Places to cut: before white space; where a pre-token ends for certain (a
+#: contraction has at most two letters); inside letters that neither compose
+#: with nor change case by their neighbours.
+_SPACE = re.compile("(?=[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000])")
+_BORDER = re.compile(r"(?<=[A-Za-z0-9])(?=[!-/:-@\[-`{-~])|(?<=[0-9])(?=[A-Za-z])|(?<=[\u4e00-\u9fff])(?=[\u3001\u3002\uff01\uff0c\uff1f])")
+_LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f\u0400-\u045f\u0621-\u063a\u0641-\u064a\u0e01-\u0e2e\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff\uac00-\ud7a3]"
+_INSIDE = re.compile(f"(?<={_LETTER}{{3}})(?={_LETTER})")
 _MAPPED = "\ud800"  # marks a pre-token in the byte alphabet; no text holds a lone surrogate
 _NO_RULE = 1 << 60
 
@@ -123,17 +134,30 @@ class Transducer:
         return tokens[:n]
 
 
+class TokenDecoder:
+    """Incremental decoder as the vocabulary's own makes the text: token
+    strings joined by one space.  Holds whether a token came before."""
+
+    def __init__(self, tokens: dict[int, str]):
+        self.tokens, self.sep = tokens, ""
+
+    def feed(self, ids: Iterable[int]) -> str:
+        if not (text := " ".join(map(self.tokens.__getitem__, ids))):
+            return ""
+        text, self.sep = self.sep + text, " "
+        return text
+
+
 class KnownWords(dict):
-    """Pre-token -> (number of tokens, ids, tokens), filled as words come;
+    """Pre-token -> (ids, ids joined by a space), filled as words come;
     forgets when it is full and keeps no long words."""
 
     def __init__(self, bpe: "WordBpe"):
         super().__init__()
         self.bpe = bpe
 
-    def __missing__(self, word: str) -> tuple[int, str, str]:
-        tokens = list(self.bpe.encode_word(word))
-        out = (len(tokens), " ".join(map(self.bpe.id_text.__getitem__, tokens)), " ".join(tokens))
+    def __missing__(self, word: str) -> tuple[tuple[int, ...], str]:
+        out = self.bpe.entry(self.bpe.encode_word(word))
         if len(word) <= KNOWN_WORD_CHARS:
             if len(self) >= KNOWN_WORDS:
                 self.clear()
@@ -156,7 +180,7 @@ class WordBpe:
         self.ids: dict[str, int] = dict(model["vocab"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in (self.ids | self.special).items()}
-        self.id_text = {t: str(i) for t, i in (self.ids | self.special).items()}
+        self.id_of = self.ids | self.special
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.ranks = {m: i for i, m in reversed(list(enumerate(merges)))}
         size = lambda t: len(t.removesuffix(self.end))  # noqa: E731  symbols, the word end counts with its character
@@ -168,7 +192,6 @@ class WordBpe:
         self.words = regex.compile(pieces[0]["pattern"]["Regex"])
         library = Tokenizer.from_file(path)  # its Unicode tables define letters, digits and case beyond ASCII
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
-        self.one_block = Transducer(self.ranks, self.lookahead)
         self.known = KnownWords(self)
 
     def pre_tokens(self, text: str) -> list[str]:
@@ -180,52 +203,77 @@ class WordBpe:
             return self.words.findall(text.lower())
         return [_MAPPED + w for w, _ in self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(text))]
 
-    def symbols(self, word: str) -> list[str]:
+    def symbols(self, word: str, last: bool = True) -> list[str]:
         symbols = list(word[1:]) if word[0] == _MAPPED else list(word) if word.isascii() and word.isprintable() else [self.alphabet[b] for b in word.encode()]
-        symbols[-1] += self.end
+        if last:
+            symbols[-1] += self.end
         return symbols
 
-    def encode_word(self, word: str) -> Iterator[str]:
-        """Tokens of one pre-token, through the transducer in blocks."""
-        symbols = self.symbols(word)
-        if len(symbols) <= BLOCK_SYMBOLS:  # one last block
-            yield from self.one_block.merge(symbols)
-            return
-        t = Transducer(self.ranks, self.lookahead)
+    def entry(self, tokens: Iterable[str]) -> tuple[tuple[int, ...], str]:
+        ids = tuple(map(self.id_of.__getitem__, tokens))
+        return ids, " ".join(map(str, ids))
+
+    def encode_word(self, word: str, held: Transducer | None = None, last: bool = True) -> Iterator[str]:
+        """Tokens of one pre-token (or, with ``held``, of a part of one),
+        through the transducer in blocks."""
+        t = held or Transducer(self.ranks, self.lookahead)
+        symbols = self.symbols(word, last)
         step = max(BLOCK_SYMBOLS, 2 * self.lookahead)
         for i in range(0, len(symbols), step):
-            yield from t.feed(symbols[i:i + step], i + step >= len(symbols))
-
-    def blocks(self, text: str) -> Iterator[str]:
+            yield from t.feed(symbols[i:i + step], last and i + step >= len(symbols))
+
+    def cut(self, text: str, start: int) -> tuple[int, bool]:
+        """(where to cut at ``start`` or soon after, whether that is inside a
+        pre-token).  No special token is cut."""
+        whole = lambda at: all(text.find(s, max(0, at - len(s) + 1), at + len(s) - 1) < 0 for s in self.special)
+        while start < len(text):
+            end = start + BLOCK_CHARS
+            for places, joined in ((_SPACE, False), (_BORDER, False), (_INSIDE, True)):
+                for m in places.finditer(text, start, end):
+                    if whole(m.start()):
+                        return m.start(), joined
+            start = end
+        return len(text), False
+
+    def blocks(self, text: str) -> Iterator[tuple[str, bool]]:
+        """(block, whether its last pre-token goes on in the next one)."""
         at = 0
         while at < len(text):
-            end = at + BLOCK_CHARS
-            if end < len(text) and (end := text.find(" ", end)) < 0:
-                end = len(text)
-            yield text[at:end]
+            end, joined = self.cut(text, at + BLOCK_CHARS)
+            yield text[at:end], joined
             at = end
 
-    def stream(self, text: str) -> Iterator[list[tuple[int, str, str]]]:
-        """Block after block: (number of tokens, ids joined by a space,
-        tokens joined by a space) of every pre-token."""
-        for block in self.blocks(text):
+    def stream(self, text: str) -> Iterator[list[tuple[tuple[int, ...], str]]]:
+        """Block after block: (ids, ids joined by a space) of every
+        pre-token, or of the stable tokens of one that goes on."""
+        held: Transducer | None = None
+        for block, joined in self.blocks(text):
             parts = self.split_special.split(block) if "<|" in block else [block]
-            for part in parts:
+            for k, part in enumerate(parts):
                 if part in self.special:
-                    yield [(1, self.id_text[part], part)]
+                    yield [self.entry([part])]
                 elif words := self.pre_tokens(part):
-                    yield list(map(self.known.__getitem__, words))
+                    found, goes_on = [], joined and k == len(parts) - 1
+                    if held:
+                        alone = goes_on and len(words) == 1
+                        found.append(self.entry(self.encode_word(words.pop(0), held, not alone)))
+                        held = held if alone else None
+                    tail = words.pop() if goes_on and words else None
+                    found += map(self.known.__getitem__, words)
+                    if tail is not None:
+                        held = Transducer(self.ranks, self.lookahead)
+                        found.append(self.entry(self.encode_word(tail, held, False)))
+                    if found := [f for f in found if f[0]]:
+                        yield found
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for found in self.stream(text) for _, ids, _ in found for i in ids.split(" ")]
+        return [i for found in self.stream(text) for ids, _ in found for i in ids]
 
     def decode_tokens(self, ids: Iterable[int]) -> Iterator[str]:
-        """Pieces of the decoded text as the vocabulary's own decoder makes
-        it: token strings joined by one space."""
-        sep = ""
+        """Pieces of the decoded text."""
+        decoder = TokenDecoder(self.tokens)
         for i in ids:
-            yield sep + self.tokens[i]
-            sep = " "
+            yield decoder.feed((i,))
 
     def decode_text(self, ids: Iterable[int]) -> Iterator[str]:
         """Readable text: bytes through an incremental UTF-8 machine, each
@@ -244,13 +292,14 @@ class WordBpe:
 
     def digests(self, text: str | None) -> tuple[int, str, str]:
         """Number of tokens, SHA-256 of the ids joined by a space, SHA-256
-        of the decoded text, block by block."""
-        n, ids, decoded, sep = 0, hashlib.sha256(), hashlib.sha256(), ""
+        of the text that the incremental decoder makes of the ids, block by
+        block."""
+        n, ids, decoded, decoder, sep = 0, hashlib.sha256(), hashlib.sha256(), TokenDecoder(self.tokens), ""
         for found in self.stream(text or ""):
-            count, id_parts, token_parts = zip(*found)
-            n += sum(count)
+            block_ids, id_parts = zip(*found)
+            n += sum(map(len, block_ids))
             ids.update((sep + " ".join(id_parts)).encode())
-            decoded.update((sep + " ".join(token_parts)).encode())
+            decoded.update(decoder.feed(chain.from_iterable(block_ids)).encode())
             sep = " "
         return n, ids.hexdigest(), decoded.hexdigest()
 

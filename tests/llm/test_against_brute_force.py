@@ -248,6 +248,41 @@ def test_incremental_decoding_gives_back_the_words(bpe):
     assert "".join(bpe.decode_text(bpe.encode(text))).split() == text.split()
 
 
+def test_bpe_digest_decodes_the_ids(library):
+    """A wrong id shows in the digest of the decoded text."""
+    own = bpe_stream.WordBpe(tokenizer_path("word_bpe_49k.json"))
+    text = "a few plain words and <|endoftext|> more"
+    ids = library.encode(text, add_special_tokens=False).ids
+    good = hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    assert own.digests(text)[2] == good and "".join(own.decode_tokens(ids)) == library.decode(ids, skip_special_tokens=False)
+    own.tokens[ids[2]] = own.tokens[ids[3]]
+    assert own.digests(text)[2] != good
+
+
+_CUT_TEXT = st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from("aabcdelnrstvéñİß''.!-1 \n\t\x85\u3000日本語。ćΣ한가")), max_size=120)
+
+
+@settings(max_examples=300, deadline=None)
+@given(_CUT_TEXT, st.integers(1, 12))
+def test_bpe_cut_into_small_blocks(bpe, library, text, size):
+    before, bpe_stream.BLOCK_CHARS = bpe_stream.BLOCK_CHARS, size
+    try:
+        for t in (text, "it'll" + text.replace(" ", "") + "<|endoftext|>" + text * 2, "<|" + text):
+            ids = library.encode(t, add_special_tokens=False).ids
+            assert "".join(b for b, _ in bpe.blocks(t)) == t and bpe.encode(t) == ids
+            decoded = library.decode(ids, skip_special_tokens=False)
+            assert bpe.digests(t)[2] == hashlib.sha256(decoded.encode()).hexdigest()
+    finally:
+        bpe_stream.BLOCK_CHARS = before
+
+
+def test_bpe_blocks_of_texts_without_spaces(bpe, library):
+    for unit in ("line of text\n".replace(" ", "\n"), "path/to,some.thing;", "aeihlnorst", "日本語漢字"):
+        text = unit * (300_000 // len(unit))
+        assert max(len(b) for b, _ in bpe.blocks(text)) < 1.1 * bpe_stream.BLOCK_CHARS
+        assert bpe.encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
 # -- pages -----------------------------------------------------------------
 def test_html_query(spark):
     got = by_id(QUERIES["op6_html_extraction"](spark, SF_SMALL), "page_id")
