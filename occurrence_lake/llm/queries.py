@@ -8,7 +8,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occurrence_lake.llm import bpe_stream, decontaminate, html_extract, license_scan, quality, simhash, syncmer, token_count, url_filter, warc
+from occurrence_lake.llm import (bpe_stream, decontaminate, hard_negatives, html_extract, license_scan, quality, rule_cascade, simhash, spelling,
+                                 syncmer, token_count, url_filter, warc)
 from occurrence_lake.llm.common import table
 
 
@@ -155,6 +156,66 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    judged = rule_cascade.judged(table(spark, sf_dir, "documents").select("doc_id", "text"), facts=facts)
+    fact = lambda name: F.col(f"judged.{name}")
+    failed = [rule.rejects(fact) for rule in rule_cascade.BASE_RULES]
+    return judged.select("doc_id", *[fact(name).alias(name) for name in facts], (failed[0] | failed[1]).alias("base_failed"),
+                         fact("rejected_by").isNull().alias("kept"))
+
+
+_SQL_SPACE = "[\\x20\\x09-\\x0D]"
+OP11_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, list_filter(string_split_regex(coalesce(text, ''), '{_SQL_SPACE}+'), lambda x: x <> '') AS w,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(0, len(w) - 7)) AS s FROM d WHERE len(w) >= 8),
+windows AS (SELECT doc_id, s, array_to_string(w[s + 1:s + 8], ' ') AS win FROM starts),
+again AS (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, win) AS n FROM windows),
+repeated AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(s, s + 8)) AS p FROM again WHERE n > 1) GROUP BY doc_id),
+facts AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines, len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z\\x{{80}}-\\x{{10FFFF}}]'))) AS n_letter_words,
+         len(regexp_extract_all(text, '(?m)^[ \\t]*[-*•]')) AS n_bullet_lines, len(regexp_extract_all(text, '(?m)(\\.\\.\\.|…)[ \\t]*$')) AS n_open_lines
+  FROM d LEFT JOIN repeated r USING (doc_id)),
+base AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM facts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 3 * n_words OR word_chars > 10 * n_words OR 10 * n_dup_lines > 4 * n_lines
+            OR 10 * n_letter_words < 6 * n_words OR 10 * n_bullet_lines > 9 * n_lines OR 10 * n_open_lines > 3 * n_lines) AS kept
+FROM base
+"""
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), least_letters=7, least_count=2, change=spelling.drop_one_letter)
+    return spelling.variants(words, ratio=10)
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -166,6 +227,9 @@ QUERIES = {
     "op8_bpe_stream": op8_bpe_stream,
     "op9_license_scan": op9_license_scan,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
-ORACLE_SQL = {"op1_url_filter": OP1_SQL, "op5_decontamination": OP5_SQL, "op9_license_scan": OP9_SQL}
+ORACLE_SQL = {"op1_url_filter": OP1_SQL, "op5_decontamination": OP5_SQL, "op9_license_scan": OP9_SQL, "op11_quality_rules": OP11_SQL, "op12_hard_negatives": OP12_SQL}
