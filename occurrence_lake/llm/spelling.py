@@ -46,7 +46,7 @@ from occurrence_lake.llm.common import ship, written
 
 SAMPLE_WORDS = 1 << 16
 CELL_LETTERS = 1 << 18
-LEAF_WORDS = 128
+LEAF_WORDS = 64
 #: Words that a task counts before it passes them on.
 COUNTED = 400_000
 #: Pairs verified at once.
@@ -98,9 +98,8 @@ def letters(words: list[str]) -> np.ndarray:
 
 
 def letter_counts(codes: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(codes), _LETTERS), np.int32)
-    np.add.at(out, (np.arange(len(codes))[:, None], codes), 1)
-    return out
+    cells = np.arange(len(codes))[:, None] * _LETTERS + codes
+    return np.bincount(cells.ravel(), minlength=len(codes) * _LETTERS).reshape(-1, _LETTERS).astype(np.int32)
 
 
 class Cut:
@@ -110,31 +109,41 @@ class Cut:
         self.letter, self.most, self.below, self.above = letter, most, below, above
 
 
-def build(counts: np.ndarray, at: np.ndarray, leaf_words: float):
-    """A k-d tree over the rows ``at``; leaves are arrays of rows.  Each cut
-    is the letter and count that halve the rows best."""
-    if len(at) <= leaf_words:
-        return at
-    own = counts[at]
-    best = None
-    for most in range(int(own.max())):
-        share = (own > most).sum(0)
-        letter = int(np.abs(2 * share - len(at)).argmin())
-        off = abs(2 * int(share[letter]) - len(at))
-        if best is None or off < best[0]:
-            best = (off, letter, most)
-        if not (share > len(at) // 2).any():
-            break  # higher counts are rarer still
-    if best is None or best[0] >= len(at):
-        return at  # all alike
-    above = own[:, best[1]] > best[2]
-    return Cut(best[1], best[2], build(counts, at[~above], leaf_words), build(counts, at[above], leaf_words))
+def build(counts: np.ndarray, leaf_words: float):
+    """A k-d tree over all rows; leaves are arrays of rows.  Each cut is the
+    letter and count that halve the rows best."""
+    used = np.flatnonzero(counts.any(0))
+    small = counts[:, used]
+
+    def part(at: np.ndarray):
+        if len(at) <= leaf_words:
+            return at
+        own = small[at]
+        best = None
+        for most in range(int(own.max())):
+            share = (own > most).sum(0)
+            letter = int(np.abs(2 * share - len(at)).argmin())
+            off = abs(2 * int(share[letter]) - len(at))
+            if best is None or off < best[0]:
+                best = (off, letter, most)
+            if not (share > len(at) // 2).any():
+                break  # higher counts are rarer still
+        if best is None or best[0] >= len(at):
+            return at  # all alike
+        above = own[:, best[1]] > best[2]
+        return Cut(int(used[best[1]]), best[2], part(at[~above]), part(at[above]))
+
+    return part(np.arange(len(counts)))
 
 
 def search(node, counts: np.ndarray, up: int, down: int) -> Iterator[tuple[object, np.ndarray]]:
     """(leaf, rows of ``counts`` that reach it) for searches that may move
-    ``up`` counts up and ``down`` counts down, by one each."""
-    todo = [(node, np.arange(len(counts)), np.full(len(counts), up, np.int8), np.full(len(counts), down, np.int8))]
+    ``up`` counts up and ``down`` counts down, by one each.  Of two moves the
+    letter that goes up has to be the smaller one: words with one letter
+    replaced find each other from one side."""
+    n = len(counts)
+    none_up, none_down = 0, _LETTERS  # else the letter moved
+    todo = [(node, np.arange(n), np.full(n, none_up if up else _LETTERS, np.int16), np.full(n, none_down if down else -1, np.int16))]
     while todo:
         node, at, ups, downs = todo.pop()
         if not len(at):
@@ -143,18 +152,19 @@ def search(node, counts: np.ndarray, up: int, down: int) -> Iterator[tuple[objec
             yield node, at
             continue
         own = counts[at, node.letter]
-        edge = own == node.most  # the far side is one letter away
-        below = (own < node.most) | edge
-        over = (own == node.most + 1) & (downs > 0)
-        go = below | over
-        todo.append((node.below, at[go], ups[go], (downs - over)[go]))
-        over = edge & (ups > 0)
-        go = ~below | over
-        todo.append((node.above, at[go], (ups - over)[go], downs[go]))
+        letter = node.letter
+        over = (own == node.most + 1) & (downs == none_down) & (ups < letter)  # the far side is one letter away
+        go = (own <= node.most) | over
+        todo.append((node.below, at[go], ups[go], np.where(over, letter, downs)[go]))
+        over = (own == node.most) & (ups == none_up) & ((letter < downs) if down else True)
+        go = (own > node.most) | over
+        todo.append((node.above, at[go], np.where(over, letter, ups)[go], downs[go]))
 
 
 def one_replaced(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a != b).sum(1) == 1
+    """Whether each two words differ by one letter, smaller in ``b``."""
+    off = a != b
+    return (off.sum(1) == 1) & (b < a).any(1)
 
 
 def one_inserted(short: np.ndarray, long: np.ndarray) -> np.ndarray:
@@ -166,25 +176,29 @@ def one_inserted(short: np.ndarray, long: np.ndarray) -> np.ndarray:
 
 def near_pairs(homes: list[str], asked: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(place in ``asked``, place in ``homes``) of near words; all of
-    ``homes`` have one length, all of ``asked`` the same or one less."""
+    ``homes`` have one length, all of ``asked`` the same (then the replaced
+    letter is the smaller one in ``homes``) or one less."""
     stored, wanted = letters(homes), letters(asked)
     same = stored.shape[1] == wanted.shape[1]
     counts, own = letter_counts(stored), letter_counts(wanted)
-    tree = build(counts, np.arange(len(homes)), LEAF_WORDS)
+    tree = build(counts, LEAF_WORDS)
     # unary counts of the letters: column (letter, k) is 1 where a word has more than k
     unary = [(letter, k) for letter in np.flatnonzero(counts.any(0)) for k in range(counts[:, letter].max())]
-    columns, levels = np.array([u[0] for u in unary]), np.array([u[1] for u in unary])
+    right, left = np.empty((len(homes), len(unary)), np.uint8), np.empty((len(asked), len(unary)), np.uint8)
+    for made, given in ((right, counts), (left, own)):
+        for j, (letter, k) in enumerate(unary):
+            np.greater(given[:, letter], k, out=made[:, j], casting="unsafe")
     common = wanted.shape[1] - same  # letters that near words have in common, whatever their order
     verify = one_replaced if same else one_inserted
     for leaf, at in search(tree, own, 1, int(same)):
-        right = (counts[leaf][:, columns] > levels).astype(np.float32)
-        for i in range(0, len(at), max(1, PAIRS // len(leaf))):
-            part = at[i:i + max(1, PAIRS // len(leaf))]
-            left = (own[part][:, columns] > levels).astype(np.float32)
-            a, b = np.nonzero(left @ right.T == common)
+        here = right[leaf].T.astype(np.float32)
+        step, checked = max(1, PAIRS // len(leaf)), max(1, 16 * PAIRS // stored.shape[1])
+        for i in range(0, len(at), step):
+            part = at[i:i + step]
+            a, b = np.nonzero(left[part].astype(np.float32) @ here == common)
             a, b = part[a], leaf[b]
-            for j in range(0, len(a), max(1, 16 * PAIRS // stored.shape[1])):
-                x, y = a[j:j + max(1, 16 * PAIRS // stored.shape[1])], b[j:j + max(1, 16 * PAIRS // stored.shape[1])]
+            for j in range(0, len(a), checked):
+                x, y = a[j:j + checked], b[j:j + checked]
                 ok = verify(wanted[x], stored[y])
                 if ok.any():
                     yield x[ok], y[ok]
@@ -201,7 +215,7 @@ def top_trees(sample: list[tuple[str, int]], letters_of: dict[int, int]) -> dict
         own = words.get(size, [])
         cells = -(-total // CELL_LETTERS)
         counts = letter_counts(letters(own)) if own else np.zeros((0, _LETTERS), np.int32)
-        tree = build(counts, np.arange(len(own)), max(1.0, len(own) / cells))
+        tree = build(counts, max(1.0, len(own) / cells))
         out[size] = numbered(tree, [0])
     return out
 
@@ -285,8 +299,7 @@ def near_words(words: DataFrame) -> DataFrame:
                 for a, b in near_pairs(list(words[homes]), list(words[asked])):
                     a, b = asked[a], homes[b]
                     out.append((a, b))
-                    if kind == 2:
-                        out.append((b, a))
+                    out.append((b, a))
         a, b = (np.concatenate([o[i] for o in out]) if out else np.empty(0, int) for i in (0, 1))
         return pa.table({"word": pa.array(words[a], pa.string()), "near": pa.array(words[b], pa.string()), "near_n": pa.array(n[b], pa.int64())})
 
