@@ -5,7 +5,8 @@
     python -m occurrence_lake layer   --serving lake/serving --bbox 5 45 6 46 [--taxon-key 2440940] --output lake/box
     python -m occurrence_lake tiles   --serving lake/serving --tiles requests/ --output lake/tile_species
     python -m occurrence_lake stream  --landing landing/ --serving lake/serving
-    python -m occurrence_lake compact --serving lake/serving [--buckets 256]
+    python -m occurrence_lake resize  --serving lake/serving --slots 256
+    python -m occurrence_lake clean   [--serving lake/serving]   # what died jobs left behind
 
 ``--replies`` is a Parquet or JSON-lines dataset of species-API replies
 ``(taxon_key, page, body)``; every path may be on any Hadoop file system.
@@ -18,9 +19,9 @@ import argparse
 import json
 import sys
 
-from occurrence_lake.config import build_session
+from occurrence_lake.config import build_session, clean
 from occurrence_lake.functions.geo import Box
-from occurrence_lake.sinks.upsert import SERVING_BUCKETS
+from occurrence_lake.sinks.upsert import SERVING_SLOTS
 
 
 def _replies(spark, path: str):
@@ -55,7 +56,7 @@ def main(argv=None) -> int:
     p.add_argument("--out", required=True)
     p.add_argument("--serving", required=True)
     p.add_argument("--parts", type=int, default=1, help="rows that each species' MultiPoint is split into")
-    p.add_argument("--buckets", type=int, default=SERVING_BUCKETS, help="buckets of the occurrences table when it is first made")
+    p.add_argument("--slots", type=int, default=SERVING_SLOTS, help="slots of the serving tables when they are first made")
     p.add_argument("--no-key-check", action="store_true")
 
     p = sub.add_parser("layer", help="species rows overlapping a box")
@@ -77,11 +78,14 @@ def main(argv=None) -> int:
     p.add_argument("--serving", required=True)
     p.add_argument("--checkpoint", default=None)
     p.add_argument("--parts", type=int, default=1)
-    p.add_argument("--buckets", type=int, default=SERVING_BUCKETS)
+    p.add_argument("--slots", type=int, default=SERVING_SLOTS)
 
-    p = sub.add_parser("compact", help="fold the deltas of the occurrences table into a new base")
+    p = sub.add_parser("resize", help="deal the serving tables into another number of slots (about one per 128 MB)")
     p.add_argument("--serving", required=True)
-    p.add_argument("--buckets", type=int, default=None, help="new bucket count")
+    p.add_argument("--slots", type=int, required=True)
+
+    p = sub.add_parser("clean", help="remove scratch tables and what died writers left (while no job runs)")
+    p.add_argument("--serving", default=None)
 
     args = ap.parse_args(argv)
     spark = build_session(args.master, shuffle_partitions=args.shuffle_partitions)
@@ -94,27 +98,31 @@ def main(argv=None) -> int:
     elif args.cmd == "run":
         from occurrence_lake.plans.assets import run
         report = run(spark, args.raw, _replies(spark, args.replies), args.out, args.serving,
-                     name_order=("page", "pos"), check_keys=not args.no_key_check, parts=args.parts, buckets=args.buckets)
+                     name_order=("page", "pos"), check_keys=not args.no_key_check, parts=args.parts, slots=args.slots)
         print(json.dumps(report.row_counts | {"null_taxon_keys": report.null_keys}))
     elif args.cmd == "layer":
         from occurrence_lake.operators.layer import layer_bbox
-        from occurrence_lake.sinks.upsert import KeyedSnapshot
-        species = KeyedSnapshot(spark, f"{args.serving.rstrip('/')}/species_all_occurrence",
-                                ["taxon_key", "part"]).read()
+        from occurrence_lake.streaming.ingest import serving_tables
+        species = serving_tables(spark, args.serving)[1].read()
         layer_bbox(species, Box(*args.bbox), args.taxon_key).write.mode("overwrite").parquet(args.output)
     elif args.cmd == "tiles":
         from occurrence_lake.operators.layer import layer_tiles
-        from occurrence_lake.sinks.upsert import KeyedSnapshot
-        species = KeyedSnapshot(spark, f"{args.serving.rstrip('/')}/species_all_occurrence",
-                                ["taxon_key", "part"]).read()
+        from occurrence_lake.streaming.ingest import serving_tables
+        species = serving_tables(spark, args.serving)[1].read()
         pairs = layer_tiles(species, spark.read.parquet(args.tiles), grid=args.grid)
         pairs.write.mode("overwrite").parquet(args.output)
     elif args.cmd == "stream":
         from occurrence_lake.streaming.ingest import ServingIngest
-        ServingIngest(spark, args.landing, args.serving, args.checkpoint, parts=args.parts, buckets=args.buckets).run_available()
-    elif args.cmd == "compact":
-        from occurrence_lake.sinks.upsert import KeyedSnapshot
-        KeyedSnapshot(spark, f"{args.serving.rstrip('/')}/occurrences", "gbif_id").compact(args.buckets)
+        ServingIngest(spark, args.landing, args.serving, args.checkpoint, parts=args.parts, slots=args.slots).run_available()
+    elif args.cmd == "resize":
+        from occurrence_lake.streaming.ingest import serving_tables
+        for table in serving_tables(spark, args.serving):
+            table.resize(args.slots)
+    elif args.cmd == "clean":
+        from occurrence_lake.streaming.ingest import serving_tables
+        clean(spark)
+        for table in serving_tables(spark, args.serving) if args.serving else ():
+            table.clean()
     return 0
 
 

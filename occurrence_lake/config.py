@@ -106,3 +106,60 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A never-reused path below the shared folder for one run of one job."""
     return shared_dir(spark, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _located(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on any Hadoop file system, if it is there."""
+    fs, jpath = _located(spark, path)
+    fs.delete(jpath, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (none if it is not there)."""
+    fs, jpath = _located(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(jpath)] if fs.exists(jpath) else []
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a Spark write to ``path`` ended."""
+    fs, jpath = _located(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return fs.exists(jpath)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is no such file."""
+    fs, jpath = _located(spark, path)
+    if not fs.exists(jpath):
+        return None
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file in one step: written beside, then renamed over it."""
+    jvm = spark.sparkContext._jvm
+    fs, beside = _located(spark, f"{path}.{uuid.uuid4().hex[:12]}")
+    stream = fs.create(beside, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    target = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(path))
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(fs.makeQualified(beside), target, how)
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove every scratch table below the shared folder.  For its owner,
+    while no job of this library runs."""
+    remove(spark, shared_dir(spark, "scratch"))

@@ -32,20 +32,23 @@ def part_of(id_col: str, geom: str, parts: int):
 
 def species_all_occurrence(points: DataFrame, key: str = "taxon_key", geom: str = "coordinates",
                            id_col: str = "gbif_id", lon: str | None = None, lat: str | None = None,
-                           parts: int = 1, out: str = "all_occurrence_coordinates") -> DataFrame:
+                           parts: int = 1, part_col: str | None = None, out: str = "all_occurrence_coordinates") -> DataFrame:
     """``(key, part, n_points, <out> MultiPoint WKB, min/max lon/lat)``.
 
     Points are ordered by their WKB bytes inside a MultiPoint (the reference
     leaves the order unspecified).  NULL points are skipped; a part whose
     points are all NULL gets the empty MultiPoint and a NULL envelope.  The
-    envelope comes from ``lon``/``lat`` when given, else from the WKB.
+    envelope comes from ``lon``/``lat`` when given, else from the WKB.  With
+    ``part_col`` the parts are those that the points name.
     """
+    part = F.col(part_col) if part_col else part_of(id_col, geom, parts)
+    points = points.withColumn("_part", part)
     if lon and lat:
-        pts = points.select(key, id_col, geom, F.col(lon).alias("_x"), F.col(lat).alias("_y"))
+        pts = points.select(key, "_part", geom, F.col(lon).alias("_x"), F.col(lat).alias("_y"))
     else:
-        pts = with_point_xy(points.select(key, id_col, geom), geom, "_x", "_y")
+        pts = with_point_xy(points.select(key, "_part", geom), geom, "_x", "_y")
     present = F.col(geom).isNotNull()
-    pts = pts.select(key, geom, part_of(id_col, geom, parts).alias("part"), F.when(present, F.col("_x")).alias("_x"),
+    pts = pts.select(key, geom, F.col("_part").alias("part"), F.when(present, F.col("_x")).alias("_x"),
                      F.when(present, F.col("_y")).alias("_y"))
     agg = pts.groupBy(key, "part").agg(
         F.count(geom).alias("n_points"),

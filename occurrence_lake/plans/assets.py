@@ -15,17 +15,18 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from occurrence_lake.config import remove, scratch_path
 from occurrence_lake.functions.scalars import narrow_to_int
 from occurrence_lake.functions.wkb import require_valid, with_point_wkb
 from occurrence_lake.operators import multipoint, names, refine
-from occurrence_lake.operators.layer import envelope_zorder_sql
 from occurrence_lake.operators.constraints import assert_primary_key
 from occurrence_lake.operators.metrics import preview
 from occurrence_lake.schema import VERNACULAR_SCHEMA
 from occurrence_lake.sinks.parquet import fill_declared, materialize, write_table, write_years
-from occurrence_lake.sinks.upsert import SERVING_BUCKETS, KeyedSnapshot
+from occurrence_lake.sinks.upsert import SERVING_SLOTS, KeyedTable
 from occurrence_lake.sources.parquet import read_raw_years
 from occurrence_lake.sources.tsv import read_occurrence_tsv
+from occurrence_lake.streaming.ingest import serving_tables
 
 
 class LazyAssets:
@@ -102,17 +103,21 @@ def ingest_extracts(spark: SparkSession, tsv_paths, raw_root: str, check_keys: b
     key); the check is one aggregation pass, combinable on the map side.
     With ``acquire`` the acquisition predicate (FLT-1) is applied here, for
     extracts that were not filtered at download."""
-    raw = read_occurrence_tsv(spark, tsv_paths)
-    if acquire:
-        raw = refine.acquire(raw)
-    if check_keys:
-        assert_primary_key(raw, ["year", "gbif_id"])
-    return write_years(raw, raw_root, "partitioned_raw_occurrences", replace=replace)
+    staged = scratch_path(spark, "staged-extracts")
+    try:
+        raw = read_occurrence_tsv(spark, tsv_paths, staged=staged)
+        if acquire:
+            raw = refine.acquire(raw)
+        if check_keys:
+            assert_primary_key(raw, ["year", "gbif_id"])
+        return write_years(raw, raw_root, "partitioned_raw_occurrences", replace=replace)
+    finally:
+        remove(spark, staged)
 
 
 def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: str,
         serving_root: str | None = None, name_order=("seq",), check_keys: bool = True, parts: int = 1,
-        buckets: int = SERVING_BUCKETS) -> RunReport:
+        slots: int = SERVING_SLOTS) -> RunReport:
     """Materialise every table under ``out_root`` and upsert the three
     serving tables under ``serving_root``.  Returns counts and previews.
 
@@ -152,21 +157,23 @@ def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: s
         lon="decimal_longitude", lat="decimal_latitude", parts=parts)
 
     if serving_root:
-        root = serving_root.rstrip("/")
+        occurrences, species_table = serving_tables(spark, serving_root, slots)
         # The parts of a species are replaced together (a run with fewer
         # parts leaves none behind); species absent from this run keep their
         # rows, as an ON CONFLICT upsert keeps them.
-        species_snap = KeyedSnapshot(spark, f"{root}/species_all_occurrence", ["taxon_key", "part"],
-                                     cluster_by_sql=envelope_zorder_sql(), group="taxon_key")
         # WKB read back from storage is checked as a typed geometry column would
         species_rows = require_valid(species.withColumn("taxon_key", narrow_to_int("taxon_key")),
                                      "all_occurrence_coordinates", "MultiPoint")
-        tables = {"species_all_occurrence": species_snap.replace_groups(species_rows)}
-        tables["species_names"] = KeyedSnapshot(spark, f"{root}/species_names", "taxon_key").upsert(
-            names.species_names(scientific, vernacular), order_by=["scientific_name"], pick="first")
-        tables["occurrences"] = KeyedSnapshot(spark, f"{root}/occurrences", "gbif_id", buckets=buckets).upsert(
-            require_valid(refine.serving_occurrences(geospatial), "coordinates", "Point"))
+        former = species_table.read().select("taxon_key", "part").join(
+            keys.select(narrow_to_int("taxon_key").alias("taxon_key")), "taxon_key", "left_semi") if species_table.exists() else None
+        tables = {"species_all_occurrence": species_table}
+        species_table.replace_groups(species_rows, former)
+        tables["species_names"] = KeyedTable(spark, f"{serving_root.rstrip('/')}/species_names", "taxon_key", slots)
+        tables["species_names"].upsert(names.species_names(scientific, vernacular), order_by=["scientific_name"], pick="first")
+        serving = require_valid(refine.serving_occurrences(geospatial), "coordinates", "Point")
+        occurrences.upsert(serving.withColumn("part", multipoint.part_of("gbif_id", "coordinates", parts)))
+        tables["occurrences"] = occurrences.rows
         for name, table in tables.items():
-            report.row_counts[name] = table.count()
-            report.previews[name] = [r.asDict() for r in preview(table, order_by="gbif_id" if name == "occurrences" else "taxon_key").collect()]
+            report.row_counts[name] = table.row_count()   # counted while written
+            report.previews[name] = [r.asDict() for r in preview(table.read(), order_by="gbif_id" if name == "occurrences" else "taxon_key").collect()]
     return report

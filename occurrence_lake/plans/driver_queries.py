@@ -22,7 +22,7 @@ from occurrence_lake.operators import constraints, layer, metrics, names, refine
 from occurrence_lake.plans.assets import LazyAssets
 from occurrence_lake.schema import MEASURES, RAW_NAMES, VERNACULAR_SCHEMA
 from occurrence_lake.sinks.parquet import fill_declared, materialize, write_table, write_years
-from occurrence_lake.sinks.upsert import KeyedSnapshot
+from occurrence_lake.sinks.upsert import KeyedTable
 from occurrence_lake.sources import fixtures
 from occurrence_lake.sources.parquet import read_raw_years
 from occurrence_lake.sources.replies import malformed_replies, parse_species_replies
@@ -45,7 +45,7 @@ UPSERT_BATCH_FROM_YEAR = 2019   # batch: years >= this, depth set to 1
 UPSERT_RESEND_YEAR = 2022       # re-sent later in the same batch with NULL elevation
 STREAM_FIRST_DROP_LAST_YEAR = 2020
 MANY_PARTS = 8
-QUERY_BUCKETS = 8   # of the snapshots that the queries make
+QUERY_SLOTS = 8   # of the tables that the queries make
 MERCATOR_ZOOMS = [2, 6, 9, 12]
 
 
@@ -281,7 +281,7 @@ def q_upsert_occurrences(spark, sf_dir):
     year = a["raw_occurrences"].select("gbif_id", F.col("year").alias("_year"))
     serving = a["occurrences"].join(year, "gbif_id")
     keep = a["occurrences"].columns
-    snap = KeyedSnapshot(spark, scratch_path(spark, "upsert_occurrences"), "gbif_id", buckets=QUERY_BUCKETS)
+    snap = KeyedTable(spark, scratch_path(spark, "upsert_occurrences"), "gbif_id", slots=QUERY_SLOTS)
     snap.replace(serving.filter(F.col("_year") <= UPSERT_FIRST_LAST_YEAR).select(*keep))
     changed = (serving.filter(F.col("_year") >= UPSERT_BATCH_FROM_YEAR).select(*keep)
                .withColumn("depth", F.lit(1.0)).withColumn("seq", F.lit(1)))
@@ -306,12 +306,12 @@ def q_tsv_roundtrip(spark, sf_dir):
 
 
 def q_streaming_species(spark, sf_dir):
-    """Extracts land in two drops; the stream keeps the serving snapshots
+    """Extracts land in two drops; the stream keeps the serving tables
     current; the species table must equal the batch-built one."""
     raw = fixtures.raw_occurrences(spark, sf_dir)
     base = scratch_path(spark, "streaming_species")
     landing = f"{base}/landing"
-    ingest = ServingIngest(spark, landing, f"{base}/serving", checkpoint=f"{base}/checkpoint", buckets=QUERY_BUCKETS)
+    ingest = ServingIngest(spark, landing, f"{base}/serving", checkpoint=f"{base}/checkpoint", slots=QUERY_SLOTS)
     for i, drop in enumerate((F.col("year") <= STREAM_FIRST_DROP_LAST_YEAR, F.col("year") > STREAM_FIRST_DROP_LAST_YEAR)):
         write_occurrence_tsv(raw.filter(drop), f"{landing}/drop-{i}")
         ingest.run_available()

@@ -32,11 +32,11 @@ TSV_READ_OPTIONS = {
 }
 
 
-def stage(raw: DataFrame, path: str | None = None) -> DataFrame:
+def stage(raw: DataFrame, path: str | None = None, replace: bool = False) -> DataFrame:
     """Write raw text rows, every column converted, and read them back."""
     spark = raw.sparkSession
     path = path or scratch_path(spark, "staged-extracts")
-    raw.write.mode("errorifexists").parquet(path)
+    raw.write.mode("overwrite" if replace else "errorifexists").parquet(path)
     return spark.read.schema(raw.schema).parquet(path)
 
 

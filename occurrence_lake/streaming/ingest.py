@@ -6,19 +6,23 @@ tab-separated extracts is a streaming file source; every micro-batch:
 
 1. is staged, every column converted (a malformed row aborts it), and
    refined exactly like the batch pipeline (filter, date, WKB point, serving
-   measures);
-2. is upserted into the ``occurrences`` snapshot (last row per ``gbif_id``
-   wins, by file order then line order inside the batch): a delta of the
-   batch's size;
-3. rebuilds the MultiPoint parts that it touched, from the updated
-   ``occurrences`` snapshot (semi join on the touched ``(taxon_key, part)``
-   pairs), and replaces just those in ``species_all_occurrence``.
-
-``foreachBatch`` is at-least-once.  Each commit carries the batch id; a
-batch that was committed to one table but not to the other is finished on
-replay, with the touched pairs taken from the version *before* that batch.
-Steps 2 and 3 scan two columns of the stored occurrences; they write what
-the batch touched.  The checkpoint lives in the shared folder.
+   measures); the last row per ``gbif_id`` wins, by file order then line
+   order inside the batch;
+2. looks its ids up in the table of places (only their slots are read) and
+   writes down where they lay before the batch: those species parts and the
+   ones that its rows fall in are *touched*;
+3. is upserted into ``occurrences``, which lie by species part: only slots
+   of touched parts are rebuilt;
+4. gathers the touched parts again from ``occurrences`` (only their slots
+   are read) and replaces just those in ``species_all_occurrence``.
+
+So a batch reads and writes the slots it touches, whatever the history
+holds.  ``foreachBatch`` is at-least-once.  What steps 1 and 2 wrote stays
+until the batch is done, and each commit carries the batch id: a replay goes
+on where the batch died, with the places as they were before it.  The staged
+text and the batch's own tables are removed when it is done.  Row counts of
+the batches are kept in ``counts`` (taken while writing).  The checkpoint
+lives in the shared folder.
 """
 
 from __future__ import annotations
@@ -26,11 +30,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occurrence_lake.config import shared_dir
+from occurrence_lake.config import finished, remove, shared_dir
 from occurrence_lake.operators import multipoint, refine
 from occurrence_lake.operators.layer import envelope_zorder_sql
 from occurrence_lake.schema import RAW_SCHEMA
-from occurrence_lake.sinks.upsert import SERVING_BUCKETS, KeyedSnapshot
+from occurrence_lake.sinks.upsert import SERVING_SLOTS, KeyedTable, LocatedTable
 from occurrence_lake.sources.tsv import TSV_READ_OPTIONS, stage
 
 
@@ -43,49 +47,55 @@ def extract_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
     return reader.csv(landing_dir).withColumn("_file", F.col("_metadata.file_path"))
 
 
+def serving_tables(spark: SparkSession, serving_root: str, slots: int = SERVING_SLOTS) -> tuple[LocatedTable, KeyedTable]:
+    """``occurrences`` (by id, lying by species part) and
+    ``species_all_occurrence`` (a row a species part, sorted by place)."""
+    root = serving_root.rstrip("/")
+    return (LocatedTable(spark, f"{root}/occurrences", "gbif_id", ["taxon_key", "part"], slots),
+            KeyedTable(spark, f"{root}/species_all_occurrence", ["taxon_key", "part"], slots, order_sql=envelope_zorder_sql()))
+
+
 class ServingIngest:
-    """Keeps the ``occurrences`` and ``species_all_occurrence`` snapshots
-    under ``serving_root`` up to date from a landing folder."""
+    """Keeps ``occurrences`` and ``species_all_occurrence`` under
+    ``serving_root`` up to date from a landing folder."""
 
     def __init__(self, spark: SparkSession, landing_dir: str, serving_root: str,
-                 checkpoint: str | None = None, parts: int = 1, buckets: int = SERVING_BUCKETS):
+                 checkpoint: str | None = None, parts: int = 1, slots: int = SERVING_SLOTS):
         self.spark = spark
         self.landing_dir = landing_dir
-        root = serving_root.rstrip("/")
+        self.root = serving_root.rstrip("/")
         self.parts = parts
-        self.occurrences = KeyedSnapshot(spark, f"{root}/occurrences", "gbif_id", buckets=buckets)
-        self.species = KeyedSnapshot(spark, f"{root}/species_all_occurrence", ["taxon_key", "part"],
-                                     cluster_by_sql=envelope_zorder_sql())
+        self.occurrences, self.species = serving_tables(spark, serving_root, slots)
         self.checkpoint = checkpoint or shared_dir(spark, "streams", "serving_ingest")
-
-    def _pairs(self, rows: DataFrame) -> DataFrame:
-        return rows.select("taxon_key", multipoint.part_of("gbif_id", "coordinates", self.parts).alias("part"))
+        self.counts: dict[int, dict[str, int]] = {}
 
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
         tag = f"stream-{batch_id}"
-        if self.occurrences.has_batch(tag) and self.species.has_batch(tag):
+        work = f"{self.root}/{tag}"
+        if self.species.last_batch() == tag:
+            remove(self.spark, work)
             return
         # file name, then position in the file, orders rows of one key
         carry = ("_file", "_line")
-        raw = stage(batch.withColumn("_line", F.monotonically_increasing_id()))
-        if raw.isEmpty():
-            return
-        serving = refine.serving_occurrences(
-            refine.geospatial_occurrences(refine.filtered_occurrences(raw, carry), carry), carry)
-        self.occurrences.upsert(serving, order_by=list(carry), drop=list(carry), batch_id=tag)
-        done = self.occurrences.batch_version(tag)
+        if finished(self.spark, f"{work}/before"):
+            serving = None   # a replay: prepared before
+        else:
+            raw = stage(batch.withColumn("_line", F.monotonically_increasing_id()), f"{work}/extract", replace=True)
+            if raw.isEmpty():
+                remove(self.spark, work)
+                return
+            serving = refine.serving_occurrences(
+                refine.geospatial_occurrences(refine.filtered_occurrences(raw, carry), carry), carry)
+            serving = serving.withColumn("part", multipoint.part_of("gbif_id", "coordinates", self.parts))
+        rows, before = self.occurrences.prepare(serving, work, order_by=list(carry), drop=list(carry))
+        self.occurrences.commit(work, tag)
         # touched: where the sent ids are now, and where they were before
         # this batch (an id may move to another species)
-        touched = self._pairs(serving)
-        if done > 1:
-            before = self.occurrences.read(done - 1)
-            touched = touched.unionByName(self._pairs(before.join(serving.select("gbif_id"), "gbif_id", "left_semi")))
-        # written once, used twice below
-        touched = stage(touched.distinct())
-        occ = self.occurrences.read(done)
-        points = occ.select("gbif_id", "taxon_key", "coordinates", multipoint.part_of("gbif_id", "coordinates", self.parts).alias("part"))
-        points = points.join(touched, ["taxon_key", "part"], "left_semi").drop("part")
-        self.species.replace_groups(multipoint.species_all_occurrence(points, parts=self.parts), touched, batch_id=tag)
+        touched = rows.select("taxon_key", "part").unionByName(before.select("taxon_key", "part")).distinct()
+        points = self.occurrences.at(touched).select("gbif_id", "taxon_key", "part", "coordinates")
+        self.species.replace_groups(multipoint.species_all_occurrence(points, part_col="part"), touched, batch_id=tag)
+        self.counts[batch_id] = {"occurrences": self.occurrences.rows.row_count(), "species_all_occurrence": self.species.row_count()}
+        remove(self.spark, work)
 
     def start(self, available_now: bool = True, max_files_per_trigger: int | None = None):
         stream = extract_stream(self.spark, self.landing_dir, max_files_per_trigger)

@@ -1,9 +1,9 @@
 from pyspark.sql import functions as F
 
 from occurrence_lake.__main__ import main
-from occurrence_lake.sinks.upsert import KeyedSnapshot
 from occurrence_lake.sources import fixtures
 from occurrence_lake.sources.tsv import write_occurrence_tsv
+from occurrence_lake.streaming.ingest import serving_tables
 
 from conftest import SF_SMALL
 
@@ -34,12 +34,18 @@ def test_cli_end_to_end(spark, workdir, capsys):
 
     assert main(common + ["stream", "--landing", f"{workdir}/landing", "--serving", f"{workdir}/streamed",
                           "--checkpoint", f"{workdir}/ckpt"]) == 0
-    streamed = KeyedSnapshot(spark, f"{workdir}/streamed/occurrences", "gbif_id").read()
-    batch = KeyedSnapshot(spark, f"{workdir}/serving/occurrences", "gbif_id").read()
-    assert streamed.count() == batch.count()
-    assert main(common + ["compact", "--serving", f"{workdir}/streamed", "--buckets", "3"]) == 0
-    compacted = KeyedSnapshot(spark, f"{workdir}/streamed/occurrences", "gbif_id")
-    assert compacted.buckets == 3 and compacted.read().count() == batch.count()
+    streamed, batch = (serving_tables(spark, f"{workdir}/{root}")[0].read() for root in ("streamed", "serving"))
+    n = batch.count()
+    assert streamed.count() == n > 0
+    assert main(common + ["resize", "--serving", f"{workdir}/streamed", "--slots", "3"]) == 0
+    resized = serving_tables(spark, f"{workdir}/streamed")
+    assert resized[0].rows.slots == resized[1].slots == 3 and resized[0].read().count() == n
+    # a stream goes on with what a run has stored
+    assert main(common + ["stream", "--landing", f"{workdir}/landing", "--serving", f"{workdir}/serving",
+                          "--checkpoint", f"{workdir}/ckpt2", "--parts", "4"]) == 0
+    occurrences, species = serving_tables(spark, f"{workdir}/serving")
+    assert occurrences.read().count() == n
+    assert species.read().agg(F.sum("n_points")).first()[0] == n
 
 
 def test_cli_ingest_with_acquisition(spark, workdir):

@@ -1,11 +1,14 @@
+import contextlib
+import io
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from occurrence_lake.schema import RAW_HEADER, RAW_NAMES
 from occurrence_lake.sinks.parquet import fill_declared, materialize, write_table, write_years
-from occurrence_lake.sinks.upsert import KeyedSnapshot, dedupe_by_key
+from occurrence_lake.sinks.upsert import KeyedTable, LocatedTable, dedupe_by_key
 from occurrence_lake.schema import VERNACULAR_SCHEMA
 from occurrence_lake.operators.constraints import KeyViolation
 from occurrence_lake.sources import fixtures
@@ -93,72 +96,129 @@ def test_fill_declared_checks_key(spark):
 
 
 def test_upsert(spark, workdir):
-    snap = KeyedSnapshot(spark, f"{workdir}/snap", "k")
-    snap.upsert(spark.createDataFrame([("a", 1.0, "x"), ("b", 2.0, "y")], "k string, v double, w string"))
+    table = KeyedTable(spark, f"{workdir}/t", "k", slots=4)
+    table.upsert(spark.createDataFrame([("a", 1.0, "x"), ("b", 2.0, "y")], "k string, v double, w string"))
     batch = spark.createDataFrame([
         ("b", None, "y2", 1),   # NULL replaces the old value
         ("c", 3.0, "z", 1),
         ("c", 4.0, "z2", 2),    # same key twice: the later one wins
     ], "k string, v double, w string, seq int")
-    out = {r.k: r for r in snap.upsert(batch, order_by=["seq"], drop=["seq"]).collect()}
+    out = {r.k: r for r in table.upsert(batch, order_by=["seq"], drop=["seq"], batch_id="one").collect()}
     assert out["a"].v == 1.0
     assert out["b"].v is None and out["b"].w == "y2"
     assert out["c"].v == 4.0 and out["c"].w == "z2"
-    assert snap.version() == 2 and snap.read().columns == ["k", "v", "w"]
-    assert snap.versions() == [1, 2] and snap.read(version=1).count() == 2   # earlier version intact
-    # a crashed attempt leaves a directory that no marker names
-    spark.range(3).write.parquet(f"{workdir}/snap/delta-crashed/rows")
-    again = KeyedSnapshot(spark, f"{workdir}/snap", "k")
-    assert again.version() == 2 and again.read().count() == 3
-    again.upsert(spark.createDataFrame([("d", 5.0, "q")], "k string, v double, w string"))
-    assert again.version() == 3 and again.read().count() == 4
+    assert table.read().columns == ["k", "v", "w"] and table.row_count() == 3
+    table.upsert(spark.createDataFrame([("z", 0.0, "")], "k string, v double, w string"), batch_id="one")   # replayed: not applied again
+    again = KeyedTable(spark, f"{workdir}/t", "k")           # as after a restart
+    assert again.slots == 4 and again.last_batch() == "one" and again.read().count() == 3
+    again.upsert(spark.createDataFrame([], "k string, v double, w string"))
+    again.upsert(spark.createDataFrame([(None, 5.0, "q")], "k string, v double, w string"))
+    again.upsert(spark.createDataFrame([(None, 6.0, "q")], "k string, v double, w string"))
+    assert again.row_count() == 4 == again.read().count()
+    assert again.resize(9).count() == 4 and again.slots == 9
+    assert set(os.listdir(f"{workdir}/t")) - {".state.json.crc"} == {"state.json", again.state()["rows_at"]}
     with pytest.raises(FileNotFoundError):
-        snap.read(version=7)
+        KeyedTable(spark, f"{workdir}/none", "k").read()
 
 
-def test_a_small_batch_writes_its_own_rows_only(spark, workdir):
-    import glob
-    snap = KeyedSnapshot(spark, f"{workdir}/s", "k", compact_after=3)
-    snap.replace(spark.range(1000).selectExpr("CAST(id AS STRING) AS k", "id AS v"))
-    out = snap.upsert(spark.range(10).selectExpr("CAST(id AS STRING) AS k", "id + 5000 AS v"), batch_id="b1")
-    delta = glob.glob(f"{workdir}/s/delta-*/rows")
-    assert len(delta) == 1 and spark.read.parquet(delta[0]).count() == 10
-    assert out.count() == 1000 and out.filter("v >= 5000").count() == 10
-    assert snap.has_batch("b1") and snap.upsert(out, batch_id="b1").count() == 1000 and snap.version() == 2
-    for i in range(2):                                   # the third delta is folded into a new base
-        snap.upsert(spark.createDataFrame([("1", i)], "k string, v long"))
-    assert snap.read().filter("k = '1'").first().v == 1 and snap.read().count() == 1000
-    assert len(glob.glob(f"{workdir}/s/base-*")) == 2
-
-
-def test_two_writers_keep_both_rows(spark, workdir):
-    one, two = (KeyedSnapshot(spark, f"{workdir}/w", "k") for _ in range(2))
-    one.replace(spark.createDataFrame([("a", 1)], "k string, v long"))
-    assert two.version() == 1
-    lost = two._log.create
-    calls = []
-
-    def late(version, marker):                           # the other writer commits just before
-        if not calls:
-            calls.append(version)
-            one.upsert(spark.createDataFrame([("b", 2)], "k string, v long"))
-        return lost(version, marker)
-
-    two._log.create = late
-    two.upsert(spark.createDataFrame([("c", 3)], "k string, v long"))
-    assert sorted(r.k for r in KeyedSnapshot(spark, f"{workdir}/w", "k").read().collect()) == ["a", "b", "c"]
-    assert not one._log.create(3, {})                    # a version has one writer
+def _slot_files(table):
+    root = f"{table.root}/{table.state()['rows_at']}"
+    return {slot: sorted(f for f in os.listdir(f"{root}/{slot}") if f.startswith("part-")) for slot in os.listdir(root) if slot.startswith("slot=")}
+
+
+def test_a_batch_of_ten_rows_rewrites_at_most_ten_slots(spark, workdir):
+    table = KeyedTable(spark, f"{workdir}/s", "k", slots=64)
+    table.replace(spark.range(2000).selectExpr("CAST(id AS STRING) AS k", "id AS v"))
+    before = _slot_files(table)
+    out = table.upsert(spark.range(10).selectExpr("CAST(id AS STRING) AS k", "id + 5000 AS v"))
+    after = _slot_files(table)
+    assert 0 < sum(before[s] != after[s] for s in before) <= 10 and before.keys() == after.keys()
+    assert out.count() == table.row_count() == 2000 and out.filter("v >= 5000").count() == 10
+
+
+def test_a_writer_that_dies_around_the_pointer(spark, workdir):
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, v long")
+    table = KeyedTable(spark, f"{workdir}/d", "k", slots=32)
+    table.replace(spark.range(200).selectExpr("CAST(id AS STRING) AS k", "id AS v"))
+    whole, table._point = table._point, _die
+    with pytest.raises(RuntimeError):
+        table.upsert(rows(("1", -1)))                        # before the pointer: nothing has changed
+    table._point = whole
+    assert table.read().filter("v < 0").count() == 0 and len([f for f in os.listdir(f"{workdir}/d") if f.startswith("staged-")]) == 1
+    table.clean()
+    whole, table._write = table._write, lambda df, path, mode="errorifexists": _die() if mode == "overwrite" else whole(df, path, mode)
+    with pytest.raises(RuntimeError):
+        table.upsert(rows(("1", -1), ("new", -2)), batch_id="b")   # after it: committed, its slots still staged
+    other = KeyedTable(spark, f"{workdir}/d", "k")
+    assert other.last_batch() == "b" and other.state()["staged"]
+    assert other.read().filter("v < 0").count() == 2 and other.read().count() == other.row_count() == 201
+    other.upsert(rows(("2", -3)))                            # the next writer finishes it
+    assert other.state()["staged"] is None and other.read().filter("v < 0").count() == 3 and other.read().count() == 201
+    assert not [f for f in os.listdir(f"{workdir}/d") if f.startswith("staged-")]
+
+
+def _die(*_, **__):
+    raise RuntimeError("lost")
 
 
 def test_groups_are_replaced_whole(spark, workdir):
-    snap = KeyedSnapshot(spark, f"{workdir}/g", ["g", "p"], group="g")
+    table = KeyedTable(spark, f"{workdir}/g", ["g", "p"], slots=16, by="g")
     rows = lambda *r: spark.createDataFrame(list(r), "g long, p long, v string")
-    snap.replace_groups(rows((1, 0, "a"), (1, 1, "b"), (2, 0, "c")))
-    snap.replace_groups(rows((1, 0, "d")), spark.createDataFrame([(2,)], "g long"))
-    assert sorted(tuple(r) for r in snap.read().collect()) == [(1, 0, "d")]
-    parts = KeyedSnapshot(spark, f"{workdir}/g", ["g", "p"])          # another unit: folds the deltas first
-    parts.replace_groups(rows((1, 1, "e")))
-    assert sorted(tuple(r) for r in parts.read().collect()) == [(1, 0, "d"), (1, 1, "e")]
+    table.replace_groups(rows((1, 0, "a"), (1, 1, "b"), (2, 0, "c"), (3, 0, "z")))
+    table.replace_groups(rows((1, 0, "d")), spark.createDataFrame([(2,)], "g long"))
+    assert sorted(tuple(r) for r in table.read().collect()) == [(1, 0, "d"), (3, 0, "z")] and table.row_count() == 2
+    slot = table.slots_of(rows((2, 0, "")))[0]
+    assert f"slot={slot}" not in _slot_files(table) or table.slots_of(rows((1, 0, ""), (3, 0, ""))).count(slot)   # emptied
+    table.replace_groups(rows((1, 1, "e")), group=["g", "p"])
+    assert sorted(tuple(r) for r in table.read().collect()) == [(1, 0, "d"), (1, 1, "e"), (3, 0, "z")]
+
+
+def _plan(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_located_rows_move_and_are_read_by_place(spark, workdir):
+    table = LocatedTable(spark, f"{workdir}/l", "id", ["g"], slots=32)
+    rows = lambda *r: spark.createDataFrame(list(r), "id string, g long, v long, seq int")
+    table.upsert(spark.range(500).selectExpr("CAST(id AS STRING) AS id", "id % 50 AS g", "id AS v"))
+    table.upsert(rows(("7", 8, -1, 1), ("7", 9, -2, 2), ("new", 8, -3, 1)), order_by=["seq"], drop=["seq"])
+    places = spark.createDataFrame([(7,), (9,)], "g int")
+    assert {(r.id, r.g) for r in table.at(places).collect() if r.v < 0 or r.id == "7"} == {("7", 9)}
+    assert table.at(places).count() == 20 and table.read().count() == 501
+    assert {(r.id, r.g) for r in table.located(spark.createDataFrame([("7",), ("new",), ("none",)], "id string")).collect()} == {("7", 9), ("new", 8)}
+    for read in (table.at(places), table.located(rows(("7", 0, 0, 0)))):
+        filters = re.search(r"PartitionFilters: \[([^\]]*)\]", _plan(read))[1]
+        assert "slot" in filters, filters
+
+
+@pytest.mark.parametrize("dies_in", ["rows", "places"])
+def test_a_located_batch_is_finished_by_the_next(spark, workdir, dies_in):
+    table = LocatedTable(spark, f"{workdir}/l", "id", ["g"], slots=8)
+    rows = lambda *r: spark.createDataFrame(list(r), "id string, g long")
+    table.upsert(rows(("a", 1), ("b", 2)))
+    broken = getattr(table, dies_in)
+    whole, broken.apply = broken.apply, _die
+    with pytest.raises(RuntimeError):
+        table.upsert(rows(("a", 3)))
+    broken.apply = whole
+    table.upsert(rows(("a", 4)))
+    assert {tuple(r) for r in table.read().collect()} == {("a", 4), ("b", 2)}
+    table.clean()
+    assert sorted(f for f in os.listdir(f"{workdir}/l") if not f.startswith(".")) == ["places", "rows"]
+
+
+def test_a_batch_reads_what_it_touches_whatever_the_history(spark, workdir):
+    """Ten times the history in ten times the slots: as many rows read."""
+    read = []
+    for n in (1, 10):
+        table = LocatedTable(spark, f"{workdir}/h{n}", "id", ["g"], slots=40 * n)
+        table.upsert(spark.range(4000 * n).selectExpr("CAST(id AS STRING) AS id", f"id % {400 * n} AS g"))
+        batch = spark.createDataFrame([("3", 17), ("5", 18)], "id string, g long")
+        read.append((table.rows.read(table.rows.slots_of(batch)).count(), table.places.read(table.places.slots_of(batch)).count()))
+    assert all(b < 2.5 * a for a, b in zip(*read)), read
 
 
 def test_shared_folder_is_not_made_up_on_a_cluster():
@@ -210,44 +270,19 @@ def test_year_writes_split_a_dominant_year(spark, workdir):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
 
 
-def test_bucketed_upsert(spark, workdir):
-    """Bucketed snapshots: same upsert semantics, the stored side of a read
-    is not shuffled though there are more shuffle partitions than buckets,
-    one file per bucket, readable (with its metadata) after a restart."""
-    import contextlib
-    import glob
-    import io
-
-    from occurrence_lake.functions.wkb import typed_geometry
-    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")
-    prev = [spark.conf.get(k, None) for k in keys]
-    for k, v in zip(keys, ("-1", "-1", "64")):
-        spark.conf.set(k, v)
-    try:
-        root = f"{workdir}/bsnap"
-        snap = KeyedSnapshot(spark, root, "k", buckets=4)
-        rows = spark.range(0, 1000).selectExpr("CAST(id AS STRING) AS k", "CAST(id AS DOUBLE) AS v", "X'00' AS w")
-        snap.upsert(rows.select("k", "v", typed_geometry("w", "Point")))
-        assert len(glob.glob(f"{root}/base-*/*.parquet")) == 4
-        batch = spark.createDataFrame([("5", None, b"y", 1), ("c", 3.0, b"z", 1), ("c", 4.0, b"z", 2)], "k string, v double, w binary, seq int")
-        out = snap.upsert(batch, order_by=["seq"], drop=["seq"])
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            out.explain()
-        stored = buf.getvalue().split("LeftAnti")[1].split("Exchange")[0]
-        assert "Bucketed: true" in stored                       # no exchange between the join and the stored side
-        got = {r.k: r for r in out.collect()}
-        assert len(got) == 1001 and got["7"].v == 7.0 and got["5"].v is None and got["c"].v == 4.0
-        marker = snap._log.read(2)
-        spark.sql(f"DROP TABLE {snap._table(marker['base'])}")   # external: files stay
-        again = KeyedSnapshot(spark, root, "k", buckets=4)      # as after a restart
-        assert again.read().count() == 1001
-        assert again.read(1).schema["w"].metadata["srid"] == 4326
-        again.compact(buckets=7)
-        assert again.buckets == 7 and again.read().count() == 1001 and not spark.catalog.tableExists(again._table(marker["base"]))
-    finally:
-        for k, v in zip(keys, prev):
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+def test_ingest_leaves_no_staged_copy(spark, workdir):
+    from occurrence_lake.config import shared_dir
+    from occurrence_lake.plans.assets import ingest_extracts
+    staged = lambda: {f for f in os.listdir(shared_dir(spark, "scratch").removeprefix("file:")) if f.startswith("staged-extracts")}
+    materialize(spark.range(1), "occlake_some", f"{shared_dir(spark)}/scratch/some")
+    before = staged()
+    p = f"{workdir}/in/extract.csv"
+    _tsv(p, [_line(gbif_id="1", year="2020")])
+    assert ingest_extracts(spark, p, f"{workdir}/raw") == 1 and staged() == before
+    _tsv(p, [_line(gbif_id="1", year="2020"), _line(gbif_id="1", year="2020")])
+    with pytest.raises(KeyViolation):
+        ingest_extracts(spark, p, f"{workdir}/raw")
+    assert staged() == before
 
 
 def test_year_append_keeps_both_downloads(spark, workdir):

@@ -41,14 +41,23 @@ def test_stream_keeps_serving_tables_current(spark, workdir):
     assert set(species) == {10, 30}                 # species 20 lost its only point
     assert species[10].n_points == 3 and (species[10].min_lon, species[10].max_lon) == (6.0, 7.0)
 
+    assert ingest.counts[1] == {"occurrences": 4, "species_all_occurrence": 2}   # as the tables hold
+    # a third batch; nothing but the tables is left
+    _drop(f"{landing}/c", [{"gbif_id": "5", "taxon_key": "10", "decimal_longitude": "8.0"}])
+    ingest.run_available()
+    assert sorted(f for f in os.listdir(f"{workdir}/serving") if not f.startswith(".")) == ["occurrences", "species_all_occurrence"]
+    for table in ("occurrences/rows", "occurrences/places", "species_all_occurrence"):
+        left = [f for f in os.listdir(f"{workdir}/serving/{table}") if not f.startswith(".")]
+        assert len(left) == 2 and "state.json" in left, left
+    assert ingest.counts[2]["occurrences"] == ingest.occurrences.read().count() == 5
     # a replayed micro-batch commits nothing new
-    v = ingest.occurrences.version()
-    assert ingest.occurrences.has_batch("stream-1")
-    ingest.occurrences.upsert(ingest.occurrences.read(), batch_id="stream-1")
-    assert ingest.occurrences.version() == v
+    states = [t.state() for t in (ingest.occurrences.rows, ingest.occurrences.places, ingest.species)]
+    ingest.apply_batch(spark.createDataFrame([], RAW_SCHEMA).withColumn("_file", F.lit("")), 2)
+    assert states == [t.state() for t in (ingest.occurrences.rows, ingest.occurrences.places, ingest.species)]
 
 
-def test_replay_after_a_crash_between_the_two_commits(spark, workdir):
+@pytest.mark.parametrize("dies_in", ["rows", "places", "species"])
+def test_replay_after_a_crash_between_the_commits(spark, workdir, dies_in):
     ingest = ServingIngest(spark, f"{workdir}/landing", f"{workdir}/serving", checkpoint=f"{workdir}/ckpt", parts=2)
 
     def batch(name, rows):
@@ -59,20 +68,21 @@ def test_replay_after_a_crash_between_the_two_commits(spark, workdir):
     ingest.apply_batch(batch("a", [{"gbif_id": "1", "taxon_key": "10", "decimal_longitude": "6.0"},
                                    {"gbif_id": "3", "taxon_key": "20", "decimal_longitude": "7.0"}]), 0)
     second = batch("b", [{"gbif_id": "3", "taxon_key": "10", "decimal_longitude": "7.0"}])
-    whole, ingest.species.replace_groups = ingest.species.replace_groups, _crash
+    table = ingest.species if dies_in == "species" else getattr(ingest.occurrences, dies_in)
+    whole, table.apply = table.apply, _crash
     with pytest.raises(RuntimeError):
         ingest.apply_batch(second, 1)
-    ingest.species.replace_groups = whole
+    table.apply = whole
     ingest.apply_batch(second, 1)
     species = {}
     for r in ingest.species.read().collect():
         species[r.taxon_key] = species.get(r.taxon_key, 0) + r.n_points
     assert species == {10: 2}                                  # species 20 lost its only point
-    v = (ingest.occurrences.version(), ingest.species.version())
+    states = [t.state() for t in (ingest.occurrences.rows, ingest.occurrences.places, ingest.species)]
     ingest.apply_batch(second, 1)                              # done: nothing is written
     ingest.apply_batch(second.limit(0), 2)                     # empty: nothing is written
-    assert v == (ingest.occurrences.version(), ingest.species.version())
+    assert states == [t.state() for t in (ingest.occurrences.rows, ingest.occurrences.places, ingest.species)]
 
 
 def _crash(*_, **__):
-    raise RuntimeError("lost between the two commits")
+    raise RuntimeError("lost between the commits")
