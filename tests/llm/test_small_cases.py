@@ -242,3 +242,45 @@ def test_quality_trains_on_whole_texts(spark, monkeypatch):
     assert fitted() == whole and max(map(len, whole)) > 2500
     quality.fit(frame, sample_features=60)
     assert 0 < len(seen[-1]) < 3 and all(t in whole for t in fitted())
+
+
+BODY = '<div class="body"><p>{}</p></div>'.format(words(900))
+
+
+@pytest.mark.parametrize("page, text", [
+    (f'<div class="content"><p>Short lead.</p>{BODY}</div>', "Short lead.\n" + words(900)),
+    (f'<div class="content">{BODY}<p>He died in 1990.</p></div>', words(900) + "\nHe died in 1990."),
+    (f'<div class="remaining"><header><p>Site name</p></header>{BODY}</div>', words(900)),
+    (f'<div class="main-wrap"><header>Site</header>{BODY}</div>', words(900)),
+    (f'<article><header><h1>Head</h1></header>{BODY}</article>', "Head\n" + words(900)),
+    (f'<article>{BODY}<p>So <math><mi>x</mi></math> holds.</p></article>', words(900) + "\nSo x holds."),
+    (f'<article>{BODY}<p class="related">A related thought.</p><blockquote class="notice">Take notice</blockquote></article>', words(900) + "\nA related thought.\nTake notice"),
+    *[(f'<article>{BODY}<div class="{name}"><p>gone</p></div></article><div id="{name}"><p>gone</p></div>', words(900))
+      for name in ("comment-list", "commentlist", "disqus_thread", "ad-slot", "main-menu", "sidebar-left", "site-footer", "cookie-bar", "newsletter-box")],
+    *[(f'{BODY}<div class="{name}"><p>kept</p></div>', words(900) + "\nkept") for name in ("no-sidebar", "has-menu", "related-party-note", "header", "adding", "advice", "listing")],
+])
+def test_html_loses_main_text_only_by_name_or_by_the_host(spark, page, text):
+    assert html_extract.main_text(page, None) == text
+    pages = spark.createDataFrame([(i, "http://h.com/a", page) for i in range(3)], "page_id bigint, url string, html string")
+    assert [r["text"] for r in html_extract.extract_pages(pages).collect()] == [text] * 3
+
+
+def test_html_votes_decide(spark):
+    """Without votes the notice that the whole host repeats is kept."""
+    page = '<div class="content"><p>Lead {0}.</p><div class="body"><p>{0} {1}</p></div></div><div class="note"><p>Printed on paper</p></div><div class="own"><p>Only here {0}</p></div>'
+    rows = [(i, "http://h.com/a", page.format(i, words(400))) for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    text = "Lead {0}.\n{0} {1}\nPrinted on paper\nOnly here {0}"
+    alone = {r["page_id"]: r["text"] for r in html_extract.extract_pages(pages, by_host=False).collect()}
+    assert alone == {i: text.format(i, words(400)) for i in range(6)}
+    voted = {r["page_id"]: r["text"] for r in html_extract.extract_pages(pages).collect()}
+    assert voted == {i: text.format(i, words(400)).replace("Printed on paper\n", "") for i in range(6)}
+
+
+@pytest.mark.parametrize("page", ["<div>" * 8000 + "x" + "</div>" * 8000, "".join(f"<div>t{i}" for i in range(8000)), "<div>" * 8000 + "x</p></b></section>" * 8000])
+def test_html_of_deep_nesting(page):
+    import time
+    began = time.perf_counter()
+    assert html_extract.main_text(page, 1, [2])
+    html_extract.page_vote(page)
+    assert time.perf_counter() - began < 2
