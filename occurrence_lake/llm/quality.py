@@ -238,27 +238,28 @@ def score(text: str | None, by_word: WordWeights) -> float:
     return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
 
-def fit(df: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS, sample_features: int = SAMPLE_FEATURES) -> np.ndarray:
+def fit(df: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS, sample_features: int = SAMPLE_FEATURES, id_col: str = "doc_id") -> np.ndarray:
     """The scorer's weights: vote counts over all rows, then a sample of
-    whole texts."""
-    texts = df.select(F.col(text_col).cast("string").alias("text"))
+    whole texts.  The sample goes by a hash of id and text, so the weights do
+    not depend on how the rows are partitioned."""
+    texts = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([vote_pattern(t.as_py()) for t in batch.column(0)], pa.int32())], names=["pattern"])
 
-    counted = {r["pattern"]: r["count"] for r in texts.mapInArrow(patterns, "pattern int").groupBy("pattern").count().collect()}
+    counted = {r["pattern"]: r["count"] for r in texts.select("text").mapInArrow(patterns, "pattern int").groupBy("pattern").count().collect()}
     posterior, _, _ = label_model(counted)
     total = sum(counted.values())
     if not total:
         return np.zeros(BUCKETS + 1)
 
     # Expected 1.2 x sample_rows rows pass the hash filter before the exact
-    # bound; equal texts differ in their row's place, so copies are not all
-    # in or all out.
-    spread = F.xxhash64("text", F.monotonically_increasing_id())
+    # bound; equal texts differ in their id, so copies are not all in or all
+    # out, and rows of one hash are alike.
+    spread = F.xxhash64("text", "id")
     chosen = (texts.withColumn("h", spread).where(F.abs(F.col("h") / 2.0**63) <= min(1.0, 1.2 * sample_rows / total))
-              .orderBy("h").limit(sample_rows).select("h", "text"))
+              .orderBy("h").limit(sample_rows).select("h", "text").repartition(16, "h"))
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,14 +297,14 @@ def scorer(weights: np.ndarray):
 def quality_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5,
                    weights: np.ndarray | None = None) -> DataFrame:
     """One row per input row: id, ``quality`` (0 to 1), ``keep``."""
-    quality = scorer(fit(df, text_col) if weights is None else weights)
+    quality = scorer(fit(df, text_col, id_col=id_col) if weights is None else weights)
     out = df.select(F.col(id_col).alias("id"), quality(F.col(text_col).cast("string")).alias("quality"))
     return out.select(F.col("id").alias(id_col), "quality", (F.col("quality") >= threshold).alias("keep"))
 
 
-def keep_good(df: DataFrame, text_col: str = "text", threshold: float = 0.5, weights: np.ndarray | None = None) -> DataFrame:
+def keep_good(df: DataFrame, text_col: str = "text", threshold: float = 0.5, weights: np.ndarray | None = None, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``df`` whose quality reaches the threshold."""
-    quality = scorer(fit(df, text_col) if weights is None else weights)
+    quality = scorer(fit(df, text_col, id_col=id_col) if weights is None else weights)
     return df.where(quality(F.col(text_col).cast("string")) >= threshold)
 
 

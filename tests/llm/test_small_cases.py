@@ -284,3 +284,10 @@ def test_html_of_deep_nesting(page):
     assert html_extract.main_text(page, 1, [2])
     html_extract.page_vote(page)
     assert time.perf_counter() - began < 2
+
+
+def test_quality_does_not_depend_on_partitions(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    twice = df.unionByName(df.limit(50))
+    three, seven = (quality.fit(twice.repartition(n), sample_rows=300) for n in (3, 7))
+    assert (three == seven).all() and three.any()
