@@ -24,16 +24,16 @@ from occurrence_lake.functions.geo import Box
 from occurrence_lake.sinks.upsert import SERVING_SLOTS
 
 
-def _replies(spark, path: str):
-    """Name records of a reply dataset; malformed replies are reported."""
-    from occurrence_lake.sources.replies import malformed_replies, parse_species_replies
+def _replies(spark, path: str, rejected: str | None):
+    """Name records of a reply dataset; a malformed reply ends the run, or
+    goes to the table ``rejected``."""
+    from occurrence_lake.sources.replies import checked_replies, parse_species_replies
     reader = spark.read.schema("taxon_key bigint, page bigint, body string")
     df = reader.json(path) if path.endswith((".json", ".jsonl")) else spark.read.parquet(path)
-    df = df.select("taxon_key", "page", "body")
-    seen = malformed_replies(df).first()
-    if seen["malformed"]:
-        print(json.dumps({"replies": seen["replies"], "malformed_replies": seen["malformed"]}), file=sys.stderr)
-    return parse_species_replies(df)
+    good = checked_replies(df.select("taxon_key", "page", "body"), rejected)
+    if rejected and (n := spark.read.parquet(rejected).count()):
+        print(json.dumps({"malformed_replies": n, "written_to": rejected}), file=sys.stderr)
+    return parse_species_replies(good)
 
 
 def main(argv=None) -> int:
@@ -55,6 +55,7 @@ def main(argv=None) -> int:
     p.add_argument("--replies", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--serving", required=True)
+    p.add_argument("--rejected", default=None, help="write malformed replies here and go on (without: they end the run)")
     p.add_argument("--parts", type=int, default=1, help="rows that each species' MultiPoint is split into")
     p.add_argument("--slots", type=int, default=SERVING_SLOTS, help="slots of the serving tables when they are first made")
     p.add_argument("--no-key-check", action="store_true")
@@ -97,7 +98,7 @@ def main(argv=None) -> int:
         print(json.dumps({"partitioned_raw_occurrences": n}))
     elif args.cmd == "run":
         from occurrence_lake.plans.assets import run
-        report = run(spark, args.raw, _replies(spark, args.replies), args.out, args.serving,
+        report = run(spark, args.raw, _replies(spark, args.replies, args.rejected), args.out, args.serving,
                      name_order=("page", "pos"), check_keys=not args.no_key_check, parts=args.parts, slots=args.slots)
         print(json.dumps(report.row_counts | {"null_taxon_keys": report.null_keys}))
     elif args.cmd == "layer":

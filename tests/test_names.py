@@ -1,5 +1,12 @@
+import json
+
+import pytest
+
 from occurrence_lake.operators import names
-from occurrence_lake.sources.replies import malformed_replies, parse_species_replies
+from occurrence_lake.sources import fixtures
+from occurrence_lake.sources.replies import MalformedReplies, checked_replies, malformed_replies, parse_species_replies, rejected_replies
+
+from conftest import SF_SMALL
 
 
 def test_first_name_per_language(spark):
@@ -58,3 +65,35 @@ def test_species_names_and_missing(spark):
     assert sorted(r.taxon_key for r in names.species_names(sci, vern).collect()) == [1, 2]
     m = names.missing_vernacular(vern).first()
     assert (m.missing_vernacular, m.species) == (1, 3)
+
+
+GOOD = '{"results":[{"language":"fra","vernacularName":"a]}, b"}]}'
+BODIES = [GOOD, " \n" + GOOD + "\t", "{}", '{"results":[]}', '{"other":{"deep":[1,2,{"x":null}]},"results":[]}', '{"n":NaN}',
+          GOOD + "}", GOOD + "]", GOOD + ",", GOOD + GOOD, GOOD + "," + GOOD, GOOD + ',"y":1', GOOD + " x", GOOD + "] [", GOOD + '},"y":{"a":1', "x" + GOOD,
+          GOOD[:20], GOOD[:-1], "", " ", "null", "7", '"s"', "[" + GOOD + "]", "{'results':[]}", "{results:[]}", '{"results":[],}', '{"results":[1,]}', '{"a":01}', '{"a":"\t"}']
+WRONG_TYPES = ['{"results":"x"}', '{"results":[7]}', '{"results":{"language":[]}}']
+
+
+def test_malformed_is_what_a_strict_parser_rejects(spark):
+    def strict(body):
+        try:
+            return isinstance(json.loads(body), dict)
+        except ValueError:
+            return False
+
+    rows = [(i, 0, b) for i, b in enumerate([*BODIES, *WRONG_TYPES, None])]
+    replies = spark.createDataFrame(rows, "taxon_key long, page long, body string")
+    bad = {r.taxon_key: r.reason for r in rejected_replies(replies).collect()}
+    assert {BODIES[i] for i in range(len(BODIES)) if i not in bad} == {b for b in BODIES if strict(b)}
+    assert all(bad[len(BODIES) + i] == "not of the reply's shape" for i in range(len(WRONG_TYPES))) and bad[len(rows) - 1] == "no body"
+    assert tuple(malformed_replies(replies).first()) == (len(rows), len(bad))
+
+
+def test_malformed_replies_end_the_run_or_are_written(spark, workdir):
+    whole = fixtures.species_replies_from_records(fixtures.vernacular_records(spark, SF_SMALL))
+    assert checked_replies(whole).count() == whole.count()
+    cut = whole.selectExpr("taxon_key", "page", "CASE WHEN taxon_key % 7 = 0 THEN left(body, 20) ELSE body END AS body")
+    with pytest.raises(MalformedReplies):
+        checked_replies(cut)
+    good = checked_replies(cut, f"{workdir}/rejected")
+    assert good.where("taxon_key % 7 = 0").count() == 0 and good.count() + spark.read.parquet(f"{workdir}/rejected").count() == whole.count()
