@@ -57,6 +57,7 @@ def main(argv=None) -> int:
     p.add_argument("--serving", required=True)
     p.add_argument("--rejected", default=None, help="write malformed replies here and go on (without: they end the run)")
     p.add_argument("--parts", type=int, default=1, help="rows that each species' MultiPoint is split into")
+    p.add_argument("--part-points", type=int, default=None, help="split species by place into parts of at most so many points")
     p.add_argument("--slots", type=int, default=SERVING_SLOTS, help="slots of the serving tables when they are first made")
     p.add_argument("--no-key-check", action="store_true")
 
@@ -66,6 +67,7 @@ def main(argv=None) -> int:
                    required=True)
     p.add_argument("--taxon-key", type=int, default=None)
     p.add_argument("--output", required=True, help="write the rows as Parquet here")
+    p.add_argument("--parts-only", action="store_true", help="only the parts of species that overlap the box, not whole species")
 
     p = sub.add_parser("tiles", help="species rows overlapping each requested tile (z, x, y)")
     p.add_argument("--serving", required=True)
@@ -99,13 +101,14 @@ def main(argv=None) -> int:
     elif args.cmd == "run":
         from occurrence_lake.plans.assets import run
         report = run(spark, args.raw, _replies(spark, args.replies, args.rejected), args.out, args.serving,
-                     name_order=("page", "pos"), check_keys=not args.no_key_check, parts=args.parts, slots=args.slots)
+                     name_order=("page", "pos"), check_keys=not args.no_key_check, parts=args.parts, slots=args.slots,
+                     part_points=args.part_points)
         print(json.dumps(report.row_counts | {"null_taxon_keys": report.null_keys}))
     elif args.cmd == "layer":
         from occurrence_lake.operators.layer import layer_bbox
         from occurrence_lake.streaming.ingest import serving_tables
         species = serving_tables(spark, args.serving)[1].read()
-        layer_bbox(species, Box(*args.bbox), args.taxon_key).write.mode("overwrite").parquet(args.output)
+        layer_bbox(species, Box(*args.bbox), args.taxon_key, whole=not args.parts_only).write.mode("overwrite").parquet(args.output)
     elif args.cmd == "tiles":
         from occurrence_lake.operators.layer import layer_tiles
         from occurrence_lake.streaming.ingest import serving_tables

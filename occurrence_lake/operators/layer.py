@@ -56,19 +56,23 @@ def envelope_zorder_sql(level: int = CLUSTER_LEVEL) -> str:
 
 
 def layer_bbox(species: DataFrame, box: Box, taxon_key: int | None = None,
-               geom: str = "all_occurrence_coordinates", extents: DataFrame | None = None) -> DataFrame:
+               geom: str = "all_occurrence_coordinates", extents: DataFrame | None = None, whole: bool = True) -> DataFrame:
     """FLT-5 + FLT-6: the layer rows for one box, optionally one taxon.
 
     A species is chosen by its own envelope (``extents``, one row per
     species; derived from the parts when not given) and comes back with all
-    its parts.  An absent parameter adds no predicate at all (not
-    ``taxon_key = NULL``).
+    its parts.  Without ``whole`` only the parts whose own envelope overlaps
+    come back: a filter on stored columns, so row groups of other parts are
+    not read (worth it with parts by place).  An absent parameter adds no
+    predicate at all (not ``taxon_key = NULL``).
     """
     cond = envelope_overlaps("min_lon", "min_lat", "max_lon", "max_lat", box)
     if taxon_key is not None:
         wanted = F.col("taxon_key") == F.lit(int(taxon_key))
         species = species.filter(wanted)
         extents = extents.filter(wanted) if extents is not None else None
+    if not whole:
+        return species.filter(cond).select("taxon_key", F.col(geom).alias("geom"))
     chosen = (species_extents(species) if extents is None else extents).filter(cond).select("taxon_key")
     return species.join(chosen, "taxon_key", "left_semi").select("taxon_key", F.col(geom).alias("geom"))
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from occurrence_lake.config import remove, scratch_path
 from occurrence_lake.functions.scalars import narrow_to_int
 from occurrence_lake.functions.wkb import require_valid, with_point_wkb
-from occurrence_lake.operators import multipoint, names, refine
+from occurrence_lake.operators import multipoint, names, quadtree, refine
 from occurrence_lake.operators.constraints import assert_primary_key
 from occurrence_lake.operators.metrics import preview
 from occurrence_lake.schema import VERNACULAR_SCHEMA
@@ -117,7 +117,7 @@ def ingest_extracts(spark: SparkSession, tsv_paths, raw_root: str, check_keys: b
 
 def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: str,
         serving_root: str | None = None, name_order=("seq",), check_keys: bool = True, parts: int = 1,
-        slots: int = SERVING_SLOTS) -> RunReport:
+        slots: int = SERVING_SLOTS, part_points: int | None = None) -> RunReport:
     """Materialise every table under ``out_root`` and upsert the three
     serving tables under ``serving_root``.  Returns counts and previews.
 
@@ -125,7 +125,9 @@ def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: s
     filter on it prunes directories.  With ``check_keys`` a ``gbif_id`` that
     is NULL or stored twice in the union of the years aborts (CON-1).  Rows
     without a taxon key are set aside under ``<out_root>/null_taxon_keys``
-    and counted, instead of ending the run at the serving table's key."""
+    and counted, instead of ending the run at the serving table's key.
+    ``part_points`` splits species by place into parts of at most so many
+    points, instead of into ``parts`` parts by a hash."""
     out = out_root.rstrip("/")
     report = RunReport()
 
@@ -151,10 +153,12 @@ def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: s
     scientific = save("scientific_names", names.scientific_names(keys, raw))
     # same rows as from ``geospatial``, but the envelope comes straight from
     # lon/lat instead of decoding every stored point
+    points = filtered.select("gbif_id", "taxon_key", "decimal_longitude", "decimal_latitude")
+    if part_points:
+        points = quadtree.place_parts(points, part_points)
     species = multipoint.species_all_occurrence(
-        with_point_wkb(filtered.select("gbif_id", "taxon_key", "decimal_longitude", "decimal_latitude"),
-                       "decimal_longitude", "decimal_latitude", "coordinates"),
-        lon="decimal_longitude", lat="decimal_latitude", parts=parts)
+        with_point_wkb(points, "decimal_longitude", "decimal_latitude", "coordinates"),
+        lon="decimal_longitude", lat="decimal_latitude", parts=parts, part_col="part" if part_points else None)
 
     if serving_root:
         occurrences, species_table = serving_tables(spark, serving_root, slots)
@@ -171,7 +175,11 @@ def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: s
         tables["species_names"] = KeyedTable(spark, f"{serving_root.rstrip('/')}/species_names", "taxon_key", slots)
         tables["species_names"].upsert(names.species_names(scientific, vernacular), order_by=["scientific_name"], pick="first")
         serving = require_valid(refine.serving_occurrences(geospatial), "coordinates", "Point")
-        occurrences.upsert(serving.withColumn("part", multipoint.part_of("gbif_id", "coordinates", parts)))
+        if part_points:
+            serving = serving.join(points.select("gbif_id", "part"), "gbif_id")
+        else:
+            serving = serving.withColumn("part", multipoint.part_of("gbif_id", "coordinates", parts))
+        occurrences.upsert(serving)
         tables["occurrences"] = occurrences.rows
         for name, table in tables.items():
             report.row_counts[name] = table.row_count()   # counted while written

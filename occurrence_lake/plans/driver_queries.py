@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from occurrence_lake.config import scratch_path
 from occurrence_lake.functions.geo import GRIDS, Box, parse_wkt_polygon, polygon_edges, tile_x, tile_y
-from occurrence_lake.functions.wkb import multipoint_points, with_point_xy
-from occurrence_lake.operators import constraints, layer, metrics, names, refine
+from occurrence_lake.functions.wkb import multipoint_points, with_point_wkb, with_point_xy
+from occurrence_lake.operators import constraints, layer, metrics, multipoint, names, quadtree, refine
 from occurrence_lake.plans.assets import LazyAssets
 from occurrence_lake.schema import MEASURES, RAW_NAMES, VERNACULAR_SCHEMA
 from occurrence_lake.sinks.parquet import fill_declared, materialize, write_table, write_years
@@ -45,6 +45,7 @@ UPSERT_BATCH_FROM_YEAR = 2019   # batch: years >= this, depth set to 1
 UPSERT_RESEND_YEAR = 2022       # re-sent later in the same batch with NULL elevation
 STREAM_FIRST_DROP_LAST_YEAR = 2020
 MANY_PARTS = 8
+PART_POINTS = 6   # of the quadtree queries: most points of a part
 QUERY_SLOTS = 8   # of the tables that the queries make
 MERCATOR_ZOOMS = [2, 6, 9, 12]
 
@@ -208,6 +209,22 @@ def q_layer_bbox_parts(spark, sf_dir):
     return _points(layer.layer_bbox(sp, LAYER_BOX), "geom")
 
 
+def _place_species(spark, sf_dir) -> DataFrame:
+    f = _assets(spark, sf_dir)["filtered_occurrences"].select("gbif_id", "taxon_key", "decimal_longitude", "decimal_latitude")
+    points = with_point_wkb(quadtree.place_parts(f, PART_POINTS), "decimal_longitude", "decimal_latitude", "coordinates")
+    return multipoint.species_all_occurrence(points, lon="decimal_longitude", lat="decimal_latitude", part_col="part")
+
+
+def q_species_quadtree(spark, sf_dir):
+    """Parts by place: which there are, and what each holds."""
+    return _place_species(spark, sf_dir).select("taxon_key", "part", "n_points", "min_lon", "min_lat", "max_lon", "max_lat").where("n_points > 0")
+
+
+def q_layer_bbox_quadtree(spark, sf_dir):
+    """The layer's points over parts by place, without the parts elsewhere."""
+    return _points(layer.layer_bbox(_place_species(spark, sf_dir), LAYER_BOX, whole=False), "geom")
+
+
 def q_layer_bbox(spark, sf_dir):
     sp = _assets(spark, sf_dir)["species_all_occurrence"]
     return _hex(layer.layer_bbox(sp, LAYER_BOX), "geom")
@@ -360,6 +377,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "acquire_polygon_many": q_acquire_polygon_many,
     "species_parts": q_species_parts,
     "layer_bbox_parts": q_layer_bbox_parts,
+    "species_quadtree": q_species_quadtree,
+    "layer_bbox_quadtree": q_layer_bbox_quadtree,
     "layer_tiles_parts": q_layer_tiles_parts,
     "layer_tiles_mercator": q_layer_tiles_mercator,
     "table_previews": q_table_previews,
@@ -545,7 +564,30 @@ _ALL_TABLES = {
 
 _NAME_COLS = "vernacular_name_deu, vernacular_name_eng, vernacular_name_fra"
 
+_QUADTREE = f"""placed AS (
+  SELECT gbif_id, taxon_key, decimal_longitude AS lon, decimal_latitude AS lat,
+    least(greatest(CAST(floor((decimal_longitude + 180e0) / 360e0 * 65536e0) AS BIGINT), 0), 65535) AS cx,
+    least(greatest(CAST(floor((decimal_latitude + 90e0) / 180e0 * 65536e0) AS BIGINT), 0), 65535) AS cy
+  FROM filtered WHERE decimal_longitude IS NOT NULL AND decimal_latitude IS NOT NULL),
+full_cells AS (
+  SELECT taxon_key, CAST(lv AS INTEGER) AS lv, cx >> CAST(16 - lv AS INTEGER) AS x, cy >> CAST(16 - lv AS INTEGER) AS y
+  FROM placed, range(0, 17) r(lv) GROUP BY ALL HAVING count(*) > {PART_POINTS}),
+own AS (
+  SELECT p.gbif_id, p.taxon_key, p.lon, p.lat, p.cx, p.cy, CAST(coalesce(max(c.lv), -1) + 1 AS INTEGER) AS lv
+  FROM placed p LEFT JOIN full_cells c ON c.taxon_key = p.taxon_key AND c.x = p.cx >> (16 - c.lv) AND c.y = p.cy >> (16 - c.lv) GROUP BY ALL),
+parted AS (
+  SELECT *, CAST((1::BIGINT << (2 * lv)) + coalesce(list_sum(list_transform(range(0, lv), lambda i:
+    ((((cx >> (16 - lv)) >> CAST(i AS INTEGER)) & 1) << CAST(2 * i AS INTEGER)) + ((((cy >> (16 - lv)) >> CAST(i AS INTEGER)) & 1) << CAST(2 * i + 1 AS INTEGER)))), 0) AS BIGINT) AS part
+  FROM own),
+place_parts AS (
+  SELECT taxon_key, part, count(*) AS n_points, min(lon) AS min_lon, min(lat) AS min_lat, max(lon) AS max_lon, max(lat) AS max_lat
+  FROM parted GROUP BY taxon_key, part)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "species_quadtree": _with(_OCC, _FILTERED, _QUADTREE) + "SELECT * FROM place_parts",
+    "layer_bbox_quadtree": _with(_OCC, _FILTERED, _QUADTREE) + f"""
+SELECT p.taxon_key, p.lon, p.lat FROM parted p JOIN place_parts s USING (taxon_key, part)
+WHERE s.min_lon <= {LAYER_BOX.max_lon} AND s.max_lon >= {LAYER_BOX.min_lon} AND s.min_lat <= {LAYER_BOX.max_lat} AND s.max_lat >= {LAYER_BOX.min_lat}""",
     "species_multipoint": _with(_OCC, _FILTERED, _GEO, _SPECIES) + "SELECT * FROM species",
     "streaming_species": _with(_OCC, _FILTERED, _GEO, _SPECIES) + "SELECT * FROM species",
     "filtered_occurrences": _with(_OCC, _FILTERED) + "SELECT * FROM filtered",
