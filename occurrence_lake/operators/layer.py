@@ -10,6 +10,8 @@ instead of a nested-loop range join.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +19,12 @@ from occurrence_lake.functions.geo import GRIDS, Box, TileGrid, envelope_overlap
 from occurrence_lake.operators.multipoint import species_extents
 
 MAX_LEVEL = 30
-# Levels with so few cells that one may meet a large share of all rows.
-SALTED_LEVEL, SALTS = 3, 16
+# A cell is heavy with more rows of one side, or more pairs, than half a
+# task's share, but never below HEAVY_ROWS and PAIRS_A_ROW times as many pairs.
+# TOP, TRACKED: cells a task that the sketch returns and keeps (its counts are
+# off by less than 4 / TRACKED of a task's share).
+HEAVY_ROWS, PAIRS_A_ROW = 10_000, 100
+TOP, TRACKED = 16, 64
 _EDGE = 1e-9  # cell units; widens a cell range so touching cells are candidates
 
 
@@ -93,20 +99,63 @@ def _explode_cells(df: DataFrame, level, grid: TileGrid) -> DataFrame:
               .withColumn("cy", F.explode(cells(F.col("v0"), F.col("v1"), top))))
 
 
-def _levels(df: DataFrame, column: str) -> DataFrame:
-    """The levels that occur.  At most ``MAX_LEVEL + 1`` rows (levels are
-    checked when they are made), so they are broadcast."""
-    return F.broadcast(df.select(F.col(column).alias("level")).distinct())
+def _seen(df: DataFrame, column: str) -> tuple[int, list[int]]:
+    """(rows, the levels that occur): at most ``MAX_LEVEL + 1`` levels, as
+    they are checked when they are made."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.collect_set(column).alias("levels")).first()
+    return row["n"], sorted(row["levels"])
+
+
+def _each(levels: list[int], below: str):
+    """A row for each of ``levels`` up to a column."""
+    return F.explode(F.filter(F.array(*map(F.lit, levels)).cast("array<int>"), lambda v: v <= F.col(below)))
+
+
+CELL = ["kind", "level", "cx", "cy"]
+
+
+def _tasks(df: DataFrame) -> int:
+    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def frequent_cells(cells: DataFrame) -> tuple[int, dict[int, int]]:
+    """(rows, hash of a cell -> its rows) for the most frequent cells, from a
+    sketch of bounded size: the driver sees ``TOP`` entries a task at most."""
+    top, tracked = min(TOP * _tasks(cells), 100_000), min(TRACKED * _tasks(cells), 1_000_000)
+    sketch = F.call_function("approx_top_k", F.col("h"), F.lit(top), F.lit(tracked))
+    seen = cells.select(F.xxhash64(*CELL).alias("h")).agg(F.count("h").alias("n"), sketch.alias("top")).first()
+    return seen["n"], {r["item"]: r["count"] for r in seen["top"] or []}
 
 
-def _deal(hashed):
-    """A salt for the many-rows side of a crowded level."""
-    return F.when(F.col("level") <= SALTED_LEVEL, F.pmod(hashed, F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+def cell_salts(left: tuple[int, dict[int, int]], right: tuple[int, dict[int, int]], tasks: int, heavy_rows: int = HEAVY_ROWS) -> dict[int, tuple[int, int]]:
+    """Hash of a heavy cell -> salts of its left and of its right rows, so
+    that no key has more rows, or pairs, than the limits."""
+    work = {h: left[1].get(h, 1) * right[1].get(h, 1) for h in left[1].keys() | right[1].keys()}
+    most = [max(side[0] / tasks, heavy_rows) for side in (left, right)]
+    pairs = max(sum(work.values()) / tasks, PAIRS_A_ROW * heavy_rows)
+    out = {}
+    for h, n in work.items():
+        rows = [left[1].get(h, 1), right[1].get(h, 1)]
+        salts = [max(1, math.ceil(r / m)) for r, m in zip(rows, most)]
+        more = math.ceil(n / (pairs * salts[0] * salts[1]))
+        larger = rows.index(max(rows))
+        salts[larger] = min(rows[larger], salts[larger] * more)
+        if max(salts) > 1:
+            out[h] = tuple(salts)
+    return out
 
 
-def _repeat():
-    """All salts of a crowded level, for the other side."""
-    return F.explode(F.when(F.col("level") <= SALTED_LEVEL, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+def _salted(cells: DataFrame, salts: dict[int, tuple[int, int]], side: int, by: list[str]) -> DataFrame:
+    """Rows of a heavy cell dealt over their side's salts (``s0`` or ``s1``)
+    and repeated for the other side's, so each two rows still meet once."""
+    own, other = f"s{side}", f"s{1 - side}"
+    if not salts:
+        return cells.select("*", F.lit(0).alias(own), F.lit(0).alias(other))
+    rows = [(h, s[side], s[1 - side]) for h, s in sorted(salts.items())]
+    table = cells.sparkSession.createDataFrame(rows, "_h long, _own int, _other int")   # as many rows as two sketches return at most
+    joined = cells.withColumn("_h", F.xxhash64(*CELL)).join(F.broadcast(table), "_h", "left")
+    dealt = joined.withColumn(own, F.pmod(F.xxhash64(*by), F.coalesce("_own", F.lit(1))).cast("int"))
+    return dealt.withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce("_other", F.lit(1)) - 1))).drop("_h", "_own", "_other")
 
 
 def placed_tiles(tiles: DataFrame) -> DataFrame:
@@ -130,29 +179,27 @@ def placed_envelopes(extents: DataFrame, key: str, grid: TileGrid) -> DataFrame:
     return env.withColumn("env_level", own)
 
 
-def tile_cells(t: DataFrame, env_levels: DataFrame) -> DataFrame:
+def tile_cells(t: DataFrame, env_levels: list[int]) -> DataFrame:
     """Kind A: a tile's ancestors at the envelope levels that occur; kind B:
     the tile itself."""
     up = F.col("z") - F.col("level")
-    ancestors = (t.withColumn("level", F.explode(F.sequence(F.lit(0), F.col("z")))).join(env_levels, "level")
+    ancestors = (t.withColumn("level", _each(env_levels, "z"))
                  .withColumn("kind", F.lit("A")).withColumn("cx", F.call_function("shiftright", F.col("x"), up))
-                 .withColumn("cy", F.call_function("shiftright", F.col("y"), up)).withColumn("salt", _deal(F.xxhash64("z", "x", "y"))))
-    selves = (t.withColumn("kind", F.lit("B")).withColumn("level", F.col("z")).withColumn("cx", F.col("x"))
-              .withColumn("cy", F.col("y")).withColumn("salt", _repeat()))
+                 .withColumn("cy", F.call_function("shiftright", F.col("y"), up)))
+    selves = t.withColumn("level", F.col("z")).withColumn("kind", F.lit("B")).withColumn("cx", F.col("x")).withColumn("cy", F.col("y"))
     return ancestors.unionByName(selves)
 
 
-def envelope_cells(env: DataFrame, zooms: DataFrame, key: str, grid: TileGrid) -> DataFrame:
+def envelope_cells(env: DataFrame, zooms: list[int], grid: TileGrid) -> DataFrame:
     """Kind A: the cells an envelope touches at its own level; kind B: those
     at the coarser zooms that occur."""
-    at_own = env.withColumn("kind", F.lit("A")).withColumn("level", F.col("env_level")).withColumn("salt", _repeat())
-    coarser = (env.filter("env_level > 0").withColumn("level", F.explode(F.sequence(F.lit(0), F.col("env_level") - 1)))
-               .join(zooms, "level").withColumn("kind", F.lit("B")).withColumn("salt", _deal(F.xxhash64(key))))
+    at_own = env.withColumn("level", F.col("env_level")).withColumn("kind", F.lit("A"))
+    coarser = env.withColumn("level", _each(zooms, "env_level")).where("level < env_level").withColumn("kind", F.lit("B"))
     return _explode_cells(at_own.unionByName(coarser), F.col("level"), grid)
 
 
 def layer_tiles(species: DataFrame, tiles: DataFrame, key: str = "taxon_key", grid: str = "geographic",
-                extents: DataFrame | None = None) -> DataFrame:
+                extents: DataFrame | None = None, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """JOIN-4: every (tile, species) whose envelopes overlap, once.
 
     ``tiles`` holds ``(z, x, y)`` of the geographic quad grid or, with
@@ -165,17 +212,23 @@ def layer_tiles(species: DataFrame, tiles: DataFrame, key: str = "taxon_key", gr
     * kind B, envelope level  > tile zoom: the tile must be one of the cells
       the envelope touches at the tile's zoom (again at most 3 x 3).
 
-    Both are equality matches on (kind, level, cx, cy, salt): one hash join
-    with no nested loop; the exact overlap test then removes the near misses.
+    Both are equality matches on (kind, level, cx, cy): one hash join with no
+    nested loop; the exact overlap test then removes the near misses.
     Ancestors are made only for envelope levels that occur, envelope cells
-    only for zooms that occur.  Levels up to ``SALTED_LEVEL`` have few cells,
-    so the many-rows side of each kind is dealt over ``SALTS`` salts there and
-    the other side repeated.  A zoom outside 0..``MAX_LEVEL`` raises.
+    only for zooms that occur.  Cells that are heavy by the rows of either
+    side or by their pairs, at any level, are found by sketches and salted by
+    their counts: each side's rows are dealt over its own salts and repeated
+    for the other side's.  A zoom outside 0..``MAX_LEVEL`` raises.
     """
     g = GRIDS[grid]
     t = placed_tiles(tiles)
     env = placed_envelopes(species_extents(species, key) if extents is None else extents, key, g)
-    joined = tile_cells(t, _levels(env, "env_level")).join(
-        envelope_cells(env, _levels(t, "z"), key, g), on=["kind", "level", "cx", "cy", "salt"], how="inner")
+    (n_tiles, zooms), (n_envelopes, levels) = _seen(t, "z"), _seen(env, "env_level")
+    left, right = tile_cells(t, levels), envelope_cells(env, zooms, g)
+    salts = {}
+    # a row is in a cell once, so few rows make no heavy cell
+    if max(n_tiles, n_envelopes) > heavy_rows or n_tiles * n_envelopes > PAIRS_A_ROW * heavy_rows:
+        salts = cell_salts(frequent_cells(left), frequent_cells(right), _tasks(left), heavy_rows)
+    joined = _salted(left, salts, 0, ["z", "x", "y"]).join(_salted(right, salts, 1, [key]), on=[*CELL, "s0", "s1"], how="inner")
     envd = {c: F.col(c) for c in ("min_lon", "min_lat", "max_lon", "max_lat")}
     return joined.filter(envelopes_overlap(envd, g.bounds(F.col("z"), F.col("x"), F.col("y")))).select("z", "x", "y", key)

@@ -101,25 +101,41 @@ def test_mercator_tiles_against_brute_force(spark):
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 300
 
 
-def test_crowded_levels_are_salted(spark):
-    """Tiles of one hemisphere under a few huge envelopes, and many small
-    envelopes under one tile: no join key holds more than a few times its
-    share, and levels without an envelope make no ancestors."""
+def test_heavy_cells_are_salted_at_any_level(spark):
+    """A third of the tiles below one cell of level 9, many small envelopes
+    under one tile: no join key holds much more than its share, the rows are
+    those without salts, and levels without an envelope make no ancestors."""
     from occurrence_lake.functions.geo import GRIDS
-    tiles = spark.range(20_000).selectExpr("12 AS z", "4096 + id % 2048 AS x", "id % 1000 AS y").unionByName(spark.sql("SELECT 0 AS z, 1L AS x, 0L AS y"))
-    huge = [(k, 1.0, -80.0, 170.0, 80.0) for k in range(3)]
+    tiles = (spark.range(20_000).selectExpr("14 AS z", "IF(id % 3 = 0, 9000 + id % 30, id % 32768) AS x", "IF(id % 3 = 0, 3000 + id % 27, id % 16384) AS y").distinct()
+             .unionByName(spark.range(8_000).selectExpr("17 AS z", "72000 + id % 200 AS x", "24000 + floor(id / 200) AS y"))
+             .unionByName(spark.sql("SELECT 0 AS z, 1L AS x, 0L AS y")))
+    corner = lambda k, size: (-180 + 72000 / 2 ** 18 * 360 + size, 90 - 24100 / 2 ** 17 * 180, -180 + 72100 / 2 ** 18 * 360, 90 - 24000 / 2 ** 17 * 180 - size)
+    huge = [(k, -170.0, -80.0, 170.0, 80.0) for k in range(3)]
+    middle = [(5 + k, *corner(k, k / 1e5)) for k in range(4)]
     small = [(10 + k, 5.0 + k / 1e4, 45.0, 5.001 + k / 1e4, 45.001) for k in range(2000)]
-    ext = spark.createDataFrame(huge + small, "taxon_key long, min_lon double, min_lat double, max_lon double, max_lat double")
-    t, env = layer.placed_tiles(tiles), layer.placed_envelopes(ext, "taxon_key", GRIDS["geographic"])
-    keys = ["kind", "level", "cx", "cy", "salt"]
-    of_tiles = layer.tile_cells(t, layer._levels(env, "env_level"))
-    of_envelopes = layer.envelope_cells(env, layer._levels(t, "z"), "taxon_key", GRIDS["geographic"])
-    levels = {r.env_level for r in env.select("env_level").distinct().collect()}
-    assert {r.level for r in of_tiles.filter("kind = 'A'").select("level").distinct().collect()} <= levels
-    assert of_tiles.groupBy(*keys).count().agg(F.max("count")).first()[0] < 2 * 20_000 / layer.SALTS
-    assert of_envelopes.filter(f"level <= {layer.SALTED_LEVEL}").groupBy(*keys).count().agg(F.max("count")).first()[0] < 2 * 2_000 / layer.SALTS
-    pairs = layer.layer_tiles(None, tiles, extents=ext)
+    ext = spark.createDataFrame(huge + middle + small, "taxon_key long, min_lon double, min_lat double, max_lon double, max_lat double")
+    g = GRIDS["geographic"]
+    t, env = layer.placed_tiles(tiles), layer.placed_envelopes(ext, "taxon_key", g)
+    left, right = layer.tile_cells(t, layer._seen(env, "env_level")[1]), layer.envelope_cells(env, layer._seen(t, "z")[1], g)
+    assert {r.level for r in left.filter("kind = 'A'").select("level").distinct().collect()} <= {r.env_level for r in env.select("env_level").distinct().collect()}
+    largest = lambda df, *salts: df.groupBy(*layer.CELL, *salts).count().agg(F.max("count")).first()[0]
+    many, wide = layer.frequent_cells(left), layer.frequent_cells(right)
+    salts = layer.cell_salts(many, wide, 16, 400)
+    counts = {r.h: r["count"] for r in left.groupBy(F.xxhash64(*layer.CELL).alias("h")).count().collect()}
+    limit = max(400, sum(counts.values()) / 16)
+    assert {h for h, n in counts.items() if n > 1.3 * limit} <= salts.keys() and largest(left) > 4 * limit
+    assert largest(layer._salted(left, salts, 0, ["z", "x", "y"]), "s0", "s1") < 1.5 * limit
+    assert largest(right) >= 2000 and largest(layer._salted(right, salts, 1, ["taxon_key"]), "s0", "s1") < 1.5 * max(400, right.count() / 16)
+    pairs = layer.layer_tiles(None, tiles, extents=ext, heavy_rows=400)
     assert pairs.count() == pairs.distinct().count() and pairs.filter("z = 0").count() == 2003
+    plain = layer.layer_tiles(None, tiles, extents=ext)
+    assert pairs.exceptAll(plain).isEmpty() and plain.exceptAll(pairs).isEmpty()
+
+
+def test_cells_heavy_by_pairs_are_salted():
+    assert layer.cell_salts((1000, {1: 500, 2: 5}), (1000, {1: 400, 2: 5}), 10, heavy_rows=100) == {1: (5, 4)}
+    assert layer.cell_salts((1000, {1: 90}), (1000, {1: 90}), 10, heavy_rows=1) == {1: (10, 1)}   # few rows, many pairs
+    assert layer.cell_salts((9, {1: 9}), (0, {}), 4) == {}
 
 
 def test_layer_bbox_optional_taxon(spark):
