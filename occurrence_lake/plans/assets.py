@@ -24,6 +24,7 @@ from occurrence_lake.operators.metrics import preview
 from occurrence_lake.schema import VERNACULAR_SCHEMA
 from occurrence_lake.sinks.parquet import fill_declared, materialize, write_table, write_years
 from occurrence_lake.sinks.upsert import SERVING_SLOTS, KeyedTable
+from occurrence_lake.sinks.year_keys import YearKeys
 from occurrence_lake.sources.parquet import read_raw_years
 from occurrence_lake.sources.tsv import read_occurrence_tsv
 from occurrence_lake.streaming.ingest import serving_tables
@@ -123,7 +124,8 @@ def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: s
 
     ``raw_occurrences`` stays the yearly dataset itself (SRC-3), so a year
     filter on it prunes directories.  With ``check_keys`` a ``gbif_id`` that
-    is NULL or stored twice in the union of the years aborts (CON-1).  Rows
+    is NULL or stored twice in the union of the years aborts (CON-1; the keys
+    of checked years are kept beside the raw dataset).  Rows
     without a taxon key are set aside under ``<out_root>/null_taxon_keys``
     and counted, instead of ending the run at the serving table's key.
     ``part_points`` splits species by place into parts of at most so many
@@ -140,7 +142,7 @@ def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: s
 
     raw = materialize(read_raw_years(spark, raw_root), "raw_occurrences")
     if check_keys:
-        assert_primary_key(raw, "gbif_id")
+        YearKeys(spark, raw_root).check(raw)   # reads the years that changed since the last check
     report.row_counts["raw_occurrences"] = raw.count()   # answered from file footers
     report.previews["raw_occurrences"] = [r.asDict() for r in preview(raw, order_by="gbif_id").collect()]
     everything = refine.filtered_occurrences(raw)

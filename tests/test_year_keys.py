@@ -1,0 +1,78 @@
+"""The union's key is checked year by year against bucketed stored keys."""
+
+import contextlib
+import io
+
+import pytest
+from pyspark.sql import functions as F
+
+from occurrence_lake.operators.constraints import KeyViolation
+from occurrence_lake.sinks.parquet import write_years
+from occurrence_lake.sinks.year_keys import YearKeys
+
+
+def _raw(spark, root, *years, start=0, replace=True):
+    df = spark.range(100 * len(years)).selectExpr(f"CAST(id + {start} AS STRING) AS gbif_id", f"element_at(array({', '.join(map(str, years))}), CAST(id DIV 100 AS INT) + 1) AS year")
+    write_years(df, root, replace=replace)
+    return spark.read.parquet(root)
+
+
+def test_only_changed_years_are_read_and_repeats_are_found(spark, workdir):
+    root = f"{workdir}/raw"
+    keys = YearKeys(spark, root, buckets=4)
+    assert keys.check(_raw(spark, root, 2018, 2019)) == ["2018", "2019"]
+    assert keys.check(spark.read.parquet(root)) == []
+    assert keys.check(_raw(spark, root, 2020, start=1000)) == ["2020"]
+    assert keys.stored(spark.read.parquet(root)).count() == 300
+    again = YearKeys(spark, root)                                        # as after a restart
+    spark.sql(f"DROP TABLE {keys._name}")
+    raw = _raw(spark, root, 2021, start=150)                             # 50 ids of 2019
+    for _ in range(2):                                                   # and it stays so
+        with pytest.raises(KeyViolation, match="50 of theirs"):
+            again.check(raw)
+    assert again.check(_raw(spark, root, 2021, start=2000)) == ["2021"]
+    with pytest.raises(KeyViolation, match="100 duplicated"):
+        again.check(_raw(spark, root, 2021, start=2000, replace=False))  # downloaded twice
+    assert again.check(_raw(spark, root, 2021, start=3000)) == ["2021"]
+    assert {(r.year, r["count"]) for r in again.stored(raw).groupBy("year").count().collect()} == {(y, 100) for y in (2018, 2019, 2020, 2021)}
+
+
+def test_a_null_key_and_a_check_that_died(spark, workdir):
+    root = f"{workdir}/raw"
+    keys = YearKeys(spark, root, buckets=2)
+    raw = _raw(spark, root, 2018)
+    whole, keys._note = keys._note, lambda state: whole(state) if not state["years"] else _die()
+    with pytest.raises(RuntimeError):
+        keys.check(raw)                                                  # keys written, not noted
+    keys._note = whole
+    assert keys.check(raw) == ["2018"] and keys.stored(raw).count() == 100
+    write_years(spark.createDataFrame([(None, 2019)], "gbif_id string, year int"), root)
+    with pytest.raises(KeyViolation, match="1 NULL"):
+        keys.check(spark.read.parquet(root))
+
+
+def _die():
+    raise RuntimeError("lost")
+
+
+def test_the_stored_side_is_not_shuffled(spark, workdir):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        root = f"{workdir}/raw"
+        keys = YearKeys(spark, root, buckets=4)
+        raw = _raw(spark, root, 2018, 2019)
+        keys.check(raw)
+        found = keys.repeated(raw, spark.createDataFrame([("3",), ("x",)], "gbif_id string"), ["2018"])
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            found.explain()
+        stored = text.getvalue().split("SortMergeJoin")[1].split("FileScan")[1]
+        above = text.getvalue().split("SortMergeJoin")[1].split("FileScan")[0]
+        assert "Bucketed: true" in stored and "Exchange" not in above and "PartitionFilters: [isnotnull(year" in stored
+        assert [r.gbif_id for r in found.collect()] == ["3"]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
