@@ -31,6 +31,8 @@ from occurrence_lake.schema import SRID
 POINT_HEADER_HEX = "0101000000"       # little endian, type 1 (Point)
 MULTIPOINT_HEADER_HEX = "0104000000"  # little endian, type 4 (MultiPoint)
 POINT_BYTES = 21
+POINT_HEADER_BYTES = 5
+POINT_HEADERS_HEX = ("0101000000", "0000000001")   # byte order and type, little and big endian
 MULTIPOINT_HEADER_BYTES = 9
 
 _NAN_BITS = 0x7FF8000000000000
@@ -197,10 +199,14 @@ def multipoint_count(wkb: str) -> Column:
 
 
 def multipoint_is_valid(wkb: str) -> Column:
-    h = _hex_of(wkb)
+    """Head, length, and the head of every member: a Point in either byte
+    order, each member in its own."""
+    w, h = _ref(wkb), _hex_of(wkb)
     n = _multipoint_count_sql(wkb)
-    return F.expr(f"(substring({h}, 1, 2) IN ('00', '01') AND {_u32_sql(h, 3)} = 4L "
-                  f"AND length({_ref(wkb)}) = {MULTIPOINT_HEADER_BYTES} + {n} * {POINT_BYTES})")
+    member = f"hex(substr({w}, {MULTIPOINT_HEADER_BYTES + 1} + i * {POINT_BYTES}, {POINT_HEADER_BYTES}))"
+    return F.expr(f"(CASE WHEN substring({h}, 1, 2) NOT IN ('00', '01') OR {_u32_sql(h, 3)} <> 4L "
+                  f"OR length({w}) <> {MULTIPOINT_HEADER_BYTES} + {n} * {POINT_BYTES} THEN false WHEN {n} = 0L THEN true "
+                  f"ELSE forall(sequence(0L, {n} - 1L), i -> {member} IN ({', '.join(repr(x) for x in POINT_HEADERS_HEX)})) END)")
 
 
 def multipoint_points(wkb: str) -> Column:

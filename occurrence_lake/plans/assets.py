@@ -133,22 +133,26 @@ def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: s
     out = out_root.rstrip("/")
     report = RunReport()
 
-    def save(name: str, df: DataFrame, sort_by=None, key: str = "taxon_key") -> DataFrame:
+    def shown(df: DataFrame) -> list[dict]:
+        """Ten stored rows: a limit opens one file, it scans no table."""
+        return [r.asDict() for r in preview(df).collect()]
+
+    def save(name: str, df: DataFrame, sort_by=None) -> DataFrame:
         path = f"{out}/{name}"
         report.row_counts[name] = write_table(df, path, name, sort_by)
         saved = spark.read.parquet(path)
-        report.previews[name] = [r.asDict() for r in preview(saved, order_by=key).collect()]
+        report.previews[name] = shown(saved)
         return saved
 
     raw = materialize(read_raw_years(spark, raw_root), "raw_occurrences")
     if check_keys:
         YearKeys(spark, raw_root).check(raw)   # reads the years that changed since the last check
     report.row_counts["raw_occurrences"] = raw.count()   # answered from file footers
-    report.previews["raw_occurrences"] = [r.asDict() for r in preview(raw, order_by="gbif_id").collect()]
+    report.previews["raw_occurrences"] = shown(raw)
     everything = refine.filtered_occurrences(raw)
     report.null_keys = write_table(everything.filter(F.col("taxon_key").isNull()), f"{out}/null_taxon_keys", "null_taxon_keys")
-    filtered = save("filtered_occurrences", everything.filter(F.col("taxon_key").isNotNull()), ["taxon_key"], "gbif_id")
-    geospatial = save("geospatial_occurrences", refine.geospatial_occurrences(filtered), ["taxon_key"], "gbif_id")
+    filtered = save("filtered_occurrences", everything.filter(F.col("taxon_key").isNotNull()), ["taxon_key"])
+    geospatial = save("geospatial_occurrences", refine.geospatial_occurrences(filtered), ["taxon_key"])
     keys = save("unique_taxon_keys", refine.unique_taxon_keys(filtered))
     vernacular = save("vernacular_names", fill_declared(
         spark, names.vernacular_names(keys, name_records, name_order), VERNACULAR_SCHEMA, "taxon_key"))
@@ -185,5 +189,5 @@ def run(spark: SparkSession, raw_root: str, name_records: DataFrame, out_root: s
         tables["occurrences"] = occurrences.rows
         for name, table in tables.items():
             report.row_counts[name] = table.row_count()   # counted while written
-            report.previews[name] = [r.asDict() for r in preview(table.read(), order_by="gbif_id" if name == "occurrences" else "taxon_key").collect()]
+            report.previews[name] = shown(table.read())
     return report

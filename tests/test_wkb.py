@@ -2,6 +2,7 @@ import math
 import random
 import struct
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -107,3 +108,26 @@ def test_decode_big_endian_input(spark):
     r = W.with_point_xy(df, "w", "x", "y").first()
     assert (r.x, r.y) == (6.5, -45.25)
     assert df.select(W.point_is_valid("w").alias("ok")).first().ok
+
+
+def test_every_member_of_a_multipoint_is_checked(spark):
+    import struct
+
+    def point(order, kind=1):
+        return struct.pack("<BIdd" if order else ">BIdd", order, kind, 6.5, 45.25)
+
+    def multi(order, *members, n=None):
+        return struct.pack("<BII" if order else ">BII", order, 4, len(members) if n is None else n) + b"".join(members)
+
+    good = [multi(1), multi(0), multi(1, point(1), point(0)), multi(0, point(0), point(1), point(1))]
+    bad = [multi(1, point(1), point(1, 2)), multi(0, point(2)[:1] + point(0)[1:]), multi(1, point(1)[:1] + point(0)[1:]), multi(1, point(1), n=2), multi(1, point(1), n=0),
+           point(1), multi(1, point(1))[:8], b"", multi(1, point(1, 0x20000001))]
+    df = spark.createDataFrame([(i, bytearray(w)) for i, w in enumerate(good + bad)], "i int, w binary")
+    got = {r.i: r.ok for r in df.select("i", W.multipoint_is_valid("w").alias("ok")).collect()}
+    assert [bool(got[i]) for i in range(len(got))] == [True] * len(good) + [False] * len(bad)
+    assert W.require_valid(df.where(f"i < {len(good)}"), "w", "MultiPoint").where("w IS NOT NULL").count() == len(good)
+    for i in range(len(good), len(good) + len(bad)):
+        with pytest.raises(Exception, match="not a valid WKB MultiPoint"):
+            W.require_valid(df.where(f"i = {i}"), "w", "MultiPoint").collect()
+    points = df.where("i = 3").select(F.explode(W.multipoint_points("w")).alias("p"))
+    assert {(r.lon, r.lat) for r in W.with_point_xy(points, "p").collect()} == {(6.5, 45.25)}
