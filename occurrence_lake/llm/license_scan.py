@@ -12,19 +12,22 @@ position, and the key phrase has to stand whole.  A place counts if at least
 
 DataFrame functions only; map only but for the word counts.
 
-Defined results: null or empty text has no words and no places; repeated
-rows give repeated results; an empty table gives an empty result; further
+Defined results: null or empty text has no words and no places; labels are a
+set and the score is the best share, so templates that tie need no order;
+repeated rows give repeated results; an empty table gives an empty result; further
 columns of the input, of any name, are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from occurrence_lake.llm.common import contract_words, let
+from occurrence_lake.llm.license_notices import NOTICES
 
 MAX_TEMPLATE_WORDS = 100_000
 
@@ -46,18 +49,13 @@ def phrase(label: str, words: str) -> Template:
     return Template(label, words, words, True)
 
 
-#: The method's own templates: wordings of common licence notices.
-TEMPLATES = [
-    Template("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2 0"),
-    Template("gpl-3.0", "this work is licensed under the gnu general public license version 3", "gnu general public license version 3"),
-    Template("gpl-2.0", "this work is licensed under the gnu general public license version 2", "gnu general public license version 2"),
-    Template("mit", "released under the mit license", "mit license"),
-    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy", "permission is hereby granted free of charge"),
-    Template("bsd", "redistribution and use in source and binary forms with or without modification", "redistribution and use in source and binary forms"),
-    Template("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
-    Template("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
-    Template("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa"),
-]
+def words_of(text: str) -> str:
+    """A text's words as the operator takes them, joined by spaces."""
+    return " ".join(re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ", re.sub("[A-Z]", lambda m: m[0].lower(), text)).split())
+
+
+#: The method's own templates: notices, headings and SPDX lines.
+TEMPLATES = [Template(label, words_of(notice), key) for label, key, notice in NOTICES]
 
 
 def word_frequencies(texts: DataFrame, words: set[str]) -> tuple[dict[str, int], int]:

@@ -291,3 +291,16 @@ def test_quality_does_not_depend_on_partitions(spark):
     twice = df.unionByName(df.limit(50))
     three, seven = (quality.fit(twice.repartition(n), sample_rows=300) for n in (3, 7))
     assert (three == seven).all() and three.any()
+
+
+def test_licences_by_their_own_notices(spark):
+    """Every notice, heading and SPDX line gives its label, alone and inside
+    other text; a notice of which the key phrase is cut gives none."""
+    from occurrence_lake.llm.license_notices import NOTICES
+    rows = [(i, ("word " * (i % 3)) + notice + " and more") for i, (_, _, notice) in enumerate(NOTICES)]
+    rows += [(1000, "// SPDX-License-Identifier: Apache-2.0 OR MIT"), (1001, "you may not use this file except in compliance with the License"),
+             (1002, "the GNU General Public License version 3"), (1003, "GNU General Public License")]
+    found = {r["doc_id"]: r["labels"].split(",") for r in license_scan.scan(docs(spark, rows), license_templates()).collect()}
+    assert [NOTICES[i][0] for i in range(len(NOTICES)) if NOTICES[i][0] not in found[i]] == []
+    assert found[1000] == ["apache-2.0"] and found[1001] == [""] and found[1002] == ["gpl", "gpl-3.0"] and found[1003] == ["gpl"]
+    assert all(template.key in template.words for template in license_templates())
