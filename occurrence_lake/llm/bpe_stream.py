@@ -12,9 +12,11 @@ buffer are stable: the transducer emits them, keeps the rest, and needs
 constant memory for words of any length.
 
 Texts are read in blocks cut at white space, which no pre-token crosses; in
-longer runs without any, between a letter or digit and punctuation, or inside
-a run of letters, whose pre-token then goes on through the transducer with
-the next block.  The ids of each block go through an incremental decoder.
+longer runs without any, between two pre-tokens (a letter and a sign, digits,
+a mark and a letter), or inside a run of letters or signs, whose pre-token
+then goes on through the transducer with the next block.  This holds for the
+scripts and signs listed below; a longer run of others is one block.  The ids
+of each block go through an incremental decoder.
 
 Defined results: null or empty text gives 0 tokens and the digests of the
 empty string; repeated rows give repeated results; an empty table gives an
@@ -42,12 +44,21 @@ KNOWN_WORDS = 250_000
 KNOWN_WORD_CHARS = 128
 _BEYOND_LATIN = re.compile("[^\x00-\u024f]")
 #: Places to cut: before white space; where a pre-token ends for certain (a
-#: contraction has at most two letters); inside letters that neither compose
-#: with nor change case by their neighbours.
-_SPACE = re.compile("(?=[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000])")
-_BORDER = re.compile(r"(?<=[A-Za-z0-9])(?=[!-/:-@\[-`{-~])|(?<=[0-9])(?=[A-Za-z])|(?<=[\u4e00-\u9fff])(?=[\u3001\u3002\uff01\uff0c\uff1f])")
-_LETTER = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f\u0400-\u045f\u0621-\u063a\u0641-\u064a\u0e01-\u0e2e\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff\uac00-\ud7a3]"
-_INSIDE = re.compile(f"(?<={_LETTER}{{3}})(?={_LETTER})")
+#: contraction has at most two letters, a digit stands alone, a mark is no
+#: letter); inside letters that neither compose with nor change case by their
+#: neighbours; inside signs (an apostrophe could begin a contraction, unless
+#: another follows).
+_SPACE = re.compile("(?=[\t-\r \x85\xa0  -     　])")
+_INDIC = ("अ-हঅ-ঌও-নপ-রশ-হஅ-ஊஎ-ஐம-ஹ"
+          "అ-ఌఎ-ఐఒ-నప-ళก-ฮ")
+_MARK = ("ँ-ःा-्ঁ-ঃা-ৄো-্ஂா-ூெ-ைொ-்"
+         "ఁ-ఃా-ౄె-ైొ-్ิ-ฺ็-๎")
+_BORDER = re.compile(r"(?<=[A-Za-z0-9])(?=[!-/:-@\[-`{-~])|(?<=[0-9])(?=[A-Za-z0-9])|(?<=[一-鿿])(?=[、。！，？])"
+                     f"|(?<=[{_MARK}])(?=[{_INDIC}])")
+_LETTER = (f"[A-Za-zÀ-ÖØ-öø-įı-ɏα-ρσ-ωΑ-ΡΤ-ΩЀ-џա-ֆא-ת"
+           f"ء-غف-ي{_INDIC}ა-ჰぁ-ゖァ-ヺ一-鿿가-힣]")
+_SIGN = "[!-&(-/:-@\\[-`{-~‐-‖‘-‧‰-※←-⇿─-◿、-〃〈-】\U0001f300-\U0001f64f\U0001f680-\U0001f6c5]"
+_INSIDE = re.compile(f"(?<={_LETTER}{{3}})(?={_LETTER})|(?<={_SIGN}{{3}})(?={_SIGN})|(?<='{{3}})(?='')")
 _MAPPED = "\ud800"  # marks a pre-token in the byte alphabet; no text holds a lone surrogate
 _NO_RULE = 1 << 60
 
@@ -224,13 +235,13 @@ class WordBpe:
 
     def cut(self, text: str, start: int) -> tuple[int, bool]:
         """(where to cut at ``start`` or soon after, whether that is inside a
-        pre-token).  No special token is cut."""
-        whole = lambda at: all(text.find(s, max(0, at - len(s) + 1), at + len(s) - 1) < 0 for s in self.special)
+        pre-token).  No special token is cut, and one ends a pre-token."""
+        whole = lambda at, joined: all(text.find(s, max(0, at - len(s) + 1), at + len(s) - (not joined)) < 0 for s in self.special)
         while start < len(text):
             end = start + BLOCK_CHARS
             for places, joined in ((_SPACE, False), (_BORDER, False), (_INSIDE, True)):
                 for m in places.finditer(text, start, end):
-                    if whole(m.start()):
+                    if whole(m.start(), joined):
                         return m.start(), joined
             start = end
         return len(text), False

@@ -389,3 +389,23 @@ def test_pipeline(spark):
     assert pure.columns == columns and {r["doc_id"] for r in pure.collect()} == kept
     result = corpus_pipeline.run(spark, SF_SMALL)
     assert sorted(map(tuple, result.collect())) == sorted(map(tuple, encode(spark, pure, SF_SMALL).collect()))
+
+
+def test_bpe_cuts_runs_of_any_kind(monkeypatch):
+    """Runs without white space are cut in blocks of the stated size, and
+    the ids stay the library's."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    bpe, library = bpe_stream.WordBpe(path), Tokenizer.from_file(path)
+    for unit in ("!", "\U0001f642", "\u0928\u093f", "7", "'", "\u03b1\u03b2\u03b3", "a", "#$%"):
+        assert max(len(b) for b, _ in bpe.blocks(unit * (300_000 // len(unit)))) <= 1.1 * bpe_stream.BLOCK_CHARS
+    monkeypatch.setattr(bpe_stream, "BLOCK_CHARS", 8)
+    rnd = random.Random(4)
+    kinds = ["'s!lt\u2019", "78a!", "\U0001f642!'s<|", "\u03a3\u03c3\u03c2a'", "\u0928\u093f\u093c\u094d\u0915", "\u0e01\u0e34\u0e48", "\u0995\u09be\u09c7\u09d7",
+             "".join(map(chr, range(33, 127))), "\u05d0\u05b0\u0627\u064b", "\u3001\u3042\uff01\u4e2d\u2190\u25a0"]
+    for i in range(6000):
+        text = "".join(rnd.choices(kinds[i % len(kinds)], k=rnd.randrange(1, 60)))
+        text = text if i % 5 else text + "<|startoftext|>" + text
+        assert bpe.encode(text) == library.encode(text, add_special_tokens=False).ids, text
