@@ -16,7 +16,7 @@ votes of every host; a path with more than half of them is its consensus.
 *Extraction.*  With the consensus path the pages are read again.  Text in
 it, below it or in a container around it stays.  Text of a container beside
 it goes if the host shows it to be boilerplate: the container stands beside
-the path on pages with different main texts, and a text in it repeats on
+the path, on pages of different main texts, and a text in it repeats on
 more than half of the host's pages.  There are no bounds of size: what the
 host does not repeat is kept, however short.  A page without the path, or of
 a host without one, keeps all its blocks.
@@ -277,7 +277,7 @@ def below(paths: Paths, path: int) -> set[int]:
 
 def page_vote(page: str) -> tuple[int, int, int, list[tuple[int, int]]]:
     """(key of the path, characters, hash of the text at the path,
-    (container, hash of text) of the blocks beside it)."""
+    (container, hash of text) of the blocks beside it, and the path itself)."""
     import xxhash
 
     digest = lambda t: xxhash.xxh64_intdigest(t.encode("utf-8", "replace")) - 2**63
@@ -285,6 +285,7 @@ def page_vote(page: str) -> tuple[int, int, int, list[tuple[int, int]]]:
     top, score = best_container(paths, found)
     own, near = below(paths, top), around(paths, top)
     beside = {(paths.signed_key(path), digest(text)) for path, text, _ in found if path not in own and path not in near}
+    beside.add((paths.signed_key(top), 0))  # that the page has it; its texts need no count
     return paths.signed_key(top), score, digest("\n".join(text for path, text, _ in found if path in own)), sorted(beside)
 
 
@@ -319,7 +320,9 @@ def host_paths(pages: DataFrame) -> DataFrame:
     counted = written(each.groupBy("host", "path", "container", "text").agg(F.count("*").alias("n"), F.min("main").alias("least"), F.max("main").alias("most")), "host-votes")
     best = (counted.where("container is null").groupBy("host").agg(F.max_by(F.struct("path", "n"), F.struct("n", "path")).alias("best"), F.sum("n").alias("pages"))
             .where(2 * F.col("best.n") > F.col("pages")).select("host", F.col("best.path").alias("path"), "pages"))
-    shown = (counted.where("container is not null").join(best, ["host", "path"]).groupBy("host", "container", "pages")
+    texts = (counted.where("container is not null").groupBy("host", "container", "text")
+             .agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most")))
+    shown = (texts.join(best, "host").groupBy("host", "container", "pages")
              .agg(F.max("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
              .where((F.col("least") < F.col("most")) & (2 * F.col("n") > F.col("pages"))))
     junk = shown.groupBy("host").agg(F.collect_list("container").alias("boilerplate"))
