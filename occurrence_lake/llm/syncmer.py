@@ -8,11 +8,13 @@ wherever they stand, and their positions line up (``anchors``,
 ``aligned``).  A text of which no k-mer is kept has one anchor, its whole
 word sequence.
 
-The *fingerprint* is the ``SKETCH`` smallest distinct anchor hashes of the
-whole text, for look-ups, and an exact digest of all anchors with their
-positions.
+A text's fingerprint is all its anchors with their positions.  The string
+that names it holds the ``SKETCH`` smallest distinct anchor hashes, for
+look-ups, and an exact digest of all anchors with their positions: written
+out whole it would be as long as the text.
 
-The *likeness* of two texts comes from all anchors of both: those that are
+The *likeness* of two fingerprints comes from all anchors of both, not from
+those strings: those that are
 equal at one shift of the positions, of all anchors of either.  Shifts that
 are tried, each counted exactly: equal starts, equal ends, and the commonest
 distance between the first places of the anchors that both have.  Passages
@@ -31,6 +33,8 @@ columns of the input, of any name, are ignored.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,6 +44,8 @@ from occurrence_lake.llm.common import let
 K, S = 4, 2
 SKETCH = 64
 WORD_CHARS = 32
+CELLS = 8        # id cells of which a range is made
+ROW_BYTES = 64   # what a row costs beside its text, for ranges of equal size
 
 
 def words_of(text: Column) -> Column:
@@ -65,12 +71,13 @@ def positions(h: Column, k: int = K, s: int = S) -> Column:
     return F.when(F.size(h) >= k, let(runs, closed)).otherwise(F.array().cast("array<int>"))
 
 
-def anchor_structs(text: Column) -> Column:
-    """Array of (pos, hash) of all anchors of a text."""
+def worded_anchors(text: Column) -> Column:
+    """Struct of the number of ``words`` of a text and its ``anchors``, an
+    array of (pos, hash)."""
     def of(h: Column) -> Column:
         kept = F.transform(positions(h), lambda i: F.struct(i.alias("pos"), run_hash(h, i, K).alias("hash")))
         whole = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64(h).alias("hash")))
-        return let(kept, lambda a: F.when((F.size(a) > 0) | (F.size(h) == 0), a).otherwise(whole))
+        return F.struct(F.size(h).alias("words"), let(kept, lambda a: F.when((F.size(a) > 0) | (F.size(h) == 0), a).otherwise(whole)).alias("anchors"))
 
     return let(F.transform(words_of(F.coalesce(text, F.lit(""))), lambda w: F.xxhash64(w)), of)
 
@@ -124,7 +131,7 @@ def likeness(a: Column, b: Column, shift_of_ends: Column) -> Column:
 
 def anchors(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id, ``pos`` (word) and ``hash`` of every anchor."""
-    return (df.select(F.col(id_col), F.explode(anchor_structs(F.col(text_col).cast("string"))).alias("a"))
+    return (df.select(F.col(id_col), F.explode(worded_anchors(F.col(text_col).cast("string"))["anchors"]).alias("a"))
             .select(id_col, "a.pos", "a.hash"))
 
 
@@ -136,35 +143,72 @@ def aligned(left: DataFrame, right: DataFrame, id_col: str = "doc_id") -> DataFr
             .agg(F.count("*").alias("n")))
 
 
-def with_next(df: DataFrame, id_col: str, carried: list[str], tie: str) -> DataFrame:
+def literal(values, item: str = "bigint") -> Column:
+    """A constant array that the planner sees as one value."""
+    return F.from_json(F.lit(json.dumps(values)), f"array<{item}>")
+
+
+def rank_in(bounds: list[int], x: Column) -> Column:
+    """How many of the ascending ``bounds`` are below ``x``: a binary search,
+    so the cost grows with the logarithm of their number."""
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+    if not bounds:
+        return F.lit(0)
+    there = literal(bounds)
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, step: F.when(F.get(there, at + step - 1) < x, at + step).otherwise(at))
+
+
+def id_ranges(df: DataFrame, id_col: str, size_col: str, n: int) -> tuple[list[int], list[int | None]]:
+    """At most ``n`` ranges of ids of about equal summed sizes: upper bounds
+    of all but the last, and the largest id of each.  Quantiles of the ids
+    (their accuracy follows ``n``) make ``CELLS`` cells a range; the cells'
+    sizes are added in Spark and neighbours joined here, a row a cell."""
+    cells = CELLS * n
+    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.octet_length(size_col).alias("size"))
+    cuts = rows.agg(F.percentile_approx("id", literal([i / cells for i in range(1, cells)], "double"), max(10_000, 4 * cells)).alias("c")).first()["c"]
+    cell = F.coalesce(rank_in(sorted(set(cuts or [])), F.col("id")), F.lit(0))
+    sizes = sorted(rows.groupBy(F.when(F.col("id").isNull(), -1).otherwise(cell).alias("cell"))
+                   .agg(F.max("id").alias("top"), F.sum(F.col("size") + ROW_BYTES).alias("size")).collect())
+    share, tops, filled, total = sum(r["size"] or 0 for r in sizes) / n, [], 0, 0
+    for r in sizes:
+        size = r["size"] or 0
+        if tops and int((total + size / 2) / share) == filled:
+            tops[-1] = r["top"]
+        else:
+            tops.append(r["top"])
+            filled = int((total + size / 2) / share)
+        total += size
+    return [t for t in tops[:-1] if t is not None], tops
+
+
+def with_next(df: DataFrame, id_col: str, carried: list[str], tie: str, size_col: str, also=lambda d: d) -> DataFrame:
     """Adds ``next_<c>`` for each carried column: its value in the row of the
-    next smaller id (after the smallest: the largest id).
-
-    Ids are cut into ranges at their quantiles; a window runs in each range,
-    and the first row of a range also goes, as a sentinel, to the range
-    before it.  One shuffle, no global sort; what the driver sees is a
-    number of ids that depends on the partitions, not on the rows."""
-    spark = df.sparkSession
-    n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = df.select(F.col(id_col).cast("bigint").alias("id"))
-    cuts = ids.agg(F.percentile_approx("id", [i / n for i in range(1, n)], 10_000).alias("c")).first()["c"]
-    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts or []))]) if cuts else F.array().cast("array<bigint>")
-    bucket = F.coalesce(F.size(F.filter(bounds, lambda b: b < F.col("id"))), F.lit(0))
-    bucket = F.when(F.col("id").isNull(), 0).otherwise(bucket)
-    tops = {r["b"]: r["top"] for r in ids.groupBy(bucket.alias("b")).agg(F.max("id").alias("top")).collect()}  # a row a range
+    next smaller id (after the smallest: the largest id).  ``also`` may add
+    columns to each row, which can be carried too.
+
+    Ids are cut into ranges of about equal bytes, a task each; a window runs
+    in each range, and the first row of a range also goes, as a sentinel, to
+    the range before it.  One shuffle, no global sort; what the driver sees
+    is a number of ids that depends on the partitions, not on the rows."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds, tops = id_ranges(df, id_col, size_col, n)
     if not tops:
-        return df.select("*", *[F.lit(None).cast(df.schema[c].dataType).alias(f"next_{c}") for c in carried])
-    order = sorted(tops)
-    above = {b: order[(i + 1) % len(order)] for i, b in enumerate(order)}  # its range's first row ends the range above
-    top = F.array(*[F.lit(tops.get(b)).cast("bigint") for b in range(order[-1] + 1)])
-    up = F.array(*[F.lit(above.get(b, 0)) for b in range(order[-1] + 1)])
-
-    dealt = df.select("*", F.col(id_col).cast("bigint").alias("id")).select("*", bucket.alias("bucket"))
-    copies = F.concat(F.array(F.struct(F.col("bucket").alias("range"), F.lit(False).alias("sentinel"))),
-                      F.when(F.col("id").eqNullSafe(F.get(top, F.col("bucket"))), F.array(F.struct(F.get(up, F.col("bucket")).alias("range"), F.lit(True).alias("sentinel"))))
+        empty = also(df)
+        return empty.select("*", *[F.lit(None).cast(empty.schema[c].dataType).alias(f"next_{c}") for c in carried])
+    # Null ids sort last: they end the lowest range, and lead it if alone there.
+    if tops[0] is None and len(tops) > 1:
+        tops = tops[1:]
+    dealt = df.select("*", F.col(id_col).cast("bigint").alias("_id"))
+    dealt = dealt.select("*", F.coalesce(F.when(F.col("_id").isNull(), 0).otherwise(rank_in(bounds, F.col("_id"))), F.lit(0)).alias("_bucket"))
+    above = (F.col("_bucket") + 1) % len(tops)  # its range's first row ends the range above
+    copies = F.concat(F.array(F.struct(F.col("_bucket").alias("range"), F.lit(False).alias("sentinel"))),
+                      F.when(F.col("_id").eqNullSafe(F.get(literal(tops), F.col("_bucket"))), F.array(F.struct(above.alias("range"), F.lit(True).alias("sentinel"))))
                       .otherwise(F.array().cast("array<struct<range:int,sentinel:boolean>>")))
-    dealt = dealt.select(*df.columns, F.col("id").alias("_id"), F.inline(copies))
-    w = Window.partitionBy("range").orderBy("sentinel", F.desc_nulls_last("_id"), tie)
+    dealt = dealt.select(*df.columns, "_id", F.inline(copies)).repartitionById(n, "range")
+    order = ["sentinel", F.desc_nulls_last("_id"), tie]
+    # Sorted first, so that what ``also`` adds is made after shuffle and sort.
+    dealt = also(dealt.sortWithinPartitions("range", *order))
+    w = Window.partitionBy("range").orderBy(*order)
     out = dealt.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in carried])
     return out.where(~F.col("sentinel")).drop("_id", "range", "sentinel")
 
@@ -176,15 +220,13 @@ def neighbour_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = df.select(F.col(id_col).alias("doc"), text.alias("text"))
     rows = rows.select("doc", "text", F.xxhash64("text").alias("tie"))
-    near = with_next(rows, "doc", ["text"], "tie")
+    # Anchors are made after the shuffle, which so carries each text once, and once a text.
+    near = with_next(rows, "doc", ["text", "own"], "tie", "text", lambda d: d.withColumn("own", worded_anchors(F.col("text"))))
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut))
-    near = near.select("doc", n.cast("long").alias("n_chars"), "text", "next_text", edited.alias("edited"))
-    # Anchors are made after the shuffle, which so carries each text once.
-    near = near.select("doc", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                       *[F.struct(F.size(words_of(F.coalesce(c, F.lit("")))).alias("words"), anchor_structs(c).alias("anchors")).alias(name)
-                         for name, c in (("own", F.col("text")), ("next", F.col("next_text")), ("new", F.col("edited")))])
+    near = near.select("doc", n.cast("long").alias("n_chars"), "own", "next_own", edited.alias("edited"))
+    near = near.select("doc", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own", "next_own", worded_anchors(F.col("edited")).alias("new"))
     alike = lambda c: likeness(F.col("own.anchors"), F.col(f"{c}.anchors"), F.col(f"{c}.words") - F.col("own.words"))
     return near.select(F.col("doc").alias(id_col), "n_chars", "edited_sha256", fingerprint(F.col("own.anchors")).alias("fingerprint"),
-                       fingerprint(F.col("new.anchors")).alias("edited_fingerprint"), alike("new").alias("near_edited"), alike("next").alias("near_next"))
+                       fingerprint(F.col("new.anchors")).alias("edited_fingerprint"), alike("new").alias("near_edited"), alike("next_own").alias("near_next"))

@@ -14,6 +14,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF_CHECK, SF_SMALL
@@ -103,6 +104,64 @@ def test_components_of_a_long_chain(spark):
 
 
 # -- syncmers --------------------------------------------------------------
+def plain_hash(*values):
+    """XXH64 chained over words (text) or earlier hashes (signed longs)."""
+    h = 42
+    for v in values:
+        h = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else v.to_bytes(8, "little", signed=True), seed=h)
+    return h - 2**64 if h >= 2**63 else h
+
+
+def plain_anchors(text, k=4, s=2):
+    words = [plain_hash(w) for w in re.findall(r"[^ \t\n\x0b\f\r]{1,32}", text)]
+    out = []
+    for i in range(len(words) - k + 1):
+        inner = [plain_hash(*words[i + j:i + j + s]) for j in range(k - s + 1)]
+        if min(inner) in (inner[0], inner[-1]):
+            out.append((i, plain_hash(*words[i:i + k])))
+    return out or ([(0, plain_hash(*words))] if words else [])
+
+
+def plain_print(anchors):
+    least = sorted({h for _, h in anchors})[:64]
+    every = ",".join(f"{p} {h}" for p, h in anchors)
+    return ".".join(f"{h % 2**64:x}" for h in least) + ":" + hashlib.sha256(every.encode()).hexdigest() if anchors else ""
+
+
+def test_syncmers_equal_a_plain_version_on_the_whole_table(spark):
+    docs = sorted(((i, t or "") for i, t in rows("documents", columns="doc_id, text")), reverse=True)
+    got = by_id(QUERIES["op3_syncmer_fingerprints"](spark, SF_SMALL), "doc_id")
+    for (i, text), (_, after) in zip(docs, docs[1:] + docs[:1]):
+        cut = len(text) // 3
+        own, new, other = (plain_anchors(t) for t in (text, text[:len(text) - cut] + after[:cut], after))
+        assert (got[i]["fingerprint"], got[i]["edited_fingerprint"]) == (plain_print(own), plain_print(new))
+        for name, b in (("near_edited", new), ("near_next", other)):
+            assert got[i][name] <= plain_likeness(own, b) + 1e-12
+            if len({h for _, h in own}) == len(own) and len({h for _, h in b}) == len(b):
+                assert got[i][name] == pytest.approx(plain_likeness(own, b), abs=1e-12)
+    assert len(got) == len(docs)
+
+
+@pytest.mark.parametrize("partitions", ["1", "5", "300"])
+def test_neighbours_do_not_depend_on_the_ranges(spark, partitions):
+    """Ids far apart, a very long text, repeated ids and null ids."""
+    ids = [*range(40), 2**61, -(2**61), 7, 7, 7, None, None]
+    df = spark.createDataFrame([(i, f"row {n} " + "long " * (30000 if n == 3 else n)) for n, i in enumerate(ids)], "doc_id bigint, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        near = syncmer.with_next(df.withColumn("tie", F.col("text")), "doc_id", ["text"], "tie", "text")
+        got = sorted(((r["text"], r["next_text"]) for r in near.collect()))
+        nothing = df.where("false").withColumn("tie", F.col("text"))
+        assert syncmer.with_next(nothing, "doc_id", ["text"], "tie", "text").count() == 0
+        alone = df.where("doc_id is null").withColumn("tie", F.col("text"))
+        assert len({r["next_text"] for r in syncmer.with_next(alone, "doc_id", ["text"], "tie", "text").collect()}) == 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    order = [r["text"] for r in sorted(df.collect(), key=lambda r: (r["doc_id"] is None, -(r["doc_id"] or 0), r["text"]))]
+    assert got == sorted(zip(order, order[1:] + order[:1]))
+
+
 def test_syncmer_query(spark):
     docs = rows("documents", columns="doc_id, text")
     got = by_id(QUERIES["op3_syncmer_fingerprints"](spark, SF_SMALL), "doc_id")
