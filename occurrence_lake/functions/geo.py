@@ -39,10 +39,12 @@ MAX_BANDS, MAX_COPIES = 512, 8
 # polygons
 # ---------------------------------------------------------------------------
 def parse_wkt_polygon(wkt: str) -> list[list[tuple[float, float]]]:
-    """Rings of a ``POLYGON((x y, ...), (hole), ...)`` text, x = longitude."""
+    """Rings of a ``POLYGON((x y, ...), (hole), ...)`` text, x = longitude, or
+    of all members of a ``MULTIPOLYGON``: they do not overlap, so the
+    even-odd rule holds over all their rings."""
     text = wkt.strip()
-    if not text.upper().startswith("POLYGON"):
-        raise ValueError(f"not a WKT POLYGON: {wkt[:40]!r}")
+    if not re.match(r"(MULTI)?POLYGON\s*\(", text.upper()):
+        raise ValueError(f"not a WKT POLYGON or MULTIPOLYGON: {wkt[:40]!r}")
     rings = []
     for ring_text in re.findall(r"\(([^()]*)\)", text):
         ring = [tuple(float(v) for v in pair.split()) for pair in ring_text.split(",") if pair.strip()]

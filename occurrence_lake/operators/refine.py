@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from occurrence_lake.functions.geo import inside_geometry
 from occurrence_lake.functions.scalars import make_date_strict, narrow_to_int, zero_as_null
 from occurrence_lake.functions.wkb import typed_geometry, with_point_wkb
+from occurrence_lake.operators.areas import within_areas
 from occurrence_lake.schema import MEASURES
 
 # ---------------------------------------------------------------------------
@@ -24,6 +25,12 @@ YEARS = [2015, 2016, 2017, 2018, 2019, 2020, 2021, 2022, 2023, 2024, 2025]
 KEPT_CLASSES = ["Mammalia", "Aves"]
 
 
+def _asked(country: str, kingdom: str, years) -> Column:
+    return ((F.col("country_code") == country)
+            & (F.col("kingdom") == kingdom)
+            & F.col("year").isin([int(y) for y in years]))
+
+
 def acquire(raw: DataFrame, country: str = ACQUISITION_COUNTRY, polygon_wkt: str = ACQUISITION_POLYGON,
             kingdom: str = ACQUISITION_KINGDOM, years=YEARS) -> DataFrame:
     """FLT-1 (+ FLT-2, FLT-4): the download predicate as a filter.
@@ -33,11 +40,14 @@ def acquire(raw: DataFrame, country: str = ACQUISITION_COUNTRY, polygon_wkt: str
     partition column.  A non-rectangular polygon adds a crossing count
     after the bounding-box prefilter.
     """
-    cond = ((F.col("country_code") == country)
-            & (F.col("kingdom") == kingdom)
-            & F.col("year").isin([int(y) for y in years])
-            & inside_geometry("decimal_longitude", "decimal_latitude", polygon_wkt))
-    return raw.filter(cond)
+    return raw.filter(_asked(country, kingdom, years) & inside_geometry("decimal_longitude", "decimal_latitude", polygon_wkt))
+
+
+def acquire_areas(raw: DataFrame, areas: DataFrame, area_id: str, wkt: str, country: str = ACQUISITION_COUNTRY,
+                  kingdom: str = ACQUISITION_KINGDOM, years=YEARS) -> DataFrame:
+    """FLT-1 with a table of areas for FLT-2: a row per occurrence and area
+    that holds it, with the area's id."""
+    return within_areas(raw.filter(_asked(country, kingdom, years)), areas, "decimal_longitude", "decimal_latitude", area_id, wkt)
 
 
 def filtered_occurrences(raw: DataFrame, carry=(), strict_dates: bool = True) -> DataFrame:

@@ -195,6 +195,12 @@ def q_acquire_polygon_many(spark, sf_dir):
     return refine.acquire(raw, polygon_wkt=POLYGON_OF_MANY_EDGES).select(*_ACQ_COLS)
 
 
+def q_acquire_areas(spark, sf_dir):
+    """FLT-2 over a table of areas, each of two members, one with a hole."""
+    raw = fixtures.raw_occurrences(spark, sf_dir).select(*_ACQ_COLS, "country_code", "kingdom")
+    return refine.acquire_areas(raw, fixtures.acquisition_areas(spark, sf_dir), "area_id", "wkt").select("area_id", *_ACQ_COLS)
+
+
 # ---------------------------------------------------------------------------
 # map layer
 # ---------------------------------------------------------------------------
@@ -375,6 +381,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "malformed_replies": q_malformed_replies,
     "acquire_years": q_acquire_years,
     "acquire_polygon_many": q_acquire_polygon_many,
+    "acquire_areas": q_acquire_areas,
     "species_parts": q_species_parts,
     "layer_bbox_parts": q_layer_bbox_parts,
     "species_quadtree": q_species_quadtree,
@@ -492,6 +499,22 @@ GROUP BY c.gbif_id, c.taxon_key, c.decimal_longitude, c.decimal_latitude, c."yea
 HAVING count(*) % 2 = 1"""
 
 
+def _areas_sql() -> str:
+    sides = ", ".join(f"({a[0]}, {a[1]}, {b[0]}, {b[1]})" for m in fixtures.AREA_MEMBERS for ring in m for a, b in zip(ring[:-1], ring[1:]))
+    years = ", ".join(str(y) for y in refine.YEARS)
+    placed = ", ".join(f"{v} AS {k}" for k, v in fixtures.AREA_SQL.items())
+    return _with(_OCC, f"sides(from_x, from_y, to_x, to_y) AS (VALUES {sides})", f"placed AS (SELECT s_suppkey AS area_id, {placed} FROM supplier)", """edges AS (
+  SELECT area_id, (cx + from_x * scale) / 1e3 AS xi, (cy + from_y * scale) / 1e3 AS yi, (cx + to_x * scale) / 1e3 AS xj, (cy + to_y * scale) / 1e3 AS yj
+  FROM placed, sides)""") + f"""
+SELECT e.area_id, c.gbif_id, c.taxon_key, c.decimal_longitude, c.decimal_latitude, c."year"
+FROM occ c JOIN edges e
+  ON (c.decimal_latitude < e.yi) <> (c.decimal_latitude < e.yj)
+ AND c.decimal_longitude < (e.xj - e.xi) * (c.decimal_latitude - e.yi) / (e.yj - e.yi) + e.xi
+WHERE c.country_code = 'FR' AND c.kingdom = 'Animalia' AND c."year" IN ({years})
+GROUP BY e.area_id, c.gbif_id, c.taxon_key, c.decimal_longitude, c.decimal_latitude, c."year"
+HAVING count(*) % 2 = 1"""
+
+
 def _box_sql(box: Box) -> str:
     return (f"'POLYGON(({box.min_lon} {box.min_lat}, {box.max_lon} {box.min_lat}, {box.max_lon} {box.max_lat}, "
             f"{box.min_lon} {box.max_lat}, {box.min_lon} {box.min_lat}))'::GEOMETRY")
@@ -611,6 +634,7 @@ WHERE s.min_lon <= {LAYER_BOX.max_lon} AND s.max_lon >= {LAYER_BOX.min_lon} AND
         "AND decimal_longitude BETWEEN 4.63127 AND 7.5505 AND decimal_latitude BETWEEN 44.84424 AND 46.81983"),
     "acquire_polygon": _polygon_sql(POLYGON_WITH_HOLE),
     "acquire_polygon_many": _polygon_sql(POLYGON_OF_MANY_EDGES),
+    "acquire_areas": _areas_sql(),
     "acquire_years": _with(_OCC) + _acq_sql(
         "AND decimal_longitude BETWEEN 4.63127 AND 7.5505 AND decimal_latitude BETWEEN 44.84424 AND 46.81983", [2016, 2021]),
     "layer_bbox": _layer_bbox_sql(LAYER_BOX, None),

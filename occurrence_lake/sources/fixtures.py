@@ -98,3 +98,22 @@ def species_replies_from_records(records: DataFrame) -> DataFrame:
                                                        it["name"].alias("vernacularName")))
     body = F.to_json(F.struct(results.alias("results")))
     return pages.select("taxon_key", "page", body.alias("body"))
+
+
+# An area's vertices, times its scale in thousandths of a
+# degree, around its centre: an arrow with a hole, and a triangle apart.
+AREA_MEMBERS = [[[(-3, -3), (3, -2), (1, 0), (3, 3), (-3, 2), (-3, -3)], [(-1, -1), (0, -1), (0, 0), (-1, -1)]],
+                [[(4, -1), (6, 0), (4, 1), (4, -1)]]]
+AREA_SQL = {"cx": "4200 + (s_suppkey * 37) % 4300", "cy": "44100 + (s_suppkey * 53) % 4000", "scale": "10 + 15 * (s_suppkey % 5)"}
+
+
+def acquisition_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of areas ``(area_id, wkt)``, one a supplier, of several sizes."""
+    def text(centre: str, step: int) -> str:
+        return f"format_string('%d.%03d', ({centre} + {step} * scale) div 1000, ({centre} + {step} * scale) % 1000)"
+
+    ring = lambda r: "'(', " + ", ', ', ".join(f"{text('cx', x)}, ' ', {text('cy', y)}" for x, y in r) + ", ')'"
+    member = lambda m: "'(', " + ", ', ', ".join(ring(r) for r in m) + ", ')'"
+    wkt = "concat('MULTIPOLYGON (', " + ", ', ', ".join(member(m) for m in AREA_MEMBERS) + ", ')')"
+    placed = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS area_id", *[f"CAST({v} AS BIGINT) AS {k}" for k, v in AREA_SQL.items()])
+    return placed.selectExpr("area_id", f"{wkt} AS wkt")

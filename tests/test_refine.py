@@ -1,9 +1,11 @@
+import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from occurrence_lake.functions.geo import inside_geometry, parse_wkt_polygon
-from occurrence_lake.operators import refine
+from occurrence_lake.operators import areas, refine
 from occurrence_lake.schema import RAW_SCHEMA
 from occurrence_lake.sources import fixtures
 
@@ -119,3 +121,64 @@ def test_polygon_of_many_edges(spark):
         seconds[n] = time.time() - t
         assert got == {i for i, x, y in points if inside(x, y, ring)} and 100 < len(got) < 900
     assert seconds[5000] < 10 * max(1.0, seconds[100])
+
+
+def _star(n, cx, cy, r):
+    ring = [(cx + r * (1 + 0.4 * math.cos(7 * t)) * math.cos(t), cy + r * (1 + 0.4 * math.cos(7 * t)) * math.sin(t))
+            for t in (2 * math.pi * i / n for i in range(n))]
+    return "(" + ", ".join(f"{x!r} {y!r}" for x, y in [*ring, ring[0]]) + ")"
+
+
+AREAS = [
+    (1, "POLYGON((4.5 44.5, 8.0 44.6, 7.2 46.0, 6.0 45.2, 5.0 47.5, 4.5 44.5),(5.3 45.0, 6.1 45.0, 5.9 45.3, 5.3 45.0))"),
+    (2, f"MULTIPOLYGON({_star(900, 6.0, 45.5, 0.8).join(['(', ')'])}, (({_star(5, -6.1, 40.0, 2.0)[1:-1]})))"),
+    (3, refine.ACQUISITION_POLYGON),
+    (4, f"multipolygon (({_star(40, 5.0, 46.0, 1e-4)}))"),                       # smaller than the points' distances
+    (5, "POLYGON((-180 -90, 180 -90, 180 90, 0 89, -180 90, -180 -90))"),
+    (6, None),
+    (7, "POLYGON((4 44, 8 44, 8 46, 6 46, 6 45, 5 45, 5 46, 4 46, 4 44))"),       # edges along cell borders
+]
+
+
+def test_many_areas_against_brute_force(spark):
+    rnd = random.Random(11)
+    pts = [(rnd.uniform(4.0, 8.5), rnd.uniform(44.0, 48.0)) for _ in range(1500)]
+    pts += [(rnd.uniform(-180, 180), rnd.uniform(-90, 90)) for _ in range(300)]
+    pts += [(x / 4, y / 4) for x in range(15, 34) for y in range(175, 193)]       # on cell borders, edges and vertices
+    pts += [(5.0 + rnd.uniform(-2e-4, 2e-4), 46.0 + rnd.uniform(-2e-4, 2e-4)) for _ in range(300)]
+    pts += [pts[0], pts[0], (4.63127, 44.84424), (7.5505, 46.81983)]              # repeated rows stay; a closed rectangle
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)] + [(-1, None, 45.0), (-2, 6.0, None)], "area bigint, x double, y double")
+    table = spark.createDataFrame(AREAS, "key int, shape string")
+    got = sorted((r["key"], r["area"]) for r in areas.within_areas(df, table, "x", "y", "key", "shape").collect())
+    want = []
+    for key, wkt in AREAS:
+        if wkt is not None:
+            rings = parse_wkt_polygon(wkt)
+            box = rings[0] if key == 3 else None
+            for i, (x, y) in enumerate(pts):
+                if (box[0][0] <= x <= box[2][0] and box[0][1] <= y <= box[2][1]) if box else _inside(x, y, rings):
+                    want.append((key, i))
+    assert got == sorted(want) and {k for k, _ in got} == {1, 2, 3, 4, 5, 7}
+    one = df.where(inside_geometry("x", "y", AREAS[1][1])).count()
+    assert one == sum(k == 2 for k, _ in got) > 0
+
+
+def test_areas_empty_and_wrong(spark):
+    df = spark.createDataFrame([(1, 6.0, 45.0)], "id bigint, x double, y double")
+    none = spark.createDataFrame([], "key int, shape string")
+    assert areas.within_areas(df, none, "x", "y", "key", "shape").count() == 0
+    some = spark.createDataFrame(AREAS, "key int, shape string")
+    assert areas.within_areas(df.where("false"), some, "x", "y", "key", "shape").columns == ["id", "x", "y", "key"]
+    assert areas.within_areas(df.where("false"), some, "x", "y", "key", "shape").count() == 0
+    for bad in ("POINT(1 2)", "POLYGON((1 2, 3 4, 1 2))", "POLYGON((0 0, 1 0, 1 1, 0 1))", "MULTIPOLYGON EMPTY"):
+        with pytest.raises(Exception, match="not a WKT|a ring needs"):
+            areas.within_areas(df, spark.createDataFrame([(1, bad)], "key int, shape string"), "x", "y", "key", "shape").collect()
+    with pytest.raises(ValueError):
+        areas.within_areas(df, some, "x", "y", "id", "shape")
+
+
+def test_cells_inside_an_area_need_no_edges(spark):
+    """A large area's points are mostly settled by whole cells."""
+    edges = areas.area_edges(spark.createDataFrame(AREAS, "key int, shape string").where("key = 2 or key = 5"), "key", "shape")
+    cells = areas.cover(edges, areas.edge_bands(edges)).groupBy("area").agg(F.count("*").alias("n"), F.count_if("whole").alias("whole")).collect()
+    assert all(r["n"] < 1200 for r in cells) and {r["area"]: r["whole"] / r["n"] for r in cells}[5] > 0.7
