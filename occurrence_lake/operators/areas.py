@@ -55,7 +55,9 @@ def area_edges(areas: DataFrame, id_col: str, wkt_col: str) -> DataFrame:
                        F.least(F.greatest(F.floor(F.size("edges") / EDGES_A_BAND), F.lit(1)), F.lit(MAX_BANDS)).cast("int").alias("bands"),
                        ((F.col("n_rings") == 1) & (F.size("edges") == 4) & straight).alias("is_box"))
     side = F.greatest(F.col("box.max_lon") - F.col("box.min_lon"), F.col("box.max_lat") - F.col("box.min_lat"), F.lit(1e-9))
-    return rows.select("area", "box", "bands", "is_box", F.ceil(F.log2(side / CELLS_A_SIDE)).cast("int").alias("level"), F.inline("edges"))
+    # outer: else Spark derives a filter on the edges, and parses every text twice for it
+    rows = rows.select("area", "box", "bands", "is_box", F.ceil(F.log2(side / CELLS_A_SIDE)).cast("int").alias("level"), F.inline_outer("edges"))
+    return rows.where(F.col("xi").isNotNull())
 
 
 def cell_size(level: Column) -> Column:
