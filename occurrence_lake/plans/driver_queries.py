@@ -26,7 +26,7 @@ from occurrence_lake.sinks.upsert import KeyedTable
 from occurrence_lake.sources import fixtures
 from occurrence_lake.sources.parquet import read_raw_years
 from occurrence_lake.sources.replies import malformed_replies, parse_species_replies
-from occurrence_lake.sources.tsv import read_occurrence_tsv, write_occurrence_tsv
+from occurrence_lake.sources.tsv import read_occurrence_tsv, read_quoted_tsv, write_occurrence_tsv
 from occurrence_lake.streaming.ingest import ServingIngest
 
 # ---------------------------------------------------------------------------
@@ -326,6 +326,15 @@ def q_tsv_roundtrip(spark, sf_dir):
     return read_occurrence_tsv(spark, path)
 
 
+def q_tsv_quoted_breaks(spark, sf_dir):
+    """SRC-1 with line breaks inside quoted fields."""
+    path = scratch_path(spark, "tsv_quoted_breaks")
+    raw = fixtures.raw_occurrences(spark, sf_dir)
+    noted = F.expr("concat(locality, CASE WHEN year % 3 = 0 THEN '\n\nnote \"two\nlines\"' ELSE '' END)")
+    write_occurrence_tsv(raw.withColumn("locality", noted), path)
+    return read_quoted_tsv(spark, path)
+
+
 def q_streaming_species(spark, sf_dir):
     """Extracts land in two drops; the stream keeps the serving tables
     current; the species table must equal the batch-built one."""
@@ -375,6 +384,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_occurrences": q_upsert_occurrences,
     "year_overwrite": q_year_overwrite,
     "tsv_roundtrip": q_tsv_roundtrip,
+    "tsv_quoted_breaks": q_tsv_quoted_breaks,
     "streaming_species": q_streaming_species,
     "duplicate_keys": q_duplicate_keys,
     "vernacular_from_json": q_vernacular_from_json,
@@ -670,4 +680,6 @@ WHERE g.coordinates IS NOT NULL""",
         f"SELECT gbif_id FROM occ WHERE \"year\" = {DUPLICATED_YEAR}) GROUP BY gbif_id HAVING count(*) > 1",
     "vernacular_from_json": _vernacular_json_sql(),
 }
+ORACLE_SQL["tsv_quoted_breaks"] = ORACLE_SQL["tsv_roundtrip"].replace(
+    '"locality"', """locality || CASE WHEN "year" % 3 = 0 THEN chr(10) || chr(10) || 'note "two' || chr(10) || 'lines"' ELSE '' END AS "locality\"""")
 ORACLE_SQL["materialize"] = ORACLE_SQL["species_names"]
