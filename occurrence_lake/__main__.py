@@ -49,6 +49,7 @@ def main(argv=None) -> int:
     p.add_argument("--acquire", action="store_true", help="apply the acquisition predicate (country, area, "
                    "kingdom, years) to extracts that were not filtered at download")
     p.add_argument("--append", action="store_true", help="keep rows already stored for the same years")
+    p.add_argument("--quoted-breaks", action="store_true", help="quoted fields may hold line breaks")
 
     p = sub.add_parser("run", help="all tables + serving upserts")
     p.add_argument("--raw", required=True)
@@ -96,7 +97,7 @@ def main(argv=None) -> int:
     if args.cmd == "ingest":
         from occurrence_lake.plans.assets import ingest_extracts
         n = ingest_extracts(spark, args.extracts, args.raw, check_keys=not args.no_key_check,
-                            acquire=args.acquire, replace=not args.append)
+                            acquire=args.acquire, replace=not args.append, quoted_breaks=args.quoted_breaks)
         print(json.dumps({"partitioned_raw_occurrences": n}))
     elif args.cmd == "run":
         from occurrence_lake.plans.assets import run

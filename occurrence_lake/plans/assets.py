@@ -26,7 +26,7 @@ from occurrence_lake.sinks.parquet import fill_declared, materialize, write_tabl
 from occurrence_lake.sinks.upsert import SERVING_SLOTS, KeyedTable
 from occurrence_lake.sinks.year_keys import YearKeys
 from occurrence_lake.sources.parquet import read_raw_years
-from occurrence_lake.sources.tsv import read_occurrence_tsv
+from occurrence_lake.sources.tsv import read_occurrence_tsv, read_quoted_tsv
 from occurrence_lake.streaming.ingest import serving_tables
 
 
@@ -95,7 +95,7 @@ class RunReport:
 
 
 def ingest_extracts(spark: SparkSession, tsv_paths, raw_root: str, check_keys: bool = True,
-                    acquire: bool = False, replace: bool = True) -> int:
+                    acquire: bool = False, replace: bool = True, quoted_breaks: bool = False) -> int:
     """Yearly extracts (TSV) -> raw Parquet partitioned by year (SRC-1, SNK-2).
 
     The text is parsed once, into staged Parquet; a malformed row aborts.
@@ -103,10 +103,11 @@ def ingest_extracts(spark: SparkSession, tsv_paths, raw_root: str, check_keys: b
     the load before anything is written (CON-1, the yearly table's primary
     key); the check is one aggregation pass, combinable on the map side.
     With ``acquire`` the acquisition predicate (FLT-1) is applied here, for
-    extracts that were not filtered at download."""
+    extracts that were not filtered at download; with ``quoted_breaks``
+    quoted fields may hold line breaks."""
     staged = scratch_path(spark, "staged-extracts")
     try:
-        raw = read_occurrence_tsv(spark, tsv_paths, staged=staged)
+        raw = (read_quoted_tsv if quoted_breaks else read_occurrence_tsv)(spark, tsv_paths, staged=staged)
         if acquire:
             raw = refine.acquire(raw)
         if check_keys:

@@ -149,11 +149,11 @@ def read_quoted_tsv(spark: SparkSession, path, schema=RAW_SCHEMA, staged: str |
     and put together by ``quoted_records``, which shuffles them by split.  Use
     it only for extracts that need it.  Lines end in LF or CRLF."""
     kept = scratch_path(spark, "quoted-lines")
-    quoted_lines(spark, path).write.parquet(kept)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     options = {k: v for k, v in TSV_READ_OPTIONS.items() if k in ("sep", "mode", "quote", "escape", "nullValue", "emptyValue")}
-    records = quoted_records(spark.read.parquet(kept))
-    rows = records.select(F.from_csv("value", ddl, options).alias("row")).select("row.*")
-    out = stage(rows, staged)
-    remove(spark, kept)
-    return out
+    try:
+        quoted_lines(spark, path).write.parquet(kept)
+        records = quoted_records(spark.read.parquet(kept))
+        return stage(records.select(F.from_csv("value", ddl, options).alias("row")).select("row.*"), staged)
+    finally:
+        remove(spark, kept)
