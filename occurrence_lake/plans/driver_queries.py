@@ -167,8 +167,10 @@ def q_fill_declared(spark, sf_dir):
 
 
 def q_malformed_replies(spark, sf_dir):
-    """EXP-9: every whole reply is checked; none of these is malformed."""
-    return malformed_replies(fixtures.species_replies_from_records(fixtures.vernacular_records(spark, sf_dir)))
+    """EXP-9: every whole reply is checked; every 7th key's have text behind
+    them, which only a check that reads to the end finds."""
+    replies = fixtures.species_replies_from_records(fixtures.vernacular_records(spark, sf_dir))
+    return malformed_replies(replies.withColumn("body", fixtures.with_text_behind("taxon_key", "body")))
 
 
 # ---------------------------------------------------------------------------
@@ -663,7 +665,7 @@ WHERE g.coordinates IS NOT NULL""",
     "table_previews": _with(_OCC, _FILTERED) + "SELECT gbif_id, taxon_key, (SELECT count(*) FROM filtered) AS row_count "
         "FROM filtered ORDER BY gbif_id LIMIT 10",
     "fill_declared": _with(_OCC, _FILTERED, _KEYS, _VN, _VERN) + "SELECT * FROM vern",
-    "malformed_replies": _with(_VN) + f"SELECT count(*) AS replies, CAST(0 AS BIGINT) AS malformed FROM "
+    "malformed_replies": _with(_VN) + f"SELECT count(*) AS replies, count(*) FILTER (taxon_key % 7 = 0) AS malformed FROM "
         f"(SELECT DISTINCT taxon_key, floor(seq / {fixtures.REPLY_PAGE_SIZE}) AS page FROM vn)",
     "wkb_roundtrip": _with(_OCC, _FILTERED)
         + "SELECT gbif_id, decimal_longitude AS lon, decimal_latitude AS lat FROM filtered "

@@ -16,7 +16,7 @@ The SQL twins used by the DuckDB oracle live in ``plans.driver_queries``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occurrence_lake.schema import RAW_SCHEMA
@@ -100,6 +100,11 @@ def species_replies_from_records(records: DataFrame) -> DataFrame:
     return pages.select("taxon_key", "page", body.alias("body"))
 
 
+def with_text_behind(taxon_key: str, body: str) -> Column:
+    """A reply's whole body; every 7th key's with a second closing brace."""
+    return F.when(F.col(taxon_key) % 7 == 0, F.concat(body, F.lit("}"))).otherwise(F.col(body))
+
+
 # An area's vertices, times its scale in thousandths of a
 # degree, around its centre: an arrow with a hole, and a triangle apart.
 AREA_MEMBERS = [[[(-3, -3), (3, -2), (1, 0), (3, 3), (-3, 2), (-3, -3)], [(-1, -1), (0, -1), (0, 0), (-1, -1)]],

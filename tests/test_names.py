@@ -3,6 +3,7 @@ import json
 import pytest
 
 from occurrence_lake.operators import names
+from occurrence_lake.plans.driver_queries import QUERIES
 from occurrence_lake.sources import fixtures
 from occurrence_lake.sources.replies import MalformedReplies, checked_replies, malformed_replies, parse_species_replies, rejected_replies
 
@@ -97,3 +98,13 @@ def test_malformed_replies_end_the_run_or_are_written(spark, workdir):
         checked_replies(cut)
     good = checked_replies(cut, f"{workdir}/rejected")
     assert good.where("taxon_key % 7 = 0").count() == 0 and good.count() + spark.read.parquet(f"{workdir}/rejected").count() == whole.count()
+
+
+def test_the_query_counts_replies_that_are_malformed_at_their_end(spark, workdir):
+    """Keys 0, 3 and 21 (key = 3 * (doc_id % 160)), two replies each; no body is shortened."""
+    rows = [(d, "en", "a" * 200) for d in (0, 1, 7, 160, 161, 167)]
+    spark.createDataFrame(rows, "doc_id long, lang string, source string").write.parquet(f"{workdir}/documents.parquet")
+    assert tuple(QUERIES["malformed_replies"](spark, workdir).first()) == (6, 4)
+    replies = fixtures.species_replies_from_records(fixtures.vernacular_records(spark, workdir))
+    asked = replies.select("taxon_key", "body", fixtures.with_text_behind("taxon_key", "body").alias("asked")).collect()
+    assert all(r.asked == (r.body + "}" if r.taxon_key % 7 == 0 else r.body) for r in asked)
