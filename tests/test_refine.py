@@ -182,3 +182,35 @@ def test_cells_inside_an_area_need_no_edges(spark):
     edges = areas.area_edges(spark.createDataFrame(AREAS, "key int, shape string").where("key = 2 or key = 5"), "key", "shape")
     cells = areas.cover(edges, areas.edge_bands(edges)).groupBy("area").agg(F.count("*").alias("n"), F.count_if("whole").alias("whole")).collect()
     assert all(r["n"] < 1200 for r in cells) and {r["area"]: r["whole"] / r["n"] for r in cells}[5] > 0.7
+
+
+def _random_areas(rnd):
+    """Stars of few and of many edges around 0 and elsewhere, some on a coarse grid."""
+    out = []
+    for key in range(60):
+        n, cx, cy, r = rnd.choice([3, 4, 5, 7, 12, 60, 400]), rnd.uniform(-2, 2), rnd.uniform(-2, 2), rnd.choice([0.05, 0.4, 1.5])
+        ring = [(cx + r * rnd.uniform(0.3, 1) * math.cos(2 * math.pi * i / n), cy + r * rnd.uniform(0.3, 1) * math.sin(2 * math.pi * i / n)) for i in range(n)]
+        if key % 3 == 0:
+            ring = [(round(x * 4) / 4, round(y * 4) / 4) for x, y in ring]
+        out.append((key, [*ring, ring[0]]))
+    return out
+
+
+def test_a_point_is_settled_by_the_one_row_of_its_cell(spark, monkeypatch):
+    """One join a kind of cell (none after it), whatever the areas; a table of
+    areas in one piece is dealt out before its texts are parsed."""
+    rnd, made = random.Random(23), {}
+    own = _random_areas(rnd)
+    pts = [(rnd.uniform(-3, 3), rnd.uniform(-3, 3)) for _ in range(600)] + [(x / 4, y / 4) for x in range(-9, 10) for y in range(-9, 10)]
+    pts += [p for _, ring in own[::4] for p in ring[:20]] + [(rnd.uniform(-3, 3), ring[i][1]) for _, ring in own for i in (0, 1)] + [(0.3, -1e-20), (-1e-20, 0.3)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)], "id bigint, x double, y double")
+    table = spark.createDataFrame([(k, "POLYGON((" + ", ".join(f"{x!r} {y!r}" for x, y in ring) + "))") for k, ring in own], "key int, shape string").coalesce(1)
+    write = areas._written
+    monkeypatch.setattr(areas, "_written", lambda frame, name: made.setdefault(name, write(frame, name)))
+    found = areas.within_areas(df, table, "x", "y", "key", "shape")
+    boxes = [(k, [min(c) for c in zip(*ring)], [max(c) for c in zip(*ring)], ring) for k, ring in own]
+    want = [(k, i) for k, low, high, ring in boxes for i, (x, y) in enumerate(pts) if low[0] <= x <= high[0] and low[1] <= y <= high[1] and _inside(x, y, [ring])]
+    assert sorted((r["key"], r["id"]) for r in found.collect()) == sorted(want)
+    assert len(made["area-edges"].inputFiles()) > 1
+    kinds = made["area-cells"].select("plain").distinct().count()
+    assert kinds == 2 and found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == kinds
