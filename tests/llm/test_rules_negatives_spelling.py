@@ -157,6 +157,45 @@ def test_pruned_candidates_keep_every_score_in_reach():
     assert pruned >= 10 and {q for q in range(40) if ((scores[:, q] >= low[q]) & (scores[:, q] <= high[q])).any()} <= answered
 
 
+@pytest.mark.parametrize("labels", [2, 60])
+def test_negatives_in_lanes_and_waves(spark, monkeypatch, labels):
+    """More blocks than lanes, more lanes than a wave, blocks of one label
+    and of many, and one vector that many rows have."""
+    for name, value in {"SEED_ROWS": 8, "BLOCK_ROWS": 16, "ANCHOR_ROWS": 8, "LANE_VALUES": 512, "LANES": 6, "WAVE": 2, "SPLIT": 2}.items():
+        monkeypatch.setattr(hard_negatives, name, value)
+    rnd = np.random.default_rng(11)
+    vectors = rnd.normal(size=(300, 8))
+    vectors[rnd.random(300) < 0.2] = vectors[0]
+    rows = [(i, int(rnd.integers(labels)), [float(x) for x in v / np.linalg.norm(v)]) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<float>")
+    rows = [(i, label, [float(np.float32(x)) for x in v]) for i, label, v in rows]
+    expected = plain_negatives(rows, 10)
+    assert expected and mined(df, 10) == expected
+
+
+def test_a_lane_hands_on_few_rows():
+    """Vectors of no direction: bounds rise with the rows found, so that most
+    pairs of a lane are only multiplied."""
+    rnd = np.random.default_rng(13)
+    unit = rnd.normal(size=(12_100, 32))
+    x = np.floor(256 * unit / np.linalg.norm(unit, axis=1)[:, None]).astype(np.int16)
+    anchors = hard_negatives.Rows(np.arange(100), np.zeros(100, np.int64), x[:100])
+    goals = np.array([(i, -(2**62), 20_000 - 500 * k) for i in range(100) for k in range(2)])
+    best, handed = hard_negatives.Best(anchors, goals, 10), []
+    for start in range(100, 12_100, 3000):
+        block = hard_negatives.Block(np.arange(start, start + 3000), np.ones(3000, np.int64), x[start:start + 3000])
+        handed.append(0)
+        for queries, rows, scores in block.hits(anchors, best.which, best.low, best.high, False):
+            handed[-1] += len(queries)
+            best.add(queries, block.ids[rows], scores)
+    goal, ids, scores = best.best()
+    every = x[100:].astype(int) @ x[:100].T.astype(int)
+    for g, (a, _, most) in enumerate(goals.tolist()):
+        fit = sorted((-t, i + 100) for i, t in enumerate(every[:, a].tolist()) if t <= most)[:10]
+        assert [(-t, i) for t, i in zip(scores[goal == g].tolist(), ids[goal == g].tolist())] == fit
+    assert handed[-1] < 3000 * 100 * 0.02
+
+
 def test_negatives_small_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, 1, [1.0, 0.0]), (1, 1, [1.0, 0.1]), (2, 2, [0.5, 0.0]), (3, 2, [0.5, 0.0]), (3, 2, [0.5, 0.0]), (4, None, [0.5, 0.0]), (5, 2, None),
