@@ -259,9 +259,9 @@ def limits(positive: int, low: int, high: int) -> tuple[int, int]:
 def positive_bounds(seed: Block, anchors: Rows, count: int) -> np.ndarray:
     """For each anchor a score that ``count`` positives reach."""
     out = np.full(len(anchors.ids), _LEAST, np.int64)
-    scores = np.ascontiguousarray(seed.scores(slice(None), anchors).T)
+    scores = seed.scores(slice(None), anchors)
     for i in range(len(out)):
-        own = scores[i, (seed.labels == anchors.labels[i]) & (seed.ids != anchors.ids[i])]
+        own = scores[(seed.labels == anchors.labels[i]) & (seed.ids != anchors.ids[i]), i]
         if len(own) >= count:
             out[i] = np.partition(own, len(own) - count)[-count]
     return out
@@ -400,17 +400,24 @@ def planned(counts: dict[tuple[int, int], int], most: int) -> tuple[list[tuple[i
 _BLOCK = "block int, ids binary, labels binary, dim int, small boolean, x binary"
 
 
-def packed_rows(rows: DataFrame, plan: list[tuple[int, int, int, int]]) -> DataFrame:
-    """Rows in blocks: one row a block."""
+def packed_rows(rows: DataFrame, plan: list[tuple[int, int, int, int]], seed: Block | None = None, positives: int = 0) -> DataFrame:
+    """Rows in blocks: one row a block.  With a sample, they are anchors and
+    have a goal each, their positives: a line of ``goals`` is an anchor's
+    place, least and greatest score wanted."""
 
     def pack(key: tuple, table: pa.Table) -> pa.Table:
         t = table.sort_by("id")
         x = unpacked(list(zip(t["q"].to_pylist(), t["small"].to_pylist())))
         small = not x.size or bool(np.abs(x).max() < 2**15)
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "ids": [np.asarray(t["id"], np.int64).tobytes()], "labels": [np.asarray(t["label"], np.int64).tobytes()],
-                         "dim": pa.array([x.shape[1]], pa.int32()), "small": [small], "x": [x.astype(np.int16 if small else np.int64).tobytes()]})
+        ids, labels = np.asarray(t["id"], np.int64), np.asarray(t["label"], np.int64)
+        block = {"block": pa.array([key[0].as_py()], pa.int32()), "ids": [ids.tobytes()], "labels": [labels.tobytes()],
+                 "dim": pa.array([x.shape[1]], pa.int32()), "small": [small], "x": [x.astype(np.int16 if small else np.int64).tobytes()]}
+        if seed is not None:
+            least = positive_bounds(seed, Rows(ids, labels, x), positives)
+            block["goals"] = [np.stack([np.arange(len(least)), least, np.full(len(least), -_LEAST)], 1).tobytes()]
+        return pa.table(block)
 
-    return dealt(rows, plan).select("id", "label", "q", "small", "block").groupBy("block").applyInArrow(pack, _BLOCK)
+    return dealt(rows, plan).select("id", "label", "q", "small", "block").groupBy("block").applyInArrow(pack, _BLOCK if seed is None else f"{_BLOCK}, goals binary")
 
 
 def block_of(batch: pa.RecordBatch, i: int, kind: type[Rows]) -> Rows:
@@ -424,34 +431,19 @@ def lines(batch: pa.RecordBatch, i: int, name: str, width: int) -> np.ndarray:
     return np.frombuffer(batch.column(name)[i].as_py() or b"", np.int64).reshape(-1, width)
 
 
-def with_goals(anchors: DataFrame, seed: Block, positives: int) -> DataFrame:
-    """Blocks of anchors with a goal an anchor: its positives.  A line of
-    ``goals`` is an anchor's place, least and greatest score wanted, of
-    ``positives`` a positive's id and score."""
-
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                rows = block_of(batch, i, Rows)
-                least = positive_bounds(seed, rows, positives)
-                goals = np.stack([np.arange(len(least)), least, np.full(len(least), -_LEAST)], 1)
-                yield pa.RecordBatch.from_arrays([*batch.slice(i, 1).columns, pa.array([goals.tobytes()])], names=[*batch.schema.names, "goals"])
-
-    return anchors.mapInArrow(made, f"{_BLOCK}, goals binary")
-
-
 def with_positives(anchors: DataFrame, found: DataFrame, seed: Block, negatives: int, low: int, high: int) -> DataFrame:
-    """Blocks of anchors with a goal a positive: its negatives."""
+    """Blocks of anchors with a goal a positive: its negatives.  A line of
+    ``positives`` is the id and score of a goal's positive."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 rows = block_of(batch, i, Rows)
-                scores = np.ascontiguousarray(seed.scores(slice(None), rows).T)
+                scores = seed.scores(slice(None), rows)
                 goals, positives, of, others = [], [], -1, None
                 for place, positive, score, _ in lines(batch, i, "best", 4).tolist():
                     if place != of:
-                        of, others = place, np.sort(scores[place, seed.labels != rows.labels[place]])
+                        of, others = place, np.sort(scores[seed.labels != rows.labels[place], place])
                     least, most = limits(score, low, high)
                     if least <= most:
                         goals.append((place, negative_bound(others, least, most, negatives), most))
@@ -571,8 +563,7 @@ def hard_negatives(df: DataFrame, anchor: Column, id_col: str = "vec_id", vector
     seed = Block(np.array([r["id"] for r in some], np.int64), np.array([r["label"] for r in some], np.int64),
                  unpacked([(bytes(r["q"]), r["small"]) for r in some]))
     items = written(packed_rows(rows, plan), "vector-blocks")
-    packed = packed_rows(rows.where("anchor").withColumn("bucket", F.lit(0)), anchor_plan)
-    anchors = written(with_goals(packed, seed, positives), "anchors")
+    anchors = written(packed_rows(rows.where("anchor").withColumn("bucket", F.lit(0)), anchor_plan, seed, positives), "anchors")
     found = best_rows(items, anchors, lanes, True, positives)
     anchors = written(with_positives(anchors, found, seed, negatives, low, high), "positives")
     best = best_rows(items, anchors, lanes, False, negatives)
